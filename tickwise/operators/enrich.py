@@ -58,12 +58,13 @@ def _with_rsi_plain(df: DataFrame, w, periods: int) -> DataFrame:
     growth = ind.rsi_growth(periods)
     wt = F.pow(F.lit(growth), F.row_number().over(w).cast("double"))
     run = ind.running(w)
-    return (df.withColumn("_g", g).withColumn("_l", l).withColumn("_wt", wt)
-              .withColumn("rsi_14", ind.rsi_from_sums(
-                  F.sum(F.col("_g") * F.col("_wt")).over(run),
-                  F.sum(F.col("_l") * F.col("_wt")).over(run),
-                  F.count("_g").over(run), periods))
-              .drop("_g", "_l", "_wt"))
+    x = df.select("*", g.alias("_g"), l.alias("_l"), wt.alias("_wt"))
+    x = x.select("*",
+                 F.sum(F.col("_g") * F.col("_wt")).over(run).alias("_gs"),
+                 F.sum(F.col("_l") * F.col("_wt")).over(run).alias("_ls"),
+                 F.count("_g").over(run).alias("_nd"))
+    return (x.withColumn("rsi_14", ind.rsi_from_sums(F.col("_gs"), F.col("_ls"), F.col("_nd"), periods))
+             .drop("_g", "_l", "_wt", "_gs", "_ls", "_nd"))
 
 
 def _with_rsi_blocked(df: DataFrame, w, periods: int, key: str,
@@ -134,13 +135,15 @@ def enrich(ticks: DataFrame, price_scale: int | None = 2,
         ticks = ticks.withColumn("spark_process_time", F.unix_millis(F.current_timestamp()))
     if "kafka_produce_time" not in ticks.columns:
         ticks = ticks.withColumn("kafka_produce_time", F.lit(None).cast("long"))
-    out = (ticks
-           .withColumn("moving_avg_5", ind.moving_avg("close", w, 5, price_scale))
-           .withColumn("moving_avg_20", ind.moving_avg("close", w, 20, price_scale))
-           .withColumn("volatility", ind.volatility("close", w, 5, price_scale))
-           .withColumn("vwap", ind.vwap("close", "volume", w, price_scale))
-           .withColumn("volume_trend", ind.volume_trend("volume", w, 5))
-           .withColumn("price_change_pct", ind.price_change_pct("open", "close", price_scale)))
+    # one select: Catalyst evaluates all frames of ``w`` in one Window operator
+    out = ticks.select(
+        "*",
+        ind.moving_avg("close", w, 5, price_scale).alias("moving_avg_5"),
+        ind.moving_avg("close", w, 20, price_scale).alias("moving_avg_20"),
+        ind.volatility("close", w, 5, price_scale).alias("volatility"),
+        ind.vwap("close", "volume", w, price_scale).alias("vwap"),
+        ind.volume_trend("volume", w, 5).alias("volume_trend"),
+        ind.price_change_pct("open", "close", price_scale).alias("price_change_pct"))
     out = with_rsi(out, rsi_periods, key, stats)
     return (out
             .withColumn("crash_score", ind.crash_flag(F.col("price_change_pct"),

@@ -38,3 +38,333 @@ def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("enrich_ticks")
 def q_enrich_ticks(spark, sf_dir):
     return enriched(spark, sf_dir)
+
+
+# ---- shared inputs --------------------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from tickwise.functions import indicators as ind  # noqa: E402
+from tickwise.operators import correlation, metrics, quality, snapshot, timeseries, views  # noqa: E402
+from tickwise.operators.enrich import symbol_window  # noqa: E402
+from tickwise.sources import adapters  # noqa: E402
+
+
+def dash(spark, sf_dir):
+    """The dashboard's frame: enriched ticks with sector defaulted."""
+    return snapshot.sector_default(enriched(spark, sf_dir))
+
+
+def latest(spark, sf_dir):
+    return snapshot.latest_per_symbol(dash(spark, sf_dir))
+
+
+def worker_metrics(spark, sf_dir):
+    return adapters.worker_metrics_from_events(table(spark, sf_dir, "events"))
+
+
+def batch_table(spark, sf_dir):
+    return adapters.batch_metrics_from_events(table(spark, sf_dir, "events"))
+
+
+def brand_ticks(spark, sf_dir):
+    return adapters.ticks_from_lineitem(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part"))
+
+
+# The 25 brand symbols of the lineitem adapter (rule: Brand#1..Brand#25).
+BRANDS = [f"Brand#{i}" for i in range(1, 26)]
+
+KEY = ["symbol", "event_time", "seq"]
+
+
+# ---- single indicators (W1-W7, P6-P8) -------------------------------------
+
+def _indicator(spark, sf_dir, name, col):
+    t = ticks(spark, sf_dir)
+    return t.select(*KEY, col.alias(name))
+
+
+@query("moving_avg_5")
+def q_ma5(spark, sf_dir):
+    return _indicator(spark, sf_dir, "moving_avg_5", ind.moving_avg("close", symbol_window(), 5))
+
+
+@query("moving_avg_20")
+def q_ma20(spark, sf_dir):
+    return _indicator(spark, sf_dir, "moving_avg_20", ind.moving_avg("close", symbol_window(), 20))
+
+
+@query("volatility")
+def q_volatility(spark, sf_dir):
+    return _indicator(spark, sf_dir, "volatility", ind.volatility("close", symbol_window(), 5))
+
+
+@query("vwap")
+def q_vwap(spark, sf_dir):
+    return _indicator(spark, sf_dir, "vwap", ind.vwap("close", "volume", symbol_window()))
+
+
+@query("volume_trend")
+def q_volume_trend(spark, sf_dir):
+    return _indicator(spark, sf_dir, "volume_trend", ind.volume_trend("volume", symbol_window(), 5))
+
+
+@query("price_change_pct")
+def q_price_change(spark, sf_dir):
+    return _indicator(spark, sf_dir, "price_change_pct", ind.price_change_pct("open", "close"))
+
+
+@query("rsi_14")
+def q_rsi(spark, sf_dir):
+    from tickwise.operators.enrich import with_rsi
+    return with_rsi(ticks(spark, sf_dir)).select(*KEY, "rsi_14")
+
+
+@query("crash_flag")
+def q_crash(spark, sf_dir):
+    return enriched(spark, sf_dir).select(*KEY, "price_change_pct", "volume_trend", "volatility",
+                                          "crash_score")
+
+
+@query("latency_ms")
+def q_latency(spark, sf_dir):
+    t = ticks(spark, sf_dir)
+    return t.select(*KEY, "kafka_produce_time", "spark_process_time",
+                    ind.latency_ms(F.col("spark_process_time"), F.col("kafka_produce_time")).alias("latency_ms"))
+
+
+# ---- snapshot views (W9, W10, F1-F3, A1, A3, L2, A15, L4, D1, D2, D9) ------
+
+@query("latest_per_symbol")
+def q_latest(spark, sf_dir):
+    return latest(spark, sf_dir).select(*ENRICHED_COLS)
+
+
+@query("latest_row_per_symbol")
+def q_latest_row(spark, sf_dir):
+    return snapshot.latest_per_symbol(dash(spark, sf_dir), mode="row").select(*ENRICHED_COLS)
+
+
+TAIL_COLS = ["symbol", "close", "price_change_pct", "rsi_14", "vwap", "crash_score",
+             "data_type", "event_time"]
+
+
+@query("tail_per_symbol")
+def q_tail(spark, sf_dir):
+    return snapshot.tail_per_symbol(dash(spark, sf_dir), 3, columns=TAIL_COLS)
+
+
+@query("state_snapshot")
+def q_state_snapshot(spark, sf_dir):
+    return snapshot.tail_per_symbol(enriched(spark, sf_dir), 50).drop("pos_from_end")
+
+
+@query("recent_window")
+def q_recent_window(spark, sf_dir):
+    return snapshot.recent_window(dash(spark, sf_dir), 60).select(*KEY, "close", "sector")
+
+
+@query("filter_sector_symbol")
+def q_filter(spark, sf_dir):
+    return snapshot.filter_sector_symbol(dash(spark, sf_dir), sectors=["S1", "S3"]).select(
+        *KEY, "sector", "close")
+
+
+@query("filter_symbols")
+def q_filter_symbols(spark, sf_dir):
+    return snapshot.filter_sector_symbol(dash(spark, sf_dir), symbols=["U1", "U8", "U42"]).select(
+        *KEY, "sector", "close", "rsi_14")
+
+
+@query("symbol_series")
+def q_symbol_series(spark, sf_dir):
+    return views.symbol_series(dash(spark, sf_dir), "U8")
+
+
+@query("market_kpis")
+def q_kpis(spark, sf_dir):
+    return views.market_kpis(dash(spark, sf_dir))
+
+
+@query("market_snapshot")
+def q_snapshot(spark, sf_dir):
+    return views.market_snapshot(None, latest(spark, sf_dir))
+
+
+@query("sector_performance")
+def q_sector_perf(spark, sf_dir):
+    return views.sector_performance(None, latest(spark, sf_dir))
+
+
+@query("top_gainers")
+def q_gainers(spark, sf_dir):
+    return views.top_movers(None, 5, True, latest(spark, sf_dir))
+
+
+@query("top_losers")
+def q_losers(spark, sf_dir):
+    return views.top_movers(None, 5, False, latest(spark, sf_dir))
+
+
+@query("change_sign")
+def q_change_sign(spark, sf_dir):
+    return views.change_sign(latest(spark, sf_dir).select("symbol", "price_change_pct"))
+
+
+@query("crash_summary")
+def q_crash_summary(spark, sf_dir):
+    return views.crash_summary(dash(spark, sf_dir))
+
+
+@query("crash_history")
+def q_crash_history(spark, sf_dir):
+    return views.crash_history(dash(spark, sf_dir), 50)
+
+
+@query("crash_timeline")
+def q_crash_timeline(spark, sf_dir):
+    return views.crash_timeline(dash(spark, sf_dir))
+
+
+@query("distinct_symbols")
+def q_distinct(spark, sf_dir):
+    return views.distinct_symbols(dash(spark, sf_dir))
+
+
+@query("sector_default")
+def q_sector_default(spark, sf_dir):
+    return snapshot.sector_default(ticks(spark, sf_dir)).select(*KEY, "sector")
+
+
+# ---- signals (P9-P17, D3-D6) -------------------------------------------------
+
+@query("ma_divergence")
+def q_ma_div(spark, sf_dir):
+    return views.ma_divergence(dash(spark, sf_dir))
+
+
+@query("vwap_deviation")
+def q_vwap_dev(spark, sf_dir):
+    return views.vwap_signals(None, latest(spark, sf_dir))
+
+
+@query("risk_cube")
+def q_risk_cube(spark, sf_dir):
+    return views.risk_cube(dash(spark, sf_dir), 500)
+
+
+@query("anomaly_split")
+def q_anomaly(spark, sf_dir):
+    return views.anomaly_split(None, latest(spark, sf_dir))
+
+
+@query("price_volume_time")
+def q_pvt(spark, sf_dir):
+    return views.price_volume_time(dash(spark, sf_dir), 500)
+
+
+@query("recent_rows")
+def q_recent_rows(spark, sf_dir):
+    return snapshot.recent_rows(dash(spark, sf_dir), 500).select(*KEY, "close", "volume")
+
+
+@query("elapsed_seconds")
+def q_elapsed(spark, sf_dir):
+    return timeseries.elapsed_seconds(ticks(spark, sf_dir)).select(*KEY, "elapsed_s")
+
+
+@query("symbol_ordinal")
+def q_ordinal(spark, sf_dir):
+    return timeseries.symbol_ordinal(ticks(spark, sf_dir))
+
+
+# ---- correlation and time series (A7-A10, J2, F10) --------------------------
+
+@query("price_pivot")
+def q_pivot(spark, sf_dir):
+    return correlation.price_pivot(brand_ticks(spark, sf_dir), BRANDS)
+
+
+@query("corr_matrix")
+def q_corr(spark, sf_dir):
+    return correlation.corr_matrix(brand_ticks(spark, sf_dir))
+
+
+@query("corr_matrix_ticks")
+def q_corr_ticks(spark, sf_dir):
+    # ticks aligned on the hour so symbols share periods
+    t = ticks(spark, sf_dir).withColumn("event_time", F.date_trunc("hour", "event_time"))
+    return correlation.corr_matrix(t, symbols=[f"U{i}" for i in range(1, 21)])
+
+
+@query("growth_per_minute")
+def q_growth(spark, sf_dir):
+    return timeseries.growth_per_minute(dash(spark, sf_dir))
+
+
+# ---- metrics and quality (A2, A4-A6, A11-A14, A16-A19, F8, L3) ---------------
+
+@query("rows_per_symbol")
+def q_rows_per_symbol(spark, sf_dir):
+    return metrics.rows_per_symbol(dash(spark, sf_dir))
+
+
+@query("latency_stats")
+def q_latency_stats(spark, sf_dir):
+    return quality.latency_stats(dash(spark, sf_dir))
+
+
+@query("latency_histogram")
+def q_latency_hist(spark, sf_dir):
+    return quality.histogram(dash(spark, sf_dir), "latency_ms", 30)
+
+
+@query("data_type_breakdown")
+def q_breakdown(spark, sf_dir):
+    return quality.breakdown(dash(spark, sf_dir), "data_type")
+
+
+@query("schema_profile")
+def q_profile(spark, sf_dir):
+    return quality.schema_profile(enriched(spark, sf_dir))
+
+
+@query("completeness_check")
+def q_completeness(spark, sf_dir):
+    return quality.completeness_check(enriched(spark, sf_dir))
+
+
+@query("partition_listing")
+def q_partitions(spark, sf_dir):
+    return quality.partition_listing(enriched(spark, sf_dir), ["date"])
+
+
+@query("worker_throughput")
+def q_worker_tp(spark, sf_dir):
+    return metrics.worker_throughput(worker_metrics(spark, sf_dir), 40)
+
+
+@query("queue_depth_alerts")
+def q_qd_alerts(spark, sf_dir):
+    return metrics.queue_depth_alerts(worker_metrics(spark, sf_dir), 1000)
+
+
+@query("queue_depth_recent")
+def q_qd_recent(spark, sf_dir):
+    return metrics.queue_depth_recent(worker_metrics(spark, sf_dir), 100, 1000)
+
+
+@query("stream_throughput")
+def q_stream_tp(spark, sf_dir):
+    return metrics.stream_throughput(batch_table(spark, sf_dir), 6, 10.0)
+
+
+@query("batch_duration")
+def q_batch_duration(spark, sf_dir):
+    return metrics.batch_duration(batch_table(spark, sf_dir))
+
+
+@query("batch_metrics")
+def q_batch_metrics(spark, sf_dir):
+    t = ticks(spark, sf_dir).withColumn("batch_id", F.floor(F.col("seq") / 100).cast("long"))
+    return metrics.batch_metrics(t).withColumn("per_symbol", F.to_json("per_symbol"))

@@ -90,3 +90,217 @@ def with_enriched(body: str) -> str:
 SQL: dict[str, str] = {}
 
 SQL["enrich_ticks"] = with_enriched(f"SELECT {ENRICHED_COLS} FROM enriched")
+
+_COLS = [c.strip() for c in ENRICHED_COLS.split(",")]
+KEY = "symbol, event_time, seq"
+
+DASH = ENRICHED + """,
+dash AS (SELECT * REPLACE (COALESCE(sector, 'Unknown') AS sector) FROM enriched)"""
+
+LATEST = DASH + """,
+latest AS (
+  SELECT symbol, """ + ",\n    ".join(
+    f"arg_max({c}, (event_time, seq)) FILTER (WHERE {c} IS NOT NULL) AS {c}"
+    for c in _COLS if c != "symbol") + """
+  FROM dash GROUP BY symbol
+)"""
+
+
+def with_dash(body: str) -> str:
+    return "WITH " + DASH + "\n" + body
+
+
+def with_latest(body: str) -> str:
+    return "WITH " + LATEST + "\n" + body
+
+
+def with_ticks(body: str) -> str:
+    return "WITH " + TICKS + "\n" + body
+
+
+# ---- single indicators ------------------------------------------------------
+for _c in ("moving_avg_5", "moving_avg_20", "volatility", "vwap", "volume_trend",
+           "price_change_pct", "rsi_14"):
+    SQL[_c] = with_enriched(f"SELECT {KEY}, {_c} FROM enriched")
+
+SQL["crash_flag"] = with_enriched(
+    f"SELECT {KEY}, price_change_pct, volume_trend, volatility, crash_score FROM enriched")
+SQL["latency_ms"] = with_enriched(
+    f"SELECT {KEY}, kafka_produce_time, spark_process_time, latency_ms FROM enriched")
+
+# ---- snapshot views ---------------------------------------------------------
+SQL["latest_per_symbol"] = with_latest(f"SELECT {ENRICHED_COLS} FROM latest")
+SQL["latest_row_per_symbol"] = with_dash(
+    f"SELECT {ENRICHED_COLS} FROM dash QUALIFY ROW_NUMBER() OVER "
+    "(PARTITION BY symbol ORDER BY event_time DESC, seq DESC) = 1")
+SQL["tail_per_symbol"] = with_dash(
+    "SELECT symbol, close, price_change_pct, rsi_14, vwap, crash_score, data_type, event_time, "
+    "pos_from_end FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY symbol ORDER BY event_time DESC, "
+    "seq DESC) AS pos_from_end FROM dash) WHERE pos_from_end <= 3")
+SQL["state_snapshot"] = with_enriched(
+    f"SELECT {ENRICHED_COLS} FROM enriched QUALIFY ROW_NUMBER() OVER "
+    "(PARTITION BY symbol ORDER BY event_time DESC, seq DESC) <= 50")
+SQL["recent_window"] = with_dash(
+    f"SELECT {KEY}, close, sector FROM dash "
+    "WHERE event_time >= (SELECT MAX(event_time) FROM dash) - INTERVAL 60 MINUTE")
+SQL["filter_sector_symbol"] = with_dash(
+    f"SELECT {KEY}, sector, close FROM dash WHERE sector IN ('S1', 'S3')")
+SQL["filter_symbols"] = with_dash(
+    f"SELECT {KEY}, sector, close, rsi_14 FROM dash WHERE symbol IN ('U1', 'U8', 'U42')")
+SQL["symbol_series"] = with_dash(
+    f"SELECT {KEY}, close, high, low, volume, moving_avg_5, moving_avg_20, vwap "
+    "FROM dash WHERE symbol = 'U8'")
+SQL["market_kpis"] = with_dash(
+    "SELECT COUNT(DISTINCT symbol) AS symbols, COUNT(*) AS total_events, "
+    "AVG(latency_ms) AS avg_latency_ms, COUNT(*) FILTER (WHERE crash_score) AS crash_signals FROM dash")
+SQL["market_snapshot"] = with_latest(
+    "SELECT symbol, sector, close, price_change_pct, volatility, moving_avg_5, volume, data_type FROM latest")
+SQL["sector_performance"] = with_latest(
+    "SELECT sector, AVG(price_change_pct) AS avg_price_change_pct FROM latest GROUP BY sector")
+SQL["top_gainers"] = with_latest(
+    "SELECT symbol, close, price_change_pct FROM latest WHERE price_change_pct IS NOT NULL "
+    "ORDER BY price_change_pct DESC, symbol LIMIT 5")
+SQL["top_losers"] = with_latest(
+    "SELECT symbol, close, price_change_pct FROM latest WHERE price_change_pct IS NOT NULL "
+    "ORDER BY price_change_pct ASC, symbol LIMIT 5")
+SQL["change_sign"] = with_latest(
+    "SELECT symbol, price_change_pct, CASE WHEN price_change_pct > 0 THEN 'up' "
+    "WHEN price_change_pct < 0 THEN 'down' WHEN price_change_pct = 0 THEN 'flat' END AS change_sign "
+    "FROM latest")
+SQL["crash_summary"] = with_dash(
+    "SELECT COUNT(*) FILTER (WHERE crash_score) AS total_crashes, "
+    "COUNT(DISTINCT symbol) FILTER (WHERE crash_score) AS affected_symbols, "
+    "MIN(price_change_pct) FILTER (WHERE crash_score) AS worst_drop_pct FROM dash")
+SQL["crash_history"] = with_dash(
+    "SELECT event_time, symbol, sector, close, price_change_pct, volume_trend, volatility, seq "
+    "FROM dash WHERE crash_score ORDER BY event_time DESC, seq DESC LIMIT 50")
+SQL["crash_timeline"] = with_dash(
+    f"SELECT {KEY}, price_change_pct FROM dash WHERE crash_score")
+SQL["distinct_symbols"] = with_dash(
+    "SELECT DISTINCT sector, symbol FROM dash WHERE symbol IS NOT NULL")
+SQL["sector_default"] = with_ticks(
+    f"SELECT {KEY}, COALESCE(sector, 'Unknown') AS sector FROM ticks")
+
+# ---- signals ------------------------------------------------------------------
+SQL["ma_divergence"] = with_dash(
+    f"SELECT {KEY}, ma_div_pct, CASE WHEN ma_div_pct >= 0 THEN 'bullish' ELSE 'bearish' END AS signal "
+    "FROM (SELECT *, (moving_avg_5 - moving_avg_20) / NULLIF(moving_avg_20, 0) * 100 AS ma_div_pct "
+    "FROM dash) WHERE ma_div_pct IS NOT NULL")
+SQL["vwap_deviation"] = with_latest(
+    "SELECT symbol, sector, rsi_14, (close - vwap) / vwap * 100 AS vwap_dev_pct, "
+    "CASE WHEN rsi_14 < 30 THEN 'oversold' WHEN rsi_14 > 70 THEN 'overbought' ELSE 'neutral' END "
+    "AS rsi_zone FROM latest WHERE rsi_14 IS NOT NULL AND vwap IS NOT NULL AND close IS NOT NULL "
+    "AND vwap > 0")
+_RECENT500 = "(SELECT * FROM dash ORDER BY event_time DESC, seq DESC LIMIT 500)"
+SQL["risk_cube"] = with_dash(
+    f"SELECT {KEY}, volatility, rsi_14, LN(1 + volume) AS log_volume, price_change_pct "
+    f"FROM {_RECENT500} WHERE volatility IS NOT NULL AND rsi_14 IS NOT NULL AND volume IS NOT NULL "
+    "AND price_change_pct IS NOT NULL")
+SQL["anomaly_split"] = with_latest(
+    "SELECT symbol, volume_trend, price_change_pct, COALESCE(crash_score, FALSE) AS is_crash, "
+    "LEAST(GREATEST(COALESCE(volatility, 0.5) * 80 + 30, 20), 200) AS point_size FROM latest "
+    "WHERE volume_trend IS NOT NULL AND price_change_pct IS NOT NULL")
+SQL["price_volume_time"] = with_dash(
+    f"SELECT {KEY}, close, volume, "
+    "CAST(epoch_us(event_time) - epoch_us(MIN(event_time) OVER ()) AS DOUBLE) / 1e6 AS t_seconds, "
+    f"DENSE_RANK() OVER (ORDER BY symbol) - 1 AS symbol_ordinal FROM {_RECENT500}")
+SQL["recent_rows"] = with_dash(f"SELECT {KEY}, close, volume FROM {_RECENT500}")
+SQL["elapsed_seconds"] = with_ticks(
+    f"SELECT {KEY}, CAST(epoch_us(event_time) - epoch_us(MIN(event_time) OVER ()) AS DOUBLE) / 1e6 "
+    "AS elapsed_s FROM ticks")
+SQL["symbol_ordinal"] = with_ticks(
+    "SELECT symbol, DENSE_RANK() OVER (ORDER BY symbol) - 1 AS symbol_ordinal "
+    "FROM (SELECT DISTINCT symbol FROM ticks WHERE symbol IS NOT NULL)")
+
+# ---- correlation and time series --------------------------------------------
+BRAND_TICKS = """brand_ticks AS (
+  SELECT p_brand AS symbol, l_shipdate AS event_time,
+         l_extendedprice / NULLIF(l_quantity, 0) AS close, CAST(l_quantity AS BIGINT) AS volume
+  FROM lineitem JOIN part ON l_partkey = p_partkey
+)"""
+_BRANDS = [f"Brand#{i}" for i in range(1, 26)]
+SQL["price_pivot"] = ("WITH " + BRAND_TICKS + "\nSELECT event_time, " + ", ".join(
+    f"AVG(close) FILTER (WHERE symbol = '{b}') AS \"{b}\"" for b in _BRANDS)
+    + " FROM brand_ticks GROUP BY event_time")
+
+
+def _corr(points_cte: str, where: str = "") -> str:
+    return "WITH " + points_cte + """,
+pts AS (SELECT event_time, symbol, AVG(close) AS v FROM src WHERE close IS NOT NULL """ + where + """
+        GROUP BY event_time, symbol),
+gate AS (SELECT COUNT(DISTINCT event_time) AS n_periods, COUNT(DISTINCT symbol) AS n_symbols FROM pts),
+pairs AS (
+  SELECT a.symbol AS symbol_a, b.symbol AS symbol_b,
+         round_even(CORR(a.v, b.v) * 1000000, 0) / 1000000 AS corr, COUNT(*) AS n_common
+  FROM pts a JOIN pts b ON a.event_time = b.event_time AND a.symbol <= b.symbol
+  GROUP BY a.symbol, b.symbol),
+defined AS (SELECT symbol_a AS s FROM pairs WHERE corr IS NOT NULL
+            UNION SELECT symbol_b FROM pairs WHERE corr IS NOT NULL)
+SELECT symbol_a, symbol_b, corr, n_common FROM pairs, gate
+WHERE symbol_a IN (SELECT s FROM defined) AND symbol_b IN (SELECT s FROM defined)
+  AND n_periods >= 20 AND n_symbols >= 10"""
+
+
+SQL["corr_matrix"] = _corr(BRAND_TICKS + ", src AS (SELECT * FROM brand_ticks)")
+SQL["corr_matrix_ticks"] = _corr(
+    TICKS + ", src AS (SELECT symbol, date_trunc('hour', event_time) AS event_time, close FROM ticks)",
+    "AND symbol IN (" + ", ".join(f"'U{i}'" for i in range(1, 21)) + ")")
+SQL["growth_per_minute"] = with_dash("""
+, per_min AS (SELECT date_trunc('minute', event_time) AS minute, COUNT(*) AS n FROM dash GROUP BY 1),
+spine AS (SELECT UNNEST(generate_series(MIN(minute), MAX(minute), INTERVAL 1 MINUTE)) AS minute FROM per_min)
+SELECT s.minute, COALESCE(p.n, 0) AS count,
+       SUM(COALESCE(p.n, 0)) OVER (ORDER BY s.minute ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+       AS cumulative
+FROM spine s LEFT JOIN per_min p ON s.minute = p.minute""".replace("\n, per_min", ", per_min", 1))
+
+# ---- metrics and quality ------------------------------------------------------
+SQL["rows_per_symbol"] = with_dash("SELECT symbol, COUNT(*) AS rows FROM dash GROUP BY symbol")
+SQL["latency_stats"] = with_dash(
+    "SELECT AVG(CAST(latency_ms AS DOUBLE)) AS avg_ms, "
+    "QUANTILE_CONT(CAST(latency_ms AS DOUBLE), 0.95) AS p95_ms, COUNT(*) AS n "
+    "FROM dash WHERE latency_ms IS NOT NULL")
+SQL["latency_histogram"] = with_dash("""
+, x AS (SELECT CAST(latency_ms AS DOUBLE) AS x FROM dash WHERE latency_ms IS NOT NULL),
+rng AS (SELECT MIN(x) AS lo, MAX(x) AS hi FROM x),
+binned AS (
+  SELECT CAST(CASE WHEN hi = lo THEN 0 ELSE LEAST(FLOOR((x - lo) / (hi - lo) * 30.0), 29) END AS INTEGER)
+         AS bin, COUNT(*) AS n
+  FROM x, rng GROUP BY 1),
+spine AS (SELECT lo, hi, UNNEST(generate_series(0, CASE WHEN hi = lo THEN 0 ELSE 29 END)) AS bin FROM rng)
+SELECT s.bin, lo + s.bin * ((hi - lo) / 30.0) AS bin_lo, lo + (s.bin + 1) * ((hi - lo) / 30.0) AS bin_hi,
+       COALESCE(b.n, 0) AS count
+FROM spine s LEFT JOIN binned b ON s.bin = b.bin""".replace("\n, x AS", ", x AS", 1))
+SQL["data_type_breakdown"] = with_dash(
+    "SELECT data_type, n, n / SUM(n) OVER () AS share FROM "
+    "(SELECT data_type, COUNT(*) AS n FROM dash WHERE data_type IS NOT NULL GROUP BY data_type)")
+SQL["partition_listing"] = with_enriched(
+    "SELECT date, COUNT(*) AS rows, COUNT(DISTINCT symbol) AS symbols FROM enriched GROUP BY date")
+
+WORKERS = """workers AS (
+  SELECT ts AS timestamp, CAST(user_id % 4 AS INTEGER) AS worker_id,
+         CAST(json_extract_string(props, '$.k') AS BIGINT) AS messages_sent,
+         CAST(TRUNC(value * 10) AS BIGINT) AS queue_depth, event_id AS seq
+  FROM events)"""
+BATCHES = """batches AS (
+  SELECT event_id // 100 AS batch_id, COUNT(*) AS total_rows, SUM(value) AS elapsed_ms,
+         MAX(ts) AS timestamp
+  FROM events GROUP BY 1)"""
+SQL["worker_throughput"] = ("WITH " + WORKERS + "\nSELECT worker_id, SUM(messages_sent) AS messages_sent "
+                            "FROM (SELECT * FROM workers ORDER BY timestamp DESC, seq DESC LIMIT 40) "
+                            "GROUP BY worker_id")
+SQL["queue_depth_alerts"] = ("WITH " + WORKERS + "\nSELECT timestamp, worker_id, queue_depth FROM workers "
+                             "WHERE queue_depth > 1000")
+SQL["queue_depth_recent"] = ("WITH " + WORKERS + "\nSELECT timestamp, worker_id, queue_depth, "
+                             "queue_depth > 1000 AS above_threshold FROM workers "
+                             "ORDER BY timestamp DESC, seq DESC LIMIT 100")
+SQL["stream_throughput"] = ("WITH " + BATCHES + "\nSELECT AVG(total_rows) AS avg_rows_per_batch, "
+                            "AVG(total_rows) / 10.0 AS rows_per_sec FROM "
+                            "(SELECT * FROM batches ORDER BY batch_id DESC LIMIT 6)")
+SQL["batch_duration"] = ("WITH " + BATCHES + "\nSELECT AVG(elapsed_ms) AS avg_batch_ms, "
+                         "COUNT(*) AS batches FROM batches")
+SQL["batch_metrics"] = with_ticks("""
+SELECT batch_id, SUM(n) AS total_rows,
+       to_json(map_from_entries(list(struct_pack(symbol := symbol, n := n) ORDER BY symbol, n)))
+       AS per_symbol
+FROM (SELECT seq // 100 AS batch_id, symbol, COUNT(*) AS n FROM ticks GROUP BY 1, 2)
+GROUP BY batch_id""")
