@@ -368,3 +368,142 @@ def q_batch_duration(spark, sf_dir):
 def q_batch_metrics(spark, sf_dir):
     t = ticks(spark, sf_dir).withColumn("batch_id", F.floor(F.col("seq") / 100).cast("long"))
     return metrics.batch_metrics(t).withColumn("per_symbol", F.to_json("per_symbol"))
+
+
+# ---- sources, sinks and projections (S*, K*, P1-P5, U1) ---------------------
+
+import uuid  # noqa: E402
+
+from tickwise.functions.timefns import parse_event_time  # noqa: E402
+from tickwise.operators.joins import lookup_join  # noqa: E402
+from tickwise.session import checkpoint_dir  # noqa: E402
+from tickwise.sources import sinks, tables  # noqa: E402
+from tickwise.sources import ticks as tick_io  # noqa: E402
+
+RAW_COLS = ["symbol", "sector", "open", "high", "low", "close", "volume", "event_time",
+            "kafka_produce_time", "data_type", "date"]
+
+
+def scratch(spark, name: str) -> str:
+    """A fresh folder under the session's shared checkpoint directory."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/tickwise-io/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@query("json_encode")
+def q_json_encode(spark, sf_dir):
+    return tick_io.encode_ticks(ticks(spark, sf_dir), keep=("seq",))
+
+
+@query("json_decode")
+def q_json_decode(spark, sf_dir):
+    t = ticks(spark, sf_dir)
+    msgs = tick_io.encode_ticks(t, keep=("seq",)).drop("key")
+    d = tick_io.decode_ticks(msgs)
+    return d.select("seq", "symbol", "sector", "open", "high", "low", "close", "volume", "timestamp",
+                    "kafka_produce_time", "data_type", "event_time", "date", "quarantine")
+
+
+@query("event_time_parse")
+def q_event_time_parse(spark, sf_dir):
+    t = ticks(spark, sf_dir)
+    return (t.select("symbol", "seq", "timestamp",
+                     parse_event_time(F.col("timestamp")).alias("event_time_parsed"))
+             .where(F.col("event_time_parsed").isNotNull()))
+
+
+@query("event_date")
+def q_event_date(spark, sf_dir):
+    t = ticks(spark, sf_dir)
+    return t.select(*KEY, F.coalesce(F.col("date"), F.to_date("event_time")).alias("date"))
+
+
+@query("legacy_alias")
+def q_legacy_alias(spark, sf_dir):
+    t = ticks(spark, sf_dir).select("symbol", "seq", "timestamp", "close")
+    return tables.legacy_alias(t)
+
+
+@query("sector_lookup")
+def q_sector_lookup(spark, sf_dir):
+    dim = adapters.customer_region_dim(table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation"),
+                                       table(spark, sf_dir, "region"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return (lookup_join(orders, dim, orders.o_custkey == dim.key)
+            .select("o_orderkey", "o_custkey", F.coalesce("sector", F.lit("Unknown")).alias("sector"),
+                    "o_totalprice"))
+
+
+@query("union_history")
+def q_union_history(spark, sf_dir):
+    e = enriched(spark, sf_dir)
+    history = e.where(F.col("date") < F.lit("2024-01-15")).select(*KEY, "close", "moving_avg_5")
+    new = e.where(F.col("date") >= F.lit("2024-01-15")).select(*KEY, "close", "volume")
+    return history.unionByName(new, allowMissingColumns=True)
+
+
+@query("sink_raw_roundtrip")
+def q_sink_raw(spark, sf_dir):
+    path = scratch(spark, "raw")
+    sinks.write_raw(ticks(spark, sf_dir), path, mode="overwrite")
+    return tables.read_raw(spark, path).select(*RAW_COLS)
+
+
+@query("sink_enriched_roundtrip")
+def q_sink_enriched(spark, sf_dir):
+    path = scratch(spark, "enriched")
+    sinks.write_enriched(enriched(spark, sf_dir), path, mode="overwrite")
+    return spark.read.schema(ENRICHED_TICK).parquet(path).select(*ENRICHED_COLS)
+
+
+@query("scan_enriched")
+def q_scan_enriched(spark, sf_dir):
+    path = scratch(spark, "enriched")
+    sinks.write_enriched(enriched(spark, sf_dir), path, mode="overwrite")
+    df = tables.read_enriched(spark, path)
+    return (df.where(F.col("symbol").isin("U1", "U2", "U3", "U50") & (F.col("date") >= F.lit("2024-01-10")))
+              .select(*KEY, "sector", "close", "rsi_14", "date"))
+
+
+@query("scan_raw")
+def q_scan_raw(spark, sf_dir):
+    path = scratch(spark, "raw")
+    sinks.write_raw(ticks(spark, sf_dir), path, batch_id=0)
+    sinks.write_raw(ticks(spark, sf_dir), path, batch_id=0)   # re-run of the same batch: no duplicates
+    return (tables.read_raw(spark, path).groupBy("date")
+            .agg(F.count(F.lit(1)).alias("rows"), F.sum("volume").alias("volume")))
+
+
+@query("scan_worker_metrics")
+def q_scan_workers(spark, sf_dir):
+    path = scratch(spark, "workers")
+    w = worker_metrics(spark, sf_dir)
+    sinks.write_jsonl(w.select(F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
+                               "worker_id", F.lit(None).cast("int").alias("symbols_count"),
+                               "messages_sent", "queue_depth"), path, mode="overwrite")
+    return tables.read_worker_metrics(spark, path).select("timestamp", "worker_id", "messages_sent",
+                                                          "queue_depth")
+
+
+@query("scan_batch_metrics")
+def q_scan_batches(spark, sf_dir):
+    path = scratch(spark, "batches")
+    t = ticks(spark, sf_dir).withColumn("batch_id", F.floor(F.col("seq") / 100).cast("long"))
+    b = metrics.batch_metrics(t).withColumn("timestamp", F.lit("2024-01-01T00:00:00")) \
+        .withColumn("elapsed_ms", F.lit(0.0))
+    sinks.write_jsonl(b, path, mode="overwrite")
+    return tables.explode_per_symbol(tables.read_batch_metrics(spark, path))
+
+
+@query("state_bootstrap")
+def q_state_bootstrap(spark, sf_dir):
+    path = scratch(spark, "state")
+    sinks.write_state_snapshot(enriched(spark, sf_dir), path, 50)
+    return tables.load_state_snapshot(spark, path).select(*ENRICHED_COLS)
+
+
+@query("storage_footprint")
+def q_footprint(spark, sf_dir):
+    root = scratch(spark, "tables")
+    sinks.write_enriched(enriched(spark, sf_dir), f"{root}/processed", mode="overwrite")
+    sinks.write_raw(ticks(spark, sf_dir), f"{root}/raw_ticks", mode="overwrite")
+    return quality.storage_footprint(spark, [f"{root}/processed", f"{root}/raw_ticks"])

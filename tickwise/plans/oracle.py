@@ -304,3 +304,61 @@ SELECT batch_id, SUM(n) AS total_rows,
        AS per_symbol
 FROM (SELECT seq // 100 AS batch_id, symbol, COUNT(*) AS n FROM ticks GROUP BY 1, 2)
 GROUP BY batch_id""")
+
+# ---- schema-level checks ------------------------------------------------------
+from tickwise.schema import ENRICHED_TICK, EXPECTED_ANALYTICS_COLS  # noqa: E402
+
+SQL["completeness_check"] = with_enriched(
+    "SELECT column_name, present, (SELECT COUNT(*) FROM enriched) AS total_rows FROM (VALUES "
+    + ", ".join(f"('{c}', {'TRUE' if c in _COLS else 'FALSE'})" for c in EXPECTED_ANALYTICS_COLS)
+    + ") AS t(column_name, present)")
+
+SQL["schema_profile"] = with_enriched("\nUNION ALL\n".join(
+    f"SELECT '{f.name}' AS column_name, '{f.dataType.simpleString()}' AS dtype, "
+    f"COUNT({f.name}) AS non_null, "
+    f"CAST(arg_max_null({f.name}, (event_time, seq)) AS VARCHAR) AS sample FROM enriched"
+    for f in ENRICHED_TICK.fields))
+
+# ---- sources, sinks and projections -------------------------------------------
+_MSG = ("symbol", "sector", "open", "high", "low", "close", "volume", "timestamp",
+        "kafka_produce_time", "data_type")
+RAW_COLS = ("symbol, sector, open, GREATEST(open, close) AS high, LEAST(open, close) AS low, close, "
+            "volume, event_time, kafka_produce_time, data_type, date")
+
+SQL["json_encode"] = with_ticks(
+    "SELECT symbol AS key, to_json(struct_pack(" + ", ".join(
+        f"{c} := {'GREATEST(open, close)' if c == 'high' else 'LEAST(open, close)' if c == 'low' else c}"
+        for c in _MSG) + ")) AS value, seq FROM ticks")
+SQL["json_decode"] = with_ticks(
+    "SELECT seq, symbol, sector, open, GREATEST(open, close) AS high, LEAST(open, close) AS low, close, "
+    "volume, timestamp, kafka_produce_time, data_type, "
+    "CAST(strptime(timestamp, '%Y-%m-%d %H:%M:%S') AS TIMESTAMP) AS event_time, "
+    "CAST(strptime(timestamp, '%Y-%m-%d %H:%M:%S') AS DATE) AS date, "
+    "CAST(NULL AS VARCHAR) AS quarantine FROM ticks")
+SQL["event_time_parse"] = with_ticks(
+    "SELECT symbol, seq, timestamp, CAST(strptime(timestamp, '%Y-%m-%d %H:%M:%S') AS TIMESTAMP) "
+    "AS event_time_parsed FROM ticks")
+SQL["event_date"] = with_ticks(f"SELECT {KEY}, COALESCE(date, CAST(event_time AS DATE)) AS date FROM ticks")
+SQL["legacy_alias"] = with_ticks(
+    "SELECT symbol, seq, timestamp, close, CAST(strptime(timestamp, '%Y-%m-%d %H:%M:%S') AS TIMESTAMP) "
+    "AS event_time FROM ticks")
+SQL["sector_lookup"] = """
+SELECT o_orderkey, o_custkey, COALESCE(r_name, 'Unknown') AS sector, o_totalprice
+FROM orders LEFT JOIN (customer JOIN nation ON c_nationkey = n_nationkey
+                                JOIN region ON n_regionkey = r_regionkey) ON o_custkey = c_custkey"""
+SQL["union_history"] = with_enriched(f"""
+SELECT {KEY}, close, moving_avg_5, CAST(NULL AS BIGINT) AS volume FROM enriched WHERE date < DATE '2024-01-15'
+UNION ALL
+SELECT {KEY}, close, CAST(NULL AS DOUBLE) AS moving_avg_5, volume FROM enriched WHERE date >= DATE '2024-01-15'""")
+SQL["sink_raw_roundtrip"] = with_ticks(f"SELECT {RAW_COLS} FROM ticks")
+SQL["sink_enriched_roundtrip"] = with_enriched(f"SELECT {ENRICHED_COLS} FROM enriched")
+SQL["scan_enriched"] = with_dash(
+    f"SELECT {KEY}, sector, close, rsi_14, date FROM dash "
+    "WHERE symbol IN ('U1', 'U2', 'U3', 'U50') AND date >= DATE '2024-01-10'")
+SQL["scan_raw"] = with_ticks(
+    "SELECT date, COUNT(*) AS rows, SUM(volume) AS volume FROM ticks GROUP BY date")
+SQL["scan_worker_metrics"] = ("WITH " + WORKERS +
+                              "\nSELECT timestamp, worker_id, messages_sent, queue_depth FROM workers")
+SQL["scan_batch_metrics"] = with_ticks(
+    "SELECT seq // 100 AS batch_id, symbol, COUNT(*) AS rows FROM ticks GROUP BY 1, 2")
+SQL["state_bootstrap"] = SQL["state_snapshot"]
