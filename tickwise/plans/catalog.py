@@ -507,3 +507,133 @@ def q_footprint(spark, sf_dir):
     sinks.write_enriched(enriched(spark, sf_dir), f"{root}/processed", mode="overwrite")
     sinks.write_raw(ticks(spark, sf_dir), f"{root}/raw_ticks", mode="overwrite")
     return quality.storage_footprint(spark, [f"{root}/processed", f"{root}/raw_ticks"])
+
+
+# ---- streaming (R1-R10, S1) ---------------------------------------------------
+
+import datetime as _dt  # noqa: E402
+
+from tickwise.schema import conform  # noqa: E402
+from tickwise.streaming import job as stream_job  # noqa: E402
+from tickwise.streaming.windows import minute_counts  # noqa: E402
+
+STREAM_COLS = ["symbol", "sector", "open", "high", "low", "close", "volume", "event_time",
+               "kafka_produce_time", "data_type", "timestamp", "seq", "spark_process_time", "date"]
+END_OF_INPUT = _dt.datetime(2200, 1, 1)
+
+
+def stage_tick_files(spark, sf_dir, root: str, n_files: int = 6, first: int = 0,
+                     last: int | None = None, marker: bool = True) -> None:
+    """Write the T1 ticks as ``n_files`` event-time slices (one write job per
+    slice, so file order is arrival order) plus an end-of-input marker row
+    whose event time moves the watermark past every buffered row."""
+    t = ticks(spark, sf_dir).select(*STREAM_COLS)
+    lo_hi = t.agg(F.min("event_time").alias("lo"), F.max("event_time").alias("hi")).first()
+    span = (lo_hi["hi"] - lo_hi["lo"]) / n_files
+    last = n_files if last is None else last
+    for k in range(first, last):
+        a = lo_hi["lo"] + span * k
+        cond = F.col("event_time") >= F.lit(a)
+        if k < n_files - 1:
+            cond = cond & (F.col("event_time") < F.lit(lo_hi["lo"] + span * (k + 1)))
+        # rows inside a slice arrive in arbitrary order
+        (t.where(cond).orderBy(F.xxhash64("seq")).coalesce(1)
+          .write.mode("append").parquet(f"{root}/in"))
+    if marker:
+        end = spark.createDataFrame([(None, END_OF_INPUT, -1)],
+                                    "symbol string, event_time timestamp_ntz, seq long")
+        conform(end, t.schema).write.mode("append").parquet(f"{root}/in")
+
+
+def run_enrichment(spark, root: str, schema, partitions=("date",), late_horizon="1 hour"):
+    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    paths = stream_job.SinkPaths(enriched=f"{root}/enriched", late=f"{root}/late",
+                                 metrics=f"{root}/metrics", checkpoint=f"{root}/ckpt")
+    q = stream_job.start_enrichment(src, paths, trigger={"availableNow": True},
+                                    enriched_partitions=partitions, late_horizon=late_horizon)
+    q.awaitTermination()
+    return paths
+
+
+def _tick_schema(spark, sf_dir):
+    return ticks(spark, sf_dir).select(*STREAM_COLS).schema
+
+
+@query("stream_enrich")
+def q_stream_enrich(spark, sf_dir):
+    root = scratch(spark, "stream")
+    stage_tick_files(spark, sf_dir, root)
+    paths = run_enrichment(spark, root, _tick_schema(spark, sf_dir))
+    return spark.read.schema(ENRICHED_TICK).parquet(paths.enriched).select(*ENRICHED_COLS)
+
+
+@query("stream_restart")
+def q_stream_restart(spark, sf_dir):
+    root = scratch(spark, "restart")
+    schema = _tick_schema(spark, sf_dir)
+    stage_tick_files(spark, sf_dir, root, first=0, last=3, marker=False)
+    run_enrichment(spark, root, schema)              # stops after the first files
+    stage_tick_files(spark, sf_dir, root, first=3)   # more input arrives
+    paths = run_enrichment(spark, root, schema)      # restart on the same checkpoint
+    return spark.read.schema(ENRICHED_TICK).parquet(paths.enriched).select(*ENRICHED_COLS)
+
+
+@query("stream_batch_metrics")
+def q_stream_metrics(spark, sf_dir):
+    root = scratch(spark, "stream-metrics")
+    stage_tick_files(spark, sf_dir, root)
+    paths = run_enrichment(spark, root, _tick_schema(spark, sf_dir))
+    m = tables.read_batch_metrics(spark, paths.metrics)
+    return tables.explode_per_symbol(m).groupBy("symbol").agg(F.sum("rows").alias("rows"))
+
+
+@query("stream_minute_counts")
+def q_stream_minutes(spark, sf_dir):
+    root = scratch(spark, "minutes")
+    stage_tick_files(spark, sf_dir, root)
+    src = spark.readStream.schema(_tick_schema(spark, sf_dir)).option("maxFilesPerTrigger", 1) \
+        .parquet(f"{root}/in")
+    q = (minute_counts(src).writeStream.format("parquet").option("path", f"{root}/out")
+         .option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/out")
+
+
+@query("stream_source_file")
+def q_stream_source(spark, sf_dir):
+    root = scratch(spark, "json-source")
+    msgs = tick_io.encode_ticks(ticks(spark, sf_dir), keep=("seq",))
+    # one JSON object per line, the topic's message values
+    msgs.select(F.to_json(F.struct(F.col("seq"), F.col("value"))).alias("value")) \
+        .write.mode("overwrite").text(f"{root}/in")
+    src = tick_io.tick_source(spark, tick_io.SourceConf(format="json", path=f"{root}/in", max_per_trigger=2))
+    env = src.select(F.from_json("value", "seq long, value string").alias("m")).select("m.seq", "m.value")
+    decoded = tick_io.good_ticks(tick_io.decode_ticks(env))
+    q = (decoded.writeStream.format("parquet").option("path", f"{root}/out")
+         .option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/out").select(
+        "seq", "symbol", "sector", "open", "high", "low", "close", "volume", "timestamp",
+        "kafka_produce_time", "data_type", "event_time", "date")
+
+
+LATE_SEQ_OFFSET = 10 ** 12
+
+
+@query("stream_late_rows")
+def q_stream_late(spark, sf_dir):
+    root = scratch(spark, "late")
+    schema = _tick_schema(spark, sf_dir)
+    stage_tick_files(spark, sf_dir, root, marker=False)
+    # re-sent copies of the first day's ticks arrive after everything else
+    t = ticks(spark, sf_dir).select(*STREAM_COLS)
+    first_day = t.agg(F.min("date").alias("d"))
+    (t.join(F.broadcast(first_day), t["date"] == F.col("d"), "left_semi")
+      .withColumn("seq", F.col("seq") + F.lit(LATE_SEQ_OFFSET))
+      .coalesce(1).write.mode("append").parquet(f"{root}/in"))
+    end = spark.createDataFrame([(None, END_OF_INPUT, -1)], "symbol string, event_time timestamp_ntz, seq long")
+    conform(end, schema).write.mode("append").parquet(f"{root}/in")
+    # a horizon longer than the data's span: every re-sent row is inspected
+    paths = run_enrichment(spark, root, schema, late_horizon="90 days")
+    late = spark.read.schema(ENRICHED_TICK).json(paths.late)
+    return late.select("symbol", "event_time", "seq", "close")

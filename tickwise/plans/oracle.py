@@ -362,3 +362,16 @@ SQL["scan_worker_metrics"] = ("WITH " + WORKERS +
 SQL["scan_batch_metrics"] = with_ticks(
     "SELECT seq // 100 AS batch_id, symbol, COUNT(*) AS rows FROM ticks GROUP BY 1, 2")
 SQL["state_bootstrap"] = SQL["state_snapshot"]
+
+# ---- streaming ------------------------------------------------------------------
+SQL["stream_enrich"] = SQL["enrich_ticks"]
+SQL["stream_restart"] = SQL["enrich_ticks"]
+SQL["stream_batch_metrics"] = with_ticks("SELECT symbol, COUNT(*) AS rows FROM ticks GROUP BY symbol")
+SQL["stream_minute_counts"] = with_ticks(
+    "SELECT date_trunc('minute', event_time) AS minute, COUNT(*) AS count FROM ticks GROUP BY 1")
+SQL["stream_source_file"] = SQL["json_decode"].replace(
+    ", CAST(NULL AS VARCHAR) AS quarantine FROM ticks", " FROM ticks")
+SQL["stream_late_rows"] = with_ticks(
+    "SELECT symbol, event_time, seq + 1000000000000 AS seq, close FROM ticks t "
+    "WHERE date = (SELECT MIN(date) FROM ticks) "
+    "AND event_time < (SELECT MAX(event_time) FROM ticks u WHERE u.symbol = t.symbol)")

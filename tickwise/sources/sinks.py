@@ -38,7 +38,7 @@ def write_raw(df: DataFrame, path: str, batch_id: int | None = None, mode: str =
 
 
 def write_enriched(df: DataFrame, path: str, batch_id: int | None = None, mode: str = "append",
-                   rebalance: bool = False):
+                   rebalance: bool = False, partition_cols=("symbol", "date")):
     """Enriched table, partitioned by symbol and date (declared schema).
 
     The enrichment output is already hash-clustered by symbol, so each
@@ -46,7 +46,7 @@ def write_enriched(df: DataFrame, path: str, batch_id: int | None = None, mode:
     without another shuffle.  ``rebalance=True`` adds an AQE rebalance
     for inputs that are not clustered that way.
     """
-    _write(conform(df, ENRICHED_TICK), path, ["symbol", "date"], batch_id, mode, rebalance)
+    _write(conform(df, ENRICHED_TICK), path, list(partition_cols), batch_id, mode, rebalance)
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "append"):
