@@ -27,6 +27,9 @@ ORDER_COLS = ("event_time", "seq")
 
 # Largest block table (rows) that is broadcast to the join with the ticks.
 BROADCAST_BLOCK_ROWS = 2_000_000
+# A series longer than this is enriched by the split plan (row blocks),
+# so no task holds more than about this many rows of one symbol.
+SPLIT_ROWS = 5_000_000
 
 
 @dataclass(frozen=True)
@@ -35,18 +38,20 @@ class SeriesStats:
     max_rows: int
     n_symbols: int
     n_rows: int
+    hot: tuple = ()          # symbols with more than ``split_rows`` rows
 
 
-def series_stats(ticks: DataFrame, key: str = "symbol") -> SeriesStats:
-    """One small aggregate job: longest series, symbol count, row count.
+def series_stats(ticks: DataFrame, key: str = "symbol", split_rows: int = SPLIT_ROWS) -> SeriesStats:
+    """One small aggregate job: longest series, symbol count, row count
+    and the hot symbols (at most n_rows / split_rows of them).
 
     Reads only the key column; partial aggregation keeps the shuffle to
     one row per symbol and map task.
     """
     per = ticks.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    r = per.agg(F.max("n").alias("m"), F.count(F.lit(1)).alias("k"),
-                F.sum("n").alias("t")).first()
-    return SeriesStats(int(r["m"] or 0), int(r["k"] or 0), int(r["t"] or 0))
+    r = per.agg(F.max("n").alias("m"), F.count(F.lit(1)).alias("k"), F.sum("n").alias("t"),
+                F.collect_list(F.when(F.col("n") > split_rows, F.col(key))).alias("hot")).first()
+    return SeriesStats(int(r["m"] or 0), int(r["k"] or 0), int(r["t"] or 0), tuple(r["hot"] or ()))
 
 
 def symbol_window(key: str = "symbol"):
@@ -120,9 +125,14 @@ def with_rsi(df: DataFrame, periods: int = 14, key: str = "symbol",
 
 def enrich(ticks: DataFrame, price_scale: int | None = 2,
            crash: ind.CrashRule = ind.CrashRule(), rsi_periods: int = 14,
-           stats: SeriesStats | None = None, key: str = "symbol") -> DataFrame:
+           stats: SeriesStats | None = None, key: str = "symbol",
+           split_rows: int = SPLIT_ROWS) -> DataFrame:
     """All indicators for every tick.
 
+    Symbols with more than ``split_rows`` rows go through the split plan
+    (:mod:`tickwise.operators.split_enrich`); the rest use one window per
+    symbol.  Both give the same values.
+
     ``ticks`` needs symbol, event_time, seq, open, close, volume and
     optionally kafka_produce_time / spark_process_time.  Rows with a null
     symbol or event time are not enriched (filter them out before, or use
@@ -130,6 +140,18 @@ def enrich(ticks: DataFrame, price_scale: int | None = 2,
     ``stats`` (from :func:`series_stats`) may be passed to skip the
     planning job.
     """
+    if stats is None:
+        stats = series_stats(ticks, key, split_rows)
+    if stats.hot and price_scale is not None:
+        from tickwise.operators.split_enrich import split_enrich
+        hot = list(stats.hot)
+        cold = ticks.where(~F.col(key).isin(hot))
+        cold_stats = SeriesStats(min(stats.max_rows, split_rows), stats.n_symbols - len(hot),
+                                 stats.n_rows)
+        plain = enrich(cold, price_scale, crash, rsi_periods, cold_stats, key, split_rows)
+        split = split_enrich(ticks.where(F.col(key).isin(hot)), price_scale=price_scale,
+                             crash=crash, periods=rsi_periods, key=key)
+        return plain.unionByName(split.select(*plain.columns))
     w = symbol_window(key)
     if "spark_process_time" not in ticks.columns:
         ticks = ticks.withColumn("spark_process_time", F.unix_millis(F.current_timestamp()))

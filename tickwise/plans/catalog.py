@@ -637,3 +637,11 @@ def q_stream_late(spark, sf_dir):
     paths = run_enrichment(spark, root, schema, late_horizon="90 days")
     late = spark.read.schema(ENRICHED_TICK).json(paths.late)
     return late.select("symbol", "event_time", "seq", "close")
+
+
+@query("enrich_split")
+def q_enrich_split(spark, sf_dir):
+    # blocks of 40 rows (rebased every 20) so that every symbol's series of
+    # 50-90 ticks is cut into several blocks here
+    from tickwise.operators.split_enrich import split_enrich
+    return split_enrich(ticks(spark, sf_dir), block_rows=40, rsi_block=20).select(*ENRICHED_COLS)

@@ -375,3 +375,4 @@ SQL["stream_late_rows"] = with_ticks(
     "SELECT symbol, event_time, seq + 1000000000000 AS seq, close FROM ticks t "
     "WHERE date = (SELECT MIN(date) FROM ticks) "
     "AND event_time < (SELECT MAX(event_time) FROM ticks u WHERE u.symbol = t.symbol)")
+SQL["enrich_split"] = SQL["enrich_ticks"]
