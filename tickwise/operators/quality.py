@@ -45,6 +45,10 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
                          F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count")))
 
 
+def latency_histogram(df: DataFrame, bins: int = 30) -> DataFrame:
+    return histogram(df, "latency_ms", bins)
+
+
 def breakdown(df: DataFrame, col: str = "data_type") -> DataFrame:
     """Value counts with their share of the non-null total."""
     counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))

@@ -80,3 +80,16 @@ def sector_default(df: DataFrame, value: str = "Unknown") -> DataFrame:
     if "sector" not in df.columns:
         return df.withColumn("sector", F.lit(value))
     return df.withColumn("sector", F.coalesce(F.col("sector"), F.lit(value)))
+
+
+DEDUP_KEYS = ("symbol", "event_time", "open", "high", "low", "close", "volume")
+
+
+def dedup_ticks(df: DataFrame, keys: Sequence[str] = DEDUP_KEYS) -> DataFrame:
+    """Drop re-sent copies of a bar (same symbol, time and OHLCV), keeping
+    the first ``seq``.  A hash aggregate with map-side combine; optional,
+    the enrichment does not apply it by default."""
+    other = [c for c in df.columns if c not in keys and c != "seq"]
+    o = F.struct(F.col("seq"), *[F.col(c) for c in other])
+    return (df.groupBy(*keys).agg(F.min(o).alias("_first"))
+              .select(*keys, "_first.*"))

@@ -645,3 +645,19 @@ def q_enrich_split(spark, sf_dir):
     # 50-90 ticks is cut into several blocks here
     from tickwise.operators.split_enrich import split_enrich
     return split_enrich(ticks(spark, sf_dir), block_rows=40, rsi_block=20).select(*ENRICHED_COLS)
+
+
+@query("dedup_ticks")
+def q_dedup(spark, sf_dir):
+    # brand bars by ship date: the same part shipped twice a day in the same
+    # quantity is a re-sent bar
+    li = table(spark, sf_dir, "lineitem")
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    price = F.try_divide("l_extendedprice", "l_quantity")
+    t = li.join(p, li.l_partkey == p.p_partkey).select(
+        F.col("p_brand").alias("symbol"), F.col("l_shipdate").alias("event_time"),
+        price.alias("open"), price.alias("high"), price.alias("low"), price.alias("close"),
+        F.col("l_quantity").cast("long").alias("volume"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"),
+        F.col("l_suppkey").alias("supplier"))
+    return snapshot.dedup_ticks(t)

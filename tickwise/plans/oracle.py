@@ -376,3 +376,11 @@ SQL["stream_late_rows"] = with_ticks(
     "WHERE date = (SELECT MIN(date) FROM ticks) "
     "AND event_time < (SELECT MAX(event_time) FROM ticks u WHERE u.symbol = t.symbol)")
 SQL["enrich_split"] = SQL["enrich_ticks"]
+SQL["dedup_ticks"] = """
+WITH t AS (
+  SELECT p_brand AS symbol, l_shipdate AS event_time, l_extendedprice / NULLIF(l_quantity, 0) AS close,
+         CAST(l_quantity AS BIGINT) AS volume, l_orderkey * 10 + l_linenumber AS seq, l_suppkey AS supplier
+  FROM lineitem JOIN part ON l_partkey = p_partkey)
+SELECT symbol, event_time, close AS open, close AS high, close AS low, close, volume,
+       MIN(seq) AS seq, arg_min(supplier, seq) AS supplier
+FROM t GROUP BY symbol, event_time, close, volume"""

@@ -68,12 +68,14 @@ def tick_source(spark: SparkSession, conf: SourceConf) -> DataFrame:
 
 
 def decode_ticks(messages: DataFrame, value_col: str = "value", source_tz: str | None = None,
-                 seq_col: str | None = "seq") -> DataFrame:
+                 tz_by_type: dict | None = None) -> DataFrame:
     """JSON message -> typed tick with ``event_time``, ``date`` and a
     ``quarantine`` reason (null when the row is good).
 
     Decoding is ANSI-safe: malformed JSON or a malformed timestamp makes
-    a quarantined row, never a failed job.
+    a quarantined row, never a failed job.  Wall-clock timestamps are
+    read in ``source_tz``, or per ``data_type`` with ``tz_by_type``
+    (e.g. {"real": "America/New_York"}), and converted to UTC.
     """
     parsed = messages.select(
         "*", F.from_json(F.col(value_col), TICK_MESSAGE,
@@ -82,8 +84,11 @@ def decode_ticks(messages: DataFrame, value_col: str = "value", source_tz: str |
     keep = [c for c in messages.columns if c != value_col and c not in TICK_MESSAGE.fieldNames()]
     out = parsed.select(*keep, *cols, F.col(value_col).alias("_raw"),
                         F.col("_m").isNull().alias("_bad_json"))
-    out = (out.withColumn("event_time", parse_event_time(F.col("timestamp"), source_tz=source_tz))
-              .withColumn("date", F.to_date("event_time")))
+    et = parse_event_time(F.col("timestamp"), source_tz=source_tz)
+    for dtype, tz in (tz_by_type or {}).items():
+        et = F.when(F.col("data_type") == dtype,
+                    parse_event_time(F.col("timestamp"), source_tz=tz)).otherwise(et)
+    out = out.withColumn("event_time", et).withColumn("date", F.to_date("event_time"))
     reason = (F.when(F.col("_bad_json"), F.lit("malformed_json"))
                .when(F.col("symbol").isNull() & F.col("close").isNull(), F.lit("malformed_json"))
                .when(F.col("event_time").isNull(), F.lit("bad_timestamp"))

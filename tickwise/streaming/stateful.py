@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -36,7 +37,7 @@ from tickwise.streaming.kernel import SymbolState, advance
 
 OUT_FIELDS = [f for f in ENRICHED_TICK.fields]
 OUTPUT_SCHEMA = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in OUT_FIELDS) + ", late boolean"
-STATE_SCHEMA = ("num string, last_t long, last_seq long, buffer string")
+STATE_SCHEMA = ("num string, last_t long, last_seq long, buffer binary")
 
 _PASS = ["symbol", "sector", "open", "high", "low", "close", "volume", "event_time",
          "kafka_produce_time", "data_type", "timestamp", "seq", "spark_process_time", "date"]
@@ -53,19 +54,22 @@ def _load(state: GroupState):
         return SymbolState(), None, None, None
     num, last_t, last_seq, buf = state.get
     st = SymbolState(**json.loads(num))
-    b = pd.read_json(buf, orient="split", convert_dates=False) if buf else None
-    if b is not None and len(b):
-        b["event_time"] = pd.to_datetime(b["event_time"], unit="us")
-        b["date"] = b["event_time"].dt.date
+    b = None
+    if buf is not None and len(buf):
+        # Arrow IPC keeps the buffered rows bit-exact (types and doubles)
+        with pa.ipc.open_stream(pa.BufferReader(bytes(buf))) as r:
+            b = r.read_all().to_pandas()
     return st, last_t, last_seq, b
 
 
 def _save(state: GroupState, st: SymbolState, last_t, last_seq, buf: pd.DataFrame | None):
     enc = None
     if buf is not None and len(buf):
-        b = buf.drop(columns=["date"]).copy()
-        b["event_time"] = _us(b["event_time"])
-        enc = b.to_json(orient="split", index=False)
+        t = pa.Table.from_pandas(buf.reset_index(drop=True), preserve_index=False)
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, t.schema) as w:
+            w.write_table(t)
+        enc = sink.getvalue().to_pybytes()
     state.update((json.dumps(st.__dict__), last_t, last_seq, enc))
 
 
