@@ -74,23 +74,27 @@ def _with_rsi_plain(df: DataFrame, w, periods: int) -> DataFrame:
 
 def _with_rsi_blocked(df: DataFrame, w, periods: int, key: str,
                       broadcast_ok: bool) -> DataFrame:
-    """RSI for arbitrarily long series: block-relative weights + carries."""
+    """RSI for long series: block-relative weights + decayed block carries.
+
+    Only series up to ``SPLIT_ROWS`` rows take this path, so a symbol has
+    at most SPLIT_ROWS / block carries; they are gathered into one map per
+    symbol and joined on ``symbol`` - the facts' own partitioning, so the
+    ticks are not shuffled again whether the map table is broadcast or not.
+    """
     B = ind.rsi_block_rows(periods)
     growth = ind.rsi_growth(periods)
     decay_b = (1.0 / growth) ** B
     lags = ind.rsi_carry_lags(periods, B)
     g, l = ind.gain_loss("close", w)
     run = ind.running(w)
-    x = (df.withColumn("_rn", F.row_number().over(w))
-           .withColumn("_g", g).withColumn("_l", l)
-           .withColumn("_nd", F.count("_g").over(run))
+    x = (df.select("*", F.row_number().over(w).alias("_rn"), g.alias("_g"), l.alias("_l"))
            .withColumn("_blk", F.floor((F.col("_rn") - 1) / B).cast("long"))
            .withColumn("_wt", F.pow(F.lit(growth),
                                     (F.col("_rn") - 1 - F.col("_blk") * B).cast("double"))))
-    wb = Window.partitionBy(key, "_blk").orderBy(*ORDER_COLS)
-    runb = ind.running(wb)
-    x = (x.withColumn("_gi", F.sum(F.col("_g") * F.col("_wt")).over(runb))
-          .withColumn("_li", F.sum(F.col("_l") * F.col("_wt")).over(runb)))
+    x = x.select("*", F.count("_g").over(run).alias("_nd"))
+    wb = ind.running(Window.partitionBy(key, "_blk").orderBy(*ORDER_COLS))
+    x = x.select("*", F.sum(F.col("_g") * F.col("_wt")).over(wb).alias("_gi"),
+                 F.sum(F.col("_l") * F.col("_wt")).over(wb).alias("_li"))
     # block totals -> decayed contributions to the next ``lags`` blocks
     totals = x.groupBy(key, "_blk").agg(
         F.sum(F.col("_g") * F.col("_wt")).alias("_tg"),
@@ -101,14 +105,17 @@ def _with_rsi_blocked(df: DataFrame, w, periods: int, key: str,
              .select(F.col(key), (F.col("_blk") + F.col("_s.i")).alias("_blk"),
                      (F.col("_tg") * F.col("_s.f")).alias("_cg"),
                      (F.col("_tl") * F.col("_s.f")).alias("_cl"))
-             .groupBy(key, "_blk").agg(F.sum("_cg").alias("_cg"), F.sum("_cl").alias("_cl")))
+             .groupBy(key, "_blk").agg(F.sum("_cg").alias("_cg"), F.sum("_cl").alias("_cl"))
+             .groupBy(key).agg(F.map_from_entries(F.collect_list(
+                 F.struct("_blk", F.struct("_cg", "_cl")))).alias("_cmap")))
     if broadcast_ok:
         carry = F.broadcast(carry)
-    x = x.join(carry, [key, "_blk"], "left")
-    gsum = F.coalesce(F.col("_cg"), F.lit(0.0)) + F.col("_gi")
-    lsum = F.coalesce(F.col("_cl"), F.lit(0.0)) + F.col("_li")
+    x = x.join(carry, [key], "left")
+    cm = F.element_at(F.col("_cmap"), F.col("_blk"))
+    gsum = F.coalesce(cm.getField("_cg"), F.lit(0.0)) + F.col("_gi")
+    lsum = F.coalesce(cm.getField("_cl"), F.lit(0.0)) + F.col("_li")
     return (x.withColumn("rsi_14", ind.rsi_from_sums(gsum, lsum, F.col("_nd"), periods))
-             .drop("_rn", "_g", "_l", "_nd", "_blk", "_wt", "_gi", "_li", "_cg", "_cl"))
+             .drop("_rn", "_g", "_l", "_nd", "_blk", "_wt", "_gi", "_li", "_cmap"))
 
 
 def with_rsi(df: DataFrame, periods: int = 14, key: str = "symbol",
