@@ -40,7 +40,8 @@ def tail_per_symbol(df: DataFrame, n: int = 3, key: str = "symbol",
                     columns: Sequence[str] | None = None) -> DataFrame:
     """Last ``n`` rows of each symbol with their position from the end (1 = newest)."""
     w = Window.partitionBy(key).orderBy(*[F.col(c).desc() for c in ORDER])
-    out = df.withColumn("pos_from_end", F.row_number().over(w)).where(F.col("pos_from_end") <= n)
+    out = (df.withColumn("pos_from_end", F.row_number().over(w).cast("long"))
+             .where(F.col("pos_from_end") <= n))
     if columns:
         out = out.select(key, *[c for c in columns if c != key], "pos_from_end")
     return out

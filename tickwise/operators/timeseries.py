@@ -14,7 +14,7 @@ def growth_per_minute(df: DataFrame, ts: str = "event_time") -> DataFrame:
     day and offset by the totals of earlier days, so no single window
     holds the whole span.
     """
-    per_min = (df.groupBy(F.date_trunc("minute", F.col(ts)).alias("minute"))
+    per_min = (df.groupBy(F.date_trunc("minute", F.col(ts)).cast("timestamp_ntz").alias("minute"))
                  .agg(F.count(F.lit(1)).alias("count")))
     bounds = per_min.agg(F.min("minute").alias("lo"), F.max("minute").alias("hi"))
     spine = bounds.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MINUTE"))).alias("minute"))
@@ -45,4 +45,4 @@ def symbol_ordinal(df: DataFrame, key: str = "symbol") -> DataFrame:
     Ranks the small distinct-symbol table, never the facts.
     """
     d = df.where(F.col(key).isNotNull()).select(key).distinct()
-    return d.withColumn("symbol_ordinal", F.dense_rank().over(Window.orderBy(key)) - 1)
+    return d.withColumn("symbol_ordinal", (F.dense_rank().over(Window.orderBy(key)) - 1).cast("long"))

@@ -105,7 +105,8 @@ def price_volume_time(df: DataFrame, n: int = 500) -> DataFrame:
     r = recent_rows(df, n)
     t0 = r.agg(F.min("event_time").alias("_t0"))
     codes = (r.select("symbol").distinct()
-              .withColumn("symbol_ordinal", F.dense_rank().over(Window.orderBy("symbol")) - 1))
+              .withColumn("symbol_ordinal",
+                          (F.dense_rank().over(Window.orderBy("symbol")) - 1).cast("long")))
     return (r.crossJoin(F.broadcast(t0))
              .join(F.broadcast(codes), "symbol")
              .select("symbol", "event_time", "seq", "close", "volume",

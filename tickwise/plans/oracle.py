@@ -249,8 +249,8 @@ SQL["growth_per_minute"] = with_dash("""
 , per_min AS (SELECT date_trunc('minute', event_time) AS minute, COUNT(*) AS n FROM dash GROUP BY 1),
 spine AS (SELECT UNNEST(generate_series(MIN(minute), MAX(minute), INTERVAL 1 MINUTE)) AS minute FROM per_min)
 SELECT s.minute, COALESCE(p.n, 0) AS count,
-       SUM(COALESCE(p.n, 0)) OVER (ORDER BY s.minute ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
-       AS cumulative
+       CAST(SUM(COALESCE(p.n, 0)) OVER (ORDER BY s.minute ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+       AS BIGINT) AS cumulative
 FROM spine s LEFT JOIN per_min p ON s.minute = p.minute""".replace("\n, per_min", ", per_min", 1))
 
 # ---- metrics and quality ------------------------------------------------------
@@ -266,7 +266,7 @@ binned AS (
   SELECT CAST(CASE WHEN hi = lo THEN 0 ELSE LEAST(FLOOR((x - lo) / (hi - lo) * 30.0), 29) END AS INTEGER)
          AS bin, COUNT(*) AS n
   FROM x, rng GROUP BY 1),
-spine AS (SELECT lo, hi, UNNEST(generate_series(0, CASE WHEN hi = lo THEN 0 ELSE 29 END)) AS bin FROM rng)
+spine AS (SELECT lo, hi, CAST(UNNEST(generate_series(0, CASE WHEN hi = lo THEN 0 ELSE 29 END)) AS INTEGER) AS bin FROM rng)
 SELECT s.bin, lo + s.bin * ((hi - lo) / 30.0) AS bin_lo, lo + (s.bin + 1) * ((hi - lo) / 30.0) AS bin_hi,
        COALESCE(b.n, 0) AS count
 FROM spine s LEFT JOIN binned b ON s.bin = b.bin""".replace("\n, x AS", ", x AS", 1))
@@ -285,7 +285,7 @@ BATCHES = """batches AS (
   SELECT event_id // 100 AS batch_id, COUNT(*) AS total_rows, SUM(value) AS elapsed_ms,
          MAX(ts) AS timestamp
   FROM events GROUP BY 1)"""
-SQL["worker_throughput"] = ("WITH " + WORKERS + "\nSELECT worker_id, SUM(messages_sent) AS messages_sent "
+SQL["worker_throughput"] = ("WITH " + WORKERS + "\nSELECT worker_id, CAST(SUM(messages_sent) AS BIGINT) AS messages_sent "
                             "FROM (SELECT * FROM workers ORDER BY timestamp DESC, seq DESC LIMIT 40) "
                             "GROUP BY worker_id")
 SQL["queue_depth_alerts"] = ("WITH " + WORKERS + "\nSELECT timestamp, worker_id, queue_depth FROM workers "
@@ -299,8 +299,8 @@ SQL["stream_throughput"] = ("WITH " + BATCHES + "\nSELECT AVG(total_rows) AS avg
 SQL["batch_duration"] = ("WITH " + BATCHES + "\nSELECT AVG(elapsed_ms) AS avg_batch_ms, "
                          "COUNT(*) AS batches FROM batches")
 SQL["batch_metrics"] = with_ticks("""
-SELECT batch_id, SUM(n) AS total_rows,
-       to_json(map_from_entries(list(struct_pack(symbol := symbol, n := n) ORDER BY symbol, n)))
+SELECT batch_id, CAST(SUM(n) AS BIGINT) AS total_rows,
+       CAST(to_json(map_from_entries(list(struct_pack(symbol := symbol, n := n) ORDER BY symbol, n))) AS VARCHAR)
        AS per_symbol
 FROM (SELECT seq // 100 AS batch_id, symbol, COUNT(*) AS n FROM ticks GROUP BY 1, 2)
 GROUP BY batch_id""")
@@ -326,9 +326,9 @@ RAW_COLS = ("symbol, sector, open, GREATEST(open, close) AS high, LEAST(open, cl
             "volume, event_time, kafka_produce_time, data_type, date")
 
 SQL["json_encode"] = with_ticks(
-    "SELECT symbol AS key, to_json(struct_pack(" + ", ".join(
+    "SELECT symbol AS key, CAST(to_json(struct_pack(" + ", ".join(
         f"{c} := {'GREATEST(open, close)' if c == 'high' else 'LEAST(open, close)' if c == 'low' else c}"
-        for c in _MSG) + ")) AS value, seq FROM ticks")
+        for c in _MSG) + ")) AS VARCHAR) AS value, seq FROM ticks")
 SQL["json_decode"] = with_ticks(
     "SELECT seq, symbol, sector, open, GREATEST(open, close) AS high, LEAST(open, close) AS low, close, "
     "volume, timestamp, kafka_produce_time, data_type, "
@@ -356,7 +356,7 @@ SQL["scan_enriched"] = with_dash(
     f"SELECT {KEY}, sector, close, rsi_14, date FROM dash "
     "WHERE symbol IN ('U1', 'U2', 'U3', 'U50') AND date >= DATE '2024-01-10'")
 SQL["scan_raw"] = with_ticks(
-    "SELECT date, COUNT(*) AS rows, SUM(volume) AS volume FROM ticks GROUP BY date")
+    "SELECT date, COUNT(*) AS rows, CAST(SUM(volume) AS BIGINT) AS volume FROM ticks GROUP BY date")
 SQL["scan_worker_metrics"] = ("WITH " + WORKERS +
                               "\nSELECT timestamp, worker_id, messages_sent, queue_depth FROM workers")
 SQL["scan_batch_metrics"] = with_ticks(
