@@ -152,11 +152,16 @@ def enrich(ticks: DataFrame, price_scale: int | None = 2,
     if stats.hot and price_scale is not None:
         from tickwise.operators.split_enrich import split_enrich
         hot = list(stats.hot)
-        cold = ticks.where(~F.col(key).isin(hot))
+        if len(hot) <= 1000:
+            cold_df, hot_df = ticks.where(~F.col(key).isin(hot)), ticks.where(F.col(key).isin(hot))
+        else:
+            # at most n_rows / split_rows names: a small broadcast key table
+            keys = F.broadcast(ticks.sparkSession.createDataFrame([(h,) for h in hot], [key]))
+            cold_df, hot_df = ticks.join(keys, key, "left_anti"), ticks.join(keys, key, "left_semi")
         cold_stats = SeriesStats(min(stats.max_rows, split_rows), stats.n_symbols - len(hot),
                                  stats.n_rows)
-        plain = enrich(cold, price_scale, crash, rsi_periods, cold_stats, key, split_rows)
-        split = split_enrich(ticks.where(F.col(key).isin(hot)), price_scale=price_scale,
+        plain = enrich(cold_df, price_scale, crash, rsi_periods, cold_stats, key, split_rows)
+        split = split_enrich(hot_df, price_scale=price_scale,
                              crash=crash, periods=rsi_periods, key=key)
         return plain.unionByName(split.select(*plain.columns))
     w = symbol_window(key)
