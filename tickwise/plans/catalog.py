@@ -7,13 +7,25 @@ and returns a DataFrame whose column names match the oracle SQL in
 
 from __future__ import annotations
 
+import datetime as _dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from tickwise.operators.enrich import enrich
-from tickwise.schema import ENRICHED_TICK
+from pyspark.sql import functions as F
+
+from tickwise.functions import indicators as ind
+from tickwise.functions.timefns import parse_event_time
+from tickwise.operators import correlation, metrics, quality, snapshot, timeseries, views
+from tickwise.operators.enrich import enrich, symbol_window
+from tickwise.operators.joins import lookup_join
+from tickwise.schema import ENRICHED_TICK, conform
+from tickwise.session import checkpoint_dir
+from tickwise.sources import adapters, sinks, tables
+from tickwise.sources import ticks as tick_io
 from tickwise.sources.adapters import table, ticks_from_events
+from tickwise.streaming import job as stream_job
+from tickwise.streaming.windows import minute_counts
 
 ENRICHED_COLS = [f.name for f in ENRICHED_TICK.fields]
 
@@ -42,13 +54,6 @@ def q_enrich_ticks(spark, sf_dir):
 
 # ---- shared inputs --------------------------------------------------------
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from tickwise.functions import indicators as ind  # noqa: E402
-from tickwise.operators import correlation, metrics, quality, snapshot, timeseries, views  # noqa: E402
-from tickwise.operators.enrich import symbol_window  # noqa: E402
-from tickwise.sources import adapters  # noqa: E402
-
 
 def dash(spark, sf_dir):
     """The dashboard's frame: enriched ticks with sector defaulted."""
@@ -372,13 +377,6 @@ def q_batch_metrics(spark, sf_dir):
 
 # ---- sources, sinks and projections (S*, K*, P1-P5, U1) ---------------------
 
-import uuid  # noqa: E402
-
-from tickwise.functions.timefns import parse_event_time  # noqa: E402
-from tickwise.operators.joins import lookup_join  # noqa: E402
-from tickwise.session import checkpoint_dir  # noqa: E402
-from tickwise.sources import sinks, tables  # noqa: E402
-from tickwise.sources import ticks as tick_io  # noqa: E402
 
 RAW_COLS = ["symbol", "sector", "open", "high", "low", "close", "volume", "event_time",
             "kafka_produce_time", "data_type", "date"]
@@ -511,11 +509,6 @@ def q_footprint(spark, sf_dir):
 
 # ---- streaming (R1-R10, S1) ---------------------------------------------------
 
-import datetime as _dt  # noqa: E402
-
-from tickwise.schema import conform  # noqa: E402
-from tickwise.streaming import job as stream_job  # noqa: E402
-from tickwise.streaming.windows import minute_counts  # noqa: E402
 
 STREAM_COLS = ["symbol", "sector", "open", "high", "low", "close", "volume", "event_time",
                "kafka_produce_time", "data_type", "timestamp", "seq", "spark_process_time", "date"]

@@ -7,6 +7,8 @@ prices are summed as integer cents, exactly as the Spark builders do.
 
 from __future__ import annotations
 
+from tickwise.schema import ENRICHED_TICK, EXPECTED_ANALYTICS_COLS
+
 # T1: ticks from events (see tickwise.sources.adapters.ticks_from_events)
 TICKS = """
 ticks_base AS (
@@ -306,7 +308,6 @@ FROM (SELECT seq // 100 AS batch_id, symbol, COUNT(*) AS n FROM ticks GROUP BY 1
 GROUP BY batch_id""")
 
 # ---- schema-level checks ------------------------------------------------------
-from tickwise.schema import ENRICHED_TICK, EXPECTED_ANALYTICS_COLS  # noqa: E402
 
 SQL["completeness_check"] = with_enriched(
     "SELECT column_name, present, (SELECT COUNT(*) FROM enriched) AS total_rows FROM (VALUES "
