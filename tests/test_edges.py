@@ -59,3 +59,14 @@ def test_corr_gate_needs_enough_symbols(spark):
                                "symbol string, event_time timestamp_ntz, close double")
     assert corr_matrix(df).count() == 0
     assert corr_matrix(df, min_symbols=2).where("symbol_a = 'A' AND symbol_b = 'A'").first()["corr"] == 1.0
+
+
+def test_corr_drops_constant_symbol(spark):
+    from tickwise.operators.correlation import corr_matrix
+    t = dt.datetime(2024, 1, 2)
+    rows = ([("A", t + dt.timedelta(minutes=i), float(i)) for i in range(30)]
+            + [("B", t + dt.timedelta(minutes=i), 5.0) for i in range(30)]
+            + [("C", t + dt.timedelta(minutes=i), float(i % 7)) for i in range(30)])
+    df = spark.createDataFrame(rows, "symbol string, event_time timestamp_ntz, close double")
+    out = {(r["symbol_a"], r["symbol_b"]): r["corr"] for r in corr_matrix(df, min_symbols=2).collect()}
+    assert set(out) == {("A", "A"), ("A", "C"), ("C", "C")}

@@ -462,6 +462,13 @@ def q_scan_enriched(spark, sf_dir):
               .select(*KEY, "sector", "close", "rsi_14", "date"))
 
 
+@query("scan_recent")
+def q_scan_recent(spark, sf_dir):
+    path = scratch(spark, "enriched")
+    sinks.write_enriched(enriched(spark, sf_dir), path, mode="overwrite", partition_cols=("date",))
+    return tables.read_enriched(spark, path, minutes=24 * 60).select(*KEY, "sector", "close", "vwap")
+
+
 @query("scan_raw")
 def q_scan_raw(spark, sf_dir):
     path = scratch(spark, "raw")

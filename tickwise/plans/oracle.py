@@ -233,7 +233,8 @@ pts AS (SELECT event_time, symbol, AVG(close) AS v FROM src WHERE close IS NOT N
 gate AS (SELECT COUNT(DISTINCT event_time) AS n_periods, COUNT(DISTINCT symbol) AS n_symbols FROM pts),
 pairs AS (
   SELECT a.symbol AS symbol_a, b.symbol AS symbol_b,
-         round_even(CORR(a.v, b.v) * 1000000, 0) / 1000000 AS corr, COUNT(*) AS n_common
+         round_even(CASE WHEN isnan(CORR(a.v, b.v)) THEN NULL ELSE CORR(a.v, b.v) END * 1000000, 0)
+         / 1000000 AS corr, COUNT(*) AS n_common
   FROM pts a JOIN pts b ON a.event_time = b.event_time AND a.symbol <= b.symbol
   GROUP BY a.symbol, b.symbol),
 defined AS (SELECT symbol_a AS s FROM pairs WHERE corr IS NOT NULL
@@ -385,3 +386,6 @@ WITH t AS (
 SELECT symbol, event_time, close AS open, close AS high, close AS low, close, volume,
        MIN(seq) AS seq, arg_min(supplier, seq) AS supplier
 FROM t GROUP BY symbol, event_time, close, volume"""
+SQL["scan_recent"] = with_dash(
+    f"SELECT {KEY}, sector, close, vwap FROM dash "
+    "WHERE event_time >= (SELECT MAX(event_time) FROM dash) - INTERVAL 1440 MINUTE")

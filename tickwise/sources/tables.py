@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickwise.functions.timefns import parse_event_time
@@ -17,15 +19,30 @@ def legacy_alias(df: DataFrame) -> DataFrame:
 
 
 def read_enriched(spark: SparkSession, path: str, minutes: int = 0,
-                  schema=ENRICHED_TICK) -> DataFrame:
+                  schema=ENRICHED_TICK, literal_cutoff: bool = True) -> DataFrame:
     """The enriched table as the views expect it.
 
     Partition columns (symbol, date) come from the folder layout, so
     filters on them prune folders.  Rows without event time are dropped,
     sector defaults to ``Unknown`` and ``minutes`` keeps the latest span.
+
+    With ``literal_cutoff`` the latest event time is read first (one job
+    over the event_time column) and the span becomes literal predicates
+    ``date >= d`` and ``event_time >= t``: the first prunes date folders,
+    the second is pushed into the Parquet scan.  Otherwise the cutoff is a
+    broadcast one-row aggregate compared per row.
     """
     df = legacy_alias(spark.read.schema(schema).parquet(path))
     df = sector_default(df.where(F.col("event_time").isNotNull()))
+    if minutes > 0 and literal_cutoff:
+        mx = df.agg(F.max("event_time")).first()[0]
+        if mx is None:
+            return df
+        cut = mx - _dt.timedelta(minutes=minutes)
+        out = df.where(F.col("event_time") >= F.lit(cut))
+        if "date" in df.columns:
+            out = out.where(F.col("date") >= F.lit(cut.date()))
+        return out
     return recent_window(df, minutes)
 
 

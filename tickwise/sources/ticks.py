@@ -92,7 +92,8 @@ def decode_ticks(messages: DataFrame, value_col: str = "value", source_tz: str |
     reason = (F.when(F.col("_bad_json"), F.lit("malformed_json"))
                .when(F.col("symbol").isNull() & F.col("close").isNull(), F.lit("malformed_json"))
                .when(F.col("event_time").isNull(), F.lit("bad_timestamp"))
-               .when(F.col("symbol").isNull(), F.lit("null_symbol")))
+               .when(F.col("symbol").isNull(), F.lit("null_symbol"))
+               .when(F.col("close").isNull(), F.lit("null_close")))
     return out.withColumn("quarantine", reason).drop("_bad_json")
 
 
