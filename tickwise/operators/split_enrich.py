@@ -21,7 +21,10 @@ Plan
      (k up to ``rsi_carry_lags``, beyond which a double underflows to 0),
      computed by a distributed explode + aggregate, then gathered per
      window block into a map of at most block_rows/rsi_block entries.
-   Both tables join back on (symbol, block), the facts' partitioning.
+   Both tables come from one aggregate over the windowed rows, which are
+   persisted once (MEMORY_AND_DISK) so the rows and the tables share a
+   single (symbol, block) exchange; they join back on (symbol, block),
+   the rows' own partitioning.
 
 The result equals :func:`tickwise.operators.enrich.enrich`.
 """
@@ -110,16 +113,21 @@ def split_enrich(ticks: DataFrame, block_rows: int = 1_000_000, rsi_block: int |
     x = x.select("*", F.sum(F.col("_gain") * F.col("_wt")).over(wr).alias("_gi"),
                  F.sum(F.col("_loss") * F.col("_wt")).over(wr).alias("_li"))
 
-    # block table: VWAP sums and diff counts, exclusive prefix per symbol
-    btab = x.groupBy(key, "_g").agg(F.sum(c * F.col("volume")).alias("_bpv"),
-                                     F.sum("volume").alias("_bv"),
-                                     F.count("_gain").alias("_bnd"))
+    # One materialisation of the windowed rows feeds both the rows and the
+    # block tables (otherwise each consumer would repeat the exchange).
+    x = x.persist(StorageLevel.MEMORY_AND_DISK)
+    # per rebased sub-block: RSI totals plus the VWAP sums and diff counts
+    rtot = x.groupBy(key, "_g", "_r").agg(F.sum(F.col("_gain") * F.col("_wt")).alias("_tg"),
+                                          F.sum(F.col("_loss") * F.col("_wt")).alias("_tl"),
+                                          F.sum(c * F.col("volume")).alias("_bpv"),
+                                          F.sum("volume").alias("_bv"),
+                                          F.count("_gain").alias("_bnd"))
+    # block table (one row per block): exclusive prefix per symbol
+    btab = rtot.groupBy(key, "_g").agg(*[F.sum(k).alias(k) for k in ("_bpv", "_bv", "_bnd")])
     wb = Window.partitionBy(key).orderBy("_g").rowsBetween(Window.unboundedPreceding, -1)
     btab = btab.select(key, "_g", *[F.coalesce(F.sum(k).over(wb), F.lit(0)).alias(k + "0")
                                    for k in ("_bpv", "_bv", "_bnd")])
     # RSI carries: each sub-block total reaches the next ``lags`` sub-blocks decayed
-    rtot = x.groupBy(key, "_g", "_r").agg(F.sum(F.col("_gain") * F.col("_wt")).alias("_tg"),
-                                          F.sum(F.col("_loss") * F.col("_wt")).alias("_tl"))
     steps = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(decay_b ** i).alias("f"))
                                 for i in range(1, lags + 1)]))
     carry = (rtot.select(key, "_r", "_tg", "_tl", steps.alias("_s"))
