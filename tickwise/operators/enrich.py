@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tickwise.functions import indicators as ind
@@ -95,6 +96,9 @@ def _with_rsi_blocked(df: DataFrame, w, periods: int, key: str,
     wb = ind.running(Window.partitionBy(key, "_blk").orderBy(*ORDER_COLS))
     x = x.select("*", F.sum(F.col("_g") * F.col("_wt")).over(wb).alias("_gi"),
                  F.sum(F.col("_l") * F.col("_wt")).over(wb).alias("_li"))
+    # one materialisation feeds the rows and the block totals, so the
+    # symbol exchange runs once
+    x = x.persist(StorageLevel.MEMORY_AND_DISK)
     # block totals -> decayed contributions to the next ``lags`` blocks
     totals = x.groupBy(key, "_blk").agg(
         F.sum(F.col("_g") * F.col("_wt")).alias("_tg"),
