@@ -51,3 +51,51 @@ def test_kernel_split_invariance():
 
 def test_interval_parsing():
     assert interval_ms("5 minutes") == 300_000 and interval_ms("1 hour") == 3_600_000
+
+
+def _tick_rows(minutes, seq0, t0=dt.datetime(2024, 1, 2, 9, 0)):
+    return [("A", "Tech", 100.0 + m, 101.0 + m, 99.0 + m, 100.5 + m, 10, t0 + dt.timedelta(minutes=m),
+             None, "real", (t0 + dt.timedelta(minutes=m)).strftime("%Y-%m-%d %H:%M:%S"), seq0 + i, 0,
+             (t0 + dt.timedelta(minutes=m)).date())
+            for i, m in enumerate(minutes)]
+
+
+def test_three_minutes_late_merged_ten_minutes_late_reported(spark):
+    from tickwise.plans.catalog import STREAM_COLS, END_OF_INPUT, run_enrichment, scratch
+    from tickwise.schema import ENRICHED_TICK
+    schema = ("symbol string, sector string, open double, high double, low double, close double, "
+              "volume long, event_time timestamp_ntz, kafka_produce_time long, data_type string, "
+              "timestamp string, seq long, spark_process_time long, date date")
+    root = scratch(spark, "late-edge")
+    # the middle file (another symbol) is one more micro-batch: by then the
+    # watermark exists and A's ticks up to minute 15 have been emitted
+    other = [("B",) + r[1:] for r in _tick_rows([21], 50)]
+    files = [_tick_rows(range(0, 21), 0), other, _tick_rows([17, 8, 25], 100)]
+    for rows in files:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    end = [(None, None, None, None, None, None, None, END_OF_INPUT, None, None, None, -1, None, None)]
+    spark.createDataFrame(end, schema).write.mode("append").parquet(f"{root}/in")
+    paths = run_enrichment(spark, root, spark.read.parquet(f"{root}/in").schema)
+    out = spark.read.schema(ENRICHED_TICK).parquet(paths.enriched)
+    late = spark.read.schema(ENRICHED_TICK).json(paths.late)
+    got = [r["seq"] for r in out.where("symbol = 'A'").orderBy("event_time", "seq").collect()]
+    assert 100 in got and got.index(100) == got.index(17) + 1      # merged right after its peer
+    assert [r["seq"] for r in late.collect()] == [101]               # 12 minutes behind: late
+    assert 102 in got and out.count() == 21 + 2 + 1
+
+
+def test_raw_archive_stream(spark):
+    from tickwise.plans.catalog import scratch
+    from tickwise.sources.ticks import SourceConf, decode_ticks, tick_source
+    from tickwise.streaming.job import SinkPaths, start_raw_archive
+    root = scratch(spark, "raw-stream")
+    lines = ['{"symbol": "A", "close": 1.0, "timestamp": "2024-01-02 09:30:00"}', "",
+             '{"symbol": "B", "close": 2.0, "timestamp": "2024-01-03 09:30:00"}', "{bad"]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{root}/in")
+    dec = decode_ticks(tick_source(spark, SourceConf(format="json", path=f"{root}/in")))
+    q = start_raw_archive(dec.where("quarantine IS NULL"),
+                          SinkPaths(enriched="", late="", metrics="", raw=f"{root}/raw",
+                                    checkpoint=f"{root}/ckpt"), trigger={"availableNow": True})
+    q.awaitTermination()
+    raw = spark.read.parquet(f"{root}/raw")
+    assert raw.count() == 2 and sorted(str(r["date"]) for r in raw.collect()) == ["2024-01-02", "2024-01-03"]
