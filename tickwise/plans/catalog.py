@@ -509,7 +509,8 @@ def q_state_bootstrap(spark, sf_dir):
 @query("storage_footprint")
 def q_footprint(spark, sf_dir):
     root = scratch(spark, "tables")
-    sinks.write_enriched(enriched(spark, sf_dir), f"{root}/processed", mode="overwrite")
+    sinks.write_enriched(enriched(spark, sf_dir), f"{root}/processed", mode="overwrite",
+                         partition_cols=("date",))
     sinks.write_raw(ticks(spark, sf_dir), f"{root}/raw_ticks", mode="overwrite")
     return quality.storage_footprint(spark, [f"{root}/processed", f"{root}/raw_ticks"])
 
@@ -587,6 +588,17 @@ def q_stream_metrics(spark, sf_dir):
     return tables.explode_per_symbol(m).groupBy("symbol").agg(F.sum("rows").alias("rows"))
 
 
+@query("stream_compaction")
+def q_stream_compaction(spark, sf_dir):
+    # per-batch output of the stream (one folder per batch id) -> one file
+    # set per date
+    root = scratch(spark, "compact")
+    stage_tick_files(spark, sf_dir, root)
+    paths = run_enrichment(spark, root, _tick_schema(spark, sf_dir))
+    sinks.compact(spark, paths.enriched, f"{root}/compacted", partition_cols=("date",))
+    return spark.read.schema(ENRICHED_TICK).parquet(f"{root}/compacted").select(*ENRICHED_COLS)
+
+
 @query("stream_minute_counts")
 def q_stream_minutes(spark, sf_dir):
     root = scratch(spark, "minutes")

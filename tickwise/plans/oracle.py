@@ -368,6 +368,7 @@ SQL["state_bootstrap"] = SQL["state_snapshot"]
 # ---- streaming ------------------------------------------------------------------
 SQL["stream_enrich"] = SQL["enrich_ticks"]
 SQL["stream_restart"] = SQL["enrich_ticks"]
+SQL["stream_compaction"] = SQL["enrich_ticks"]
 SQL["stream_batch_metrics"] = with_ticks("SELECT symbol, COUNT(*) AS rows FROM ticks GROUP BY symbol")
 SQL["stream_minute_counts"] = with_ticks(
     "SELECT date_trunc('minute', event_time) AS minute, COUNT(*) AS count FROM ticks GROUP BY 1")

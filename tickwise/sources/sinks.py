@@ -63,3 +63,21 @@ def state_snapshot(df: DataFrame, n: int = 50) -> DataFrame:
 
 def write_state_snapshot(df: DataFrame, path: str, n: int = 50):
     write_jsonl(state_snapshot(df, n), path, mode="overwrite")
+
+
+def compact(spark, src: str, dst: str, schema=ENRICHED_TICK, partition_cols=("symbol", "date"),
+            order=("symbol", "event_time", "seq")):
+    """Rewrite a table made of many small per-batch files (``batch_id=N``
+    folders from the streaming sink) into one file set per partition value.
+
+    AQE ``rebalance`` on the partition columns sizes the write tasks (hot
+    values are split across tasks, tiny ones merged); rows are sorted within
+    files so symbol/time predicates skip row groups.  Writes to ``dst``
+    (then swap paths), never in place.
+    """
+    df = spark.read.schema(schema).parquet(src)
+    if "batch_id" in df.columns:
+        df = df.drop("batch_id")
+    (df.hint("rebalance", *partition_cols)
+       .sortWithinPartitions(*partition_cols, *[c for c in order if c not in partition_cols])
+       .write.mode("overwrite").partitionBy(*partition_cols).parquet(dst))
