@@ -25,7 +25,7 @@ class SourceConf:
     format: str = "kafka"
     path: str | None = None
     bootstrap_servers: str | None = None
-    topic: str = "stock-data"
+    topic: str = "ticks"
     starting_offsets: str = "earliest"
     fail_on_data_loss: bool = False
     max_per_trigger: int | None = None
@@ -115,3 +115,20 @@ def encode_ticks(ticks: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return ticks.select(F.col("symbol").alias("key"),
                         F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("value"),
                         *keep)
+
+
+def publish_ticks(ticks: DataFrame, bootstrap_servers: str, topic: str = "ticks",
+                  options: dict | None = None) -> None:
+    """Publish tick rows as JSON messages keyed by symbol (batch write).
+
+    Keying by symbol keeps one symbol's ticks in one topic partition, so
+    the (partition, offset) ``seq`` of a consumer follows publish order.
+    Needs the Kafka connector on the classpath; ``acks=all`` by default.
+    """
+    w = (encode_ticks(ticks).write.format("kafka")
+         .option("kafka.bootstrap.servers", bootstrap_servers)
+         .option("topic", topic)
+         .option("kafka.acks", "all"))
+    for k, v in (options or {}).items():
+        w = w.option(k, v)
+    w.save()
