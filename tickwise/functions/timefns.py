@@ -36,3 +36,15 @@ def parse_event_time(s, fmt: str = "yyyy-MM-dd HH:mm:ss", source_tz: str | None
 
 def event_date(ts) -> Column:
     return F.to_date(_c(ts))
+
+
+def utc_instant(ts) -> Column:
+    """TIMESTAMP_NTZ wall clock read as UTC -> TIMESTAMP instant, whatever
+    the session time zone (used for watermarks and event-time windows)."""
+    return F.timestamp_micros(epoch_us(ts))
+
+
+def ntz_from_instant(ts) -> Column:
+    """TIMESTAMP instant -> TIMESTAMP_NTZ wall clock in UTC (inverse of
+    :func:`utc_instant`)."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(_c(ts)), F.expr(_EPOCH_NTZ))

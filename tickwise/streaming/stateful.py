@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tickwise.functions.indicators import CrashRule
+from tickwise.functions.timefns import utc_instant
 from tickwise.schema import ENRICHED_TICK
 from tickwise.streaming.kernel import SymbolState, advance
 
@@ -156,7 +157,7 @@ def enrich_stream(ticks: DataFrame, watermark: str = "5 minutes", periods: int =
     cols = [c for c in _PASS if c in ticks.columns]
     # the watermark column stays in the grouped input: event-time timeouts need it
     s = (ticks.select(*cols)
-              .withColumn("_wm", F.col("event_time").cast("timestamp"))
+              .withColumn("_wm", utc_instant("event_time"))
               .withWatermark("_wm", late_horizon))
     slack = interval_ms(late_horizon) - interval_ms(watermark)
     if slack < 0:
