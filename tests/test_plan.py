@@ -23,3 +23,16 @@ def test_symbol_filter_pushed_below_window(spark):
 def test_scan_prunes_columns(spark):
     p = plan(QUERIES["rows_per_symbol"](spark, SF_SMALL))
     assert "ReadSchema: struct<user_id:bigint>" in p or "user_id" in p
+
+
+def test_enriched_reads_prune_partitions(spark):
+    p = plan(QUERIES["scan_enriched"](spark, SF_SMALL))
+    scan = [l for l in p.splitlines() if "FileScan" in l and "PartitionFilters" in l][0]
+    part = scan[scan.index("PartitionFilters"):]
+    assert "symbol IN" in part and "date >=" in part
+
+
+def test_recent_read_pushes_time_predicate(spark):
+    p = plan(QUERIES["scan_recent"](spark, SF_SMALL))
+    scan = [l for l in p.splitlines() if "FileScan" in l][0]
+    assert "GreaterThanOrEqual(event_time" in scan and "(date >=" in scan
