@@ -70,3 +70,9 @@ def test_corr_drops_constant_symbol(spark):
     df = spark.createDataFrame(rows, "symbol string, event_time timestamp_ntz, close double")
     out = {(r["symbol_a"], r["symbol_b"]): r["corr"] for r in corr_matrix(df, min_symbols=2).collect()}
     assert set(out) == {("A", "A"), ("A", "C"), ("C", "C")}
+
+
+def test_display_names_and_available_columns(spark):
+    df = spark.createDataFrame([("A", 1.0)], "symbol string, price_change_pct double")
+    out = views.display_names(views.select_available(df, ["symbol", "sector", "price_change_pct"]))
+    assert out.columns == ["Symbol", "Price Change Pct"]

@@ -22,7 +22,6 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tickwise.functions import indicators as ind
-from tickwise.functions.numeric import safe_div
 
 ORDER_COLS = ("event_time", "seq")
 
@@ -189,7 +188,3 @@ def enrich(ticks: DataFrame, price_scale: int | None = 2,
                                                       F.col("volatility"), crash))
             .withColumn("latency_ms", ind.latency_ms(F.col("spark_process_time"),
                                                      F.col("kafka_produce_time"))))
-
-
-def ma_divergence_col() -> F.Column:
-    return safe_div(F.col("moving_avg_5") - F.col("moving_avg_20"), F.col("moving_avg_20")) * F.lit(100.0)
