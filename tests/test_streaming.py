@@ -99,3 +99,23 @@ def test_raw_archive_stream(spark):
     q.awaitTermination()
     raw = spark.read.parquet(f"{root}/raw")
     assert raw.count() == 2 and sorted(str(r["date"]) for r in raw.collect()) == ["2024-01-02", "2024-01-03"]
+
+
+def test_progress_recorder(spark):
+    from tickwise.operators.metrics import batch_duration, stream_throughput
+    from tickwise.plans.catalog import scratch, stage_tick_files, run_enrichment, _tick_schema
+    from tickwise.streaming.progress import attach
+    rec = attach(spark)
+    try:
+        root = scratch(spark, "progress")
+        stage_tick_files(spark, SF_SMALL, root, n_files=3)
+        run_enrichment(spark, root, _tick_schema(spark, SF_SMALL))
+        import time
+        time.sleep(2)      # listener events are delivered asynchronously
+        prog = rec.frame(spark)
+        assert prog.where("total_rows > 0").count() >= 3
+        assert prog.agg({"total_rows": "sum"}).first()[0] == 1000 + 1
+        assert batch_duration(prog).first()["avg_batch_ms"] > 0
+        assert stream_throughput(prog).first()["rows_per_sec"] >= 0
+    finally:
+        spark.streams.removeListener(rec)
