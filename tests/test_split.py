@@ -39,11 +39,12 @@ def test_split_equals_plain(spark):
 
 
 def test_auto_routes_hot_symbols(spark):
-    df = long_series(spark, n=1200, symbols=2).union(
+    df = long_series(spark, n=4500, symbols=2).union(
         long_series(spark, n=30, symbols=1).withColumn("symbol", F.lit("COLD"))
         .withColumn("seq", F.col("seq") + 10 ** 6))
-    out = enrich(df, split_rows=1000)
-    assert out.count() == 2 * 1200 + 30
-    ref = {r["seq"]: r["vwap"] for r in enrich(df, split_rows=10 ** 9).collect()}
-    got = {r["seq"]: r["vwap"] for r in out.collect()}
+    out = enrich(df, split_rows=1000, split_block_rows=2000)     # 3 blocks per hot symbol
+    assert out.count() == 2 * 4500 + 30
+    cols = ["vwap", "moving_avg_20", "volatility", "volume_trend", "price_change_pct"]
+    ref = {r["seq"]: tuple(r[c] for c in cols) for r in enrich(df, split_rows=10 ** 9).collect()}
+    got = {r["seq"]: tuple(r[c] for c in cols) for r in out.collect()}
     assert ref == got

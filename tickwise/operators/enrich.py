@@ -136,7 +136,7 @@ def with_rsi(df: DataFrame, periods: int = 14, key: str = "symbol",
 def enrich(ticks: DataFrame, price_scale: int | None = 2,
            crash: ind.CrashRule = ind.CrashRule(), rsi_periods: int = 14,
            stats: SeriesStats | None = None, key: str = "symbol",
-           split_rows: int = SPLIT_ROWS) -> DataFrame:
+           split_rows: int = SPLIT_ROWS, split_block_rows: int = 1_000_000) -> DataFrame:
     """All indicators for every tick.
 
     Symbols with more than ``split_rows`` rows go through the split plan
@@ -164,7 +164,7 @@ def enrich(ticks: DataFrame, price_scale: int | None = 2,
         cold_stats = SeriesStats(min(stats.max_rows, split_rows), stats.n_symbols - len(hot),
                                  stats.n_rows)
         plain = enrich(cold_df, price_scale, crash, rsi_periods, cold_stats, key, split_rows)
-        split = split_enrich(hot_df, price_scale=price_scale,
+        split = split_enrich(hot_df, block_rows=split_block_rows, price_scale=price_scale,
                              crash=crash, periods=rsi_periods, key=key)
         return plain.unionByName(split.select(*plain.columns))
     w = symbol_window(key)
