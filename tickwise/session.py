@@ -62,3 +62,31 @@ def checkpoint_dir(spark: SparkSession) -> str:
     elif not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tickwise`` importable by Python workers (once per application).
+
+    Python code that runs on executors (the stateful streaming function)
+    is pickled by reference to this package, so the package is zipped on
+    the driver and distributed with ``addPyFile``.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import zipfile
+
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.dirname(pkg)
+    zpath = os.path.join(tempfile.mkdtemp(prefix="tickwise-py-"), "tickwise.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, base))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(sc.applicationId)

@@ -33,6 +33,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tickwise.functions.indicators import CrashRule
 from tickwise.functions.timefns import utc_instant
+from tickwise.session import ship_package
 from tickwise.schema import ENRICHED_TICK
 from tickwise.streaming.kernel import SymbolState, advance
 
@@ -154,6 +155,7 @@ def enrich_stream(ticks: DataFrame, watermark: str = "5 minutes", periods: int =
     partitioned by symbol into the state store (RocksDB or HDFS-backed,
     checkpointed), so executor loss replays from the checkpoint.
     """
+    ship_package(ticks.sparkSession)          # the state function runs in Python workers
     cols = [c for c in _PASS if c in ticks.columns]
     # the watermark column stays in the grouped input: event-time timeouts need it
     s = (ticks.select(*cols)
