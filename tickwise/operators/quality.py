@@ -60,19 +60,19 @@ def breakdown(df: DataFrame, col: str = "data_type") -> DataFrame:
 def schema_profile(df: DataFrame, order: Sequence[str] = ("event_time", "seq")) -> DataFrame:
     """One row per column: name, type, non-null count, last value (as text).
 
-    One aggregate over the table (``count`` + ``max_by`` per column), then
-    the one-row result is unpivoted with ``stack``.
+    One aggregate over the table (``count`` + ``max_by`` per column, on the
+    native types), then the one-row result is cast to text and unpivoted.
     """
     o = F.struct(*[F.col(c) for c in order])
     aggs = []
     for f in df.schema.fields:
         aggs.append(F.count(F.col(f.name)).alias(f"n__{f.name}"))
-        aggs.append(F.max_by(F.col(f.name).cast("string"), o).alias(f"s__{f.name}"))
+        aggs.append(F.max_by(F.col(f.name), o).alias(f"s__{f.name}"))
     one = df.agg(*aggs)
     parts = []
     for f in df.schema.fields:
         parts += [F.lit(f.name), F.lit(f.dataType.simpleString()),
-                  F.col(f"n__{f.name}"), F.col(f"s__{f.name}")]
+                  F.col(f"n__{f.name}"), F.col(f"s__{f.name}").cast("string")]
     n = len(df.schema.fields)
     return one.select(F.inline(F.array(*[
         F.struct(parts[4 * i].alias("column_name"), parts[4 * i + 1].alias("dtype"),
