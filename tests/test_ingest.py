@@ -79,3 +79,17 @@ def test_read_enriched_defaults(spark):
     rows = df.collect()
     assert len(rows) == 1 and rows[0]["sector"] == "Unknown"
     assert rows[0]["event_time"] == dt.datetime(2024, 1, 2, 9, 30)
+
+
+def test_worker_metrics_reader_skips_blanks_and_nulls_bad_times(spark):
+    path = f"{checkpoint_dir(spark)}/test-workers-jsonl"
+    lines = ['{"timestamp": "2024-01-02T09:30:00", "worker_id": 1, "messages_sent": 5, "queue_depth": 3}',
+             "",
+             '{"timestamp": "garbage", "worker_id": 2, "messages_sent": 7, "queue_depth": 1200}']
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("overwrite").text(path)
+    df = tables.read_worker_metrics(spark, path)
+    rows = sorted(df.collect(), key=lambda r: r["worker_id"])
+    assert len(rows) == 2
+    assert rows[0]["timestamp"] == dt.datetime(2024, 1, 2, 9, 30) and rows[1]["timestamp"] is None
+    from tickwise.operators.metrics import queue_depth_alerts
+    assert [r["worker_id"] for r in queue_depth_alerts(df).collect()] == [2]
