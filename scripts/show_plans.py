@@ -17,7 +17,7 @@ KEEP = re.compile(r"(Exchange|Sort |Window|Aggregate|Join|BroadcastExchange|Take
 
 sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
 names = sys.argv[2:] or ["enrich_ticks", "latest_per_symbol", "tail_per_symbol", "top_gainers",
-                         "corr_matrix", "scan_enriched", "scan_recent", "symbol_series"]
+                         "corr_matrix", "scan_enriched", "scan_recent", "symbol_series", "enrich_split"]
 spark = get_spark("local[8]", shuffle_partitions=8)
 spark.conf.set("spark.sql.adaptive.enabled", "false")   # show the static plan shape
 for n in names:
