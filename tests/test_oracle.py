@@ -66,3 +66,11 @@ def test_every_query_has_oracle_or_reason():
     no_sql = set(E.queries()) - set(E.oracle_sql())
     assert no_sql <= {"storage_footprint", "stream_enrich", "stream_restart", "stream_late_rows",
                       "stream_source_file", "stream_minute_counts", "enrich_split"}
+
+
+def test_entry_schema_stable(spark):
+    from tickwise.schema import ENRICHED_TICK
+    a, b = E.entry(spark).schema, E.entry(spark).schema
+    assert a == b
+    assert [f.name for f in a.fields] == [f.name for f in ENRICHED_TICK.fields]
+    assert [f.dataType for f in a.fields] == [f.dataType for f in ENRICHED_TICK.fields]
