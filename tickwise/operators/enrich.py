@@ -76,6 +76,8 @@ def _with_rsi_blocked(df: DataFrame, w, periods: int, key: str,
                       broadcast_ok: bool) -> DataFrame:
     """RSI for long series: block-relative weights + decayed block carries.
 
+    The persisted frame stays cached until released (``spark.catalog.
+    clearCache()`` after the result is written).
     Only series up to ``SPLIT_ROWS`` rows take this path, so a symbol has
     at most SPLIT_ROWS / block carries; they are gathered into one map per
     symbol and joined on ``symbol`` - the facts' own partitioning, so the

@@ -27,6 +27,10 @@ Plan
    the rows' own partitioning.
 
 The result equals :func:`tickwise.operators.enrich.enrich`.
+
+The two persisted intermediates stay cached until released: after the
+result has been written, call ``spark.catalog.clearCache()`` (or let a
+long-running application's storage memory evict them).
 """
 
 from __future__ import annotations
