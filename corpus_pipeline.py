@@ -7,8 +7,9 @@ its result is written as Parquet and reread as the next one's docs.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tickwise.llm import bpe_codec, quality_rules, secret_scan
+from tickwise.llm import bpe_codec, decontamination, quality_rules, secret_scan, simhash_dedup
 from tickwise.llm.common import cut, table
 from tickwise.llm.queries import tokenizer_path
 
@@ -18,10 +19,18 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_good(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash component."""
+    return simhash_dedup.keep_one(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no benchmark item was found."""
+    return decontamination.keep_clean(docs, table(spark, sf_dir, "benchmark"))
+
+
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Found secrets are masked in the texts."""
-    from pyspark.sql import functions as F
-
     return secret_scan.redact(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
@@ -30,7 +39,13 @@ def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe_codec.round_trip(docs, bpe_codec.ByteBpe.load(tokenizer_path("byte_bpe_50k.json")))
 
 
-STAGES = [("quality_rules", quality), ("secret_scan", secrets), ("bpe_codec", bpe)]
+STAGES = [
+    ("quality_rules", quality),
+    ("simhash_dedup", near_duplicates),
+    ("decontamination", decontaminate),
+    ("secret_scan", secrets),
+    ("bpe_codec", bpe),
+]
 
 #: Not expressible as a whole: SQL has no XXH64 and no merge loop; stages are tested one by one.
 ORACLE_SQL = None

@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, html_text, language_id, quality_rules, secret_scan, token_counts
+from . import (
+    bpe_codec,
+    decontamination,
+    html_text,
+    language_id,
+    quality_rules,
+    secret_scan,
+    simhash_dedup,
+    suffix_dedup,
+    token_counts,
+    warc,
+)
 from .common import table
 
 
@@ -19,6 +30,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), vocab)
 
 
+def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_report(table(spark, sf_dir, "documents"))
 
@@ -36,6 +51,10 @@ def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.round_trip(table(spark, sf_dir, "documents"), bpe)
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(table(spark, sf_dir, "pages"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     out = language_id.held_out()
@@ -44,5 +63,15 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                                extra=("held_out",))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated_pairs(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_token_counts, op3_secret_scan, op4_quality_rules, op5_html_extraction, op6_bpe_codec, op8_language_id)}
+    op1_token_counts, op2_simhash_dedup, op3_secret_scan, op4_quality_rules, op5_html_extraction,
+    op6_bpe_codec, op7_warc, op8_language_id, op9_suffix_dedup, op10_decontamination)}

@@ -1,5 +1,5 @@
 """DuckDB SQL for the queries that SQL can express."""
 
-from . import quality_rules
+from . import quality_rules, warc
 
-SQL = {"op4_quality_rules": quality_rules.REPORT_SQL}
+SQL = {"op4_quality_rules": quality_rules.REPORT_SQL, "op7_warc": warc.ROUND_TRIP_SQL}
