@@ -140,8 +140,13 @@ def quality_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The input rows that pass, all columns as they were."""
-    return judge(docs, text_col, tuple(docs.columns), rules).where("kept").select("keep.*")
+    """The input rows that pass, all columns as they were.
+
+    The verdict is computed once a row, in the projection: a row number beside it
+    keeps the optimizer from writing it out again inside the filter."""
+    judged = judge(docs, text_col, tuple(docs.columns), rules).select(
+        "keep", "kept", F.monotonically_increasing_id().alias("row"))
+    return judged.where(F.col("kept") & (F.col("row") >= 0)).select("keep.*")
 
 
 REPORT_SQL = """
