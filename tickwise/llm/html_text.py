@@ -134,8 +134,8 @@ def densities(tree: _Tree) -> tuple[list[float], list[float]]:
         if c:
             t, lc, lt = max(1, tags[i]), max(1, links[i]), max(1, link_tags[i])
             base = math.log(c * lc / max(1, c - links[i]) + share * c + math.e)
-            density[i] = c / t * math.log(max(1.0, c * t / (lc * lt))) / math.log(max(base, 1.0001) + 1e-9) \
-                if base > 1.0001 else c / t * math.log(max(1.0, c * t / (lc * lt)))
+            # both logarithms stay above 0, so that the shortest text still counts as text
+            density[i] = c / t * math.log(max(1.0, c * t / (lc * lt)) + 1e-6) / math.log(base + 1e-6)
         if i:
             total[tree.parent[i]] += density[i]
     return density, total

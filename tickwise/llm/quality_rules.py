@@ -127,8 +127,12 @@ def base_failed() -> Column:
 
 def judge(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",),
           rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """``keep`` (as one struct), the measures, ``base_failed`` and ``kept``."""
-    m = measured(docs, text_col, keep).withColumn("base_failed", base_failed())
+    """``keep`` (as one struct), the measures, ``base_failed`` and ``kept``.
+
+    Both verdicts lean on a row number, which keeps the optimizer from writing
+    the measures out again inside a filter on them."""
+    m = measured(docs, text_col, keep).withColumn("row", F.monotonically_increasing_id())
+    m = m.withColumn("base_failed", base_failed() | (F.col("row") < 0))
     return m.withColumn("kept", ~F.col("base_failed") & compile_rules(rules))
 
 
@@ -140,13 +144,8 @@ def quality_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The input rows that pass, all columns as they were.
-
-    The verdict is computed once a row, in the projection: a row number beside it
-    keeps the optimizer from writing it out again inside the filter."""
-    judged = judge(docs, text_col, tuple(docs.columns), rules).select(
-        "keep", "kept", F.monotonically_increasing_id().alias("row"))
-    return judged.where(F.col("kept") & (F.col("row") >= 0)).select("keep.*")
+    """The input rows that pass, all columns as they were."""
+    return judge(docs, text_col, tuple(docs.columns), rules).where("kept").select("keep.*")
 
 
 REPORT_SQL = """

@@ -71,9 +71,9 @@ def find_spans(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] =
     by_kind = Window.partitionBy("row", "kind").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
     placed = rows.withColumn("end", F.sum(F.col("gap") + F.col("len")).over(by_kind).cast("long")) \
         .withColumn("start", F.col("end") - F.col("len"))
-    good = placed.where(F.col("good") | F.col("kind").isNull())
+    # hits that are too short have moved the scan on, and count for nothing else
     role = F.element_at(F.array(*(F.lit(KINDS[k][3]) for k in kinds)), F.col("kind") + 1)
-    tagged = good.withColumn("role", role)
+    tagged = placed.withColumn("role", F.when(F.col("good"), role))
     order = [F.col("start"), F.col("kind")]
     before = Window.partitionBy("row").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     after = Window.partitionBy("row").orderBy(*order).rowsBetween(1, Window.unboundedFollowing)
@@ -91,7 +91,7 @@ def find_spans(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] =
             linked = linked | ((F.col("role") == r) & near(o))
     strong = F.col("kind") < len(BASE)
     reported = tagged.withColumn("span", F.when(
-        F.col("kind").isNotNull() & (strong | linked), F.struct("start", "kind", "end")))
+        F.col("good") & (strong | linked), F.struct("start", "kind", "end")))
     return reported.groupBy("row").agg(
         F.first("keep").alias("keep"), F.sort_array(F.collect_list("span")).alias("spans")).drop("row")
 
@@ -102,12 +102,15 @@ def _joined(spans: Column) -> Column:
         ":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))))
 
 
+def _of_kind(kind: int) -> Column:
+    return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+
 def secret_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Counts of the base kinds, their digest, and all spans as text."""
     found = find_spans(docs, text_col, (id_col,))
     base = F.filter("spans", lambda s: s["kind"] < len(BASE))
-    counts = [F.size(F.filter("spans", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{k}")
-              for i, k in enumerate(BASE)]
+    counts = [_of_kind(i).alias(f"n_{k}") for i, k in enumerate(BASE)]
     return found.select(F.col("keep")[id_col].alias(id_col), *counts,
                         F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"))
 
