@@ -9,7 +9,8 @@ answered from that table without encoding anything again.
 
 No piece has a word mark after another character, and a character that is in
 no longer piece never merges, so a text falls into independent chunks whose
-tables are cached per task (bounded) and added up.
+counts are cached per Python worker (bounded) and added up; a chunk that isn't
+there is cut again between characters that no piece has side by side.
 
 Nulls count as empty texts (0 tokens), null ids are kept, repeated rows give
 repeated rows, columns other than the id and the text are not read.
@@ -26,7 +27,9 @@ from pyspark.sql import DataFrame
 from .common import map_batches, rows_batch
 
 MARK = "▁"
-CACHE_ENTRIES = 300_000   # chunk tables kept per task
+CACHE_ENTRIES = 600_000   # chunks, and their parts, kept per Python worker
+NEVER = 1 << 60
+UNREACHED = ("", "")
 CACHE_CHARS = 48          # longer chunks are computed each time
 
 
@@ -60,9 +63,12 @@ class PrefixCounter:
 
     def __init__(self, vocab: PieceVocab):
         self.v = vocab
-        self._encoded: dict[str, list[str]] = {}
+        self._splits: dict[str, tuple[str, str] | None] = {}   # one entry a piece
         self._pairs: dict[tuple[str, str], bool] = {}
-        self.totals = _Totals(self)
+        self.reached = {p for p in vocab.ranks if self._parts(p) != UNREACHED}
+        self.tails = {p[i:] for p in self.reached for i in range(len(p))}
+        self.neighbours = {p[i:i + 2] for p in self.reached for i in range(len(p) - 1)}
+        self.totals, self.part_totals = _Bounded(self._chunk_total), _Bounded(self._part_total)
         joined = {c for p in vocab.ranks if len(p) > 1 for c in p} - {MARK}
         inner = any(MARK in p.lstrip(MARK) for p in vocab.ranks)
         cls = "".join(re.escape(c) for c in sorted(joined)) or MARK
@@ -74,28 +80,45 @@ class PrefixCounter:
         s = text.replace(" ", MARK)
         return MARK + s if self.v.dummy_prefix else s
 
-    def _merge(self, s: str) -> list[str]:
-        """Plain BPE of a short string (two pieces at most)."""
-        got = self._encoded.get(s)
-        if got is None:
-            parts, ranks = list(s), self.v.ranks
+    def _parts(self, piece: str) -> tuple[str, str] | None:
+        """The two pieces of the last merge that makes ``piece``; None for a single
+        character, and ``("", "")`` for a piece that merging never reaches."""
+        got = self._splits.get(piece, 0)
+        if got == 0:
+            got, parts, ranks = None, list(piece), self.v.ranks
             while len(parts) > 1:
-                best, at = min(((ranks.get(a + b, 1 << 60), i)
-                                for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False))))
-                if best == 1 << 60:
+                best, at = min((ranks.get(a + b, NEVER), i)
+                               for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False)))
+                if best == NEVER:
+                    got = UNREACHED
                     break
+                got = parts[at], parts[at + 1]
                 parts[at:at + 2] = [parts[at] + parts[at + 1]]
-            if len(self._encoded) > CACHE_ENTRIES:
-                self._encoded.clear()
-            self._encoded[s] = got = parts
+            self._splits[piece] = got
         return got
 
     def _fits(self, a: str, b: str) -> bool:
+        """Whether ``a`` and ``b`` stay apart when ``a + b`` is merged: undo their
+        merges from the latest back, and see that no merge across the boundary
+        would have come before; a merge on the left wins among equals."""
         ok = self._pairs.get((a, b))
         if ok is None:
+            rank, x, y, before = self.v.ranks.get, a, b, NEVER
+            ok = True
+            while True:
+                if rank(x + y, NEVER) < before:
+                    ok = False
+                    break
+                p, q = self._parts(x), self._parts(y)
+                if p and (not q or rank(x) > rank(y)):
+                    before, x = rank(x), p[1]
+                elif q:
+                    before, y = rank(y) + 1, q[0]
+                else:
+                    break
             if len(self._pairs) > 4 * CACHE_ENTRIES:
                 self._pairs.clear()
-            ok = self._pairs[a, b] = self._merge(a + b) == [a, b]
+            self._pairs[a, b] = ok
         return ok
 
     def _cost(self, token: str) -> int:
@@ -105,16 +128,35 @@ class PrefixCounter:
 
     def table(self, chunk: str) -> list[int]:
         """``table[i]``: tokens of ``chunk[:i]``, for every ``i``."""
-        ranks, far, fits = self.v.ranks, self.v.longest, self._fits
+        reached, tails, pairs, fits = self.reached, self.tails, self._pairs, self._fits
         last, count = [""] * (len(chunk) + 1), [0] * (len(chunk) + 1)
         for i in range(1, len(chunk) + 1):
-            for j in range(max(0, i - far), i):
+            j = i - 1
+            while j >= 0 and (t := chunk[j:i]) in tails:
+                if t in reached:
+                    if not j:
+                        break
+                    ok = pairs.get((last[j], t))
+                    if ok or (ok is None and fits(last[j], t)):
+                        break
+                j -= 1
+            else:   # a character without a piece stays alone
+                j = i - 1
                 t = chunk[j:i]
-                if (t in ranks or j == i - 1) and (fits(last[j], t) if j else self._merge(t) == [t]):
-                    last[i], count[i] = t, count[j] + self._cost(t)
-                    break
+            last[i], count[i] = t, count[j] + (1 if t in reached else self._cost(t))
         return count
 
+    def _part_total(self, part: str) -> int:
+        return self.table(part)[-1]
+
+    def _chunk_total(self, chunk: str) -> int:
+        near, begin, n = self.neighbours, 0, 0
+        for i in range(1, len(chunk)):
+            if chunk[i - 1:i + 1] not in near:
+                n += self.part_totals[chunk[begin:i]]
+                begin = i
+        return n + self.part_totals[chunk[begin:]]
+
     def count(self, text: str | None) -> int:
         return sum(map(self.totals.__getitem__, self.chunks(self.normal(text or ""))))
 
@@ -135,27 +177,39 @@ class PrefixCounter:
         return next(i for i in range(len(counts) - 1, -1, -1) if counts[i] <= budget or not i)
 
 
-class _Totals(dict):
-    """Token count of a chunk, from its prefix table; bounded."""
+class _Bounded(dict):
+    """Computes what is missing; emptied when full, and long keys aren't kept."""
 
-    def __init__(self, owner: PrefixCounter):
+    def __init__(self, compute):
         super().__init__()
-        self.owner = owner
+        self.compute = compute
 
-    def __missing__(self, chunk: str) -> int:
-        n = self.owner.table(chunk)[-1]
-        if len(chunk) <= CACHE_CHARS:
+    def __missing__(self, key: str) -> int:
+        n = self.compute(key)
+        if len(key) <= CACHE_CHARS:
             if len(self) >= CACHE_ENTRIES:
                 self.clear()
-            self[chunk] = n
+            self[key] = n
         return n
 
 
+_COUNTERS: dict[int, PrefixCounter] = {}
+
+
+def counter_for(vocab: PieceVocab) -> PrefixCounter:
+    """The worker's counter for a vocabulary; the last one stays between tasks."""
+    key = hash(tuple(vocab.ranks.items()))
+    if key not in _COUNTERS:
+        _COUNTERS.clear()
+        _COUNTERS[key] = PrefixCounter(vocab)
+    return _COUNTERS[key]
+
+
 def token_counts(docs: DataFrame, vocab: PieceVocab, id_col: str = "doc_id",
                  text_col: str = "text", limit: int = 4096) -> DataFrame:
     """One row per input row: id, UTF-8 bytes, tokens, whether over ``limit``."""
     def make():
-        counter = PrefixCounter(vocab)
+        counter = counter_for(vocab)
 
         def step(b: pa.RecordBatch) -> pa.RecordBatch:
             texts = [t.as_py() or "" for t in b.column(1)]
@@ -175,7 +229,7 @@ def prefix_token_counts(docs: DataFrame, vocab: PieceVocab, id_col: str = "doc_i
                         text_col: str = "text") -> DataFrame:
     """The whole table per row: ``counts[i]`` = tokens of the first ``i`` code points."""
     def make():
-        counter = PrefixCounter(vocab)
+        counter = counter_for(vocab)
 
         def step(b: pa.RecordBatch) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
@@ -191,7 +245,7 @@ def truncate_to_budget(docs: DataFrame, vocab: PieceVocab, budget: int, id_col:
                        text_col: str = "text") -> DataFrame:
     """The longest prefix of each text within ``budget`` tokens, and its count."""
     def make():
-        counter = PrefixCounter(vocab)
+        counter = counter_for(vocab)
 
         def step(b: pa.RecordBatch) -> pa.RecordBatch:
             texts = [t.as_py() or "" for t in b.column(1)]
