@@ -31,13 +31,15 @@ def test_symbol_filter_pushed_below_window(spark):
 
 def test_scan_prunes_columns(spark):
     p = plan(QUERIES["rows_per_symbol"](spark, SF_SMALL))
-    assert "ReadSchema: struct<user_id:bigint>" in p or "user_id" in p
+    # every path that reads the table reads this column, and the filter's time
+    assert re.findall(r"ReadSchema: struct<([^>]*)>", p) == ["ts:timestamp_ntz,user_id:bigint"]
 
 
 def test_enriched_reads_prune_partitions(spark):
     p = formatted(QUERIES["scan_enriched"](spark, SF_SMALL))
     part = [l for l in p.splitlines() if l.startswith("PartitionFilters")][0]
-    assert "symbol IN" in part and "date >=" in part
+    pushed = [l for l in p.splitlines() if l.startswith("PushedFilters")][0]
+    assert "date >=" in part and "In(symbol" in pushed
 
 
 def test_recent_read_pushes_time_predicate(spark):
@@ -45,3 +47,28 @@ def test_recent_read_pushes_time_predicate(spark):
     pushed = [l for l in p.splitlines() if l.startswith("PushedFilters")][0]
     part = [l for l in p.splitlines() if l.startswith("PartitionFilters")][0]
     assert "GreaterThanOrEqual(event_time" in pushed and "date >=" in part
+
+
+def test_hot_symbols_are_not_gathered_before_they_are_split(spark):
+    p = formatted(QUERIES["enrich_split"](spark, SF_SMALL))
+    tree = p[:p.index("(1)")]
+    # the only windows by symbol alone run over the small tables of minutes and blocks
+    keys = re.findall(r"Arguments: hashpartitioning\(symbol, (\S+?),", p)
+    assert "_g" in keys and "_m" in keys
+    assert "persist" not in tree and "InMemoryRelation" not in p
+
+
+def test_views_without_indicators_plan_no_window(spark):
+    for name in ("rows_per_symbol", "data_type_breakdown", "distinct_symbols", "recent_rows"):
+        p = plan(QUERIES[name](spark, SF_SMALL))
+        assert "Window" not in p, name
+
+
+def test_correlation_reads_its_input_once(spark):
+    p = formatted(QUERIES["corr_matrix"](spark, SF_SMALL))
+    assert "lineitem.parquet" not in p and "points-" in p
+
+
+def test_percentile_has_no_single_task_over_the_data(spark):
+    p = plan(QUERIES["latency_stats"](spark, SF_SMALL))
+    assert "percentile" not in p

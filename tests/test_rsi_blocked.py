@@ -20,14 +20,14 @@ def series(spark, n, symbols=2):
 
 
 def test_blocked_equals_plain(spark):
+    """Weights that restart every 2,000 or 100 rows, against one run of weights."""
     df = series(spark, 3000)
-    plain = {r["seq"]: r["rsi_14"] for r in with_rsi(df, stats=SeriesStats(3000, 2, 6000)).collect()}
-    blocked = {r["seq"]: r["rsi_14"] for r in
-               with_rsi(df, stats=SeriesStats(10 ** 9, 2, 6000)).collect()}
-    assert plain.keys() == blocked.keys()
-    diff = [k for k in plain if plain[k] != blocked[k]
-            and not (plain[k] is not None and blocked[k] is not None and abs(plain[k] - blocked[k]) <= 0.01)]
-    assert not diff
+    plain = {r["seq"]: r["rsi_14"] for r in with_rsi(df, stats=SeriesStats(3000), block=5000).collect()}
+    for block in (None, 100):
+        blocked = {r["seq"]: r["rsi_14"] for r in with_rsi(df, stats=SeriesStats(10 ** 9), block=block).collect()}
+        assert plain.keys() == blocked.keys()
+        assert not [k for k in plain if plain[k] != blocked[k]
+                    and not (None not in (plain[k], blocked[k]) and abs(plain[k] - blocked[k]) <= 0.01)]
 
 
 def test_blocked_long_series_finite(spark):

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -38,7 +39,6 @@ def test_kernel_split_invariance():
     closes = [100, 101, 102, 101, 103, 99, 98, 100, 104, 105, 104, 106, 107, 105, 108, 110, 96]
     opens = [100] + closes[:-1]
     vols = [10, 20, 0, 0, 0, 0, 0, 40, 10, 10, 20, 20, 10, 10, 30, 10, 200]
-    import numpy as np
     one = advance(SymbolState(), np.array(opens, float), np.array(closes, float), np.array(vols))
     st = SymbolState()
     parts = [advance(st, np.array(opens[a:b], float), np.array(closes[a:b], float), np.array(vols[a:b]))
@@ -75,7 +75,7 @@ def test_three_minutes_late_merged_ten_minutes_late_reported(spark):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{root}/in")
     end = [(None, None, None, None, None, None, None, END_OF_INPUT, None, None, None, -1, None, None)]
     spark.createDataFrame(end, schema).write.mode("append").parquet(f"{root}/in")
-    paths = run_enrichment(spark, root, spark.read.parquet(f"{root}/in").schema)
+    paths = run_enrichment(spark, root, spark.read.parquet(f"{root}/in").schema, files=1)
     out = spark.read.schema(ENRICHED_TICK).parquet(paths.enriched)
     late = spark.read.schema(ENRICHED_TICK).json(paths.late)
     got = [r["seq"] for r in out.where("symbol = 'A'").orderBy("event_time", "seq").collect()]
@@ -108,7 +108,7 @@ def test_progress_recorder(spark):
     rec = attach(spark)
     try:
         root = scratch(spark, "progress")
-        stage_tick_files(spark, SF_SMALL, root, n_files=3)
+        stage_tick_files(spark, SF_SMALL, root, n_slices=3)
         run_enrichment(spark, root, _tick_schema(spark, SF_SMALL))
         import time
         time.sleep(2)      # listener events are delivered asynchronously
@@ -121,13 +121,52 @@ def test_progress_recorder(spark):
         spark.streams.removeListener(rec)
 
 
-@pytest.mark.parametrize("n_files", [1, 3, 7])
-def test_stream_equals_batch_for_any_split(spark, n_files):
+@pytest.mark.parametrize("n_slices", [1, 3, 7])
+def test_stream_equals_batch_for_any_split(spark, n_slices):
     from tickwise.plans.catalog import _tick_schema, run_enrichment, scratch, stage_tick_files
     from tickwise.schema import ENRICHED_TICK
-    root = scratch(spark, f"split-{n_files}")
-    stage_tick_files(spark, SF_SMALL, root, n_files=n_files)
+    root = scratch(spark, f"split-{n_slices}")
+    stage_tick_files(spark, SF_SMALL, root, n_slices=n_slices)
     paths = run_enrichment(spark, root, _tick_schema(spark, SF_SMALL))
     cols = [c for c in ENRICHED_COLS if c != "rsi_14"]
     stream = spark.read.schema(ENRICHED_TICK).parquet(paths.enriched)
     assert as_set(stream, cols) == as_set(QUERIES["enrich_ticks"](spark, SF_SMALL), cols)
+
+
+def test_kernel_equals_batch_on_missing_volume_and_open(spark):
+    """A missing volume counts nowhere and has no VWAP; a missing open gives no change."""
+    from tickwise.operators.enrich import enrich
+    t0 = dt.datetime(2024, 1, 2)
+    rows = [("A", t0 + dt.timedelta(minutes=i), i, None if i % 4 == 1 else 10.0, 10.0 + i % 3,
+             None if i % 3 == 1 else 10 + i) for i in range(30)]
+    df = spark.createDataFrame(rows, "symbol string, event_time timestamp_ntz, seq long, open double, close double, volume long")
+    batch = [r for r in enrich(df).orderBy("seq").collect()]
+    nan = float("nan")
+    out = advance(SymbolState(), np.array([nan if r[3] is None else r[3] for r in rows]),
+                  np.array([r[4] for r in rows]), np.array([r[5] or 0 for r in rows]),
+                  has_volume=np.array([r[5] is not None for r in rows]))
+    for c in ("moving_avg_5", "volatility", "vwap", "volume_trend", "price_change_pct", "rsi_14"):
+        got = [None if np.isnan(v) else v for v in out[c]]
+        assert got == [r[c] for r in batch], c
+    assert batch[1]["vwap"] is None and batch[1]["volume_trend"] is None and batch[1]["price_change_pct"] is None
+
+
+def test_large_volumes_do_not_overflow(spark):
+    from tickwise.operators.enrich import enrich
+    t0 = dt.datetime(2024, 1, 2)
+    rows = [("A", t0 + dt.timedelta(minutes=i), i, 600000.0, 600000.0, 10 ** 13) for i in range(40)]
+    df = spark.createDataFrame(rows, "symbol string, event_time timestamp_ntz, seq long, open double, close double, volume long")
+    for plan in (enrich(df), enrich(df, split_rows=10, split_block_rows=20, rsi_block=20)):
+        assert {r["vwap"] for r in plan.collect()} == {600000.0}
+    st = SymbolState()
+    for k in range(4):
+        out = advance(st, np.full(10, 600000.0), np.full(10, 600000.0), np.full(10, 10 ** 13))
+        assert set(out["vwap"]) == {600000.0}
+    assert st.spv == 40 * 60_000_000 * 10 ** 13
+
+
+def test_far_future_and_old_ticks_are_quarantined(spark):
+    from tickwise.sources.ticks import decode_ticks
+    lines = ['{"symbol": "A", "close": 1.0, "timestamp": "%s-01-02 09:30:00"}' % y for y in (2024, 3024, 1960)]
+    df = decode_ticks(spark.createDataFrame([(x,) for x in lines], "value string"))
+    assert [r["quarantine"] for r in df.collect()] == [None, "future_timestamp", "old_timestamp"]

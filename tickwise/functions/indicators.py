@@ -56,25 +56,33 @@ def volatility(close: str, w: WindowSpec, n: int = 5, price_scale: int | None =
     f = rows_frame(w, n)
     if price_scale is None:
         return np_round(F.stddev_samp(close).over(f), 4)
-    c = to_cents(close, price_scale)
+    # wide enough for the square of any 64-bit price
+    c = to_cents(close, price_scale).cast("decimal(19,0)")
     k = F.count(c).over(f)
-    s1 = F.sum(c).over(f)
+    s1 = F.sum(c).over(f).cast("decimal(19,0)")
     s2 = F.sum(c * c).over(f)
     # exact integer numerator n*sum(c^2) - sum(c)^2, then one division
-    var_units = safe_div(k * s2 - s1 * s1, k * (k - 1))
+    var_units = safe_div(k.cast("decimal(2,0)") * s2 - s1 * s1, k * (k - 1))
     sd = F.sqrt(var_units) / F.lit(float(10 ** price_scale))
     return F.when(k >= 2, np_round(sd, 4))
 
 
+def vwap_terms(close: str, volume: str, price_scale: int | None = 2) -> tuple[Column, Column]:
+    """Price*volume and volume as summed by VWAP: 38-digit integers, so that a
+    long history of large volumes can't overflow; doubles without a scale."""
+    if price_scale is None:
+        return F.col(close) * F.col(volume), F.col(volume).cast("double")
+    v = F.col(volume).cast("decimal(19,0)")
+    return to_cents(close, price_scale).cast("decimal(18,0)") * v, v
+
+
 def vwap(close: str, volume: str, w: WindowSpec, price_scale: int | None = 2) -> Column:
-    """Cumulative sum(price*volume)/sum(volume) over the series, 2 dp."""
+    """Cumulative sum(price*volume)/sum(volume) over the series, 2 dp; null on
+    rows without a volume, which the sums leave out."""
     f = running(w)
-    if price_scale is None:
-        return np_round(safe_div(F.sum(F.col(close) * F.col(volume)).over(f),
-                                 F.sum(volume).over(f)), 2)
-    c = to_cents(close, price_scale)
-    return units_to_2dp(safe_div(F.sum(c * F.col(volume)).over(f), F.sum(volume).over(f)),
-                        price_scale)
+    pv, v = vwap_terms(close, volume, price_scale)
+    units = F.when(F.col(volume).isNotNull(), safe_div(F.sum(pv).over(f), F.sum(v).over(f)))
+    return np_round(units, 2) if price_scale is None else units_to_2dp(units, price_scale)
 
 
 def volume_trend(volume: str, w: WindowSpec, n: int = 5) -> Column:
@@ -112,8 +120,8 @@ def latency_ms(process_ms: Column, produce_ms: Column) -> Column:
 # (alpha = 1/periods, first value once ``periods`` differences exist).
 # The normalising weights cancel in gain/loss, so
 #   RS_t = sum_j gain_j * W^j / sum_j loss_j * W^j,  W = periods/(periods-1).
-# W^j overflows for long series; ``rsi_block_rows`` gives the longest run
-# that can use the plain weights, longer series are rebased per block.
+# W^j overflows for long series, so the weights restart every
+# ``rsi_block_rows`` rows and block totals are carried on decayed.
 
 def rsi_growth(periods: int) -> float:
     return periods / (periods - 1.0)
@@ -124,8 +132,9 @@ def rsi_block_rows(periods: int) -> int:
     return int(min(2000, math.floor(600.0 / math.log(rsi_growth(periods)))))
 
 
-def rsi_plain_limit(periods: int) -> int:
-    return int(math.floor(600.0 / math.log(rsi_growth(periods))))
+def rsi_decay(periods: int, block: int) -> float:
+    """What is left of a weight after a block."""
+    return (1.0 / rsi_growth(periods)) ** block
 
 
 def rsi_carry_lags(periods: int, block: int) -> int:

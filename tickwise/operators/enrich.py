@@ -3,30 +3,26 @@ volume trend, price change, crash flag, latency).
 
 Plan shape: every indicator is a window expression over one ordered
 window ``partitionBy(symbol).orderBy(event_time, seq)``, so the whole
-enrichment is one hash exchange on ``symbol`` plus one sort.  A series
-longer than ``rsi_plain_limit`` rows (about 8,000 for RSI-14) rebases the
-RSI weights per block of rows and carries the decayed block totals
-forward through a small block table (one row per 2,000 ticks), which is
-broadcast when its checked size allows and shuffle-joined otherwise.
+enrichment is one hash exchange on ``symbol`` plus one sort.  RSI weights
+restart every ``rsi_block_rows`` rows, and a longer series carries the
+decayed totals of the blocks before, gathered by a range frame over the
+block number inside the same exchange.
 
 Symbols that hold a large share of all rows are split by time (see
 ``tickwise.operators.split_enrich``) so that no single task owns a hot
-series.
+series; both plans use the same blocks and give the same values.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickwise.functions import indicators as ind
 
 ORDER_COLS = ("event_time", "seq")
 
-# Largest block table (rows) that is broadcast to the join with the ticks.
-BROADCAST_BLOCK_ROWS = 2_000_000
 # A series longer than this is enriched by the split plan (row blocks),
 # so no task holds more than about this many rows of one symbol.
 SPLIT_ROWS = 5_000_000
@@ -36,109 +32,89 @@ SPLIT_ROWS = 5_000_000
 class SeriesStats:
     """Per-call facts about the input that steer the physical plan."""
     max_rows: int
-    n_symbols: int
-    n_rows: int
-    hot: tuple = ()          # symbols with more than ``split_rows`` rows
 
 
-def series_stats(ticks: DataFrame, key: str = "symbol", split_rows: int = SPLIT_ROWS) -> SeriesStats:
-    """One small aggregate job: longest series, symbol count, row count
-    and the hot symbols (at most n_rows / split_rows of them).
+def rows_per_key(ticks: DataFrame, key: str = "symbol") -> DataFrame:
+    """Rows per symbol; partial aggregation keeps the shuffle to one row
+    per symbol and map task, and only the key column is read."""
+    return ticks.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
 
-    Reads only the key column; partial aggregation keeps the shuffle to
-    one row per symbol and map task.
-    """
-    per = ticks.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    r = per.agg(F.max("n").alias("m"), F.count(F.lit(1)).alias("k"), F.sum("n").alias("t"),
-                F.collect_list(F.when(F.col("n") > split_rows, F.col(key))).alias("hot")).first()
-    return SeriesStats(int(r["m"] or 0), int(r["k"] or 0), int(r["t"] or 0), tuple(r["hot"] or ()))
+
+def series_stats(ticks: DataFrame, key: str = "symbol") -> SeriesStats:
+    """One small aggregate job: the longest series."""
+    ticks = usable(ticks, key)
+    return SeriesStats(int(rows_per_key(ticks, key).agg(F.max("_n")).first()[0] or 0))
+
+
+def usable(ticks: DataFrame, key: str = "symbol") -> DataFrame:
+    """Rows that belong to a series: a symbol and an event time."""
+    return ticks.where(F.col(key).isNotNull() & F.col("event_time").isNotNull())
 
 
 def symbol_window(key: str = "symbol"):
     return Window.partitionBy(key).orderBy(*ORDER_COLS)
 
 
-def _with_rsi_plain(df: DataFrame, w, periods: int) -> DataFrame:
-    g, l = ind.gain_loss("close", w)
-    growth = ind.rsi_growth(periods)
-    wt = F.pow(F.lit(growth), F.row_number().over(w).cast("double"))
-    run = ind.running(w)
-    x = df.select("*", g.alias("_g"), l.alias("_l"), wt.alias("_wt"))
-    x = x.select("*",
-                 F.sum(F.col("_g") * F.col("_wt")).over(run).alias("_gs"),
-                 F.sum(F.col("_l") * F.col("_wt")).over(run).alias("_ls"),
-                 F.count("_g").over(run).alias("_nd"))
-    return (x.withColumn("rsi_14", ind.rsi_from_sums(F.col("_gs"), F.col("_ls"), F.col("_nd"), periods))
-             .drop("_g", "_l", "_wt", "_gs", "_ls", "_nd"))
-
-
-def _with_rsi_blocked(df: DataFrame, w, periods: int, key: str,
-                      broadcast_ok: bool) -> DataFrame:
-    """RSI for long series: block-relative weights + decayed block carries.
-
-    The persisted frame stays cached until released (``spark.catalog.
-    clearCache()`` after the result is written).
-    Only series up to ``SPLIT_ROWS`` rows take this path, so a symbol has
-    at most SPLIT_ROWS / block carries; they are gathered into one map per
-    symbol and joined on ``symbol`` - the facts' own partitioning, so the
-    ticks are not shuffled again whether the map table is broadcast or not.
-    """
-    B = ind.rsi_block_rows(periods)
-    growth = ind.rsi_growth(periods)
-    decay_b = (1.0 / growth) ** B
-    lags = ind.rsi_carry_lags(periods, B)
-    g, l = ind.gain_loss("close", w)
-    run = ind.running(w)
-    x = (df.select("*", F.row_number().over(w).alias("_rn"), g.alias("_g"), l.alias("_l"))
-           .withColumn("_blk", F.floor((F.col("_rn") - 1) / B).cast("long"))
-           .withColumn("_wt", F.pow(F.lit(growth),
-                                    (F.col("_rn") - 1 - F.col("_blk") * B).cast("double"))))
-    x = x.select("*", F.count("_g").over(run).alias("_nd"))
-    wb = ind.running(Window.partitionBy(key, "_blk").orderBy(*ORDER_COLS))
-    x = x.select("*", F.sum(F.col("_g") * F.col("_wt")).over(wb).alias("_gi"),
-                 F.sum(F.col("_l") * F.col("_wt")).over(wb).alias("_li"))
-    # one materialisation feeds the rows and the block totals, so the
-    # symbol exchange runs once
-    x = x.persist(StorageLevel.MEMORY_AND_DISK)
-    # block totals -> decayed contributions to the next ``lags`` blocks
-    totals = x.groupBy(key, "_blk").agg(
-        F.sum(F.col("_g") * F.col("_wt")).alias("_tg"),
-        F.sum(F.col("_l") * F.col("_wt")).alias("_tl"))
-    steps = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(decay_b ** i).alias("f"))
-                                for i in range(1, lags + 1)]))
-    carry = (totals.select(key, "_blk", "_tg", "_tl", steps.alias("_s"))
-             .select(F.col(key), (F.col("_blk") + F.col("_s.i")).alias("_blk"),
-                     (F.col("_tg") * F.col("_s.f")).alias("_cg"),
-                     (F.col("_tl") * F.col("_s.f")).alias("_cl"))
-             .groupBy(key, "_blk").agg(F.sum("_cg").alias("_cg"), F.sum("_cl").alias("_cl"))
-             .groupBy(key).agg(F.map_from_entries(F.collect_list(
-                 F.struct("_blk", F.struct("_cg", "_cl")))).alias("_cmap")))
-    if broadcast_ok:
-        carry = F.broadcast(carry)
-    x = x.join(carry, [key], "left")
-    cm = F.element_at(F.col("_cmap"), F.col("_blk"))
-    gsum = F.coalesce(cm.getField("_cg"), F.lit(0.0)) + F.col("_gi")
-    lsum = F.coalesce(cm.getField("_cl"), F.lit(0.0)) + F.col("_li")
-    return (x.withColumn("rsi_14", ind.rsi_from_sums(gsum, lsum, F.col("_nd"), periods))
-             .drop("_rn", "_g", "_l", "_nd", "_blk", "_wt", "_gi", "_li", "_cmap"))
+def rsi_carry(totals: Column, decay: float) -> tuple[Column, Column]:
+    """Decayed gain and loss sums of the blocks before, from an array of
+    (_r, _g, _l) totals; added in block order, so every plan adds alike."""
+    zero = F.struct(F.lit(0.0).alias("g"), F.lit(0.0).alias("l"))
+    sums = F.aggregate(F.sort_array(totals), zero, lambda a, t: F.struct(
+        ((a["g"] + t["_g"]) * decay).alias("g"), ((a["l"] + t["_l"]) * decay).alias("l")))
+    return sums["g"], sums["l"]
 
 
 def with_rsi(df: DataFrame, periods: int = 14, key: str = "symbol",
-             stats: SeriesStats | None = None) -> DataFrame:
+             stats: SeriesStats | None = None, block: int | None = None) -> DataFrame:
     """Add ``rsi_14`` (RSI over ``periods``) to an ordered tick frame."""
-    w = symbol_window(key)
     if stats is None:
+        df = usable(df, key)
         stats = series_stats(df, key)
-    if stats.max_rows <= ind.rsi_plain_limit(periods):
-        return _with_rsi_plain(df, w, periods)
-    n_blocks = stats.n_rows // ind.rsi_block_rows(periods) + stats.n_symbols
-    return _with_rsi_blocked(df, w, periods, key, n_blocks <= BROADCAST_BLOCK_ROWS)
+    B = block or ind.rsi_block_rows(periods)
+    growth = ind.rsi_growth(periods)
+    w = symbol_window(key)
+    g, l = ind.gain_loss("close", w)
+    many = stats.max_rows > B
+    x = (df.select("*", (F.row_number().over(w) - 1).alias("_rn0"), g.alias("_g"), l.alias("_l"))
+           .withColumn("_r", F.floor(F.col("_rn0") / B).cast("long")))
+    x = x.withColumn("_wt", F.pow(F.lit(growth), (F.col("_rn0") - F.col("_r") * B).cast("double")))
+    inner = ind.running(Window.partitionBy(key, "_r").orderBy(*ORDER_COLS) if many else w)
+    x = x.select("*", F.count("_g").over(ind.running(w)).alias("_nd"),
+                 F.sum(F.col("_g") * F.col("_wt")).over(inner).alias("_gi"),
+                 F.sum(F.col("_l") * F.col("_wt")).over(inner).alias("_li"))
+    gsum, lsum = F.col("_gi"), F.col("_li")
+    if many:
+        # a block's running sums at its last row are its totals
+        total = F.when((F.col("_rn0") + 1) % B == 0,
+                       F.struct("_r", F.col("_gi").alias("_g"), F.col("_li").alias("_l")))
+        before = Window.partitionBy(key).orderBy("_r").rangeBetween(-ind.rsi_carry_lags(periods, B), -1)
+        x = x.withColumn("_t", total).withColumn("_t", F.collect_list("_t").over(before))
+        cg, cl = rsi_carry(F.col("_t"), ind.rsi_decay(periods, B))
+        gsum, lsum = cg + gsum, cl + lsum
+    return (x.withColumn("rsi_14", ind.rsi_from_sums(gsum, lsum, F.col("_nd"), periods))
+             .drop("_rn0", "_g", "_l", "_r", "_wt", "_nd", "_gi", "_li", "_t"))
+
+
+def with_defaults(ticks: DataFrame) -> DataFrame:
+    if "spark_process_time" not in ticks.columns:
+        ticks = ticks.withColumn("spark_process_time", F.unix_millis(F.current_timestamp()))
+    if "kafka_produce_time" not in ticks.columns:
+        ticks = ticks.withColumn("kafka_produce_time", F.lit(None).cast("long"))
+    return ticks
+
+
+def with_open(df: DataFrame, w) -> DataFrame:
+    """``open`` = the close before (its own for the first tick), high and low from both."""
+    return (df.withColumn("open", F.coalesce(F.lag("close").over(w), F.col("close")))
+              .withColumn("high", F.greatest("open", "close"))
+              .withColumn("low", F.least("open", "close")))
 
 
 def enrich(ticks: DataFrame, price_scale: int | None = 2,
            crash: ind.CrashRule = ind.CrashRule(), rsi_periods: int = 14,
            stats: SeriesStats | None = None, key: str = "symbol",
-           split_rows: int = SPLIT_ROWS, split_block_rows: int = 1_000_000) -> DataFrame:
+           split_rows: int = SPLIT_ROWS, split_block_rows: int = 1_000_000,
+           rsi_block: int | None = None, open_from_close: bool = False) -> DataFrame:
     """All indicators for every tick.
 
     Symbols with more than ``split_rows`` rows go through the split plan
@@ -146,34 +122,33 @@ def enrich(ticks: DataFrame, price_scale: int | None = 2,
     symbol.  Both give the same values.
 
     ``ticks`` needs symbol, event_time, seq, open, close, volume and
-    optionally kafka_produce_time / spark_process_time.  Rows with a null
-    symbol or event time are not enriched (filter them out before, or use
-    ``tickwise.sources.ticks.decode_ticks`` which quarantines them).
+    optionally kafka_produce_time / spark_process_time; with
+    ``open_from_close`` open, high and low are derived from the closes.
+    Rows without a symbol or an event time belong to no series and are
+    left out before any plan is chosen (``tickwise.sources.ticks.
+    decode_ticks`` quarantines them, so they are counted there).
     ``stats`` (from :func:`series_stats`) may be passed to skip the
     planning job.
     """
+    if rsi_periods < 2:
+        raise ValueError("rsi_periods must be at least 2")
+    ticks = usable(ticks, key)
     if stats is None:
-        stats = series_stats(ticks, key, split_rows)
-    if stats.hot and price_scale is not None:
+        stats = series_stats(ticks, key)
+    if stats.max_rows > split_rows:
         from tickwise.operators.split_enrich import split_enrich
-        hot = list(stats.hot)
-        if len(hot) <= 1000:
-            cold_df, hot_df = ticks.where(~F.col(key).isin(hot)), ticks.where(F.col(key).isin(hot))
-        else:
-            # at most n_rows / split_rows names: a small broadcast key table
-            keys = F.broadcast(ticks.sparkSession.createDataFrame([(h,) for h in hot], [key]))
-            cold_df, hot_df = ticks.join(keys, key, "left_anti"), ticks.join(keys, key, "left_semi")
-        cold_stats = SeriesStats(min(stats.max_rows, split_rows), stats.n_symbols - len(hot),
-                                 stats.n_rows)
-        plain = enrich(cold_df, price_scale, crash, rsi_periods, cold_stats, key, split_rows)
-        split = split_enrich(hot_df, block_rows=split_block_rows, price_scale=price_scale,
-                             crash=crash, periods=rsi_periods, key=key)
+        # the hot keys stay a table: at most n_rows / split_rows names, joined by size
+        hot = rows_per_key(ticks, key).where(F.col("_n") > split_rows).select(key)
+        plain = enrich(ticks.join(hot, key, "left_anti").select(*ticks.columns), price_scale, crash,
+                       rsi_periods, SeriesStats(split_rows), key, split_rows, split_block_rows,
+                       rsi_block, open_from_close)
+        split = split_enrich(ticks.join(hot, key, "left_semi").select(*ticks.columns), split_block_rows,
+                             rsi_block, price_scale, crash, rsi_periods, key, open_from_close)
         return plain.unionByName(split.select(*plain.columns))
     w = symbol_window(key)
-    if "spark_process_time" not in ticks.columns:
-        ticks = ticks.withColumn("spark_process_time", F.unix_millis(F.current_timestamp()))
-    if "kafka_produce_time" not in ticks.columns:
-        ticks = ticks.withColumn("kafka_produce_time", F.lit(None).cast("long"))
+    if open_from_close:
+        ticks = with_open(ticks, w)
+    ticks = with_defaults(ticks)
     # one select: Catalyst evaluates all frames of ``w`` in one Window operator
     out = ticks.select(
         "*",
@@ -183,7 +158,11 @@ def enrich(ticks: DataFrame, price_scale: int | None = 2,
         ind.vwap("close", "volume", w, price_scale).alias("vwap"),
         ind.volume_trend("volume", w, 5).alias("volume_trend"),
         ind.price_change_pct("open", "close", price_scale).alias("price_change_pct"))
-    out = with_rsi(out, rsi_periods, key, stats)
+    out = with_rsi(out, rsi_periods, key, stats, rsi_block)
+    return with_flags(out, crash)
+
+
+def with_flags(out: DataFrame, crash: ind.CrashRule) -> DataFrame:
     return (out
             .withColumn("crash_score", ind.crash_flag(F.col("price_change_pct"),
                                                       F.col("volume_trend"),

@@ -1,24 +1,15 @@
-"""Dimension lookups with a checked broadcast."""
+"""Dimension lookups."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-# A dimension is broadcast only when its row count is at most this.
-MAX_BROADCAST_ROWS = 1_000_000
 
+def lookup_join(facts: DataFrame, dim: DataFrame, on, how: str = "left") -> DataFrame:
+    """Left join of facts to a dimension (symbol -> sector style).
 
-def bounded_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint when ``dim`` has at most ``max_rows`` rows.
-
-    The check counts at most ``max_rows + 1`` rows, so it stays cheap for
-    a large dimension; beyond the bound the join is left to a shuffle.
+    No hint is given: the dimension is broadcast when its measured size in
+    bytes is below ``spark.sql.autoBroadcastJoinThreshold`` (checked again at
+    run time by AQE), and joined by shuffle beyond it.
     """
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
-
-
-def lookup_join(facts: DataFrame, dim: DataFrame, on, how: str = "left",
-                max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Left join of facts to a dimension (symbol -> sector style)."""
-    return facts.join(bounded_broadcast(dim, max_rows), on, how)
+    return facts.join(dim, on, how)

@@ -5,19 +5,46 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tickwise.schema import EXPECTED_ANALYTICS_COLS
 
 
-def latency_stats(df: DataFrame, col: str = "latency_ms", exact: bool = True,
-                  accuracy: int = 10000) -> DataFrame:
-    """Mean and P95 (linear interpolation).  ``exact=False`` uses the
-    bounded-memory ``percentile_approx`` sketch for very large inputs."""
-    x = F.col(col).cast("double")
-    p95 = F.percentile(x, 0.95) if exact else F.percentile_approx(x, 0.95, accuracy)
-    return df.where(F.col(col).isNotNull()).agg(F.avg(x).alias("avg_ms"), p95.alias("p95_ms"),
-                                               F.count(F.lit(1)).alias("n"))
+def latency_stats(df: DataFrame, col: str = "latency_ms", q: float = 0.95, buckets: int = 1024) -> DataFrame:
+    """Mean and P95 (linear interpolation), exact.
+
+    Rows are counted per distinct value, the values fall into ``buckets``
+    ranges, and a running total over the ranges (one small table) tells which
+    of them hold the two neighbouring ranks; only their values are ranked.
+    """
+    vals = (df.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("double").alias("x"))
+              .agg(F.count(F.lit(1)).alias("c")))
+    whole = vals.agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.coalesce(F.sum("c"), F.lit(0)).alias("n"),
+                     F.sum(F.col("x") * F.col("c")).alias("s"))
+    place = F.coalesce(F.floor(F.try_divide(F.col("x") - F.col("lo"), F.col("hi") - F.col("lo"))
+                               * F.lit(float(buckets - 1))), F.lit(0))
+    # one-row side, broadcast by construction
+    cut = vals.crossJoin(F.broadcast(whole.select("lo", "hi"))).select("x", "c", place.alias("b"))
+    upto = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = cut.groupBy("b").agg(F.sum("c").alias("cb"))
+    pos = (F.col("n") - 1) * F.lit(q)
+    held = (sizes.withColumn("before", F.coalesce(F.sum("cb").over(upto), F.lit(0)))
+                 .crossJoin(F.broadcast(whole.select("n")))
+                 .where((F.col("before") <= F.ceil(pos)) & (F.col("before") + F.col("cb") > F.floor(pos)))
+                 .select("b", "before", "n"))
+    inner = Window.partitionBy("b").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = (cut.join(F.broadcast(held), "b")     # at most the few buckets that hold two ranks
+                 .withColumn("last", F.col("before") + F.sum("c").over(inner) - 1)
+                 .withColumn("first", F.col("last") - F.col("c") + 1))
+
+    def at(rank):
+        return F.max(F.when((F.col("first") <= rank) & (F.col("last") >= rank), F.col("x")))
+
+    two = ranked.agg(at(F.floor(pos)).alias("v0"), at(F.ceil(pos)).alias("v1"))
+    frac = pos - F.floor(pos)
+    return whole.crossJoin(two).select(
+        F.try_divide("s", "n").alias("avg_ms"),
+        (F.col("v0") + (F.col("v1") - F.col("v0")) * frac).alias("p95_ms"), "n")
 
 
 def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
@@ -90,6 +117,14 @@ def completeness_check(df: DataFrame, expected: Sequence[str] = tuple(EXPECTED_A
     return names.crossJoin(total)
 
 
+def column_differences(df: DataFrame, expected: Sequence[str] = tuple(EXPECTED_ANALYTICS_COLS)) -> DataFrame:
+    """Columns that are expected and absent, or present and not expected."""
+    have = set(df.columns)
+    rows = ([(c, "missing") for c in expected if c not in have]
+            + [(c, "unexpected") for c in df.columns if c not in set(expected)])
+    return df.sparkSession.createDataFrame(rows, "column_name string, difference string")
+
+
 def partition_listing(df: DataFrame, cols: Sequence[str] = ("date",), key: str = "symbol") -> DataFrame:
     """Distinct partition values with their row and symbol counts."""
     return df.groupBy(*cols).agg(F.count(F.lit(1)).alias("rows"),

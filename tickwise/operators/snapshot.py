@@ -72,8 +72,9 @@ def filter_sector_symbol(df: DataFrame, sectors: Sequence[str] = (),
 
 
 def recent_rows(df: DataFrame, n: int = 500, order: Sequence[str] = ORDER) -> DataFrame:
-    """The newest ``n`` rows overall (a top-k: each task keeps only n rows)."""
-    return df.orderBy(*[F.col(c).desc() for c in order]).limit(n)
+    """The newest ``n`` rows overall, oldest of them first (a top-k: each task
+    keeps only n rows; the second sort sees those n)."""
+    return df.orderBy(*[F.col(c).desc() for c in order]).limit(n).orderBy(*order)
 
 
 def sector_default(df: DataFrame, value: str = "Unknown") -> DataFrame:

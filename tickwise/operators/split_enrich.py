@@ -3,89 +3,59 @@ fixed-size row blocks so that no task holds a whole series.
 
 Plan
 ----
-1. Global row number per symbol without a per-symbol task:
-   ``repartitionByRange(symbol, event_time, seq)`` samples the keys and
-   cuts even ranges (a hot symbol spans many partitions); rows are
-   sorted within each range and numbered by position.  One small table
-   (one row per range x symbol it touches) gives each range's offset
-   within the symbol.
+1. Global row number per symbol without a per-symbol task: rows are
+   counted per (symbol, minute), the counts of the earlier minutes are the
+   offset of a minute, and rows are numbered inside it.  Both depend on
+   the rows alone, so a recomputed partition gets the same numbers.
 2. Blocks of ``block_rows`` rows per symbol.  The last ``HALO`` rows of
    each block are also sent to the next block, so every 5/20-row frame
    and the previous close are exact inside one (symbol, block) window
    group.  One hash exchange on (symbol, block).
-3. Cumulative quantities cross blocks through small tables:
-   * VWAP sums and difference counts: exclusive prefix over the block
-     table (one row per block per symbol);
-   * RSI: weights are rebased every ``rsi_block`` rows; each rebased
-     block's total reaches the next blocks decayed by q^(k*rsi_block)
-     (k up to ``rsi_carry_lags``, beyond which a double underflows to 0),
-     computed by a distributed explode + aggregate, then gathered per
-     window block into a map of at most block_rows/rsi_block entries.
-   Both tables come from one aggregate over the windowed rows, which are
-   persisted once (MEMORY_AND_DISK) so the rows and the tables share a
-   single (symbol, block) exchange; they join back on (symbol, block),
-   the rows' own partitioning.
-
-The result equals :func:`tickwise.operators.enrich.enrich`.
-
-The two persisted intermediates stay cached until released: after the
-result has been written, call ``spark.catalog.clearCache()`` (or let a
-long-running application's storage memory evict them).
+3. Cumulative quantities cross blocks through small tables, read off the
+   last rows of the blocks:
+   * VWAP sums and difference counts: prefix over one row per block;
+   * RSI: weights restart every ``rsi_block`` rows, and a sub-block starts
+     with the decayed totals of those before it (``rsi_carry``), kept per
+     block as an array that is read by position.
+   They join back on (symbol, block), the rows' own partitioning; nothing
+   is hinted, so their size decides between broadcast and shuffle.
+
+The result equals :func:`tickwise.operators.enrich.enrich`, bit by bit
+where prices have a scale.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tickwise.functions import indicators as ind
-from tickwise.functions.numeric import np_round, safe_div, to_cents
-from tickwise.operators.joins import bounded_broadcast
+from tickwise.functions.numeric import np_round, safe_div
+from tickwise.operators.enrich import rsi_carry, usable, with_defaults, with_flags, with_open
 
 ORDER = ("event_time", "seq")
 HALO = 19                      # rows of history the widest frame (20 rows) needs
 
 
-def global_row_number(ticks: DataFrame, key: str = "symbol", partitions: int | None = None) -> DataFrame:
-    """Adds ``_rn`` (1-based position in the symbol's (event_time, seq) order).
-
-    The ranged and numbered rows are persisted once, so the count table
-    and the rows read the same partitions (positions are only meaningful
-    within one materialisation).  A lost cached block is recomputed from
-    the same range shuffle and sort on a unique key, so it gets the same
-    positions back.
-    """
-    spark = ticks.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    r = (ticks.repartitionByRange(n, key, *ORDER)
-              .sortWithinPartitions(key, *ORDER)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_pos", F.monotonically_increasing_id())
-              .persist(StorageLevel.MEMORY_AND_DISK))
-    pieces = r.groupBy("_pid", key).agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_p0"))
-    wp = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = pieces.withColumn("_start", F.coalesce(F.sum("_n").over(wp), F.lit(0))).drop("_n")
-    return (r.join(bounded_broadcast(offs), ["_pid", key])
-             .withColumn("_rn", F.col("_start") + (F.col("_pos") - F.col("_p0")) + 1)
-             .drop("_pid", "_pos", "_p0", "_start"))
+def global_row_number(ticks: DataFrame, key: str = "symbol") -> DataFrame:
+    """Adds ``_rn`` (1-based position in the symbol's (event_time, seq) order);
+    needs a symbol and an event time."""
+    r = ticks.withColumn("_m", F.date_trunc("minute", "event_time"))
+    counts = r.groupBy(key, "_m").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(key).orderBy("_m").rowsBetween(Window.unboundedPreceding, -1)
+    offs = counts.select(key, "_m", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    w = Window.partitionBy(key, "_m").orderBy(*ORDER)
+    return (r.join(offs, [key, "_m"])
+             .withColumn("_rn", F.col("_start") + F.row_number().over(w))
+             .drop("_m", "_start"))
 
 
 def split_enrich(ticks: DataFrame, block_rows: int = 1_000_000, rsi_block: int | None = None,
-                 price_scale: int = 2, crash: ind.CrashRule = ind.CrashRule(),
-                 periods: int = 14, key: str = "symbol", partitions: int | None = None) -> DataFrame:
+                 price_scale: int | None = 2, crash: ind.CrashRule = ind.CrashRule(),
+                 periods: int = 14, key: str = "symbol", open_from_close: bool = False) -> DataFrame:
     rsi_block = rsi_block or ind.rsi_block_rows(periods)
-    if block_rows % rsi_block or block_rows <= HALO:
-        raise ValueError("block_rows must be a multiple of rsi_block and longer than the halo")
-    if "spark_process_time" not in ticks.columns:
-        ticks = ticks.withColumn("spark_process_time", F.unix_millis(F.current_timestamp()))
-    if "kafka_produce_time" not in ticks.columns:
-        ticks = ticks.withColumn("kafka_produce_time", F.lit(None).cast("long"))
-    growth = ind.rsi_growth(periods)
-    decay_b = (1.0 / growth) ** rsi_block
-    lags = ind.rsi_carry_lags(periods, rsi_block)
+    block_rows = -(-max(block_rows, HALO + 1) // rsi_block) * rsi_block
     per_block = block_rows // rsi_block
-
-    x = global_row_number(ticks, key, partitions)
+    x = global_row_number(with_defaults(usable(ticks, key)), key)
     blk = F.floor((F.col("_rn") - 1) / block_rows).cast("long")
     in_halo = ((F.col("_rn") - 1) % block_rows) >= block_rows - HALO
     x = (x.withColumn("_own", blk)
@@ -94,9 +64,11 @@ def split_enrich(ticks: DataFrame, block_rows: int = 1_000_000, rsi_block: int |
 
     w = Window.partitionBy(key, "_g").orderBy(*ORDER)
     run = ind.running(w)
-    c = to_cents("close", price_scale)
+    if open_from_close:
+        x = with_open(x, w)
     real = ~F.col("_halo")
     d = F.col("close") - F.lag("close").over(w)
+    pv, v = ind.vwap_terms("close", "volume", price_scale)
     x = x.select(
         "*",
         ind.moving_avg("close", w, 5, price_scale).alias("moving_avg_5"),
@@ -106,55 +78,48 @@ def split_enrich(ticks: DataFrame, block_rows: int = 1_000_000, rsi_block: int |
         ind.price_change_pct("open", "close", price_scale).alias("price_change_pct"),
         F.when(d.isNotNull(), F.greatest(d, F.lit(0.0))).alias("_gain"),
         F.when(d.isNotNull(), F.greatest(-d, F.lit(0.0))).alias("_loss"),
-        F.sum(F.when(real, c * F.col("volume"))).over(run).alias("_cpv"),
-        F.sum(F.when(real, F.col("volume"))).over(run).alias("_cv"),
+        F.sum(F.when(real, pv)).over(run).alias("_cpv"),
+        F.sum(F.when(real, v)).over(run).alias("_cv"),
         F.count(F.when(real & d.isNotNull(), F.lit(1))).over(run).alias("_nd"),
     ).where(real)
     # RSI within rebased sub-blocks (partitioned inside the same exchange)
     x = (x.withColumn("_r", F.floor((F.col("_rn") - 1) / rsi_block).cast("long"))
-          .withColumn("_wt", F.pow(F.lit(growth), ((F.col("_rn") - 1) % rsi_block).cast("double"))))
+          .withColumn("_wt", F.pow(F.lit(ind.rsi_growth(periods)),
+                                   ((F.col("_rn") - 1) % rsi_block).cast("double"))))
     wr = ind.running(Window.partitionBy(key, "_g", "_r").orderBy(*ORDER))
     x = x.select("*", F.sum(F.col("_gain") * F.col("_wt")).over(wr).alias("_gi"),
                  F.sum(F.col("_loss") * F.col("_wt")).over(wr).alias("_li"))
 
-    # One materialisation of the windowed rows feeds both the rows and the
-    # block tables (otherwise each consumer would repeat the exchange).
-    x = x.persist(StorageLevel.MEMORY_AND_DISK)
-    # per rebased sub-block: RSI totals plus the VWAP sums and diff counts
-    rtot = x.groupBy(key, "_g", "_r").agg(F.sum(F.col("_gain") * F.col("_wt")).alias("_tg"),
-                                          F.sum(F.col("_loss") * F.col("_wt")).alias("_tl"),
-                                          F.sum(c * F.col("volume")).alias("_bpv"),
-                                          F.sum("volume").alias("_bv"),
-                                          F.count("_gain").alias("_bnd"))
-    # block table (one row per block): exclusive prefix per symbol
-    btab = rtot.groupBy(key, "_g").agg(*[F.sum(k).alias(k) for k in ("_bpv", "_bv", "_bnd")])
-    wb = Window.partitionBy(key).orderBy("_g").rowsBetween(Window.unboundedPreceding, -1)
-    btab = btab.select(key, "_g", *[F.coalesce(F.sum(k).over(wb), F.lit(0)).alias(k + "0")
-                                   for k in ("_bpv", "_bv", "_bnd")])
-    # RSI carries: each sub-block total reaches the next ``lags`` sub-blocks decayed
-    steps = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(decay_b ** i).alias("f"))
-                                for i in range(1, lags + 1)]))
-    carry = (rtot.select(key, "_r", "_tg", "_tl", steps.alias("_s"))
-                 .select(key, (F.col("_r") + F.col("_s.i")).alias("_r"),
-                         (F.col("_tg") * F.col("_s.f")).alias("_cg"),
-                         (F.col("_tl") * F.col("_s.f")).alias("_cl"))
-                 .groupBy(key, "_r").agg(F.sum("_cg").alias("_cg"), F.sum("_cl").alias("_cl"))
-                 .withColumn("_g", F.floor(F.col("_r") / per_block).cast("long"))
-                 .groupBy(key, "_g")
-                 .agg(F.map_from_entries(F.collect_list(F.struct("_r", F.struct("_cg", "_cl"))))
-                      .alias("_cmap")))
-    tab = btab.join(carry, [key, "_g"], "left")
-    x = x.join(bounded_broadcast(tab), [key, "_g"], "left")
-
-    cm = F.element_at(F.col("_cmap"), F.col("_r"))
-    gsum = F.coalesce(cm.getField("_cg"), F.lit(0.0)) + F.col("_gi")
-    lsum = F.coalesce(cm.getField("_cl"), F.lit(0.0)) + F.col("_li")
-    vw_units = safe_div(F.col("_bpv0") + F.col("_cpv"), F.col("_bv0") + F.col("_cv"))
-    x = (x.withColumn("rsi_14", ind.rsi_from_sums(gsum, lsum, F.col("_bnd0") + F.col("_nd"), periods))
-          .withColumn("vwap", ind.units_to_2dp(vw_units, price_scale))
-          .withColumn("crash_score", ind.crash_flag(F.col("price_change_pct"), F.col("volume_trend"),
-                                                    F.col("volatility"), crash))
-          .withColumn("latency_ms", ind.latency_ms(F.col("spark_process_time"),
-                                                   F.col("kafka_produce_time"))))
-    return x.drop("_rn", "_g", "_halo", "_gain", "_loss", "_cpv", "_cv", "_nd", "_r", "_wt", "_gi",
-                  "_li", "_bpv0", "_bv0", "_bnd0", "_cmap")
+    # one row per full sub-block: its totals, and the decayed ones of those up to it
+    lags = ind.rsi_carry_lags(periods, rsi_block)
+    ends = x.where(F.col("_rn") % rsi_block == 0).select(
+        key, "_rn", "_r", F.struct("_r", F.col("_gi").alias("_g"), F.col("_li").alias("_l")).alias("_t"),
+        "_cpv", "_cv", "_nd")
+    back = Window.partitionBy(key).orderBy("_r").rowsBetween(-(lags - 1), 0)
+    cg, cl = rsi_carry(F.col("_ts"), ind.rsi_decay(periods, rsi_block))
+    carry = (ends.select(key, (F.col("_r") + 1).alias("_r"), F.collect_list("_t").over(back).alias("_ts"))
+                 .select(key, F.floor(F.col("_r") / per_block).cast("long").alias("_g"),
+                         F.struct("_r", cg.alias("_cg"), cl.alias("_cl")).alias("_c"))
+                 .groupBy(key, "_g").agg(F.sort_array(F.collect_list("_c")).alias("_cs")))
+    # one row per full block: sums and counts of the blocks up to it
+    upto = ind.running(Window.partitionBy(key).orderBy("_rn"))
+    btab = ends.where(F.col("_rn") % block_rows == 0).select(
+        key, F.floor(F.col("_rn") / block_rows).cast("long").alias("_g"),
+        *[F.sum(c).over(upto).alias(c + "0") for c in ("_cpv", "_cv", "_nd")])
+    tab = carry.join(btab, [key, "_g"], "left")
+    x = x.join(tab, [key, "_g"], "left")
+
+    own = F.get("_cs", (F.col("_r") - F.get("_cs", F.lit(0))["_r"]).cast("int"))
+    gsum = F.coalesce(own["_cg"], F.lit(0.0)) + F.col("_gi")
+    lsum = F.coalesce(own["_cl"], F.lit(0.0)) + F.col("_li")
+
+    def total(c: str):
+        return F.when(F.col(c + "0").isNull(), F.col(c)).otherwise(
+            F.col(c + "0") + F.coalesce(F.col(c), F.lit(0).cast(x.schema[c].dataType)))
+
+    units = F.when(F.col("volume").isNotNull(), safe_div(total("_cpv"), total("_cv")))
+    x = (x.withColumn("rsi_14", ind.rsi_from_sums(gsum, lsum, total("_nd"), periods))
+          .withColumn("vwap", np_round(units, 2) if price_scale is None else ind.units_to_2dp(units, price_scale)))
+    return with_flags(x, crash).drop(
+        "_rn", "_g", "_halo", "_gain", "_loss", "_cpv", "_cv", "_nd", "_r", "_wt", "_gi", "_li",
+        "_cpv0", "_cv0", "_nd0", "_cs")

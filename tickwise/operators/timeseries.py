@@ -17,7 +17,13 @@ def growth_per_minute(df: DataFrame, ts: str = "event_time") -> DataFrame:
     per_min = (df.groupBy(F.date_trunc("minute", F.col(ts)).cast("timestamp_ntz").alias("minute"))
                  .agg(F.count(F.lit(1)).alias("count")))
     bounds = per_min.agg(F.min("minute").alias("lo"), F.max("minute").alias("hi"))
-    spine = bounds.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MINUTE"))).alias("minute"))
+    # two levels: one row per day, then its 1,440 minutes, so no row holds the whole span
+    days = bounds.select("lo", "hi", F.explode(F.sequence(
+        F.to_date("lo"), F.to_date("hi"))).alias("_day")).repartition("_day")
+    spine = (days.select("lo", "hi", "_day", F.explode(F.sequence(F.lit(0), F.lit(1439))).alias("_k"))
+                 .select("lo", "hi", (F.col("_day").cast("timestamp_ntz")
+                                      + F.make_dt_interval(mins=F.col("_k"))).alias("minute"))
+                 .where((F.col("minute") >= F.col("lo")) & (F.col("minute") <= F.col("hi"))).select("minute"))
     filled = (spine.join(per_min, "minute", "left")
                    .select("minute", F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count"))
                    .withColumn("_day", F.to_date("minute")))
@@ -39,10 +45,22 @@ def elapsed_seconds(df: DataFrame, ts: str = "event_time") -> DataFrame:
               .drop("_t0"))
 
 
-def symbol_ordinal(df: DataFrame, key: str = "symbol") -> DataFrame:
+def symbol_ordinal(df: DataFrame, key: str = "symbol", prefix: int = 4) -> DataFrame:
     """0-based code of each distinct symbol in sorted order.
 
-    Ranks the small distinct-symbol table, never the facts.
+    Symbols are ranked within their first ``prefix`` characters, and the
+    number of symbols under earlier prefixes is added; only the table of
+    prefixes is ordered as a whole.
     """
-    d = df.where(F.col(key).isNotNull()).select(key).distinct()
-    return d.withColumn("symbol_ordinal", (F.dense_rank().over(Window.orderBy(key)) - 1).cast("long"))
+    d = (df.where(F.col(key).isNotNull()).select(key).distinct()
+           .withColumn("_p", F.substring(key, 1, prefix)))
+    sizes = d.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_p", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_s"))
+    rank = F.row_number().over(Window.partitionBy("_p").orderBy(key)) - 1
+    return d.join(starts, "_p").select(key, (F.col("_s") + rank).cast("long").alias("symbol_ordinal"))
+
+
+def symbol_codes(df: DataFrame, key: str = "symbol") -> DataFrame:
+    """The rows with their symbol's code; rows without a symbol have none."""
+    return df.join(symbol_ordinal(df, key), key, "left")

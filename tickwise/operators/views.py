@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tickwise.functions.numeric import safe_div
 from tickwise.operators.snapshot import latest_per_symbol, recent_rows
 
+# The columns of the snapshot view, in order.
 SNAPSHOT_COLS = ("symbol", "sector", "close", "price_change_pct", "volatility",
                  "moving_avg_5", "volume", "data_type")
 
@@ -103,15 +104,12 @@ def anomaly_split(df: DataFrame, latest: DataFrame | None = None) -> DataFrame:
 def price_volume_time(df: DataFrame, n: int = 500) -> DataFrame:
     """Newest ``n`` rows with seconds since their first row and a symbol code."""
     r = recent_rows(df, n)
-    t0 = r.agg(F.min("event_time").alias("_t0"))
-    codes = (r.select("symbol").distinct()
-              .withColumn("symbol_ordinal",
-                          (F.dense_rank().over(Window.orderBy("symbol")) - 1).cast("long")))
-    return (r.crossJoin(F.broadcast(t0))
-             .join(F.broadcast(codes), "symbol")
-             .select("symbol", "event_time", "seq", "close", "volume",
-                     (F.timestamp_diff("MICROSECOND", F.col("_t0"), F.col("event_time")) / 1e6)
-                     .alias("t_seconds"), "symbol_ordinal"))
+    # both windows see the ``n`` rows of the top-k only
+    t0 = F.min("event_time").over(Window.partitionBy())
+    code = (F.dense_rank().over(Window.orderBy("symbol")) - 1).cast("long")
+    return r.select("symbol", "event_time", "seq", "close", "volume",
+                    (F.timestamp_diff("MICROSECOND", t0, F.col("event_time")) / 1e6).alias("t_seconds"),
+                    code.alias("symbol_ordinal"))
 
 
 def crash_summary(df: DataFrame) -> DataFrame:
@@ -122,6 +120,7 @@ def crash_summary(df: DataFrame) -> DataFrame:
                   F.min(F.when(crash, F.col("price_change_pct"))).alias("worst_drop_pct"))
 
 
+# The columns of the crash history view, in order.
 CRASH_COLS = ("event_time", "symbol", "sector", "close", "price_change_pct",
               "volume_trend", "volatility")
 
@@ -140,12 +139,20 @@ def crash_timeline(df: DataFrame) -> DataFrame:
 
 
 def distinct_symbols(df: DataFrame) -> DataFrame:
-    """Distinct (sector, symbol) pairs, null symbols dropped."""
-    return df.where(F.col("symbol").isNotNull()).select("sector", "symbol").distinct()
+    """Distinct (sector, symbol) pairs in order, null symbols dropped."""
+    return (df.where(F.col("symbol").isNotNull()).select("sector", "symbol").distinct()
+              .orderBy("sector", "symbol"))
+
+
+def distinct_sectors(df: DataFrame) -> DataFrame:
+    """Sorted list of sectors, null ones dropped."""
+    return df.where(F.col("sector").isNotNull()).select("sector").distinct().orderBy("sector")
 
 
 def symbol_series(df: DataFrame, symbol: str) -> DataFrame:
-    """One symbol's price/volume/MA/VWAP series (filter pushed below the window)."""
+    """One symbol's price/volume/MA/VWAP series in time order (filter pushed
+    below the window)."""
     return (df.where(F.col("symbol") == symbol)
               .select("symbol", "event_time", "seq", "close", "high", "low", "volume",
-                      "moving_avg_5", "moving_avg_20", "vwap"))
+                      "moving_avg_5", "moving_avg_20", "vwap")
+              .orderBy("event_time", "seq"))

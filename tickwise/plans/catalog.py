@@ -11,20 +11,21 @@ import datetime as _dt
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickwise.functions import indicators as ind
 from tickwise.functions.timefns import parse_event_time
 from tickwise.operators import correlation, metrics, quality, snapshot, timeseries, views
-from tickwise.operators.enrich import enrich, symbol_window
+from tickwise.operators.enrich import enrich, usable
 from tickwise.operators.joins import lookup_join
-from tickwise.schema import ENRICHED_TICK, conform
+from tickwise.schema import ENRICHED_TICK, RAW_TICK, conform
 from tickwise.session import checkpoint_dir
 from tickwise.sources import adapters, sinks, tables
 from tickwise.sources import ticks as tick_io
 from tickwise.sources.adapters import table, ticks_from_events
 from tickwise.streaming import job as stream_job
+from tickwise.streaming.stateful import LATE_HORIZON
 from tickwise.streaming.windows import minute_counts
 
 ENRICHED_COLS = [f.name for f in ENRICHED_TICK.fields]
@@ -43,8 +44,12 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ticks_from_events(table(spark, sf_dir, "events"))
 
 
-def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich(ticks(spark, sf_dir)).select(*ENRICHED_COLS)
+def enriched(spark: SparkSession, sf_dir: str, only=None) -> DataFrame:
+    """Every indicator; ``only`` filters symbols before the series are looked at."""
+    t = ticks_from_events(table(spark, sf_dir, "events"), with_prices=False)
+    if only is not None:
+        t = t.where(only)
+    return enrich(t, open_from_close=True).select(*ENRICHED_COLS)
 
 
 @query("enrich_ticks")
@@ -60,6 +65,13 @@ def dash(spark, sf_dir):
     return snapshot.sector_default(enriched(spark, sf_dir))
 
 
+def feed(spark, sf_dir):
+    """The same rows for views that need no indicator: no window, no planning job."""
+    t = ticks_from_events(table(spark, sf_dir, "events"), with_prices=False)
+    return snapshot.sector_default(usable(t)).withColumn(
+        "latency_ms", ind.latency_ms(F.col("spark_process_time"), F.col("kafka_produce_time")))
+
+
 def latest(spark, sf_dir):
     return snapshot.latest_per_symbol(dash(spark, sf_dir))
 
@@ -76,53 +88,20 @@ def brand_ticks(spark, sf_dir):
     return adapters.ticks_from_lineitem(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part"))
 
 
-# The 25 brand symbols of the lineitem adapter (rule: Brand#1..Brand#25).
-BRANDS = [f"Brand#{i}" for i in range(1, 26)]
-
 KEY = ["symbol", "event_time", "seq"]
 
 
 # ---- single indicators (W1-W7, P6-P8) -------------------------------------
 
-def _indicator(spark, sf_dir, name, col):
-    t = ticks(spark, sf_dir)
-    return t.select(*KEY, col.alias(name))
-
-
-@query("moving_avg_5")
-def q_ma5(spark, sf_dir):
-    return _indicator(spark, sf_dir, "moving_avg_5", ind.moving_avg("close", symbol_window(), 5))
-
-
-@query("moving_avg_20")
-def q_ma20(spark, sf_dir):
-    return _indicator(spark, sf_dir, "moving_avg_20", ind.moving_avg("close", symbol_window(), 20))
-
-
-@query("volatility")
-def q_volatility(spark, sf_dir):
-    return _indicator(spark, sf_dir, "volatility", ind.volatility("close", symbol_window(), 5))
-
-
-@query("vwap")
-def q_vwap(spark, sf_dir):
-    return _indicator(spark, sf_dir, "vwap", ind.vwap("close", "volume", symbol_window()))
-
-
-@query("volume_trend")
-def q_volume_trend(spark, sf_dir):
-    return _indicator(spark, sf_dir, "volume_trend", ind.volume_trend("volume", symbol_window(), 5))
+def _indicator(name):
+    def run(spark, sf_dir):
+        return enriched(spark, sf_dir).select(*KEY, name)
+    return run
 
 
-@query("price_change_pct")
-def q_price_change(spark, sf_dir):
-    return _indicator(spark, sf_dir, "price_change_pct", ind.price_change_pct("open", "close"))
-
-
-@query("rsi_14")
-def q_rsi(spark, sf_dir):
-    from tickwise.operators.enrich import with_rsi
-    return with_rsi(ticks(spark, sf_dir)).select(*KEY, "rsi_14")
+# each through ``enrich``, so that a hot symbol is split for them, too
+for _name in ("moving_avg_5", "moving_avg_20", "volatility", "vwap", "volume_trend", "price_change_pct", "rsi_14"):
+    QUERIES[_name] = _indicator(_name)
 
 
 @query("crash_flag")
@@ -150,6 +129,7 @@ def q_latest_row(spark, sf_dir):
     return snapshot.latest_per_symbol(dash(spark, sf_dir), mode="row").select(*ENRICHED_COLS)
 
 
+# The columns of the per-symbol tail view, in order.
 TAIL_COLS = ["symbol", "close", "price_change_pct", "rsi_14", "vwap", "crash_score",
              "data_type", "event_time"]
 
@@ -166,24 +146,36 @@ def q_state_snapshot(spark, sf_dir):
 
 @query("recent_window")
 def q_recent_window(spark, sf_dir):
-    return snapshot.recent_window(dash(spark, sf_dir), 60).select(*KEY, "close", "sector")
+    return snapshot.recent_window(feed(spark, sf_dir), 60).select(*KEY, "close", "sector")
 
 
 @query("filter_sector_symbol")
 def q_filter(spark, sf_dir):
-    return snapshot.filter_sector_symbol(dash(spark, sf_dir), sectors=["S1", "S3"]).select(
+    return snapshot.filter_sector_symbol(feed(spark, sf_dir), sectors=["S1", "S3"]).select(
         *KEY, "sector", "close")
 
 
 @query("filter_symbols")
 def q_filter_symbols(spark, sf_dir):
-    return snapshot.filter_sector_symbol(dash(spark, sf_dir), symbols=["U1", "U8", "U42"]).select(
-        *KEY, "sector", "close", "rsi_14")
+    wanted = ["U1", "U8", "U42"]
+    d = snapshot.sector_default(enriched(spark, sf_dir, F.col("symbol").isin(wanted)))
+    return snapshot.filter_sector_symbol(d, symbols=wanted).select(*KEY, "sector", "close", "rsi_14")
 
 
 @query("symbol_series")
 def q_symbol_series(spark, sf_dir):
-    return views.symbol_series(dash(spark, sf_dir), "U8")
+    d = snapshot.sector_default(enriched(spark, sf_dir, F.col("symbol") == "U8"))
+    return views.symbol_series(d, "U8")
+
+
+@query("distinct_sectors")
+def q_sectors(spark, sf_dir):
+    return views.distinct_sectors(feed(spark, sf_dir))
+
+
+@query("display_names")
+def q_display_names(spark, sf_dir):
+    return views.display_names(views.market_snapshot(None, latest(spark, sf_dir)))
 
 
 @query("market_kpis")
@@ -233,7 +225,7 @@ def q_crash_timeline(spark, sf_dir):
 
 @query("distinct_symbols")
 def q_distinct(spark, sf_dir):
-    return views.distinct_symbols(dash(spark, sf_dir))
+    return views.distinct_symbols(feed(spark, sf_dir))
 
 
 @query("sector_default")
@@ -265,12 +257,12 @@ def q_anomaly(spark, sf_dir):
 
 @query("price_volume_time")
 def q_pvt(spark, sf_dir):
-    return views.price_volume_time(dash(spark, sf_dir), 500)
+    return views.price_volume_time(feed(spark, sf_dir), 500)
 
 
 @query("recent_rows")
 def q_recent_rows(spark, sf_dir):
-    return snapshot.recent_rows(dash(spark, sf_dir), 500).select(*KEY, "close", "volume")
+    return snapshot.recent_rows(feed(spark, sf_dir), 500).select(*KEY, "close", "volume")
 
 
 @query("elapsed_seconds")
@@ -280,14 +272,19 @@ def q_elapsed(spark, sf_dir):
 
 @query("symbol_ordinal")
 def q_ordinal(spark, sf_dir):
-    return timeseries.symbol_ordinal(ticks(spark, sf_dir))
+    return timeseries.symbol_ordinal(feed(spark, sf_dir))
+
+
+@query("symbol_codes")
+def q_symbol_codes(spark, sf_dir):
+    return timeseries.symbol_codes(feed(spark, sf_dir)).select(*KEY, "symbol_ordinal")
 
 
 # ---- correlation and time series (A7-A10, J2, F10) --------------------------
 
 @query("price_pivot")
 def q_pivot(spark, sf_dir):
-    return correlation.price_pivot(brand_ticks(spark, sf_dir), BRANDS)
+    return correlation.price_pivot(brand_ticks(spark, sf_dir))
 
 
 @query("corr_matrix")
@@ -298,35 +295,35 @@ def q_corr(spark, sf_dir):
 @query("corr_matrix_ticks")
 def q_corr_ticks(spark, sf_dir):
     # ticks aligned on the hour so symbols share periods
-    t = ticks(spark, sf_dir).withColumn("event_time", F.date_trunc("hour", "event_time"))
-    return correlation.corr_matrix(t, symbols=[f"U{i}" for i in range(1, 21)])
+    t = feed(spark, sf_dir).withColumn("event_time", F.date_trunc("hour", "event_time"))
+    return correlation.corr_matrix(t)
 
 
 @query("growth_per_minute")
 def q_growth(spark, sf_dir):
-    return timeseries.growth_per_minute(dash(spark, sf_dir))
+    return timeseries.growth_per_minute(feed(spark, sf_dir))
 
 
 # ---- metrics and quality (A2, A4-A6, A11-A14, A16-A19, F8, L3) ---------------
 
 @query("rows_per_symbol")
 def q_rows_per_symbol(spark, sf_dir):
-    return metrics.rows_per_symbol(dash(spark, sf_dir))
+    return metrics.rows_per_symbol(feed(spark, sf_dir))
 
 
 @query("latency_stats")
 def q_latency_stats(spark, sf_dir):
-    return quality.latency_stats(dash(spark, sf_dir))
+    return quality.latency_stats(feed(spark, sf_dir))
 
 
 @query("latency_histogram")
 def q_latency_hist(spark, sf_dir):
-    return quality.histogram(dash(spark, sf_dir), "latency_ms", 30)
+    return quality.histogram(feed(spark, sf_dir), "latency_ms", 30)
 
 
 @query("data_type_breakdown")
 def q_breakdown(spark, sf_dir):
-    return quality.breakdown(dash(spark, sf_dir), "data_type")
+    return quality.breakdown(feed(spark, sf_dir), "data_type")
 
 
 @query("schema_profile")
@@ -339,9 +336,23 @@ def q_completeness(spark, sf_dir):
     return quality.completeness_check(enriched(spark, sf_dir))
 
 
+@query("completeness_absent")
+def q_completeness_absent(spark, sf_dir):
+    # a feed without indicators lacks most of the expected columns
+    return quality.completeness_check(ticks(spark, sf_dir))
+
+
+@query("column_differences")
+def q_column_differences(spark, sf_dir):
+    return quality.column_differences(ticks(spark, sf_dir))
+
+
 @query("partition_listing")
 def q_partitions(spark, sf_dir):
-    return quality.partition_listing(enriched(spark, sf_dir), ["date"])
+    # the partitions of the written table
+    path = scratch(spark, "partitions")
+    sinks.write_enriched(enriched(spark, sf_dir), path, mode="overwrite")
+    return quality.partition_listing(spark.read.schema(ENRICHED_TICK).parquet(path), ["date"])
 
 
 @query("worker_throughput")
@@ -378,8 +389,7 @@ def q_batch_metrics(spark, sf_dir):
 # ---- sources, sinks and projections (S*, K*, P1-P5, U1) ---------------------
 
 
-RAW_COLS = ["symbol", "sector", "open", "high", "low", "close", "volume", "event_time",
-            "kafka_produce_time", "data_type", "date"]
+RAW_COLS = RAW_TICK.fieldNames()
 
 
 def scratch(spark, name: str) -> str:
@@ -465,7 +475,7 @@ def q_scan_enriched(spark, sf_dir):
 @query("scan_recent")
 def q_scan_recent(spark, sf_dir):
     path = scratch(spark, "enriched")
-    sinks.write_enriched(enriched(spark, sf_dir), path, mode="overwrite", partition_cols=("date",))
+    sinks.write_enriched(enriched(spark, sf_dir), path, mode="overwrite")
     return tables.read_enriched(spark, path, minutes=24 * 60).select(*KEY, "sector", "close", "vwap")
 
 
@@ -509,8 +519,7 @@ def q_state_bootstrap(spark, sf_dir):
 @query("storage_footprint")
 def q_footprint(spark, sf_dir):
     root = scratch(spark, "tables")
-    sinks.write_enriched(enriched(spark, sf_dir), f"{root}/processed", mode="overwrite",
-                         partition_cols=("date",))
+    sinks.write_enriched(enriched(spark, sf_dir), f"{root}/processed", mode="overwrite")
     sinks.write_raw(ticks(spark, sf_dir), f"{root}/raw_ticks", mode="overwrite")
     return quality.storage_footprint(spark, [f"{root}/processed", f"{root}/raw_ticks"])
 
@@ -523,31 +532,36 @@ STREAM_COLS = ["symbol", "sector", "open", "high", "low", "close", "volume", "ev
 END_OF_INPUT = _dt.datetime(2200, 1, 1)
 
 
-def stage_tick_files(spark, sf_dir, root: str, n_files: int = 6, first: int = 0,
-                     last: int | None = None, marker: bool = True) -> None:
-    """Write the T1 ticks as ``n_files`` event-time slices (one write job per
-    slice, so file order is arrival order) plus an end-of-input marker row
-    whose event time moves the watermark past every buffered row."""
-    t = ticks(spark, sf_dir).select(*STREAM_COLS)
-    lo_hi = t.agg(F.min("event_time").alias("lo"), F.max("event_time").alias("hi")).first()
-    span = (lo_hi["hi"] - lo_hi["lo"]) / n_files
-    last = n_files if last is None else last
+FILES = 4      # files of a slice, read together by one micro-batch
+
+
+def stage_tick_files(spark, sf_dir, root: str, n_slices: int = 3, first: int = 0,
+                     last: int | None = None, marker: bool = True, ticks_of=None) -> None:
+    """Write the T1 ticks as event-time slices of ``FILES`` files each (one write
+    job per slice, so file order is arrival order) plus an end-of-input marker
+    row whose event time moves the watermark past every buffered row."""
+    t = (ticks_of or ticks)(spark, sf_dir).select(*STREAM_COLS)
+    days = t.select("date").distinct()
+    place = days.withColumn("slice", F.floor(F.percent_rank().over(Window.orderBy("date")) * F.lit(n_slices)))
+    t = t.join(F.broadcast(place), "date")       # one row per day
+    last = n_slices if last is None else last
     for k in range(first, last):
-        a = lo_hi["lo"] + span * k
-        cond = F.col("event_time") >= F.lit(a)
-        if k < n_files - 1:
-            cond = cond & (F.col("event_time") < F.lit(lo_hi["lo"] + span * (k + 1)))
-        # rows inside a slice arrive in arbitrary order
-        (t.where(cond).orderBy(F.xxhash64("seq")).coalesce(1)
+        # rows inside a slice arrive in arbitrary order; the last day has rank 1
+        cond = F.least(F.col("slice"), F.lit(n_slices - 1)) == k
+        (t.where(cond).select(*STREAM_COLS).repartition(FILES).sortWithinPartitions(F.xxhash64("seq"))
           .write.mode("append").parquet(f"{root}/in"))
     if marker:
-        end = spark.createDataFrame([(None, END_OF_INPUT, -1)],
-                                    "symbol string, event_time timestamp_ntz, seq long")
-        conform(end, t.schema).write.mode("append").parquet(f"{root}/in")
+        end_of_input(spark, f"{root}/in", t.select(*STREAM_COLS).schema)
+
+
+def end_of_input(spark, path: str, schema) -> None:
+    """Append the marker row that ends a finite input."""
+    end = spark.createDataFrame([(None, END_OF_INPUT, -1)], "symbol string, event_time timestamp_ntz, seq long")
+    conform(end, schema).coalesce(1).write.mode("append").parquet(path)
 
 
-def run_enrichment(spark, root: str, schema, partitions=("date",), late_horizon="1 hour"):
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+def run_enrichment(spark, root: str, schema, partitions=("date",), late_horizon=LATE_HORIZON, files=FILES):
+    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(f"{root}/in")
     paths = stream_job.SinkPaths(enriched=f"{root}/enriched", late=f"{root}/late",
                                  metrics=f"{root}/metrics", checkpoint=f"{root}/ckpt")
     q = stream_job.start_enrichment(src, paths, trigger={"availableNow": True},
@@ -572,9 +586,9 @@ def q_stream_enrich(spark, sf_dir):
 def q_stream_restart(spark, sf_dir):
     root = scratch(spark, "restart")
     schema = _tick_schema(spark, sf_dir)
-    stage_tick_files(spark, sf_dir, root, first=0, last=3, marker=False)
+    stage_tick_files(spark, sf_dir, root, first=0, last=2, marker=False)
     run_enrichment(spark, root, schema)              # stops after the first files
-    stage_tick_files(spark, sf_dir, root, first=3)   # more input arrives
+    stage_tick_files(spark, sf_dir, root, first=2)   # more input arrives
     paths = run_enrichment(spark, root, schema)      # restart on the same checkpoint
     return spark.read.schema(ENRICHED_TICK).parquet(paths.enriched).select(*ENRICHED_COLS)
 
@@ -603,7 +617,7 @@ def q_stream_compaction(spark, sf_dir):
 def q_stream_minutes(spark, sf_dir):
     root = scratch(spark, "minutes")
     stage_tick_files(spark, sf_dir, root)
-    src = spark.readStream.schema(_tick_schema(spark, sf_dir)).option("maxFilesPerTrigger", 1) \
+    src = spark.readStream.schema(_tick_schema(spark, sf_dir)).option("maxFilesPerTrigger", FILES) \
         .parquet(f"{root}/in")
     q = (minute_counts(src).writeStream.format("parquet").option("path", f"{root}/out")
          .option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start())
@@ -642,21 +656,86 @@ def q_stream_late(spark, sf_dir):
     first_day = t.agg(F.min("date").alias("d"))
     (t.join(F.broadcast(first_day), t["date"] == F.col("d"), "left_semi")
       .withColumn("seq", F.col("seq") + F.lit(LATE_SEQ_OFFSET))
-      .coalesce(1).write.mode("append").parquet(f"{root}/in"))
-    end = spark.createDataFrame([(None, END_OF_INPUT, -1)], "symbol string, event_time timestamp_ntz, seq long")
-    conform(end, schema).write.mode("append").parquet(f"{root}/in")
-    # a horizon longer than the data's span: every re-sent row is inspected
-    paths = run_enrichment(spark, root, schema, late_horizon="90 days")
+      .repartition(FILES).write.mode("append").parquet(f"{root}/in"))
+    end_of_input(spark, f"{root}/in", schema)
+    paths = run_enrichment(spark, root, schema)
     late = spark.read.schema(ENRICHED_TICK).json(paths.late)
     return late.select("symbol", "event_time", "seq", "close")
 
 
+def gap_ticks(spark, sf_dir):
+    """Ticks with missing volumes and opens."""
+    t = ticks(spark, sf_dir)
+    return (t.withColumn("volume", F.when(F.col("seq") % 7 != 0, F.col("volume")))
+             .withColumn("open", F.when(F.col("seq") % 11 != 0, F.col("open"))))
+
+
+@query("enrich_gaps")
+def q_enrich_gaps(spark, sf_dir):
+    return enrich(gap_ticks(spark, sf_dir)).select(*ENRICHED_COLS)
+
+
+@query("stream_gaps")
+def q_stream_gaps(spark, sf_dir):
+    root = scratch(spark, "gaps")
+    stage_tick_files(spark, sf_dir, root, ticks_of=gap_ticks)
+    paths = run_enrichment(spark, root, _tick_schema(spark, sf_dir))
+    return spark.read.schema(ENRICHED_TICK).parquet(paths.enriched).select(*ENRICHED_COLS)
+
+
+def messages(spark, sf_dir):
+    """Tick messages of which some are broken, dated far ahead or without a symbol."""
+    m = tick_io.encode_ticks(ticks(spark, sf_dir), keep=("seq",))
+    ahead = F.regexp_replace("value", '"timestamp":"20', '"timestamp":"30')
+    nobody = F.regexp_replace("value", '"symbol":"[^"]*"', '"symbol":null')
+    return m.select("seq", F.when(F.col("seq") % 13 == 0, F.concat(F.lit("{"), "value"))
+                    .when(F.col("seq") % 17 == 0, ahead).when(F.col("seq") % 19 == 0, nobody)
+                    .otherwise(F.col("value")).alias("value"))
+
+
+def _ingest(spark, sf_dir):
+    """Messages through the whole job: raw archive, quarantine, enrichment."""
+    root = scratch(spark, "ingest")
+    messages(spark, sf_dir).write.parquet(f"{root}/in")
+    src = spark.readStream.schema("seq long, value string").parquet(f"{root}/in")
+    paths = stream_job.SinkPaths(enriched=f"{root}/enriched", late=f"{root}/late", metrics=f"{root}/metrics",
+                                 raw=f"{root}/raw", quarantine=f"{root}/quarantine", checkpoint=f"{root}/ckpt")
+    decoded = tick_io.decode_ticks(src)
+    for q in (stream_job.start_raw_archive(decoded, paths, {"availableNow": True}),
+              stream_job.start_quarantine(decoded, paths, {"availableNow": True})):
+        q.awaitTermination()
+    return paths
+
+
+@query("stream_quarantine")
+def q_stream_quarantine(spark, sf_dir):
+    q = spark.read.schema("quarantine string, _raw string").json(_ingest(spark, sf_dir).quarantine)
+    return q.groupBy("quarantine").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("stream_raw_archive")
+def q_stream_raw(spark, sf_dir):
+    raw = spark.read.schema(RAW_TICK).parquet(_ingest(spark, sf_dir).raw)
+    return raw.groupBy("symbol").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("enrich_hot")
+def q_enrich_hot(spark, sf_dir):
+    # thresholds below the longest series, and ticks without a symbol: some
+    # symbols take the split plan, the others the plain one
+    t = ticks_from_events(table(spark, sf_dir, "events"), with_prices=False)
+    nobody = t.where(F.col("seq") % 50 == 0).withColumn("symbol", F.lit(None).cast("string"))
+    both = t.unionByName(nobody)
+    return enrich(both, split_rows=66, split_block_rows=40, rsi_block=20, open_from_close=True).select(*ENRICHED_COLS)
+
+
 @query("enrich_split")
 def q_enrich_split(spark, sf_dir):
     # blocks of 40 rows (rebased every 20) so that every symbol's series of
     # 50-90 ticks is cut into several blocks here
     from tickwise.operators.split_enrich import split_enrich
-    return split_enrich(ticks(spark, sf_dir), block_rows=40, rsi_block=20).select(*ENRICHED_COLS)
+    t = ticks_from_events(table(spark, sf_dir, "events"), with_prices=False)
+    return split_enrich(t, block_rows=40, rsi_block=20, open_from_close=True).select(*ENRICHED_COLS)
 
 
 @query("dedup_ticks")

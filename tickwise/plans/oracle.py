@@ -68,7 +68,8 @@ enr3 AS (
     CASE WHEN k5 >= 2 THEN round_even(SQRT(CAST(k5 * q5 - s5 * s5 AS DOUBLE)
          / CAST(k5 * (k5 - 1) AS DOUBLE)) / 100 * 10000, 0) / 10000 END AS volatility,
     CASE WHEN nd >= 14 AND ls > 0 THEN round_even((100 - 100 / (1 + gs / ls)) * 100, 0) / 100 END AS rsi_14,
-    round_even(CAST(spv AS DOUBLE) / NULLIF(CAST(sv AS DOUBLE), 0), 0) / 100 AS vwap,
+    CASE WHEN volume IS NOT NULL
+         THEN round_even(CAST(spv AS DOUBLE) / NULLIF(CAST(sv AS DOUBLE), 0), 0) / 100 END AS vwap,
     round_even(CAST(volume * kv5 AS DOUBLE) / NULLIF(CAST(sv5 AS DOUBLE), 0) * 1000, 0) / 1000 AS volume_trend,
     round_even(CAST((cc - oc) * 10000 AS DOUBLE) / NULLIF(CAST(oc AS DOUBLE), 0), 0) / 100 AS price_change_pct
   FROM enr2
@@ -246,8 +247,7 @@ WHERE symbol_a IN (SELECT s FROM defined) AND symbol_b IN (SELECT s FROM defined
 
 SQL["corr_matrix"] = _corr(BRAND_TICKS + ", src AS (SELECT * FROM brand_ticks)")
 SQL["corr_matrix_ticks"] = _corr(
-    TICKS + ", src AS (SELECT symbol, date_trunc('hour', event_time) AS event_time, close FROM ticks)",
-    "AND symbol IN (" + ", ".join(f"'U{i}'" for i in range(1, 21)) + ")")
+    TICKS + ", src AS (SELECT symbol, date_trunc('hour', event_time) AS event_time, close FROM ticks)")
 SQL["growth_per_minute"] = with_dash("""
 , per_min AS (SELECT date_trunc('minute', event_time) AS minute, COUNT(*) AS n FROM dash GROUP BY 1),
 spine AS (SELECT UNNEST(generate_series(MIN(minute), MAX(minute), INTERVAL 1 MINUTE)) AS minute FROM per_min)
@@ -390,3 +390,33 @@ FROM t GROUP BY symbol, event_time, close, volume"""
 SQL["scan_recent"] = with_dash(
     f"SELECT {KEY}, sector, close, vwap FROM dash "
     "WHERE event_time >= (SELECT MAX(event_time) FROM dash) - INTERVAL 1440 MINUTE")
+SQL["distinct_sectors"] = with_dash("SELECT DISTINCT sector FROM dash WHERE sector IS NOT NULL")
+SQL["display_names"] = with_latest(
+    "SELECT " + ", ".join(f'{c} AS "{c.replace("_", " ").title()}"' for c in (
+        "symbol", "sector", "close", "price_change_pct", "volatility", "moving_avg_5", "volume", "data_type"))
+    + " FROM latest")
+SQL["symbol_codes"] = with_ticks(
+    f"SELECT {KEY}, DENSE_RANK() OVER (ORDER BY symbol) - 1 AS symbol_ordinal FROM ticks")
+_TICK_COLS = ("symbol", "sector", "event_time", "seq", "close", "volume", "data_type", "open", "high", "low",
+              "kafka_produce_time", "spark_process_time", "timestamp", "date")
+SQL["completeness_absent"] = with_ticks(
+    "SELECT column_name, present, (SELECT COUNT(*) FROM ticks) AS total_rows FROM (VALUES "
+    + ", ".join(f"('{c}', {'TRUE' if c in _TICK_COLS else 'FALSE'})" for c in EXPECTED_ANALYTICS_COLS)
+    + ") AS t(column_name, present)")
+_DIFF = ([(c, "missing") for c in EXPECTED_ANALYTICS_COLS if c not in _TICK_COLS]
+         + [(c, "unexpected") for c in _TICK_COLS if c not in EXPECTED_ANALYTICS_COLS])
+SQL["column_differences"] = "SELECT * FROM (VALUES " + ", ".join(map(str, _DIFF)) + ") AS t(column_name, difference)"
+SQL["enrich_hot"] = SQL["enrich_ticks"]
+# missing volumes and opens: the prices behind them stay
+_GAPS = with_enriched(f"SELECT {ENRICHED_COLS} FROM enriched").replace(
+    "enr0 AS (\n  SELECT *,", "enr0 AS (\n  SELECT * REPLACE (CASE WHEN seq % 7 <> 0 THEN volume END AS volume, "
+    "CASE WHEN seq % 11 <> 0 THEN open END AS open),").replace(
+    "CAST(ROUND(open * 100) AS BIGINT) AS oc", "CASE WHEN seq % 11 <> 0 THEN CAST(ROUND(open * 100) AS BIGINT) END AS oc")
+SQL["enrich_gaps"] = SQL["stream_gaps"] = _GAPS
+_BROKEN = ("CASE WHEN seq % 13 = 0 THEN 'malformed_json' WHEN seq % 17 = 0 THEN 'future_timestamp' "
+           "WHEN seq % 19 = 0 THEN 'null_symbol' END")
+SQL["stream_quarantine"] = with_ticks(
+    f"SELECT {_BROKEN} AS quarantine, COUNT(*) AS rows FROM ticks WHERE {_BROKEN} IS NOT NULL GROUP BY 1")
+SQL["stream_raw_archive"] = with_ticks(
+    "SELECT CASE WHEN seq % 13 = 0 OR (seq % 19 = 0 AND seq % 17 <> 0) THEN NULL ELSE symbol END AS symbol, "
+    "COUNT(*) AS rows FROM ticks GROUP BY 1")

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Session defaults that every plan in this package is written against.
 DEFAULT_CONF = {
@@ -49,13 +50,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and streaming checkpoints.
 
     Reads ``spark.checkpoint.dir`` from the session (on a cluster this
-    names a shared file system).  Only when it is unset - local runs and
-    tests - a fresh scratch folder is created and registered.
+    names a shared file system).  Only when it is unset on a local master -
+    tests - a fresh scratch folder is created and registered; executors of a
+    cluster would each see their own, so there an unset folder is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="tickwise-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)
@@ -64,6 +68,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder: computed once however many
+    branches read it, and safe against lost executors."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -17,14 +17,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tickwise.functions.timefns import epoch_ms
+from tickwise.operators.enrich import with_open
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def ticks_from_events(events: DataFrame) -> DataFrame:
-    """T1: one tick per event; ``seq`` = event_id breaks event-time ties."""
+def ticks_from_events(events: DataFrame, with_prices: bool = True) -> DataFrame:
+    """T1: one tick per event; ``seq`` = event_id breaks event-time ties.
+
+    Open, high and low need the close before; without ``with_prices`` they are
+    left to ``enrich(open_from_close=True)``, which derives them inside its own
+    windows, so a hot symbol isn't gathered here."""
     k = F.from_json(F.col("props"), "k BIGINT").getField("k")
     base = events.select(
         F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("symbol"),
@@ -36,12 +41,10 @@ def ticks_from_events(events: DataFrame) -> DataFrame:
         k.alias("volume"),
         F.when(F.col("event_type") == "error", F.lit("simulated")).otherwise(F.lit("real")).alias("data_type"),
     )
-    w = Window.partitionBy("symbol").orderBy("event_time", "seq")
     ms = epoch_ms(F.col("event_time"))
+    if with_prices:
+        base = with_open(base, Window.partitionBy("symbol").orderBy("event_time", "seq"))
     return (base
-            .withColumn("open", F.coalesce(F.lag("close").over(w), F.col("close")))
-            .withColumn("high", F.greatest("open", "close"))
-            .withColumn("low", F.least("open", "close"))
             .withColumn("kafka_produce_time",
                         F.when(F.col("volume") % 10 == 0, F.lit(None).cast("long")).otherwise(ms))
             .withColumn("spark_process_time", ms + F.lit(5) + F.lit(3) * F.col("volume"))

@@ -19,7 +19,7 @@ JSON_OPTS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 
 
 def _write(df: DataFrame, path: str, parts: list[str], batch_id: int | None, mode: str,
-           rebalance: bool):
+           rebalance: bool, order: list[str] = ()):
     if batch_id is not None:
         df = df.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
         parts = ["batch_id"] + parts
@@ -27,6 +27,8 @@ def _write(df: DataFrame, path: str, parts: list[str], batch_id: int | None, mod
     if rebalance:
         # AQE rebalance: ~advisory-size files per partition value, hot values split
         df = df.hint("rebalance", *parts)
+    if order:
+        df = df.sortWithinPartitions(*parts, *order)
     (df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
        .partitionBy(*parts).parquet(path))
 
@@ -38,15 +40,15 @@ def write_raw(df: DataFrame, path: str, batch_id: int | None = None, mode: str =
 
 
 def write_enriched(df: DataFrame, path: str, batch_id: int | None = None, mode: str = "append",
-                   rebalance: bool = False, partition_cols=("symbol", "date")):
-    """Enriched table, partitioned by symbol and date (declared schema).
+                   rebalance: bool = True, partition_cols=("date",)):
+    """Enriched table, partitioned by date (declared schema).
 
-    The enrichment output is already hash-clustered by symbol, so each
-    task owns whole (symbol, date) groups and writes one file per group
-    without another shuffle.  ``rebalance=True`` adds an AQE rebalance
-    for inputs that are not clustered that way.
+    A folder per symbol and day would be millions of tiny files; rows are
+    sorted by symbol inside the files of a day instead, so that a symbol
+    filter skips row groups.  ``partition_cols`` restores other layouts.
     """
-    _write(conform(df, ENRICHED_TICK), path, list(partition_cols), batch_id, mode, rebalance)
+    _write(conform(df, ENRICHED_TICK), path, list(partition_cols), batch_id, mode, rebalance,
+           order=[c for c in ("symbol", "event_time", "seq") if c not in partition_cols])
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "append"):
@@ -65,7 +67,7 @@ def write_state_snapshot(df: DataFrame, path: str, n: int = 50):
     write_jsonl(state_snapshot(df, n), path, mode="overwrite")
 
 
-def compact(spark, src: str, dst: str, schema=ENRICHED_TICK, partition_cols=("symbol", "date"),
+def compact(spark, src: str, dst: str, schema=ENRICHED_TICK, partition_cols=("date",),
             order=("symbol", "event_time", "seq")):
     """Rewrite a table made of many small per-batch files (``batch_id=N``
     folders from the streaming sink) into one file set per partition value.

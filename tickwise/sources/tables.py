@@ -35,7 +35,11 @@ def read_enriched(spark: SparkSession, path: str, minutes: int = 0,
     df = legacy_alias(spark.read.schema(schema).parquet(path))
     df = sector_default(df.where(F.col("event_time").isNotNull()))
     if minutes > 0 and literal_cutoff:
-        mx = df.agg(F.max("event_time")).first()[0]
+        newest = df
+        if "date" in df.columns:   # the newest date comes from the folders, its latest time from its files
+            day = df.agg(F.max("date")).first()[0]
+            newest = df.where(F.col("date") == F.lit(day)) if day is not None else df
+        mx = newest.agg(F.max("event_time")).first()[0]
         if mx is None:
             return df
         cut = mx - _dt.timedelta(minutes=minutes)

@@ -67,8 +67,18 @@ def tick_source(spark: SparkSession, conf: SourceConf) -> DataFrame:
     raise ValueError(f"unknown source format {conf.format!r}")
 
 
+# Event times that a feed can have; wider than any source's clock error and delay.
+MAX_AHEAD = "1 day"
+MAX_AGE = "3650 days"
+
+
+def _utc_now():
+    return F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()).cast("timestamp_ntz")
+
+
 def decode_ticks(messages: DataFrame, value_col: str = "value", source_tz: str | None = None,
-                 tz_by_type: dict | None = None) -> DataFrame:
+                 tz_by_type: dict | None = None, max_ahead: str = MAX_AHEAD,
+                 max_age: str = MAX_AGE) -> DataFrame:
     """JSON message -> typed tick with ``event_time``, ``date`` and a
     ``quarantine`` reason (null when the row is good).
 
@@ -76,6 +86,10 @@ def decode_ticks(messages: DataFrame, value_col: str = "value", source_tz: str |
     a quarantined row, never a failed job.  Wall-clock timestamps are
     read in ``source_tz``, or per ``data_type`` with ``tz_by_type``
     (e.g. {"real": "America/New_York"}), and converted to UTC.
+
+    Event times later than now + ``max_ahead`` or older than ``max_age`` are
+    quarantined: one of them would move a stream's watermark, or be behind it,
+    and cost other rows.
     """
     parsed = messages.select(
         "*", F.from_json(F.col(value_col), TICK_MESSAGE,
@@ -93,7 +107,9 @@ def decode_ticks(messages: DataFrame, value_col: str = "value", source_tz: str |
                .when(F.col("symbol").isNull() & F.col("close").isNull(), F.lit("malformed_json"))
                .when(F.col("event_time").isNull(), F.lit("bad_timestamp"))
                .when(F.col("symbol").isNull(), F.lit("null_symbol"))
-               .when(F.col("close").isNull(), F.lit("null_close")))
+               .when(F.col("close").isNull(), F.lit("null_close"))
+               .when(F.col("event_time") > _utc_now() + F.expr(f"INTERVAL {max_ahead}"), F.lit("future_timestamp"))
+               .when(F.col("event_time") < _utc_now() - F.expr(f"INTERVAL {max_age}"), F.lit("old_timestamp")))
     return out.withColumn("quarantine", reason).drop("_bad_json")
 
 

@@ -16,8 +16,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from tickwise.operators.metrics import batch_metrics
+from tickwise.schema import RAW_TICK
 from tickwise.sources import sinks
-from tickwise.streaming.stateful import enrich_stream
+from tickwise.sources.ticks import good_ticks, quarantined
+from tickwise.streaming.stateful import LATE_HORIZON, enrich_stream
 
 
 @dataclass
@@ -26,10 +28,11 @@ class SinkPaths:
     late: str
     metrics: str
     raw: str | None = None
+    quarantine: str | None = None
     checkpoint: str = ""
 
 
-def write_enrichment_batch(paths: SinkPaths, enriched_partitions=("symbol", "date")):
+def write_enrichment_batch(paths: SinkPaths, enriched_partitions=("date",)):
     """foreachBatch body: persist once, write every output, unpersist."""
     def run(batch: DataFrame, batch_id: int):
         t0 = time.time()
@@ -54,8 +57,8 @@ def write_enrichment_batch(paths: SinkPaths, enriched_partitions=("symbol", "dat
 
 
 def start_enrichment(ticks: DataFrame, paths: SinkPaths, trigger: dict | None = None,
-                     watermark: str = "5 minutes", enriched_partitions=("symbol", "date"),
-                     query_name: str | None = None, late_horizon: str = "1 hour"):
+                     watermark: str = "5 minutes", enriched_partitions=("date",),
+                     query_name: str | None = None, late_horizon: str = LATE_HORIZON):
     """Start the enrichment query; ``trigger`` e.g. {"processingTime": "10 seconds"}
     or {"availableNow": True}."""
     w = (enrich_stream(ticks, watermark, late_horizon=late_horizon).writeStream
@@ -69,8 +72,21 @@ def start_enrichment(ticks: DataFrame, paths: SinkPaths, trigger: dict | None =
 
 def start_raw_archive(decoded: DataFrame, paths: SinkPaths, trigger: dict | None = None):
     """Raw archive through the file sink (exactly-once via its commit log)."""
-    raw = decoded.select("symbol", "sector", "open", "high", "low", "close", "volume", "event_time",
-                         "kafka_produce_time", "data_type", "date")
+    raw = decoded.select(*RAW_TICK.fieldNames())
     w = (raw.writeStream.format("parquet").option("path", paths.raw)
          .option("checkpointLocation", f"{paths.checkpoint}/raw").partitionBy("date"))
     return w.trigger(**(trigger or {"processingTime": "10 seconds"})).start()
+
+
+def start_quarantine(decoded: DataFrame, paths: SinkPaths, trigger: dict | None = None):
+    """Rows that decoding set aside, with the reason and the message as it came."""
+    w = (quarantined(decoded).writeStream.format("json").option("path", paths.quarantine)
+         .option("checkpointLocation", f"{paths.checkpoint}/quarantine"))
+    return w.trigger(**(trigger or {"processingTime": "10 seconds"})).start()
+
+
+def start_ingest(decoded: DataFrame, paths: SinkPaths, trigger: dict | None = None, **enrichment):
+    """The whole job on decoded messages: the raw archive takes every row before
+    any filter, rows with a reason go to the quarantine, the rest is enriched."""
+    return [start_raw_archive(decoded, paths, trigger), start_quarantine(decoded, paths, trigger),
+            start_enrichment(good_ticks(decoded), paths, trigger, **enrichment)]

@@ -11,11 +11,12 @@ Two event-time bounds:
   this far past it.  So the output equals the batch ``enrich`` however
   the input is cut into micro-batches, as long as rows arrive within
   the delay.
-* ``late_horizon`` (default 1 hour): Spark's own watermark.  A row older
-  than the last emitted row of its symbol but within the horizon reaches
-  the state function and is emitted once with ``late = true`` and null
-  indicators (the late output).  Rows beyond the horizon are dropped by
-  Spark before the stateful operator.
+* ``late_horizon`` (default 20 years): Spark's own watermark delay.  A row
+  older than the last emitted row of its symbol reaches the state function
+  and is emitted once with ``late = true`` and null indicators (the late
+  output).  Spark drops what is older than the horizon before the state
+  sees it, so the horizon is wider than the span of event times that
+  ``decode_ticks`` accepts; it costs no state, because nothing waits for it.
 """
 
 from __future__ import annotations
@@ -41,6 +42,9 @@ OUT_FIELDS = [f for f in ENRICHED_TICK.fields]
 OUTPUT_SCHEMA = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in OUT_FIELDS) + ", late boolean"
 STATE_SCHEMA = ("num string, last_t long, last_seq long, buffer binary")
 
+# Wider than ``sources.ticks.MAX_AGE`` plus its tolerance.
+LATE_HORIZON = "7300 days"
+
 _PASS = ["symbol", "sector", "open", "high", "low", "close", "volume", "event_time",
          "kafka_produce_time", "data_type", "timestamp", "seq", "spark_process_time", "date"]
 _IND = ["moving_avg_5", "moving_avg_20", "volatility", "rsi_14", "vwap", "volume_trend",
@@ -125,7 +129,8 @@ def make_state_fn(periods: int = 14, crash: CrashRule = CrashRule(), slack_ms: i
             emit["_t"] = t[ready]
             emit = emit.sort_values(["_t", "seq"], kind="mergesort").drop(columns=["_t"])
             ind = advance(st, emit["open"].astype(float).values, emit["close"].astype(float).values,
-                          emit["volume"].fillna(0).astype(np.int64).values, periods)
+                          emit["volume"].fillna(0).astype(np.int64).values, periods,
+                          emit["volume"].notna().values)
             for c, v in ind.items():
                 emit[c] = v
             pct, vt, vo = emit["price_change_pct"], emit["volume_trend"], emit["volatility"].fillna(0.0)
@@ -148,7 +153,7 @@ def make_state_fn(periods: int = 14, crash: CrashRule = CrashRule(), slack_ms: i
 
 
 def enrich_stream(ticks: DataFrame, watermark: str = "5 minutes", periods: int = 14,
-                  crash: CrashRule = CrashRule(), late_horizon: str = "1 hour") -> DataFrame:
+                  crash: CrashRule = CrashRule(), late_horizon: str = LATE_HORIZON) -> DataFrame:
     """Streaming ``enrich``: typed ticks in, enriched (+ late) rows out.
 
     ``ticks`` needs the tick columns plus ``seq``; rows are hash-
