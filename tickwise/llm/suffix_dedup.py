@@ -43,6 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package
+from .common import cut
 
 LENGTH = 200
 GRAM = 100
@@ -402,8 +403,9 @@ def repeated_windows(keyed: DataFrame, ranges: int, hot: int = HOT) -> DataFrame
         return pa.table({"key": got[:, 0], "extra": got[:, 1].astype(np.int32), "first": got[:, 2], "last": got[:, 3]})
 
     anchors = keyed.select("key", "extra", "text").mapInArrow(scan, "gram long, key long, place long")
-    again = anchors.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1") \
-        .select("gram", (F.col("n") > hot).alias("hot"))
+    # written, so that both sides of the join are dealt out for it, and a hot gram can be split
+    again = cut(anchors.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
+                .select("gram", (F.col("n") > hot).alias("hot")), "suffix-grams")
     found = anchors.join(again, "gram").groupBy(
         "key", F.col("place").bitwiseAND(F.lit((1 << EXTRA) - 1)).cast("int").alias("extra")) \
         .agg(F.collect_set(F.struct("gram", "place", "hot")).alias("spans"))
@@ -425,7 +427,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.collect_list(F.struct("first", "last")).alias("windows"))
     joined = keyed.join(windows, ["key", "extra"], "left").select("id", "text", "windows", "key")
 
-    def cut(batches):
+    def remove(batches):
         for b in batches:
             n, gone, spans, sha, kept = [], [], [], [], []
             for text, w in zip(b.column(1), b.column(2), strict=True):
@@ -449,5 +451,5 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return joined.mapInArrow(cut, f"`{id_col}` {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    return joined.mapInArrow(remove, f"`{id_col}` {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
                              + (", kept binary" if with_text else ""))
