@@ -25,6 +25,7 @@ import math
 import re
 from collections import Counter
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,7 @@ THRESHOLD = 0.5        # share of an item's own BM25 score
 SHINGLE = 5
 OVERLAP = 0.8
 PART_OVERLAP = 0.5     # of the distinct words of the question and of the answer
-BLOCKS = 32            # blocks per shard
+BLOCKS = 64            # blocks per shard
 SHARD_ITEMS = 2048
 SHARD_BYTES = 4 << 20
 PASS_BYTES = 32 << 20  # text bytes of the shards that are broadcast together
@@ -130,7 +131,7 @@ class Index:
             return best
         step, get = self.span, self.terms.get
         for words in _pieces(text, step):
-            rows = np.fromiter((get(w, 0) for w in words), np.int64, len(words))
+            rows = np.fromiter(map(get, words, repeat(0)), np.int64, len(words))
             at = np.flatnonzero(rows)
             if not len(at):
                 continue
