@@ -6,6 +6,9 @@ of the progress event Spark already sends to the driver.  ``frame()``
 returns them as a DataFrame with the batch-metrics columns, so the
 throughput / duration views (``stream_throughput``, ``batch_duration``)
 run on live query progress as well as on the JSON metrics log.
+
+Every record is kept (about 200 bytes a micro-batch); ``keep`` bounds them
+for a listener that should only know the newest.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ PROGRESS_SCHEMA = ("query_name string, batch_id long, timestamp string, total_ro
 
 
 class ProgressRecorder(StreamingQueryListener):
-    def __init__(self, keep: int = 10_000):
+    def __init__(self, keep: int | None = None):
         self._rows: list[tuple] = []
         self._keep = keep
         self._lock = threading.Lock()
@@ -35,7 +38,8 @@ class ProgressRecorder(StreamingQueryListener):
         with self._lock:
             self._rows.append((p.name, int(p.batchId), p.timestamp, int(p.numInputRows),
                                float(dur) if dur is not None else None, wm))
-            del self._rows[:-self._keep]
+            if self._keep is not None:
+                del self._rows[:-self._keep]
 
     def onQueryIdle(self, event):
         pass
@@ -49,7 +53,7 @@ class ProgressRecorder(StreamingQueryListener):
         return spark.createDataFrame(rows, PROGRESS_SCHEMA)
 
 
-def attach(spark: SparkSession, keep: int = 10_000) -> ProgressRecorder:
+def attach(spark: SparkSession, keep: int | None = None) -> ProgressRecorder:
     rec = ProgressRecorder(keep)
     spark.streams.addListener(rec)
     return rec
