@@ -1,0 +1,37 @@
+import duckdb
+import pytest
+
+from tickwise.llm.queries import QUERIES
+from tickwise.llm.sql import SQL
+
+SF = "/root/testdata/sf0.001"
+
+
+def canon(rows):
+    return sorted((tuple(None if v != v else v for v in r) for r in rows), key=str)
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_query_matches_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "pages"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    got = QUERIES[name](spark, SF)
+    want = con.execute(SQL[name])
+    names = [c[0] for c in want.description]
+    assert sorted(got.columns) == sorted(names)
+    assert canon(got.select(*names).collect()) == canon(want.fetchall())
+
+
+def test_secret_sql_on_odd_texts(spark):
+    from .test_secret_scan import frame
+    from tickwise.llm.secret_scan import secret_report
+
+    con = duckdb.connect()
+    con.register("documents", frame(spark).toPandas())
+    want = canon(con.execute(SQL["op3_secret_scan"]).fetchall())
+    assert canon(secret_report(frame(spark)).collect()) == want
+
+
+def test_every_operator_is_registered():
+    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 11))

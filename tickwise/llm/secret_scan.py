@@ -140,3 +140,58 @@ def redact(docs: DataFrame, text_col: str = "text", key: tuple[str, ...] = ("doc
         lambda a: F.concat(a["out"], F.substring(text, (a["at"] + 1).cast("int"), F.length(text))))
     clean = F.when(F.col("_spans").isNull(), text).otherwise(reach)
     return joined.select(*(clean.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns))
+
+
+def _either_case(words: str) -> str:
+    """ASCII letters of an alternation in either case (SQL's own folding knows more letters)."""
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in words)
+
+
+def report_sql() -> str:
+    """The same report in DuckDB SQL; its patterns have no look-around, so the random
+    strings are maximal runs, tested on their first 20 characters."""
+    value = r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    account = _either_case("(?:user(?:name)?|login|account|client_?id|access_?key_?id)")
+    run = "[A-Za-z0-9+/_=-]+"
+    patterns = {
+        "assign": ("(" + _either_case("password|passwd|secret|token|api_?key") + ")" + value, 2, "length(g) >= 6"),
+        "access": (KINDS["access"][0], 0, "true"),
+        "hex": (KINDS["hex"][0], 0, "true"),
+        "account": (account + value.replace("_.=", "_.@="), 1, "length(g) >= 3"),
+        "random": (run, 0, "length(m) >= 20 AND " + " AND ".join(
+            f"regexp_matches(left(m, 20), '{c}')" for c in ("[0-9]", "[A-Z]", "[a-z]"))),
+        "endpoint": ("(?:" + "|".join(map(_either_case, ("https?", "ftp", "ssh"))) + "|" + _either_case("jdbc") + ":"
+                     + "[a-zA-Z]+|" + "|".join(map(_either_case, ("postgres", "mysql", "mongodb", "redis", "amqp")))
+                     + r""")://[^\x20\x09-\x0D"'<>]+""", 0, "length(m) >= 10"),
+    }
+    hits = []
+    for i, kind in enumerate(KINDS):
+        pattern, group, good = patterns[kind]
+        p = "'" + pattern.replace("'", "''") + "'"
+        hits.append(f"""SELECT rid, {i} AS kind, k, length(piece) AS gap, length(m) AS len, ({good}) AS good FROM (
+  SELECT rid, unnest(regexp_extract_all(t, {p}, 0)) AS m, unnest(regexp_extract_all(t, {p}, {group})) AS g,
+         unnest(string_split_regex(t, {p})) AS piece, generate_subscripts(string_split_regex(t, {p}), 1) AS k FROM d)
+  WHERE m IS NOT NULL""")
+    roles = " ".join(f"WHEN {i} THEN '{r}'" for i, (_, _, _, r) in enumerate(KINDS.values()))
+    names = " ".join(f"WHEN {i} THEN '{k}'" for i, k in enumerate(KINDS))
+    near = ",\n".join(
+        f"max(e) FILTER (WHERE role = '{r}') OVER (b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before_{r},\n"
+        f"min(s) FILTER (WHERE role = '{r}') OVER (b ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS after_{r}"
+        for r in COMPLETES)
+    linked = " OR ".join(
+        f"(role = '{r}' AND (coalesce(s - before_{o} <= {SCOPE}, false) OR coalesce(after_{o} - e <= {SCOPE}, false)))"
+        for r, others in COMPLETES.items() for o in others)
+    counts = ", ".join(f"count(*) FILTER (WHERE kind = {i}) AS n_{k}" for i, k in enumerate(BASE))
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+h AS ({" UNION ALL ".join(hits)}),
+p AS (SELECT *, CAST(sum(gap + len) OVER (PARTITION BY rid, kind ORDER BY k) AS BIGINT) AS e FROM h),
+r AS (SELECT rid, kind, good, e, e - len AS s, CASE WHEN good THEN CASE kind {roles} END END AS role FROM p),
+n AS (SELECT *, {near} FROM r WINDOW b AS (PARTITION BY rid ORDER BY s, kind)),
+f AS (SELECT rid, kind, s, (CASE kind {names} END) || ':' || s || ':' || e AS span FROM n
+      WHERE good AND (kind < {len(BASE)} OR {linked})),
+a AS (SELECT rid, {counts}, string_agg(span, ',' ORDER BY s, kind) FILTER (WHERE kind < {len(BASE)}) AS base,
+             string_agg(span, ',' ORDER BY s, kind) AS spans FROM f GROUP BY rid)
+SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in BASE)},
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN a USING (rid)"""
