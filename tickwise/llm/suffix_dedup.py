@@ -51,6 +51,7 @@ REACH = LENGTH - GRAM + 1      # grams of a window
 HOT = 4096
 BLOCK = 1 << 20
 RUN_BYTES = 32 << 20
+RANGE_ANCHORS = 200_000        # repeated anchors of a range, on average; it is merged in memory
 #: Fields of an anchor's place, packed into 64 bits: start, windows - 1, anchor - start, key bits.
 WINDOWS, ANCHOR, EXTRA = 7, 7, 16
 ENTRY = struct.Struct("<HHHBqq")
@@ -363,8 +364,10 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.crc32(text.cast("binary")).bitwiseAND(F.lit((1 << EXTRA) - 1)).cast("int").alias("extra"))
 
 
-def repeated_windows(keyed: DataFrame, ranges: int, hot: int = HOT) -> DataFrame:
+def repeated_windows(keyed: DataFrame, hot: int = HOT) -> DataFrame:
     """(key, extra, first, last): intervals of windows that start elsewhere, too."""
+    spark = keyed.sparkSession
+
     def scan(batches):
         scanner = Scanner()
         for b in batches:
@@ -404,9 +407,10 @@ def repeated_windows(keyed: DataFrame, ranges: int, hot: int = HOT) -> DataFrame
 
     anchors = keyed.select("key", "extra", "text").mapInArrow(scan, "gram long, key long, place long")
     # written, so that both sides of the join are dealt out for it, and a hot gram can be split
-    again = cut(anchors.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
-                .select("gram", (F.col("n") > hot).alias("hot")), "suffix-grams")
-    found = anchors.join(again, "gram").groupBy(
+    again = cut(anchors.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1"), "suffix-grams")
+    repeated = again.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    ranges = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-repeated // RANGE_ANCHORS))
+    found = anchors.join(again.select("gram", (F.col("n") > hot).alias("hot")), "gram").groupBy(
         "key", F.col("place").bitwiseAND(F.lit((1 << EXTRA) - 1)).cast("int").alias("extra")) \
         .agg(F.collect_set(F.struct("gram", "place", "hot")).alias("spans"))
     # the id travels along so that both joins on the texts share one exchange
@@ -419,11 +423,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                    with_text: bool = False) -> DataFrame:
     """One row per input row: id, n_bytes, n_removed, n_spans, kept_sha256, and
     with ``with_text`` the kept bytes as ``kept``."""
-    spark = docs.sparkSession
-    ship_package(spark)
-    ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ship_package(docs.sparkSession)
     keyed = _keyed(docs, id_col, text_col)
-    windows = repeated_windows(keyed, ranges, hot).groupBy("key", "extra").agg(
+    windows = repeated_windows(keyed, hot).groupBy("key", "extra").agg(
         F.collect_list(F.struct("first", "last")).alias("windows"))
     joined = keyed.join(windows, ["key", "extra"], "left").select("id", "text", "windows", "key")
 
