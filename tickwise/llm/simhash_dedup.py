@@ -131,7 +131,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
         .where(F.col(id_col) == F.col("component_id")).groupBy(id_col).agg(F.count("*").alias("_n"))
     kept = cut(kept, "simhash-kept").withColumnRenamed(id_col, "_id")
     rows = docs.select(F.struct(*docs.columns).alias("row"))
-    found = rows.join(kept, F.col("row")[id_col] == F.col("_id"))
+    # the kept ids grow with the rows: the join is by shuffle at every size
+    found = rows.join(kept.hint("merge"), F.col("row")[id_col] == F.col("_id"))
     once = found.where("_n = 1").select("row.*")
     repeated = found.where("_n > 1").select("row.*").dropDuplicates([id_col])
     return once.unionByName(repeated).unionByName(docs.where(F.col(id_col).isNull()))
