@@ -34,11 +34,12 @@ from __future__ import annotations
 
 import hashlib
 import struct
-import zlib
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,11 +47,12 @@ from ..session import ship_package
 from .common import cut
 
 LENGTH = 200
-GRAM = 100
+GRAM = 80
 REACH = LENGTH - GRAM + 1      # grams of a window
 HOT = 4096
 BLOCK = 1 << 20
 RUN_BYTES = 32 << 20
+LEVEL = 6                      # of the blocks' compression
 RANGE_ANCHORS = 200_000        # repeated anchors of a range, on average; it is merged in memory
 #: Fields of an anchor's place, packed into 64 bits: start, windows - 1, anchor - start, key bits.
 WINDOWS, ANCHOR, EXTRA = 7, 7, 16
@@ -122,6 +124,14 @@ class Scanner:
                 begin + offset[piece], count, at[first] - begin)
 
 
+def squeeze(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(LEVEL).compress(data)
+
+
+def expand(block: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(block)
+
+
 def pack(start, windows, anchor, extra):
     return ((start << WINDOWS | (windows - 1)) << ANCHOR | anchor) << EXTRA | extra
 
@@ -155,14 +165,14 @@ def front_code(entries: list[tuple[bytes, int, int, int, int]]) -> bytes:
         k = shared(last, s)
         out += (ENTRY.pack(k, len(s) - k, split, known, key, place), s[k:])
         last = s
-    return zlib.compress(b"".join(out), 1)
+    return squeeze(b"".join(out))
 
 
 class Run:
     """Front-coded entries read forward; ``lcp`` is shared with the one before."""
 
     def __init__(self, block: bytes):
-        self.data, self.at, self.s = zlib.decompress(block), 0, b""
+        self.data, self.at, self.s = expand(block), 0, b""
         self.lcp, self.rest = 0, (0, 0, 0, 0)
 
     def step(self) -> bool:
@@ -311,10 +321,10 @@ class RunMaker:
             r = int.from_bytes(d[:8], "big") * self.ranges >> 64
             parts.setdefault(r, []).append(WINDOW_ENTRY.pack(d, known, key, at, extra))
         for r, entries in parts.items():
-            yield r, 1, zlib.compress(b"".join(entries), 1)
+            yield r, 1, squeeze(b"".join(entries))
         for i in range(0, len(found), 50_000):
             block = np.array(found[i:i + 50_000], np.int64).tobytes()
-            yield zlib.crc32(block) % self.ranges, 2, zlib.compress(block, 1)
+            yield crc32(block) % self.ranges, 2, squeeze(block)
         self.cold, self.hot, self.size = {}, {}, 0
 
     @staticmethod
@@ -335,10 +345,10 @@ def reduce_range(blocks: list[tuple[int, bytes]]) -> Iterator[tuple[int, int, in
     windows: dict[bytes, list] = {}
     for kind, b in blocks:
         if kind == 1:
-            for d, known, key, at, extra in WINDOW_ENTRY.iter_unpack(zlib.decompress(b)):
+            for d, known, key, at, extra in WINDOW_ENTRY.iter_unpack(expand(b)):
                 windows.setdefault(d, []).append((known, key, extra, at))
         elif kind == 2:
-            yield from map(tuple, np.frombuffer(zlib.decompress(b), np.int64).reshape(-1, 4).tolist())
+            yield from map(tuple, np.frombuffer(expand(b), np.int64).reshape(-1, 4).tolist())
     for seen in windows.values():
         if len(seen) > 1 or seen[0][0]:
             for known, key, extra, at in seen:
