@@ -34,8 +34,10 @@ KINDS = {
     # weak kinds
     "account": (r"""(?i:(?:user(?:name)?|login|account|client_?id|access_?key_?id)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.@=-]+))""",
                 1, 3, "identifier"),
-    "random": (r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z0-9+/_=-]{0,19}[0-9])(?=[A-Za-z0-9+/_=-]{0,19}[A-Z])"
-               r"(?=[A-Za-z0-9+/_=-]{0,19}[a-z])[A-Za-z0-9+/_=-]{20,}", 0, 20, "secret"),
+    # maximal runs, judged whole; "=" ends a run, as padding or as the sign after a key's name
+    "random": (r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]{20}|[A-Za-z0-9+/_-]{18}(?:==|[A-Za-z0-9+/_-]=)"
+               r"(?![A-Za-z0-9+/_=-]))(?=[A-Za-z+/_-]*+[0-9])(?=[a-z0-9+/_-]*+[A-Z])(?=[A-Z0-9+/_-]*+[a-z])"
+               r"[A-Za-z0-9+/_-]++(?:={1,2}(?![A-Za-z0-9+/_=-]))?", 0, 20, "secret"),
     "endpoint": (r"""(?i:https?|ftp|ssh|jdbc:[a-z]+|postgres|mysql|mongodb|redis|amqp)://[^\x20\x09-\x0D"'<>]+""",
                  0, 10, "endpoint"),
 }
