@@ -49,3 +49,31 @@ def test_edges(spark):
     got = sorted(map(tuple, M.extract_text(df).collect()), key=str)
     assert got == sorted([(1, None, "", 0), (None, "u", "x", 1), (2, "u", "", 0), (2, "u", "", 0)], key=str)
     assert M.extract_text(df.limit(0)).count() == 0
+
+
+def words(n, k=0):
+    return " ".join(f"word{k}x{i}" for i in range(n))
+
+
+def test_sections_lists_and_headings_of_div_pages():
+    links = '<div id="links"><ul>' + '<li><a href="x">some link</a></li>' * 15 + "</ul></div>"
+    side = "<div><p>short line</p></div>"
+
+    def section(tag, inner, n, size, k):
+        texts = [words(size, 100 * k + j) for j in range(n)]
+        return f"<{tag}>" + "".join(f"<{inner}>{t}</{inner}>" for t in texts) + f"</{tag}>", " ".join(texts)
+
+    for noise in ("", links, links + side):
+        for second in (("div", "p", 10, 25, 2), ("div", "p", 8, 22, 2), ("ul", "li", 40, 12, 2), ("div", "p", 5, 40, 2)):
+            for first in (("div", "p", 10, 25, 1), ("div", "p", 5, 40, 1)):
+                (a, ta), (b, tb) = section(*first), section(*second)
+                page = f"<body>{noise}<h1>The title</h1>{a}<h2>Part two</h2>{b}<h3>Links</h3>{links}</body>"
+                assert M.main_text(page) == f"The title {ta} Part two {tb}", (noise, first, second)
+
+
+def test_direct_text_beside_the_main_block():
+    bare = words(60, 7)
+    page = f"<body>Menu<br>{bare} <b>bold</b> end<div>" + f"<p>{words(25)}</p>" * 10 + "</div></body>"
+    assert f"{bare} bold end" in M.main_text(page)
+    assert M.main_text("<body><h3>News</h3><form>mail</form><div>" + f"<p>{words(25)}</p>" * 4 + "</div></body>") \
+        == " ".join([words(25)] * 4)

@@ -6,7 +6,12 @@ the share of link text (body-wide share ``LCb/Cb`` included), so long plain
 blocks score high and link lists near zero.  The node whose children's
 densities have the largest sum is the main block; the smallest density on the
 path from it up to the body is the threshold which any further block must
-reach.  Elements that never hold article text (menus, headers, footers, asides,
+reach.  Where the main block's own children are less dense (a block's density
+grows with its length), their median is the threshold, so that a part of the
+article isn't held to more than the parts of the main block.  Of each block that
+reaches it, the node below with the largest sum is kept, and text directly in a
+block if that text reaches it; a heading stays with kept text that follows it,
+an ``article`` or ``main`` around the main block stays whole.  Elements that never hold article text (menus, headers, footers, asides,
 forms, scripts, styles, notices, adverts, comment lists) count as empty.
 
 A null or empty page gives an empty text; broken markup is read as far as it
@@ -43,6 +48,7 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 FENCE = frozenset("table ul ol dl div article section main body html td th".split())
 CLOSE_P = BLOCK - {"br", "caption", "tbody", "td", "tfoot", "th", "thead", "tr", "body", "html"}
 CONTAINERS = frozenset({"article", "main"})
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
 class _Tree(HTMLParser):
@@ -52,6 +58,7 @@ class _Tree(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.parent, self.tag, self.dropped, self.link = [-1], ["#"], [False], [False]
         self.open = [0]
+        self.share = 0.0                                 # of link text in the body, known with the densities
         self.events: list[tuple[int, str | None]] = []   # text, or None at a block edge
 
     def _close_to(self, depth: int) -> None:
@@ -127,20 +134,76 @@ def densities(tree: _Tree) -> tuple[list[float], list[float]]:
         tags[p] += tags[i] + own
         link_tags[p] += link_tags[i] + (own and tree.tag[i] == "a")
     body = next((i for i, t in enumerate(tree.tag) if t == "body"), 0)
-    share = links[body] / max(1, chars[body])
+    tree.share = share = links[body] / max(1, chars[body])
     density, total = [0.0] * n, [0.0] * n
     for i in range(n - 1, -1, -1):
-        c = chars[i]
-        if c:
-            t, lc, lt = max(1, tags[i]), max(1, links[i]), max(1, link_tags[i])
-            base = math.log(c * lc / max(1, c - links[i]) + share * c + math.e)
-            # both logarithms stay above 0, so that the shortest text still counts as text
-            density[i] = c / t * math.log(max(1.0, c * t / (lc * lt)) + 1e-6) / math.log(base + 1e-6)
+        density[i] = _density(chars[i], tags[i], links[i], link_tags[i], share)
         if i:
             total[tree.parent[i]] += density[i]
     return density, total
 
 
+def _density(c: int, t: int, lc: int, lt: int, share: float) -> float:
+    if not c:
+        return 0.0
+    base = math.log(c * max(1, lc) / max(1, c - lc) + share * c + math.e)
+    t, lc, lt = max(1, t), max(1, lc), max(1, lt)
+    # both logarithms stay above 0, so that the shortest text still counts as text
+    return c / t * math.log(max(1.0, c * t / (lc * lt)) + 1e-6) / math.log(base + 1e-6)
+
+
+def _reaching(tree: _Tree, density: list[float], total: list[float],
+              threshold: float) -> tuple[list[bool], list[bool]]:
+    """Nodes to keep whole, and nodes whose text lies directly in a block that is to be kept."""
+    n = len(tree.tag)
+    best = [i if tree.tag[i] in BLOCK else -1 for i in range(n)]
+    for i in range(n - 1, 0, -1):
+        p, b = tree.parent[i], best[i]
+        if b >= 0 and density[b] and (best[p] < 0 or total[b] > total[best[p]]):
+            best[p] = b
+    kept = [False] * n
+    for i in range(n):
+        if tree.tag[i] in BLOCK and density[i] >= threshold:
+            kept[best[i]] = True
+    # text directly in a block, with the inline elements around it
+    block = [0] * n
+    chars, tags, links, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
+    for i in range(1, n):
+        inline = tree.tag[i] not in BLOCK
+        block[i] = block[tree.parent[i]] if inline else i
+        if inline and not tree.dropped[i]:
+            tags[block[i]] += 1
+            link_tags[block[i]] += tree.tag[i] == "a"
+    for node, text in tree.events:
+        if text is not None and not tree.dropped[node]:
+            k = len(_spaced([text]))
+            chars[block[node]] += k
+            links[block[node]] += k * tree.link[node]
+    reach = [_density(chars[i], tags[i], links[i], link_tags[i], tree.share) >= threshold for i in range(n)]
+    return kept, [reach[b] for b in block]
+
+
+def _with_headings(tree: _Tree, stays: list[bool]) -> list[bool]:
+    """``stays`` of the text events, with headings directly before text that stays;
+    an h1 reaches over dropped parts, too."""
+    head = [""] * len(tree.tag)
+    for i in range(1, len(head)):
+        head[i] = tree.tag[i] if tree.tag[i] in HEADINGS else head[tree.parent[i]]
+    after = over = False
+    out = list(stays)
+    for e in range(len(out) - 1, -1, -1):
+        node, text = tree.events[e]
+        if text is None or not text.strip():
+            continue
+        if tree.dropped[node]:
+            after = False
+        elif head[node]:
+            out[e] = out[e] or (over if head[node] == "h1" else after)
+        else:
+            after = over = out[e]
+    return out
+
+
 def main_text(html: str | None) -> str:
     """The article text of one page."""
     if not html:
@@ -157,22 +220,24 @@ def main_text(html: str | None) -> str:
     while node >= 0 and tree.tag[node] not in ("body", "html", "#"):
         path.append(node)
         node = tree.parent[node]
-    threshold = min((density[i] for i in path), default=0.0)
+    parts = sorted(density[i] for i in range(n)
+                   if tree.parent[i] == top and density[i] and tree.tag[i] in BLOCK - HEADINGS)
+    # node is the body now, or what stands for it
+    threshold = min([density[i] for i in [*path, node] if i >= 0] + parts[(len(parts) - 1) // 2:][:1])
     # the article element around the main block, if there is one
     root = next((i for i in reversed(path) if tree.tag[i] in CONTAINERS), top)
-    kept = [False] * n
-    for i in range(n):
-        p = tree.parent[i]
-        inside = i == root or (p >= 0 and kept[p])
-        # another article-like block beside the main one, as dense as its path
-        beside = tree.tag[i] in CONTAINERS and density[i] >= threshold > 0
-        kept[i] = (inside or beside) and not tree.dropped[i]
+    kept, own = _reaching(tree, density, total, threshold)
+    kept[root] = True
+    for i in range(1, n):
+        kept[i] = kept[i] or kept[tree.parent[i]]
+    texts = _with_headings(tree, [text is not None and (kept[node] or own[node]) and not tree.dropped[node]
+                                  for node, text in tree.events])
     blocks, run = [], []
-    for node, text in tree.events:
+    for (_, text), stays in zip(tree.events, texts, strict=True):
         if text is None:
             blocks.append(_spaced(run))
             run = []
-        elif kept[node]:
+        elif stays:
             run.append(text)
     blocks.append(_spaced(run))
     return " ".join(b for b in blocks if b)
