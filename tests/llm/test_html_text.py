@@ -77,3 +77,20 @@ def test_direct_text_beside_the_main_block():
     assert f"{bare} bold end" in M.main_text(page)
     assert M.main_text("<body><h3>News</h3><form>mail</form><div>" + f"<p>{words(25)}</p>" * 4 + "</div></body>") \
         == " ".join([words(25)] * 4)
+
+
+def test_wrappers_named_like_other_parts():
+    text = " ".join(words(25, j) for j in range(8))
+    inner = "".join(f"<p>{words(25, j)}</p>" for j in range(8))
+    rest = ('<div class="sidebar"><p>Side text that goes on and on.</p></div><div class="cookie_notice">We use cookies.</div>'
+            '<section id="comments"><article><p>Reader comment, a longer one.</p></article></section>')
+    for name in ('class="content no-sidebar"', 'class="has-sidebar"', 'class="has-header-image"', 'id="widget-page"',
+                 'class="post comments-open"', 'class="widget"', 'id="search"', 'class="content sidebar"'):
+        for body in (inner, f"<article>{inner}</article>", f"<main><div>{inner}</div></main>"):
+            assert M.main_text(f"<body><div {name}>{body}</div>{rest}</body>") == text, (name, body[:9])
+            assert M.main_text(f"<body><div {name}>{rest}{body}</div></body>") == text, (name, body[:9])
+    short = "<article><p>A short article of few words.</p></article>"
+    assert M.main_text(f'<body><div class="header">{short}</div>{rest}</body>') == "A short article of few words."
+    longer = "".join(f"<li><p>{words(30, 50 + j)}</p></li>" for j in range(20))
+    for name in ("comment-list", "comments", "replies"):
+        assert M.main_text(f'<body><div>{inner}</div><ol class="{name}">{longer}</ol></body>') == text

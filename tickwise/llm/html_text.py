@@ -12,7 +12,8 @@ article isn't held to more than the parts of the main block.  Of each block that
 reaches it, the node below with the largest sum is kept, and text directly in a
 block if that text reaches it; a heading stays with kept text that follows it,
 an ``article`` or ``main`` around the main block stays whole.  Elements that never hold article text (menus, headers, footers, asides,
-forms, scripts, styles, notices, adverts, comment lists) count as empty.
+forms, scripts, styles, notices, adverts, comment lists) count as empty; one that
+is told by its name only stays if it holds the article or most of the text.
 
 A null or empty page gives an empty text; broken markup is read as far as it
 goes; the tree is walked without recursion, so depth and length are unbounded.
@@ -36,11 +37,16 @@ BLOCK = frozenset("""address article aside blockquote body br caption center dd
 #: Elements without article text.
 DROPPED = frozenset("""aside button canvas datalist dialog footer form head header iframe input label
     menu nav noscript object option script select style svg template textarea title""".split())
-#: Words in class, id or role that mark a part as something other than the article.
-MARKED = re.compile(r"""(?<![a-z])(ad|ads|advert\w*|adsense|banner|breadcrumbs?|comments?|commentlist|cookies?|consent
+#: Names in class, id or role that mark a part as something other than the article:
+#: a whole name counts, or a compound of such words and plain nouns only (cookie-notice, comment-list).
+WORD = r"""(?:ad|ads|advert\w*|adsense|banner|breadcrumbs?|comments?|commentlist|cookies?|consent
     |disqus|disclaimer|footer|gdpr|header|masthead|menu|nav|navbar|navigation|newsletter|notices?|pagination|popup
     |modal|promo\w*|recommend\w*|related|replies|respond|share|sharing|sidebar|signup|social|sponsor\w*|subscribe
-    |toolbar|widget|complementary|contentinfo|search)(?![a-z])""", re.X | re.I)
+    |toolbar|widget|complementary|contentinfo|search)"""
+NOUN = r"(?:area|bar|block|box|buttons?|container|form|inner|items?|links?|list|posts|section|site|wrap|wrapper)"
+MARKED = re.compile(rf"(?<!\S)(?:{NOUN}[-_]+)*{WORD}(?:[-_]+(?:{WORD}|{NOUN}))*(?!\S)", re.X | re.I)
+#: Readers' words are never the article, however long they are.
+READERS = re.compile(r"(?<!\S)(?:comments?|commentlist|disqus|replies|respond)(?:[-_]+[\w-]+)?(?!\S)", re.I)
 #: Open elements that a start tag closes.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}, "tbody": {"tr", "td", "th", "thead", "tbody"}}
@@ -58,6 +64,7 @@ class _Tree(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.parent, self.tag, self.dropped, self.link = [-1], ["#"], [False], [False]
         self.open = [0]
+        self.marked: list[int] = []                      # by name only, for drop_marked
         self.share = 0.0                                 # of link text in the body, known with the densities
         self.events: list[tuple[int, str | None]] = []   # text, or None at a block edge
 
@@ -82,14 +89,17 @@ class _Tree(HTMLParser):
                 elif t in FENCE:
                     break
         above = self.open[-1]
-        marked = tag in DROPPED
-        if not marked and attrs and tag not in ("body", "html", "article", "main"):
-            named = " ".join(v for k, v in attrs if k in ("class", "id", "role") and v)
-            marked = bool(named) and bool(MARKED.search(named.replace("_", "-")))
         n = len(self.tag)
+        never = tag in DROPPED
+        if not never and attrs and tag not in ("body", "html", "article", "main"):
+            named = " ".join(v for k, v in attrs if k in ("class", "id", "role") and v)
+            if named and MARKED.search(named):
+                never = bool(READERS.search(named))
+                if not never:
+                    self.marked.append(n)
         self.parent.append(above)
         self.tag.append(tag)
-        self.dropped.append(marked or self.dropped[above])
+        self.dropped.append(never or self.dropped[above])
         self.link.append(tag == "a" or self.link[above])
         if tag in BLOCK:
             self.events.append((above, None))
@@ -110,6 +120,31 @@ class _Tree(HTMLParser):
     def handle_data(self, data):
         self.events.append((self.open[-1], data))
 
+    def drop_marked(self) -> None:
+        """Drop the parts marked by name.  One stays if two of three hold: it has an article
+        or main element, no such element is outside marked parts, and it has most of the
+        page's text outside links."""
+        if not self.marked:
+            return
+        n = len(self.tag)
+        named = set(self.marked)
+        under, free = [False] * n, False
+        articles, chars = [0] * n, [0] * n
+        for i in range(1, n):
+            under[i] = i in named or under[self.parent[i]]
+            if self.tag[i] in CONTAINERS and not self.dropped[i]:
+                articles[i] = 1
+                free = free or not under[i]
+        for node, text in self.events:
+            if text is not None and not self.dropped[node] and not self.link[node]:
+                chars[node] += len(_spaced([text]))
+        for i in range(n - 1, 0, -1):
+            articles[self.parent[i]] += articles[i]
+            chars[self.parent[i]] += chars[i]
+        for i in range(1, n):
+            stays = (articles[i] > 0) + (not free) + (2 * chars[i] > chars[0]) > 1
+            self.dropped[i] = self.dropped[i] or self.dropped[self.parent[i]] or (i in named and not stays)
+
 
 def _spaced(parts: list[str]) -> str:
     return " ".join("".join(parts).split())
@@ -211,6 +246,7 @@ def main_text(html: str | None) -> str:
     tree = _Tree()
     tree.feed(html)
     tree.close()
+    tree.drop_marked()
     density, total = densities(tree)
     n = len(tree.tag)
     top = max(range(n), key=lambda i: (total[i] or density[i] * 1e-9, -i))
