@@ -4,10 +4,16 @@ Base kinds (assign, access, hex) are reported wherever they match.  The weak
 parts - account names, long mixed-case random strings, endpoints - mean nothing
 alone.  They are linked by an interval join within scopes: parts lie on the
 text as intervals, and a part is joined with the nearest part of each other
-role before and after it, found by sorted running maxima and minima in the
-document, so that no pair is spelled out.  A weak part is reported when a
-complementary role is within ``SCOPE`` code points: a random string with an
-identifier or an endpoint, an account name or an endpoint with a secret.
+role before and after it that doesn't overlap it, found by running maxima of
+ends and minima of starts over the document's sorted edges, so that no pair is
+spelled out.  A weak part is reported when a complementary role is within
+``SCOPE`` code points: a random string with an identifier or an endpoint, an
+account name or an endpoint with a secret.
+
+A random string in the path of a URL is mostly a title, and part of that URL: it
+counts only if a part of it between ``-``, ``/`` and ``_`` is random by itself,
+and then with identifiers only, never with an endpoint.  Values behind ``=``, queries and user info of a
+URL are secrets like any other.
 
 Only DataFrame functions run.  Places come from splitting a text at its
 matches: lengths of the pieces and of the matches, added up by a window over
@@ -44,22 +50,39 @@ KINDS = {
 BASE = ("assign", "access", "hex")
 #: role of a weak part -> roles that complete it
 COMPLETES = {"secret": ("identifier", "endpoint"), "identifier": ("secret",), "endpoint": ("secret",)}
+#: the same with random strings in the path of a URL
+LINKS = {**COMPLETES, "identifier": ("secret", "path"), "path": ("identifier",)}
+#: a URL up to its path: scheme, user info (a password may hold "/", a port is none), host
+AUTHORITY = r"^[^/]*//(?:[^/?#@:]*:(?![0-9]{1,5}/)[^?#@]*@|[^/?#@]*@)?[^/?#]*"
 
 
 def _hits(text: Column, order: int, kind: str) -> Column:
-    """Array of (order, k, gap, len, good): the piece before match k and the match."""
+    """Array of (order, k, gap, len, good, path, query, mark): the piece before match k and
+    the match.  Of an endpoint, where its path, query and fragment begin; of a random
+    string, path is 0 if it counts wherever it is, 1 if within a path, too, and 2 if not there."""
     pattern, group, least, _ = KINDS[kind]
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     measured = whole if group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     pieces = F.split(text, pattern)
     hits = F.transform(whole, lambda m, k: F.struct(
         F.lit(order).alias("kind"), k.alias("k"), F.length(F.get(pieces, k)).alias("gap"),
-        F.length(m).alias("len"), (F.length(F.get(measured, k)) >= least).alias("good")))
-    empty = F.array().cast("array<struct<kind:int,k:int,gap:int,len:int,good:boolean>>")
+        F.length(m).alias("len"), (F.length(F.get(measured, k)) >= least).alias("good"),
+        *(c.alias(n) for n, c in zip(("path", "query", "mark"), _marks(kind, m, F.get(pieces, k)), strict=True))))
+    empty = F.array().cast("array<struct<kind:int,k:int,gap:int,len:int,good:boolean,path:int,query:int,mark:int>>")
     # one cheap look first: most texts have no hit of a kind
     return F.when(text.rlike(pattern), hits).otherwise(empty)
 
 
+def _marks(kind: str, match: Column, piece: Column) -> tuple[Column, Column, Column]:
+    none = F.lit(None).cast("int")
+    if kind == "endpoint":
+        return tuple(F.length(F.regexp_extract(match, p, 0)) for p in (AUTHORITY, "^[^?#]*", "^[^#]*"))
+    if kind == "random":
+        segment = F.exists(F.split(match, "[-/_]"), lambda x: x.rlike(KINDS["random"][0]))
+        return F.when(piece.endswith("="), 0).when(segment, 1).otherwise(2), none, none
+    return none, none, none
+
+
 def find_spans(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",),
                scope: int = SCOPE) -> DataFrame:
     """One row per input row: ``keep`` (a struct) and ``spans``, an array of
@@ -75,27 +98,40 @@ def find_spans(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] =
         .withColumn("start", F.col("end") - F.col("len"))
     # hits that are too short have moved the scan on, and count for nothing else
     role = F.element_at(F.array(*(F.lit(KINDS[k][3]) for k in kinds)), F.col("kind") + 1)
-    tagged = placed.withColumn("role", F.when(F.col("good"), role))
-    order = [F.col("start"), F.col("kind")]
-    before = Window.partitionBy("row").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    after = Window.partitionBy("row").orderBy(*order).rowsBetween(1, Window.unboundedFollowing)
-    for r in COMPLETES:
-        tagged = tagged.withColumn(f"before_{r}", F.max(F.when(F.col("role") == r, F.col("end"))).over(before)) \
-            .withColumn(f"after_{r}", F.min(F.when(F.col("role") == r, F.col("start"))).over(after))
+    # the last endpoint that begins before a random string, and whether the string lies in its path or fragment
+    so_far = Window.partitionBy("row").orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    url = F.last(F.when((F.col("kind") == kinds.index("endpoint")) & F.col("good"), F.struct(
+        (F.col("start") + F.col("path")).alias("path"), (F.col("start") + F.col("query")).alias("query"),
+        (F.col("start") + F.col("mark")).alias("mark"), "end")), ignorenulls=True).over(so_far)
+    within = (F.col("start") < F.col("url.query")) & (F.col("end") > F.col("url.path")) | \
+        (F.col("start") < F.col("url.end")) & (F.col("end") > F.col("url.mark"))
+    in_path = F.coalesce((F.col("kind") == kinds.index("random")) & (F.col("path") > 0) & within, F.lit(False))
+    tagged = placed.withColumn("url", url).withColumn("role", F.when(F.col("good"), F.when(
+        in_path, F.when(F.col("path") == 1, F.lit("path"))).otherwise(role)))
+    # two edges a hit, ends before starts: what ends before a start, and starts after an end, doesn't overlap
+    edges = tagged.select("row", "keep", "kind", "start", "end", "good", "role", F.explode_outer(F.when(
+        F.col("kind").isNotNull(), F.array(F.struct(F.col("end").alias("at"), F.lit(0).alias("opens")),
+                                           F.struct(F.col("start").alias("at"), F.lit(1).alias("opens"))))).alias("edge")) \
+        .select("*", "edge.*").drop("edge")
+    order = Window.partitionBy("row").orderBy("at", "opens")
+    before, after = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(1, Window.unboundedFollowing)
+    for r in LINKS:
+        edges = edges.withColumn(f"before_{r}", F.max(F.when((F.col("role") == r) & (F.col("opens") == 0), F.col("at"))).over(before)) \
+            .withColumn(f"after_{r}", F.min(F.when((F.col("role") == r) & (F.col("opens") == 1), F.col("at"))).over(after))
 
     def near(r: str) -> Column:
-        return F.coalesce(F.col("start") - F.col(f"before_{r}") <= scope, F.lit(False)) | \
-            F.coalesce(F.col(f"after_{r}") - F.col("end") <= scope, F.lit(False))
+        gap = F.when(F.col("opens") == 1, F.col("at") - F.col(f"before_{r}")).otherwise(F.col(f"after_{r}") - F.col("at"))
+        return F.coalesce(gap <= scope, F.lit(False))
 
     linked = F.lit(False)
-    for r, others in COMPLETES.items():
+    for r, others in LINKS.items():
         for o in others:
             linked = linked | ((F.col("role") == r) & near(o))
     strong = F.col("kind") < len(BASE)
-    reported = tagged.withColumn("span", F.when(
+    reported = edges.withColumn("span", F.when(
         F.col("good") & (strong | linked), F.struct("start", "kind", "end")))
     return reported.groupBy("row").agg(
-        F.first("keep").alias("keep"), F.sort_array(F.collect_list("span")).alias("spans")).drop("row")
+        F.first("keep").alias("keep"), F.sort_array(F.collect_set("span")).alias("spans")).drop("row")
 
 
 def _joined(spans: Column) -> Column:
