@@ -15,6 +15,7 @@ from . import (
     suffix_dedup,
     token_counts,
     warc,
+    whitening,
 )
 from .common import table
 
@@ -72,6 +73,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_components(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_simhash_dedup, op3_secret_scan, op4_quality_rules, op5_html_extraction,
-    op6_bpe_codec, op7_warc, op8_language_id, op9_suffix_dedup, op10_decontamination)}
+    op6_bpe_codec, op7_warc, op8_language_id, op9_suffix_dedup, op10_decontamination,
+    op12_embedding_whitening)}
