@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import (
     bpe_codec,
+    collocations,
     decontamination,
     html_text,
     language_id,
@@ -77,7 +78,11 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened_components(table(spark, sf_dir, "embeddings"))
 
 
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_simhash_dedup, op3_secret_scan, op4_quality_rules, op5_html_extraction,
     op6_bpe_codec, op7_warc, op8_language_id, op9_suffix_dedup, op10_decontamination,
-    op12_embedding_whitening)}
+    op12_embedding_whitening, op13_phrase_collocations)}
