@@ -20,13 +20,31 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: a short lineage that
-    survives lost executors, computed once however many branches read it."""
+def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written to the shared folder and read back, and where it lies."""
     spark = df.sparkSession
     path = scratch(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def cut(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: a short lineage that
+    survives lost executors, computed once however many branches read it."""
+    return stored(df, name)[0]
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished jobs: it does so once the
+    driver's garbage collector has found their plans unused."""
+    spark.sparkContext._jvm.System.gc()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a table that ``stored`` wrote and that no result reads any more."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    release(spark)
 
 
 def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]],

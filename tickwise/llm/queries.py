@@ -15,6 +15,7 @@ from . import (
     simhash_dedup,
     suffix_dedup,
     token_counts,
+    toxicity,
     warc,
     whitening,
 )
@@ -74,6 +75,13 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = toxicity.held_out()
+    model = toxicity.train(docs.where(~out), table(spark, sf_dir, "labels"))
+    return toxicity.score(docs.select("doc_id", out.alias("held_out"), "text"), model, extra=("held_out",))
+
+
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened_components(table(spark, sf_dir, "embeddings"))
 
@@ -85,4 +93,4 @@ def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_simhash_dedup, op3_secret_scan, op4_quality_rules, op5_html_extraction,
     op6_bpe_codec, op7_warc, op8_language_id, op9_suffix_dedup, op10_decontamination,
-    op12_embedding_whitening, op13_phrase_collocations)}
+    op11_toxicity, op12_embedding_whitening, op13_phrase_collocations)}
