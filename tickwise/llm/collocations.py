@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from .common import cut
+from .common import cut, release, remove, stored
 from .word_shards import SHARD_WORDS, Numbering, pack, shard_names, unpack
 
 LONGEST = 4
@@ -159,11 +159,6 @@ def _frequent_text(t: np.ndarray, numbers: np.ndarray) -> np.ndarray:
     return np.append(t[keep], 0)
 
 
-def _lists(*columns: np.ndarray, names: list[str]) -> pa.Array:
-    s = pa.StructArray.from_arrays([pa.array(c) for c in columns], names=names)
-    return pa.ListArray.from_arrays(pa.array([0, len(s)], pa.int32()), s)
-
-
 def _pairs(forward: Index, reverse: Index):
     """All pairs of words: (first, second, lo, reverse lo, count)."""
     lo, n = forward.words()
@@ -171,39 +166,46 @@ def _pairs(forward: Index, reverse: Index):
     return first + 1, second, flo, rlo, size
 
 
-def index_shards(shard_rows: DataFrame, words: DataFrame) -> DataFrame:
-    """One row a shard: both BWTs over its frequent words, these words, and the counts of its pairs.
+def frequent_shards(shard_rows: DataFrame, words: DataFrame) -> DataFrame:
+    """One row a shard: its text over the frequent words, numbered from 1, and these words.
     ``words``: (shard, number, id, f, lang) of the frequent words of every shard."""
     def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
         right = right.sort_by("number")
-        ids, f = np.asarray(right["id"]), np.asarray(right["f"])
-        if not left.num_rows or not len(ids):
+        if not left.num_rows or not right.num_rows:
             return arrow.empty_table()
         t = _frequent_text(unpack(left["ids"][0].as_py()), np.asarray(right["number"]))
-        forward, reverse = Index.of(t), Index.of(t[::-1])
-        first, second, _, _, n = _pairs(forward, reverse)
-        langs = right["lang"].combine_chunks()
+        words = pa.StructArray.from_arrays([right[c].combine_chunks() for c in ("id", "f", "lang")], names=["id", "f", "lang"])
         return pa.Table.from_arrays(
-            [pa.array([key[0].as_py()], pa.int64()), pa.array([pack(forward.bwt)], pa.binary()),
-             pa.array([pack(reverse.bwt)], pa.binary()),
-             pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), pa.StructArray.from_arrays(
-                 [pa.array(ids), pa.array(f), langs], names=["id", "f", "lang"])),
-             _lists(ids[first - 1], ids[second - 1], n, names=["g1", "g2", "n"])], schema=arrow)
+            [pa.array([key[0].as_py()], pa.int64()), pa.array([pack(t)], pa.binary()),
+             pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)], schema=arrow)
 
     word = pa.struct([("id", pa.int64()), ("f", pa.int64()), ("lang", pa.string())])
-    pair = pa.struct([("g1", pa.int64()), ("g2", pa.int64()), ("n", pa.int64())])
-    arrow = pa.schema([("shard", pa.int64()), ("forward", pa.binary()), ("reverse", pa.binary()),
-                       ("words", pa.list_(word)), ("pairs", pa.list_(pair))])
+    arrow = pa.schema([("shard", pa.int64()), ("ids", pa.binary()), ("words", pa.list_(word))])
     return (shard_rows.select("shard", "ids").groupBy("shard").cogroup(
         words.withColumnRenamed("shard", "owner").groupBy("owner")).applyInArrow(
-        run, "shard long, forward binary, reverse binary, words array<struct<id: long, f: long, lang: string>>, "
-             "pairs array<struct<g1: long, g2: long, n: long>>"))
+        run, "shard long, ids binary, words array<struct<id: long, f: long, lang: string>>"))
+
+
+def pair_counts(texts: DataFrame) -> DataFrame:
+    """(shard, g1, g2, n): the pairs of every shard, each the extension of a word to the right."""
+    def run(batches):
+        for b in batches:
+            for shard, packed, words in zip(b.column(0), b.column(1), b.column(2), strict=True):
+                reverse = Index.of(unpack(packed.as_py())[::-1])
+                lo, n = reverse.words()
+                first, second, _, _, n = reverse.extend(lo[1:], lo[1:], n[1:])
+                ids = np.asarray(words.values)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(n), shard.as_py())), pa.array(ids[first]), pa.array(ids[second - 1]), pa.array(n)],
+                    names=["shard", "g1", "g2", "n"])
+
+    return texts.select("shard", "ids", "words.id").mapInArrow(run, "shard long, g1 long, g2 long, n long")
 
 
 GRAMS = "lang string, g1 long, g2 long, g3 long, g4 long, f1 long, f2 long, n long"
 
 
-def longer_phrases(index: DataFrame, pairs: DataFrame) -> DataFrame:
+def longer_phrases(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     """Counts in each shard of the triples and quadruples of frequent pairs, and each frequent pair
     once with its language and the frequencies of its words.
     ``pairs``: (shard, g1, g2, f, first) of the frequent pairs of every shard."""
@@ -236,7 +238,8 @@ def longer_phrases(index: DataFrame, pairs: DataFrame) -> DataFrame:
             at = np.minimum(np.searchsorted(frequent, key), len(frequent) - 1)
             return frequent[at] == key
 
-        forward, reverse = (Index(unpack(left[c][0].as_py())) for c in ("forward", "reverse"))
+        t = unpack(left["ids"][0].as_py())
+        forward, reverse = Index.of(t), Index.of(t[::-1])
         a, b, lo, rlo, n = _pairs(forward, reverse)
         keep = is_pair(a, b)
         a, b, lo, rlo, n = (x[keep] for x in (a, b, lo, rlo, n))
@@ -253,7 +256,7 @@ def longer_phrases(index: DataFrame, pairs: DataFrame) -> DataFrame:
             table([ids[x - 1] for x in (a, b, c)], None, None, None, n),
             table([ids[d - 1], *(ids[x[above] - 1] for x in (a, b, c))], None, None, None, m)])
 
-    return (index.select("shard", "forward", "reverse", "words").groupBy("shard")
+    return (texts.groupBy("shard")
             .cogroup(pairs.withColumnRenamed("shard", "owner").groupBy("owner")).applyInArrow(run, GRAMS))
 
 
@@ -271,31 +274,42 @@ def _lowest_cut(df: DataFrame, cuts: list[tuple[str, str]]) -> DataFrame:
 
 
 def phrase_statistics(docs: DataFrame, lang_col: str = "lang", text_col: str = "text",
-                      least: int = LEAST) -> tuple[DataFrame, DataFrame]:
-    """(words, grams): words are (lang, word, f, id) of all words, id null below ``least``;
-    grams are (lang, g1..g4, f1, f2, a) of the phrases with ``least`` occurrences,
-    ids of words, 0 past the end; lang, f1 and f2 for pairs only."""
-    shard_rows = cut(shards(docs, lang_col, text_col), "shards")
+                      least: int = LEAST) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(totals, names, grams): totals are (lang, n), names are (id, word) of the words with
+    ``least`` occurrences; grams are (lang, g1..g4, f1, f2, a) of the phrases with ``least``
+    occurrences, ids of words, 0 past the end; lang, f1 and f2 for pairs only."""
+    spark = docs.sparkSession
+    shard_rows, shards_at = stored(shards(docs, lang_col, text_col), "shards")
     v = F.explode("vocabulary").alias("v")
-    words = shard_rows.select("shard", v).select("shard", "v.lang", "v.word", "v.number", "v.n").where("word <> '.'")
-    totals = words.groupBy("lang", "word").agg(F.sum("n").alias("f"))
-    totals = cut(totals.withColumn("id", F.when(F.col("f") >= least, F.monotonically_increasing_id() + 1)), "words")
-    known = words.join(totals.where("id IS NOT NULL"), ["lang", "word"]).select("shard", "number", "id", "f", "lang")
-    index = cut(index_shards(shard_rows, known), "index")
+    words = shard_rows.select("shard", v).select("shard", "v.lang", "v.word", "v.number", "v.n").where("n > 0")
+    totals = cut(words.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
+    # one shuffle of the shards' words brings each its frequency, and an id that any of its rows would give
+    w = Window.partitionBy("lang", "word")
+    known = (words.withColumn("row", F.monotonically_increasing_id() + 1)
+             .withColumn("f", F.sum("n").over(w)).withColumn("id", F.min("row").over(w)).where(F.col("f") >= least)
+             .select("shard", "number", "id", "f", "lang", F.when(F.col("row") == F.col("id"), F.col("word")).alias("word")))
+    known = cut(known, "words")
+    release(spark)
+    texts, texts_at = stored(frequent_shards(shard_rows, known.drop("word")), "texts")
+    remove(spark, shards_at)
 
     w = Window.partitionBy("g1", "g2")
-    pairs = (index.select("shard", F.explode("pairs").alias("p")).select("shard", "p.g1", "p.g2", "p.n")
-             .withColumn("f", F.sum("n").over(w)).withColumn("first", F.col("shard") == F.min("shard").over(w))
-             .where(F.col("f") >= least).drop("n"))
-    grams = (longer_phrases(index, pairs).groupBy("lang", "g1", "g2", "g3", "g4", "f1", "f2")
+    pairs, pairs_at = stored(
+        pair_counts(texts).withColumn("f", F.sum("n").over(w))
+        .withColumn("first", F.col("shard") == F.min("shard").over(w)).where(F.col("f") >= least).drop("n"), "pairs")
+    release(spark)
+    grams = (longer_phrases(texts, pairs).groupBy("lang", "g1", "g2", "g3", "g4", "f1", "f2")
              .agg(F.sum("n").alias("a")).where(F.col("a") >= least))
-    return totals, cut(grams, "grams")
+    grams = cut(grams, "grams")
+    remove(spark, texts_at)
+    remove(spark, pairs_at)
+    return totals, known.where("word IS NOT NULL").select("id", "word"), grams
 
 
 def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", least: int = LEAST,
                  top: int = TOP, covered: int = COVERED) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the ``top`` phrases of every language."""
-    words, grams = phrase_statistics(docs, lang_col, text_col, least)
+    totals, names, grams = phrase_statistics(docs, lang_col, text_col, least)
     two = _lowest_cut(grams.where("g3 = 0").withColumnsRenamed({"f1": "h1", "f2": "t1"}), [("h1", "t1")])
     pair = two.select("lang", "g1", "g2", "a", "h1", "t1")
     head = pair.select("lang", "g1", "g2", "h1", F.col("a").alias("h2"))
@@ -325,16 +339,14 @@ def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
     best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"))
     kept = kept.withColumn("place", F.rank().over(best)).where(F.col("place") <= top).drop("place")
     # the few that are left get their words; equal scores at the end are told apart by these
-    names = words.where("id IS NOT NULL").select("id", "word")
     kept = cut(kept, "best")
     spelt = (kept.select("g1", "g2", "g3", "g4", F.posexplode(F.array("g1", "g2", "g3", "g4")).alias("at", "id"))
              .where("id > 0").join(names, "id")
              .groupBy("g1", "g2", "g3", "g4").agg(F.sort_array(F.collect_list(F.struct("at", "word"))).alias("w"))
              .select("g1", "g2", "g3", "g4", F.array_join(F.col("w.word"), " ").alias("phrase")))
-    n = words.groupBy("lang").agg(F.sum("f").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     return (kept.join(spelt, ["g1", "g2", "g3", "g4"]).withColumn("rank", F.row_number().over(order).cast("long"))
-            .where(F.col("rank") <= top).join(n, "lang")
+            .where(F.col("rank") <= top).join(totals, "lang")
             .select("lang", "rank", "phrase", "a", "l", "r", "n", "score"))
 
 

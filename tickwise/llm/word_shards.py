@@ -20,15 +20,17 @@ SHARD_WORDS = 1 << 21
 
 
 def pack(a: np.ndarray) -> bytes:
-    """Non-negative integers as compressed 32-bit numbers, after their count."""
-    return len(a).to_bytes(8, "little") + pa.Codec("zstd").compress(a.astype("<u4").tobytes(), asbytes=True)
+    """Non-negative integers as compressed 32-bit numbers, one plane a byte, after their count."""
+    planes = a.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    return len(a).to_bytes(8, "little") + pa.Codec("zstd").compress(planes, asbytes=True)
 
 
 def unpack(b: bytes) -> np.ndarray:
     n = int.from_bytes(b[:8], "little")
     if not n:
         return np.zeros(0, np.int64)
-    return np.frombuffer(pa.Codec("zstd").decompress(b[8:], 4 * n, asbytes=True), "<u4").astype(np.int64)
+    planes = np.frombuffer(pa.Codec("zstd").decompress(b[8:], 4 * n, asbytes=True), np.uint8)
+    return planes.reshape(4, n).T.copy().view("<u4").ravel().astype(np.int64)
 
 
 def shard_names():
