@@ -11,19 +11,21 @@ import datetime as _dt
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickwise.functions import indicators as ind
 from tickwise.functions.timefns import parse_event_time
-from tickwise.operators import correlation, metrics, quality, snapshot, timeseries, views
-from tickwise.operators.enrich import enrich, usable
+from tickwise.operators import correlation, metrics, quality, snapshot, timeseries, trailing, views
+from tickwise.operators.enrich import enrich, symbol_window, usable, with_open
 from tickwise.operators.joins import lookup_join
 from tickwise.schema import ENRICHED_TICK, RAW_TICK, conform
 from tickwise.session import checkpoint_dir
 from tickwise.sources import adapters, sinks, tables
 from tickwise.sources import ticks as tick_io
 from tickwise.sources.adapters import table, ticks_from_events
+from tickwise.streaming import carried
 from tickwise.streaming import job as stream_job
 from tickwise.streaming.stateful import LATE_HORIZON
 from tickwise.streaming.windows import minute_counts
@@ -535,20 +537,24 @@ END_OF_INPUT = _dt.datetime(2200, 1, 1)
 FILES = 4      # files of a slice, read together by one micro-batch
 
 
+def in_slices(t: DataFrame, n_slices: int) -> DataFrame:
+    """Ticks with the event-time slice they belong to, by day; the last day has rank 1."""
+    days = t.select("date").distinct()
+    place = days.withColumn("slice", F.least(
+        F.floor(F.percent_rank().over(Window.orderBy("date")) * F.lit(n_slices)), F.lit(n_slices - 1)))
+    return t.join(F.broadcast(place), "date")       # one row per day
+
+
 def stage_tick_files(spark, sf_dir, root: str, n_slices: int = 3, first: int = 0,
                      last: int | None = None, marker: bool = True, ticks_of=None) -> None:
     """Write the T1 ticks as event-time slices of ``FILES`` files each (one write
     job per slice, so file order is arrival order) plus an end-of-input marker
     row whose event time moves the watermark past every buffered row."""
-    t = (ticks_of or ticks)(spark, sf_dir).select(*STREAM_COLS)
-    days = t.select("date").distinct()
-    place = days.withColumn("slice", F.floor(F.percent_rank().over(Window.orderBy("date")) * F.lit(n_slices)))
-    t = t.join(F.broadcast(place), "date")       # one row per day
+    t = in_slices((ticks_of or ticks)(spark, sf_dir).select(*STREAM_COLS), n_slices)
     last = n_slices if last is None else last
     for k in range(first, last):
-        # rows inside a slice arrive in arbitrary order; the last day has rank 1
-        cond = F.least(F.col("slice"), F.lit(n_slices - 1)) == k
-        (t.where(cond).select(*STREAM_COLS).repartition(FILES).sortWithinPartitions(F.xxhash64("seq"))
+        # rows inside a slice arrive in arbitrary order
+        (t.where(F.col("slice") == k).select(*STREAM_COLS).repartition(FILES).sortWithinPartitions(F.xxhash64("seq"))
           .write.mode("append").parquet(f"{root}/in"))
     if marker:
         end_of_input(spark, f"{root}/in", t.select(*STREAM_COLS).schema)
@@ -752,3 +758,162 @@ def q_dedup(spark, sf_dir):
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"),
         F.col("l_suppkey").alias("supplier"))
     return snapshot.dedup_ticks(t)
+
+
+# ---- the stream with its state in tables (R2, R5, R8, S7, K4, K5) -------------
+
+
+def run_carried(spark, root: str, schema, **options) -> carried.CarriedEnrichment:
+    """All staged files through the stream; the rows that still wait are flushed."""
+    e = carried.CarriedEnrichment(spark, f"{root}/store", **options)
+    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", FILES).parquet(f"{root}/in")
+    carried.start(src, e, f"{root}/ckpt", {"availableNow": True}).awaitTermination()
+    return e
+
+
+def _carried(spark, sf_dir, name: str, **options):
+    root = scratch(spark, name)
+    stage_tick_files(spark, sf_dir, root, marker=False)
+    e = run_carried(spark, root, _tick_schema(spark, sf_dir), **options)
+    e.flush()
+    return e
+
+
+@query("stream_carried")
+def q_stream_carried(spark, sf_dir):
+    return carried.read_enriched(_carried(spark, sf_dir, "carried").store).select(*ENRICHED_COLS)
+
+
+@query("stream_warm_start")
+def q_stream_warm_start(spark, sf_dir):
+    # the end of the first two thirds is the state that the stream of the last third begins with
+    root = scratch(spark, "warm")
+    t = in_slices(ticks(spark, sf_dir).select(*STREAM_COLS), 3)
+    e = carried.CarriedEnrichment(spark, f"{root}/store")
+    e.warm_start(carried.state_of(t.where("slice < 2").select(*STREAM_COLS)))
+    stage_tick_files(spark, sf_dir, root, first=2, marker=False)
+    e = run_carried(spark, root, _tick_schema(spark, sf_dir))
+    e.flush()
+    return carried.read_enriched(e.store).select(*ENRICHED_COLS)
+
+
+def _late(spark, sf_dir):
+    """Every tenth tick or so arrives after all others, and again after that."""
+    root = scratch(spark, "late-merged")
+    held = F.col("seq") % 50 < 4
+    stage_tick_files(spark, sf_dir, root, n_slices=2, marker=False,
+                     ticks_of=lambda s, d: ticks(s, d).where(~held))
+    for _ in range(2):
+        (ticks(spark, sf_dir).where(held).select(*STREAM_COLS).repartition(FILES)
+         .write.mode("append").parquet(f"{root}/in"))
+    e = run_carried(spark, root, _tick_schema(spark, sf_dir))
+    e.flush()
+    return e
+
+
+@query("stream_late_merged")
+def q_stream_late_merged(spark, sf_dir):
+    return carried.read_enriched(_late(spark, sf_dir).store).select(*ENRICHED_COLS)
+
+
+def hot_ticks(spark, sf_dir):
+    """Ticks of which every second one is of one symbol."""
+    t = ticks_from_events(table(spark, sf_dir, "events"), with_prices=False)
+    t = t.withColumn("symbol", F.when(F.col("seq") % 2 == 0, F.lit("HOT")).otherwise(F.col("symbol")))
+    return with_open(t, symbol_window())
+
+
+@query("stream_hot")
+def q_stream_hot(spark, sf_dir):
+    # blocks of 500 rows, so that the hot symbol's rows of a batch are many blocks
+    root = scratch(spark, "hot")
+    stage_tick_files(spark, sf_dir, root, marker=False, ticks_of=hot_ticks)
+    e = run_carried(spark, root, _tick_schema(spark, sf_dir), block_rows=500, rsi_block=100)
+    e.flush()
+    return carried.read_enriched(e.store).select(*ENRICHED_COLS)
+
+
+@query("stream_batch_rows")
+def q_stream_batch_rows(spark, sf_dir):
+    rows = carried.batch_rows(_carried(spark, sf_dir, "batch-rows").store)
+    return rows.groupBy("symbol").agg(F.sum("n").alias("rows"))
+
+
+@query("state_export")
+def q_state_export(spark, sf_dir):
+    # the history snapshot read from the stream's own state, after a restart
+    root = scratch(spark, "state-export")
+    schema = _tick_schema(spark, sf_dir)
+    stage_tick_files(spark, sf_dir, root, first=0, last=2, marker=False)
+    run_carried(spark, root, schema)
+    stage_tick_files(spark, sf_dir, root, first=2, marker=False)
+    e = run_carried(spark, root, schema)
+    e.flush()
+    return e.state().select(*ENRICHED_COLS)
+
+
+class Killed(Exception):
+    """The job ends between two tables of a batch."""
+
+
+def _atomic_ingest(spark, sf_dir):
+    """Messages through the whole job, which dies once between two tables of its second batch."""
+    root = scratch(spark, "atomic")
+    m = messages(spark, sf_dir).join(in_slices(ticks(spark, sf_dir), 3).select("seq", "slice"), "seq")
+    for k in range(3):
+        m.where(F.col("slice") == k).select("seq", "value").coalesce(1).write.mode("append").parquet(f"{root}/in")
+    e = carried.CarriedEnrichment(spark, f"{root}/store")
+
+    def die(batch_id):
+        if batch_id == 1:
+            raise Killed
+
+    for after_raw in (die, None):
+        src = spark.readStream.schema("seq long, value string").option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+        q = stream_job.start_atomic_ingest(tick_io.decode_ticks(src), e, f"{root}/ckpt", {"availableNow": True}, after_raw)
+        try:
+            q.awaitTermination()
+        except StreamingQueryException as x:
+            if "Killed" not in str(x):
+                raise
+    e.flush()
+    return e
+
+
+@query("stream_ingest")
+def q_stream_ingest(spark, sf_dir):
+    return carried.read_enriched(_atomic_ingest(spark, sf_dir).store).select(
+        *KEY, "close", "volume", "moving_avg_5", "moving_avg_20", "volatility", "rsi_14", "vwap", "volume_trend",
+        "price_change_pct", "crash_score")
+
+
+@query("stream_ingest_tables")
+def q_stream_ingest_tables(spark, sf_dir):
+    store = _atomic_ingest(spark, sf_dir).store
+    raw = store.read("raw", "symbol string, close double, date date")
+    aside = store.read("quarantine", "quarantine string")
+    parts = {"raw": raw, "quarantine": aside, "enriched": carried.read_enriched(store),
+             "metrics": carried.batch_rows(store).select(F.explode(F.sequence(F.lit(1).cast("long"), "n")))}
+    out = None
+    for name, df in parts.items():
+        n = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("name"), "rows")
+        out = n if out is None else out.unionByName(n)
+    return out
+
+
+# ---- indicators over a trailing frame or a day (W5, W6) ------------------------
+
+
+@query("vwap_daily")
+def q_vwap_daily(spark, sf_dir):
+    return trailing.with_vwap(ticks(spark, sf_dir), reset="date").select(*KEY, "vwap")
+
+
+@query("vwap_lookback")
+def q_vwap_lookback(spark, sf_dir):
+    return trailing.with_vwap(ticks(spark, sf_dir), lookback=20).select(*KEY, "vwap")
+
+
+@query("rsi_lookback")
+def q_rsi_lookback(spark, sf_dir):
+    return trailing.with_rsi(ticks(spark, sf_dir), lookback=30).select(*KEY, "rsi_14")

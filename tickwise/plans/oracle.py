@@ -420,3 +420,52 @@ SQL["stream_quarantine"] = with_ticks(
 SQL["stream_raw_archive"] = with_ticks(
     "SELECT CASE WHEN seq % 13 = 0 OR (seq % 19 = 0 AND seq % 17 <> 0) THEN NULL ELSE symbol END AS symbol, "
     "COUNT(*) AS rows FROM ticks GROUP BY 1")
+
+
+# ---- the stream with its state in tables, trailing indicators ------------------
+
+for _name in ("stream_carried", "stream_late_merged"):
+    SQL[_name] = SQL["enrich_ticks"]
+SQL["stream_warm_start"] = with_enriched(f"""
+SELECT {ENRICHED_COLS} FROM enriched WHERE date IN (
+  SELECT date FROM (SELECT date, percent_rank() OVER (ORDER BY date) AS p FROM (SELECT DISTINCT date FROM ticks))
+  WHERE LEAST(FLOOR(p * 3), 2) = 2)""")
+SQL["stream_hot"] = SQL["enrich_ticks"].replace(
+    "'U' || CAST(user_id AS VARCHAR) AS symbol",
+    "CASE WHEN event_id % 2 = 0 THEN 'HOT' ELSE 'U' || CAST(user_id AS VARCHAR) END AS symbol")
+SQL["stream_batch_rows"] = SQL["stream_batch_metrics"]
+SQL["state_export"] = SQL["state_snapshot"]
+
+_GOOD = "seq % 13 <> 0 AND seq % 17 <> 0 AND seq % 19 <> 0"
+SQL["stream_ingest"] = with_enriched(
+    f"SELECT {KEY}, close, volume, moving_avg_5, moving_avg_20, volatility, rsi_14, vwap, volume_trend, "
+    "price_change_pct, crash_score FROM enriched").replace(
+    "FROM ticks\n  WINDOW w",      # messages carry whole seconds
+    f"FROM (SELECT * REPLACE (date_trunc('second', event_time) AS event_time) FROM ticks WHERE {_GOOD}) ticks\n"
+    "  WINDOW w")
+SQL["stream_ingest_tables"] = with_ticks(f"""
+SELECT 'raw' AS name, COUNT(*) AS rows FROM ticks
+UNION ALL SELECT 'quarantine', COUNT(*) FROM ticks WHERE NOT ({_GOOD})
+UNION ALL SELECT 'enriched', COUNT(*) FROM ticks WHERE {_GOOD}
+UNION ALL SELECT 'metrics', COUNT(*) FROM ticks WHERE {_GOOD}""")
+
+
+def _vwap(frame: str) -> str:
+    return with_ticks(f"""
+SELECT {KEY}, round_even(CAST(SUM(CAST(ROUND(close * 100) AS BIGINT) * volume) OVER w AS DOUBLE)
+         / NULLIF(CAST(SUM(volume) OVER w AS DOUBLE), 0), 0) / 100 AS vwap
+FROM ticks WINDOW w AS ({frame})""")
+
+
+SQL["vwap_daily"] = _vwap("PARTITION BY symbol, date ORDER BY event_time, seq ROWS UNBOUNDED PRECEDING")
+SQL["vwap_lookback"] = _vwap("PARTITION BY symbol ORDER BY event_time, seq ROWS 19 PRECEDING")
+# every row's frame is gone through: differences of the last 29 rows, weighted by age
+SQL["rsi_lookback"] = with_ticks(f"""
+, d AS (SELECT *, close - LAG(close) OVER w AS d, ROW_NUMBER() OVER w AS rn FROM ticks
+        WINDOW w AS (PARTITION BY symbol ORDER BY event_time, seq)),
+f AS (SELECT a.symbol, a.event_time, a.seq, COUNT(b.d) AS n,
+             SUM(GREATEST(b.d, 0) * POW(13.0 / 14.0, a.rn - b.rn)) AS g,
+             SUM(GREATEST(-b.d, 0) * POW(13.0 / 14.0, a.rn - b.rn)) AS l
+      FROM d a LEFT JOIN d b ON b.symbol = a.symbol AND b.rn BETWEEN a.rn - 28 AND a.rn
+      GROUP BY a.symbol, a.event_time, a.seq)
+SELECT {KEY}, CASE WHEN n >= 14 AND l > 0 THEN round_even((100 - 100 / (1 + g / l)) * 100, 0) / 100 END AS rsi_14 FROM f""")

@@ -16,9 +16,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from tickwise.operators.metrics import batch_metrics
-from tickwise.schema import RAW_TICK
+from tickwise.schema import RAW_TICK, conform
 from tickwise.sources import sinks
 from tickwise.sources.ticks import good_ticks, quarantined
+from tickwise.streaming.carried import CarriedEnrichment
 from tickwise.streaming.stateful import LATE_HORIZON, enrich_stream
 
 
@@ -85,6 +86,28 @@ def start_quarantine(decoded: DataFrame, paths: SinkPaths, trigger: dict | None
     return w.trigger(**(trigger or {"processingTime": "10 seconds"})).start()
 
 
+def start_atomic_ingest(decoded: DataFrame, enrichment: CarriedEnrichment, checkpoint: str,
+                        trigger: dict | None = None, after_raw=None):
+    """The whole job as one query with one commit per batch: raw archive, quarantine, enriched and late
+    rows, corrections, counts and state become visible together (``streaming.manifest``).
+    ``after_raw(batch_id)`` is called between two tables of a batch (tests end the job there)."""
+    def run(batch: DataFrame, batch_id: int):
+        batch = batch.persist()
+
+        def archives(attempt):
+            attempt.write("raw", conform(batch, RAW_TICK), ("date",), ("symbol", "event_time"))
+            if after_raw:
+                after_raw(batch_id)
+            attempt.write("quarantine", quarantined(batch))
+        try:
+            enrichment.run(good_ticks(batch), batch_id, archives)
+        finally:
+            batch.unpersist()
+
+    return (decoded.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": "10 seconds"})).start())
+
+
 def start_ingest(decoded: DataFrame, paths: SinkPaths, trigger: dict | None = None, **enrichment):
     """The whole job on decoded messages: the raw archive takes every row before
     any filter, rows with a reason go to the quarantine, the rest is enriched."""
