@@ -14,9 +14,19 @@ def growth_per_minute(df: DataFrame, ts: str = "event_time") -> DataFrame:
     day and offset by the totals of earlier days, so no single window
     holds the whole span.
     """
-    per_min = (df.groupBy(F.date_trunc("minute", F.col(ts)).cast("timestamp_ntz").alias("minute"))
-                 .agg(F.count(F.lit(1)).alias("count")))
-    bounds = per_min.agg(F.min("minute").alias("lo"), F.max("minute").alias("hi"))
+    return filled_growth(counts_per_minute(df, ts))
+
+
+def counts_per_minute(df: DataFrame, ts: str = "event_time") -> DataFrame:
+    return (df.groupBy(F.date_trunc("minute", F.col(ts)).cast("timestamp_ntz").alias("minute"))
+              .agg(F.count(F.lit(1)).alias("count")))
+
+
+def filled_growth(per_min: DataFrame, lo: str | None = None, hi: str | None = None, before: int = 0) -> DataFrame:
+    """Every minute from ``lo`` to ``hi`` (the first and last counted ones) with its count and the
+    running total, which starts from ``before``."""
+    first, last = (f("minute") if t is None else F.lit(t).cast("timestamp_ntz") for f, t in ((F.min, lo), (F.max, hi)))
+    bounds = per_min.agg(first.alias("lo"), last.alias("hi"))
     # two levels: one row per day, then its 1,440 minutes, so no row holds the whole span
     days = bounds.select("lo", "hi", F.explode(F.sequence(
         F.to_date("lo"), F.to_date("hi"))).alias("_day")).repartition("_day")
@@ -33,7 +43,7 @@ def growth_per_minute(df: DataFrame, ts: str = "event_time") -> DataFrame:
             Window.unboundedPreceding, -1)), F.lit(0)))
     w = Window.partitionBy("_day").orderBy("minute").rowsBetween(Window.unboundedPreceding, 0)
     return (filled.join(day_off.select("_day", "_off"), "_day")
-                  .withColumn("cumulative", F.col("_off") + F.sum("count").over(w))
+                  .withColumn("cumulative", F.col("_off") + F.sum("count").over(w) + F.lit(before))
                   .select("minute", "count", "cumulative"))
 
 

@@ -25,7 +25,7 @@ from tickwise.session import checkpoint_dir
 from tickwise.sources import adapters, sinks, tables
 from tickwise.sources import ticks as tick_io
 from tickwise.sources.adapters import table, ticks_from_events
-from tickwise.streaming import carried
+from tickwise.streaming import carried, growth
 from tickwise.streaming import job as stream_job
 from tickwise.streaming.stateful import LATE_HORIZON
 from tickwise.streaming.windows import minute_counts
@@ -797,23 +797,34 @@ def q_stream_warm_start(spark, sf_dir):
     return carried.read_enriched(e.store).select(*ENRICHED_COLS)
 
 
-def _late(spark, sf_dir):
-    """Every tenth tick or so arrives after all others, and again after that."""
-    root = scratch(spark, "late-merged")
+def stage_late_files(spark, sf_dir, root: str, times: int) -> None:
+    """One tick of twelve arrives after all others, ``times`` times."""
     held = F.col("seq") % 50 < 4
     stage_tick_files(spark, sf_dir, root, n_slices=2, marker=False,
                      ticks_of=lambda s, d: ticks(s, d).where(~held))
-    for _ in range(2):
+    for _ in range(times):
         (ticks(spark, sf_dir).where(held).select(*STREAM_COLS).repartition(FILES)
          .write.mode("append").parquet(f"{root}/in"))
-    e = run_carried(spark, root, _tick_schema(spark, sf_dir))
-    e.flush()
-    return e
 
 
 @query("stream_late_merged")
 def q_stream_late_merged(spark, sf_dir):
-    return carried.read_enriched(_late(spark, sf_dir).store).select(*ENRICHED_COLS)
+    root = scratch(spark, "late-merged")
+    stage_late_files(spark, sf_dir, root, 2)       # the second time they are repeats
+    e = run_carried(spark, root, _tick_schema(spark, sf_dir))
+    e.flush()
+    return carried.read_enriched(e.store).select(*ENRICHED_COLS)
+
+
+@query("stream_growth")
+def q_stream_growth(spark, sf_dir):
+    root = scratch(spark, "growth")
+    stage_late_files(spark, sf_dir, root, 1)
+    g = growth.CarriedGrowth(spark, f"{root}/store")
+    src = spark.readStream.schema(_tick_schema(spark, sf_dir)).option("maxFilesPerTrigger", FILES).parquet(f"{root}/in")
+    growth.start(src, g, f"{root}/ckpt", {"availableNow": True}).awaitTermination()
+    g.flush()
+    return g.read()
 
 
 def hot_ticks(spark, sf_dir):

@@ -433,6 +433,7 @@ SELECT {ENRICHED_COLS} FROM enriched WHERE date IN (
 SQL["stream_hot"] = SQL["enrich_ticks"].replace(
     "'U' || CAST(user_id AS VARCHAR) AS symbol",
     "CASE WHEN event_id % 2 = 0 THEN 'HOT' ELSE 'U' || CAST(user_id AS VARCHAR) END AS symbol")
+SQL["stream_growth"] = SQL["growth_per_minute"]
 SQL["stream_batch_rows"] = SQL["stream_batch_metrics"]
 SQL["state_export"] = SQL["state_snapshot"]
 
