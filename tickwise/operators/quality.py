@@ -3,48 +3,57 @@ column profile, completeness, partitions and storage footprint."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tickwise.schema import EXPECTED_ANALYTICS_COLS
+from tickwise.session import written
 
 
-def latency_stats(df: DataFrame, col: str = "latency_ms", q: float = 0.95, buckets: int = 1024) -> DataFrame:
+RADIX = 1 << 16
+
+
+def value_at(counts: DataFrame, rank: int) -> float:
+    """The value of the 0-based ``rank`` among (x, c): values with their counts, exact.
+
+    Radix selection: the first pass splits by sign and exponent, the next ones split what is left
+    of the range into ``RADIX`` equal parts, so a far outlier takes no part of the others' range.
+    Each pass sums one row a part (``RADIX`` at most) and keeps the values of one part.
+    """
+    size = F.floor(F.log2(F.abs("x")))
+    part = F.when(F.col("x") == 0, F.lit(0)).otherwise(F.signum("x") * (size + 1100))
+    while True:
+        parts = sorted((r.p, r.c, r.lo, r.hi) for r in counts.groupBy(part.cast("long").alias("p")).agg(
+            F.sum("c").alias("c"), F.min("x").alias("lo"), F.max("x").alias("hi")).collect())
+        for _, c, lo, hi in parts:
+            if rank < c:
+                break
+            rank -= c
+        if lo == hi:
+            return lo
+        counts = counts.where(F.col("x").between(lo, hi))
+        half = F.lit(hi / 2 - lo / 2)      # a half, since the whole of a range may not be a double
+        part = F.floor((F.col("x") / 2 - F.lit(lo / 2)) / half * (RADIX - 1))
+
+
+def latency_stats(df: DataFrame, col: str = "latency_ms", q: float = 0.95) -> DataFrame:
     """Mean and P95 (linear interpolation), exact.
 
-    Rows are counted per distinct value, the values fall into ``buckets``
-    ranges, and a running total over the ranges (one small table) tells which
-    of them hold the two neighbouring ranks; only their values are ranked.
+    Rows are counted per distinct value; the two neighbouring ranks are found
+    by radix selection over these, so no task sorts or gathers them.
     """
-    vals = (df.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("double").alias("x"))
-              .agg(F.count(F.lit(1)).alias("c")))
-    whole = vals.agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.coalesce(F.sum("c"), F.lit(0)).alias("n"),
-                     F.sum(F.col("x") * F.col("c")).alias("s"))
-    place = F.coalesce(F.floor(F.try_divide(F.col("x") - F.col("lo"), F.col("hi") - F.col("lo"))
-                               * F.lit(float(buckets - 1))), F.lit(0))
-    # one-row side, broadcast by construction
-    cut = vals.crossJoin(F.broadcast(whole.select("lo", "hi"))).select("x", "c", place.alias("b"))
-    upto = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = cut.groupBy("b").agg(F.sum("c").alias("cb"))
-    pos = (F.col("n") - 1) * F.lit(q)
-    held = (sizes.withColumn("before", F.coalesce(F.sum("cb").over(upto), F.lit(0)))
-                 .crossJoin(F.broadcast(whole.select("n")))
-                 .where((F.col("before") <= F.ceil(pos)) & (F.col("before") + F.col("cb") > F.floor(pos)))
-                 .select("b", "before", "n"))
-    inner = Window.partitionBy("b").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (cut.join(F.broadcast(held), "b")     # at most the few buckets that hold two ranks
-                 .withColumn("last", F.col("before") + F.sum("c").over(inner) - 1)
-                 .withColumn("first", F.col("last") - F.col("c") + 1))
-
-    def at(rank):
-        return F.max(F.when((F.col("first") <= rank) & (F.col("last") >= rank), F.col("x")))
-
-    two = ranked.agg(at(F.floor(pos)).alias("v0"), at(F.ceil(pos)).alias("v1"))
-    frac = pos - F.floor(pos)
-    return whole.crossJoin(two).select(
-        F.try_divide("s", "n").alias("avg_ms"),
-        (F.col("v0") + (F.col("v1") - F.col("v0")) * frac).alias("p95_ms"), "n")
+    vals = written(df.where(F.col(col).isNotNull() & ~F.isnan(F.col(col).cast("double")))
+                   .groupBy(F.col(col).cast("double").alias("x")).agg(F.count(F.lit(1)).alias("c")), "values")
+    whole = vals.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.sum(F.col("x") * F.col("c")).alias("s")).first()
+    avg = p = None
+    if whole.n:
+        pos = (whole.n - 1) * q
+        low = value_at(vals, math.floor(pos))
+        high = value_at(vals, math.ceil(pos)) if pos != math.floor(pos) else low
+        avg, p = whole.s / whole.n, low + (high - low) * (pos - math.floor(pos))
+    return df.sparkSession.createDataFrame([(avg, p, whole.n)], "avg_ms double, p95_ms double, n long")
 
 
 def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tickwise.operators.snapshot import tail_per_symbol
 from tickwise.schema import ENRICHED_TICK, RAW_TICK, conform
+from tickwise.sources.layout import planned
 
 
 JSON_OPTS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
@@ -24,7 +25,10 @@ def _write(df: DataFrame, path: str, parts: list[str], batch_id: int | None, mod
         df = df.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
         parts = ["batch_id"] + parts
         mode = "overwrite"
-    if rebalance:
+    if rebalance and batch_id is not None:
+        # adaptive execution is off inside foreachBatch: write tasks are planned from counts
+        df, _ = planned(df, tuple(parts))
+    elif rebalance:
         # AQE rebalance: ~advisory-size files per partition value, hot values split
         df = df.hint("rebalance", *parts)
     if order:
