@@ -66,16 +66,50 @@ def test_documents_against_all_shingles(spark):
 
 def test_shards_and_blocks_change_nothing(spark, monkeypatch):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    want = sorted(tuple(r)[:2] for r in M.contaminated_pairs(docs, items_of(spark, "sf0.001")).collect())
+    def found():
+        return sorted((*tuple(r)[:2], *(round(x, 9) for x in tuple(r)[2:]))
+                      for r in M.contaminated_pairs(docs, items_of(spark, "sf0.001")).collect())
+    want = found()
+    clean = {r.doc_id for r in M.keep_clean(docs, items_of(spark, "sf0.001")).collect()}
     monkeypatch.setattr(M, "SHARD_ITEMS", 7)
     monkeypatch.setattr(M, "PASS_BYTES", 2000)
-    assert sorted(tuple(r)[:2] for r in M.contaminated_pairs(docs, items_of(spark, "sf0.001")).collect()) == want
+    assert want and found() == want     # scores and overlaps, too
+    assert {r.doc_id for r in M.keep_clean(docs, items_of(spark, "sf0.001")).collect()} == clean
     text = "a b c " * 50 + "Alpha beta gamma delta epsilon zeta? Eta theta." + " d e f" * 50
     index = M.Index.build([(1, "Alpha beta gamma delta epsilon zeta? Eta theta.")])
     monkeypatch.setattr(M, "TEXT_BLOCK", 64)
     assert list(index.search(text)) == [0]
 
 
+def test_look_alikes_in_other_shards_change_no_score(spark, monkeypatch):
+    """Items that share most of their words: scores equal a plain BM25 over all of them."""
+    rnd = random.Random(9)
+    stem = [f"s{i}" for i in range(20)]
+    items = [(i, " ".join([*stem, *(f"w{rnd.randrange(40)}" for _ in range(6))]) + f"? Answer a{i % 5}.") for i in range(120)]
+    passage = " ".join(items[3][1].split()[:-3] + ["x", "Answer", "a3"])
+    n, words = len(items), [M.words_of(t.lower()) for _, t in items]
+    mean, df = sum(map(len, words)) / n, {}
+    for w in words:
+        for t in set(w):
+            df[t] = df.get(t, 0) + 1
+
+    def impact(t, w):
+        f = w.count(t)
+        return (M.math.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)) * f * (M.K1 + 1)
+                / (f + M.K1 * (1 - M.B + M.B * len(w) / mean)))
+    have = set(M.words_of(passage.lower()))
+    want = {i: sum(impact(t, w) for t in set(w) & have) / sum(impact(t, w) for t in set(w)) for (i, _), w in zip(items, words)}
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    docs = spark.createDataFrame([(1, passage)], "doc_id long, text string")
+    seen = []
+    for limit in (2048, 11):
+        monkeypatch.setattr(M, "SHARD_ITEMS", limit)
+        got = {r.item_id: r.score for r in M.contaminated_pairs(docs, frame).collect()}
+        assert 3 in got and all(abs(got[i] - want[i]) < 1e-6 for i in got)
+        seen.append(sorted(got))
+    assert seen[0] == seen[1]
+
+
 def test_edges(spark, edge, empty):
     items = spark.createDataFrame([(1, None), (2, ""), (3, "alpha beta gamma"), (3, "alpha beta gamma"), (None, "?!")],
                                   "item_id long, text string").selectExpr("*", "1 AS id", "2 AS size")

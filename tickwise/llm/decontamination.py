@@ -11,8 +11,12 @@ scoring at least the threshold is retrieved, without a top-k cut.  A retrieved
 item counts when 0.8 of its five-word shingles lie in the passage and both its
 question part and its answer part overlap it.
 
-The index is built in shards of bounded items and bytes (by length class), and
-the texts are read once per group of shards that fits the broadcast bound.
+Document frequencies, the number of items and their mean length are counted
+once over all items, so a score doesn't depend on how items are grouped.  The
+index is built by Spark in shards of bounded items and bytes (by length class)
+and stored in the shared folder.  The texts are read once per group of shards
+that fits the broadcast bound; with several groups, each pass is written before
+the next group is loaded, so one group at a time is held.
 
 Words are runs of letters, digits or underscores in lower case.  Null texts are
 empty; items without a word match nothing; items shorter than a shingle use
@@ -22,6 +26,7 @@ their whole length as one; repeated items and documents give repeated rows.
 from __future__ import annotations
 
 import math
+import pickle
 import re
 from collections import Counter
 from dataclasses import dataclass
@@ -33,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package
+from .common import cut
 
 THRESHOLD = 0.5        # share of an item's own BM25 score
 SHINGLE = 5
@@ -59,7 +65,7 @@ def shingles(words: list[str], k: int) -> set[tuple[str, ...]]:
 
 @dataclass
 class Index:
-    """One shard; plain data, built on the driver from a bounded set of items."""
+    """One shard; plain data, built by one task from a bounded set of items."""
 
     ids: list
     terms: dict[str, int]             # word -> row of ``bound``; 0 is no term
@@ -70,13 +76,17 @@ class Index:
     span: int                         # words of the longest item
 
     @classmethod
-    def build(cls, items: list[tuple[object, str]]) -> Index:
+    def build(cls, items: list[tuple[object, str]], df: dict[str, int] | None = None, n_items: int | None = None,
+              mean: float | None = None) -> Index:
+        """The statistics are those of all items; without them, of these alone."""
         words = [words_of(t.lower()) for _, t in items]
         tf = [Counter(w) for w in words]
-        df = Counter(t for c in tf for t in c)
-        mean = max(1.0, sum(map(len, words)) / max(1, len(words)))
-        idf = {t: math.log(1 + (len(items) - n + 0.5) / (n + 0.5)) for t, n in df.items()}
-        terms = {t: i + 1 for i, t in enumerate(sorted(df))}
+        if df is None:
+            df, n_items = Counter(t for c in tf for t in c), len(items)
+            mean = sum(map(len, words)) / max(1, len(words))
+        mean = max(1.0, mean)
+        idf = {t: math.log(1 + (n_items - df[t] + 0.5) / (df[t] + 0.5)) for c in tf for t in c}
+        terms = {t: i + 1 for i, t in enumerate(sorted(idf))}
         width = max(1, -(-len(items) // BLOCKS))
         blocks = max(1, -(-len(items) // width))
         bound = np.zeros((len(terms) + 1, blocks), np.float32)
@@ -175,27 +185,73 @@ def _pieces(text: str, step: int):
         keep, at = words[-2 * step:], end
 
 
-def build_indexes(items: DataFrame, id_col: str = "item_id", text_col: str = "text"):
-    """Passes over the texts, each a list of shard indexes of bounded size."""
+def _terms(shard_items: DataFrame) -> DataFrame:
+    """(shard, term, n, length): in how many items of a shard a term stands, and, for a null term,
+    the items of the shard and their words."""
+    def run(batches):
+        for b in batches:
+            n, items, length = Counter(), Counter(), Counter()
+            for shard, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                words = words_of(text.lower())
+                n.update((shard, w) for w in set(words))
+                items[shard] += 1
+                length[shard] += len(words)
+            rows = [(s, w, c, 0) for (s, w), c in n.items()] + [(s, None, c, length[s]) for s, c in items.items()]
+            cols = list(zip(*rows, strict=True)) if rows else [[]] * 4
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, type=t) for c, t in zip(cols, (pa.string(), pa.string(), pa.int64(), pa.int64()), strict=True)],
+                names=["shard", "term", "n", "length"])
+
+    return (shard_items.select("shard", "text").mapInArrow(run, "shard string, term string, n long, length long")
+            .groupBy("shard", "term").agg(F.sum("n").alias("n"), F.sum("length").alias("length")))
+
+
+def stored_indexes(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame | None:
+    """(shard, bytes, index) of all items, one row a shard of bounded size; None without items."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     sized = items.select(F.col(id_col).alias("id"), text.alias("text"), F.floor(F.log2(
         F.greatest(F.size(F.split(text, r"\W+")), F.lit(32)))).alias("size"))
-    classes = sized.groupBy("size").agg(F.count("*"), F.sum(F.octet_length("text"))).orderBy("size").collect()
-    group, held = [], 0
-    for size, n, n_bytes in classes:   # a few dozen length classes at most
-        shards = max(-(-n // SHARD_ITEMS), -(-n_bytes // SHARD_BYTES))
-        shard = F.pmod(F.xxhash64("id", "text"), F.lit(shards))
-        for s in range(shards):
-            rows = sized.where((F.col("size") == size) & (shard == s)).orderBy("id", "text").select("id", "text").collect()
-            if not rows:
-                continue
-            group.append(Index.build([tuple(r) for r in rows]))
-            held += sum(len(r[1].encode()) for r in rows)
-            if held >= PASS_BYTES:
-                yield group
-                group, held = [], 0
-    if group:
-        yield group
+    classes = sized.groupBy("size").agg(F.count("*"), F.sum(F.octet_length("text"))).collect()
+    if not classes:
+        return None
+    # a few dozen length classes at most
+    shards = F.create_map(*[F.lit(x) for size, n, n_bytes in classes
+                            for x in (size, max(-(-n // SHARD_ITEMS), -(-n_bytes // SHARD_BYTES)))])
+    shard = F.concat_ws("-", F.col("size"), F.pmod(F.xxhash64("id", "text"), shards[F.col("size")]))
+    sized = cut(sized.select(shard.alias("shard"), "id", "text"), "items")
+    terms = cut(_terms(sized), "terms")
+    n_items, words = terms.where("term IS NULL").agg(F.sum("n"), F.sum("length")).first()
+    mean = words / n_items
+    df = terms.where("term IS NOT NULL").groupBy("term").agg(F.sum("n").alias("df"))
+    needed = terms.where("term IS NOT NULL").select("shard", "term").join(df, "term").withColumnRenamed("shard", "owner")
+
+    def build(key, left: pa.Table, right: pa.Table) -> pa.Table:
+        left = left.sort_by([("id", "ascending"), ("text", "ascending")])
+        found = dict(zip(right["term"].to_pylist(), right["df"].to_pylist(), strict=True))
+        texts = left["text"].to_pylist()
+        index = Index.build(list(zip(left["id"].to_pylist(), texts, strict=True)), found, n_items, mean)
+        return pa.table({"shard": pa.array([key[0].as_py()], pa.string()),
+                         "bytes": pa.array([sum(len(t.encode()) for t in texts)], pa.int64()),
+                         "index": pa.array([pickle.dumps(index)], pa.binary())})
+
+    return cut(sized.groupBy("shard").cogroup(needed.groupBy("owner")).applyInArrow(
+        build, "shard string, bytes long, index binary"), "indexes")
+
+
+def passes(indexes: DataFrame):
+    """Groups of shard indexes that may be held together, each loaded when it is asked for; whether
+    more follow."""
+    sizes = [tuple(r) for r in indexes.select("shard", "bytes").orderBy("shard").collect()]   # two numbers a shard
+    groups, held = [[]], 0
+    for shard, n in sizes:
+        if groups[-1] and held + n > PASS_BYTES:
+            groups.append([])
+            held = 0
+        groups[-1].append(shard)
+        held += n
+    for i, names in enumerate(groups):
+        rows = indexes.where(F.col("shard").isin(names)).orderBy("shard").select("index").collect()
+        yield [pickle.loads(r[0]) for r in rows], i + 1 < len(groups)
 
 
 def contaminated_pairs(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -208,7 +264,8 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, id_col: str = "doc_id"
               "question_overlap double, answer_overlap double")
     source, out = docs.select(id_col, text_col), None
     item_type = pa.schema(items.select(item_id).limit(0).toArrow().schema).field(0).type
-    for group in build_indexes(items, item_id, item_text):
+    indexes = stored_indexes(items, item_id, item_text)
+    for group, more in passes(indexes) if indexes is not None else ():
         shared = spark.sparkContext.broadcast(group)
 
         def run(batches, shared=shared):
@@ -227,6 +284,9 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, id_col: str = "doc_id"
                     names=[id_col, item_id, "score", "item_overlap", "question_overlap", "answer_overlap"])
 
         part = source.mapInArrow(run, schema)
+        if more:
+            part = cut(part, "found")
+            shared.destroy()
         out = part if out is None else out.unionByName(part)
     return out if out is not None else spark.createDataFrame([], schema)
 
@@ -237,7 +297,8 @@ def keep_clean(docs: DataFrame, items: DataFrame, text_col: str = "text", item_i
     spark = docs.sparkSession
     ship_package(spark)
     place = docs.columns.index(text_col)
-    for group in build_indexes(items, item_id, item_text):
+    indexes = stored_indexes(items, item_id, item_text)
+    for group, more in passes(indexes) if indexes is not None else ():
         shared = spark.sparkContext.broadcast(group)
 
         def run(batches, shared=shared):
@@ -247,4 +308,7 @@ def keep_clean(docs: DataFrame, items: DataFrame, text_col: str = "text", item_i
                 yield b.filter(pa.array(clean, pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)
+        if more:
+            docs = cut(docs, "clean")
+            shared.destroy()
     return docs
