@@ -89,7 +89,15 @@ def test_edges(spark, edge, empty):
     assert M.near_duplicates(empty).count() == 0 and M.keep_one(empty).columns == empty.columns
     kept = [r.doc_id for r in M.keep_one(edge).collect()]
     assert sorted(k for k in kept if k is not None) == sorted({c for _, _, c in grouped(
-        [(i, t) for i, t, _, _ in EDGE]) if c is not None}) and kept.count(None) == 2
+        [(i, t) for i, t, _, _ in EDGE]) if c is not None}) and kept.count(None) == 1
+
+
+def test_one_row_stays_of_groups_without_ids(spark):
+    same, other = "one two three four five", "quite another text of its own"
+    rows = [(None, same, "a")] * 3 + [(None, same, "b"), (7, same, "c"), (None, other, "d"), (None, other, "d"), (None, other, "e")]
+    kept = M.keep_one(spark.createDataFrame(rows, "doc_id long, text string, root string")).collect()
+    assert sorted((r.doc_id, r.text) for r in kept if r.doc_id) == [(7, same)]
+    assert [r.text for r in kept if r.doc_id is None] == [other]
 
 
 def test_blocks_of_shingles(monkeypatch):

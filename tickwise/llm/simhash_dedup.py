@@ -112,27 +112,37 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     radius: int = RADIUS) -> DataFrame:
     """One row per input row: id, ``fingerprint`` (16 hex digits), ``component_id``
     (the smallest id reachable over links of at most ``radius`` bits)."""
+    named, classes = _grouped(docs, id_col, text_col, shingle, radius)
+    return named.join(classes.drop("root"), "fp").select(
+        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, radius: int) -> tuple[DataFrame, DataFrame]:
+    """(id, fp) of every row, and (fp, root, component_id) of every fingerprint."""
     named = cut(fingerprints(docs, id_col, text_col, shingle), "simhash")
     fps = cut(named.groupBy("fp").agg(F.min("id").alias("least")), "simhash-distinct")
     comp = components(links(fps, radius)).withColumnsRenamed({"node": "fp"})
     rooted = fps.join(comp, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = rooted.join(names, "root").select("fp", "component_id")
-    return named.join(classes, "fp").select(
-        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return named, rooted.join(names, "root").select("fp", "root", "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
              radius: int = RADIUS) -> DataFrame:
     """The input rows with one row of each component: that of its smallest id.
-    Several rows with that id leave one of them; rows without an id stay, since
-    no component can name them."""
-    kept = near_duplicates(docs, id_col, text_col, shingle, radius) \
-        .where(F.col(id_col) == F.col("component_id")).groupBy(id_col).agg(F.count("*").alias("_n"))
-    kept = cut(kept, "simhash-kept").withColumnRenamed(id_col, "_id")
+    Several rows with that id leave one of them; a component in which no row has
+    an id leaves the one with the smallest hash of all its columns."""
+    named, classes = _grouped(docs, id_col, text_col, shingle, radius)
+    kept = named.join(classes, "fp").where("id = component_id").groupBy("id").agg(F.count("*").alias("_n"))
+    kept = cut(kept, "simhash-kept").withColumnRenamed("id", "_id")
     rows = docs.select(F.struct(*docs.columns).alias("row"))
     # the kept ids grow with the rows: the join is by shuffle at every size
     found = rows.join(kept.hint("merge"), F.col("row")[id_col] == F.col("_id"))
     once = found.where("_n = 1").select("row.*")
     repeated = found.where("_n > 1").select("row.*").dropDuplicates([id_col])
-    return once.unionByName(repeated).unionByName(docs.where(F.col(id_col).isNull()))
+    nobody = rows.where(F.col("row")[id_col].isNull()).withColumn("_hash", F.xxhash64("row"))
+    unnamed = fingerprints(nobody.select(F.col("_hash").alias("id"), F.col("row")[text_col].alias("text")), "id", "text", shingle)
+    left = (unnamed.join(classes.where("component_id IS NULL"), "fp").groupBy("root").agg(F.min("id").alias("_hash"))
+            .select("_hash"))
+    nobody = nobody.join(left, "_hash").dropDuplicates(["_hash"]).select("row.*")
+    return once.unionByName(repeated).unionByName(nobody)
