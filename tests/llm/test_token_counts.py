@@ -49,3 +49,9 @@ def test_edges(spark, edge, empty, vocab, library):
     assert cut[6].n_tokens <= 5 and "wort wort".startswith(cut[6].prefix[:9])
     table = M.prefix_token_counts(edge.where("doc_id = 5"), vocab).first().counts
     assert table == [len(library.encode(EDGE[8][1][:i])) for i in range(len(EDGE[8][1]) + 1)]
+
+
+def test_each_vocabulary_has_its_own_counter():
+    ranks = {"a": 0, "b": 1, "▁": 2}
+    one, two = (M.PieceVocab(ranks, byte_fallback=b) for b in (True, False))
+    assert M.counter_for(one) is not M.counter_for(two) and M.counter_for(two) is M.counter_for(two)

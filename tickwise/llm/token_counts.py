@@ -198,7 +198,7 @@ _COUNTERS: dict[int, PrefixCounter] = {}
 
 def counter_for(vocab: PieceVocab) -> PrefixCounter:
     """The worker's counter for a vocabulary; the last one stays between tasks."""
-    key = hash(tuple(vocab.ranks.items()))
+    key = hash((tuple(vocab.ranks.items()), vocab.byte_fallback, vocab.dummy_prefix, vocab.longest))
     if key not in _COUNTERS:
         _COUNTERS.clear()
         _COUNTERS[key] = PrefixCounter(vocab)
