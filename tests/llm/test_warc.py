@@ -83,3 +83,65 @@ def test_rolled_files_are_planned_apart(spark, pages, tmp_path):
     assert len([f for f in os.listdir(path) if f.endswith(".gz")]) > 6
     df = spark.read.format("warc").option("plan_bytes", 300).load(path)
     assert df.rdd.getNumPartitions() > 3 and df.where("record_type <> 'warcinfo'").count() == len(ROWS)
+
+
+def http(body, *headers):
+    block = "\r\n".join(["HTTP/1.1 200 OK", *headers]).encode() + b"\r\n\r\n" + body
+    return b"WARC/1.0\r\nWARC-Type: response\r\nContent-Type: application/http; msgtype=response\r\n" \
+        + b"Content-Length: %d\r\n\r\n" % len(block) + block + b"\r\n\r\n"
+
+
+def test_members_of_many_records(tmp_path):
+    bodies = [b"a" * 10, os.urandom(100_000), b"", b"z" * 300_000]
+    whole = b"".join(map(http, bodies))
+    cut = len(whole) - 250_000     # members that end anywhere, also within a record
+    for name, data in (("one", gzip.compress(whole)), ("two", gzip.compress(whole[:cut]) + gzip.compress(whole[cut:])),
+                       ("each", b"".join(gzip.compress(http(b)) for b in bodies)), ("plain", whole)):
+        file = tmp_path / f"{name}.warc.gz"
+        file.write_bytes(data)
+        fs, p = M._open(str(file))
+        assert [r["payload"] for r in M.records(fs, p, lambda c: True, True)] == bodies, name
+        assert len(list(M.records(fs, p, lambda c: True, False))) == 4
+        assert list(M.records(fs, p, lambda c: False, True)) == []
+
+
+def test_damaged_archives_are_told(spark, tmp_path):
+    row = {"record_type": "response", "page_id": 1, "target_uri": "u", "refers_to": None, "payload_digest": "d",
+           "payload_bytes": 5000, "payload": os.urandom(5000)}
+    own, other = M.member(M.record(row)), gzip.compress(http(os.urandom(5000)))
+    wrong = bytearray(own)
+    wrong[-6] ^= 1     # the CRC
+    good = 0
+    for name, data in (("own", own + own[:-20]), ("other", other + other[:-20]), ("crc", own + bytes(wrong)),
+                       ("plain", http(b"x" * 99) * 2 + http(b"y" * 99)[:-50]), ("text", own + b"no archive at all"),
+                       ("head", other + gzip.compress(b"WARC/1.0\r\nWARC-Type: resp"))):
+        file = tmp_path / f"{name}.warc.gz"
+        file.write_bytes(data)
+        fs, p = M._open(str(file))
+        with pytest.raises(ValueError, match=f"{name}.warc.gz: damaged"):
+            list(M.records(fs, p, lambda c: True, True))
+        kinds = [r["record_type"] for r in M.records(fs, p, lambda c: True, True, report=True)]
+        assert kinds[-1] == "damaged" and set(kinds[:-1]) == {"response"}, name
+        good += len(kinds) - 1
+    got = M.read_warc(spark, str(tmp_path), damaged="report").groupBy("record_type").count().collect()
+    assert {r[0]: r[1] for r in got} == {"response": good, "damaged": 6}
+    (tmp_path / "whole.warc.gz").write_bytes(own)
+    assert M.read_warc(spark, str(tmp_path / "whole.warc.gz")).count() == 1
+
+
+def test_chunked_payloads(tmp_path):
+    file = tmp_path / "c.warc"
+    sent, chunked = b"4;x=1\r\nwiki\r\n6\r\npedia \r\n0\r\n\r\n", "Transfer-Encoding: chunked"
+    file.write_bytes(http(sent, chunked) + http(b"already joined", chunked) + http(sent))
+    fs, p = M._open(str(file))
+    assert [r["payload"] for r in M.records(fs, p, lambda c: True, True)] == [b"wikipedia ", b"already joined", sent]
+
+
+def test_text_ids_are_an_error(pages):
+    with pytest.raises(TypeError):
+        M.plan_records(pages.withColumn("page_id", pages.url))
+
+
+def test_payloads_of_single_pages_stay_where_they_are(pages):
+    plan = M.plan_records(pages)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan

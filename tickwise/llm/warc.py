@@ -13,11 +13,15 @@ tasks are never read; a folder without a manifest is read by file name.
 
 Record columns: record_type, record_id, target_uri, page_id, refers_to,
 payload_digest, payload_bytes (headers), payload (decoded; null with option
-``payload=skip`` and for records without one).
+``payload=skip`` and for records without one; chunks of a transfer are joined).
+Archives of other writers may be plain, or hold any number of records in a gzip
+member.  A damaged archive is an error, or with option ``damaged=report`` a
+record of type ``damaged`` that names the file.
 """
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 import zlib
@@ -41,9 +45,10 @@ from pyspark.sql.datasource import (
     StringStartsWith,
     WriterCommitMessage,
 )
+from pyspark.sql.types import IntegralType
 
 from ..session import ship_package
-from .common import scratch
+from .common import cut, scratch
 
 SCHEMA = ("record_type string, record_id string, target_uri string, page_id long, refers_to long, "
           "payload_digest string, payload_bytes long, payload binary")
@@ -55,10 +60,11 @@ HEADERS = frozenset(ARROW.names[:-1])
 VERSION = b"WARC/1.1\r\n"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 SMALLEST_SHARED = 100     # payloads below this many bytes are always stored
-MEMBER = struct.Struct("<4sIBBH2sHQ")   # gzip header with one extra field: the member's length
+MEMBER = struct.Struct("<4sIBBH2sHII")   # gzip header with one extra field: the lengths of member and data
 ROLL_BYTES = 64 << 20
 PLAN_BYTES = 64 << 20     # archive bytes that a partition reads
 READ = 1 << 14
+WIDE = 1 << 20            # read at once of a payload that is wanted
 ROWS = 256
 BATCH_BYTES = 4 << 20
 
@@ -67,8 +73,8 @@ def member(data: bytes) -> bytes:
     """One gzip member that carries its own length."""
     squeeze = zlib.compressobj(1, zlib.DEFLATED, -15)
     body = squeeze.compress(data) + squeeze.flush()
-    return MEMBER.pack(b"\x1f\x8b\x08\x04", 0, 0, 255, 12, b"sl", 8, MEMBER.size + len(body) + 8) \
-        + body + struct.pack("<II", zlib.crc32(data), len(data) & 0xFFFFFFFF)
+    return MEMBER.pack(b"\x1f\x8b\x08\x04", 0, 0, 255, 12, b"sl", 8, MEMBER.size + len(body) + 8,
+                       len(data) & 0xFFFFFFFF) + body + struct.pack("<II", zlib.crc32(data), len(data) & 0xFFFFFFFF)
 
 
 def record_id(page_id: object, digest: str) -> str:
@@ -145,6 +151,10 @@ class _Writer(DataSourceArrowWriter):
                 fs.delete_file(f"{root}/{f}")
 
 
+class Damaged(Exception):
+    """An archive that ends within a record, or holds something else."""
+
+
 class _Stream:
     """A forward reader with cheap jumps."""
 
@@ -152,15 +162,89 @@ class _Stream:
         self.file = fs.open_input_file(path)
         self.at, self.size, self.buffer, self.start = 0, self.file.size(), b"", 0
 
+    def _fetch(self, n: int) -> None:
+        self.start = self.at
+        self.buffer = self.file.read_at(min(max(n, READ), self.size - self.at), self.at)
+
     def read(self, n: int) -> bytes:
+        """At most ``n`` bytes, none only at the end."""
+        if not 0 <= self.at - self.start < len(self.buffer):
+            self._fetch(n)
         lo = self.at - self.start
-        if lo < 0 or lo + n > len(self.buffer):
-            self.start, lo = self.at, 0
-            self.buffer = self.file.read_at(min(max(n, READ), self.size - self.at), self.at)
         out = self.buffer[lo:lo + n]
         self.at += len(out)
         return out
 
+    def peek(self, n: int) -> bytes:
+        lo = self.at - self.start
+        if lo < 0 or lo + n > len(self.buffer):
+            self._fetch(n)
+            lo = 0
+        return self.buffer[lo:lo + n]
+
+
+class _Body:
+    """The bytes of records from where a stream stands up to ``end``: as they lie there, or
+    out of the gzip members, whatever number of records each of them holds."""
+
+    def __init__(self, stream: _Stream, zipped: bool, end: int):
+        self.stream, self.zipped, self.end = stream, zipped, end
+        self.inflate, self.buffer = None, b""
+
+    def fill(self, step: int = READ) -> bool:
+        """Put the next bytes in the empty buffer; False at the end."""
+        s = self.stream
+        if not self.zipped:
+            self.buffer = s.read(min(step, self.end - s.at))
+            return bool(self.buffer)
+        while True:
+            if self.inflate is not None and self.inflate.eof:
+                s.at -= len(self.inflate.unused_data)
+                self.inflate = None
+            if self.inflate is None:
+                if s.at >= self.end:
+                    return False
+                self.inflate = zlib.decompressobj(31)     # checks length and CRC of a member, too
+            chunk = self.inflate.unconsumed_tail or s.read(min(step, self.end - s.at))
+            self.buffer = self.inflate.decompress(chunk, step)
+            if self.buffer:
+                return True
+            if not chunk and not self.inflate.eof:
+                raise Damaged("a gzip member is cut short")
+
+    def head(self) -> bytes | None:
+        """The next record's header lines; None behind the last record."""
+        data = b""
+        while True:
+            data = (data + self.buffer).lstrip(b"\r\n")
+            if not data.startswith(b"WARC/"[:len(data)]):
+                raise Damaged("no record begins here")
+            end = data.find(b"\r\n\r\n")
+            if end >= 0:
+                self.buffer = data[end + 4:]
+                return data[:end]
+            self.buffer = b""
+            if not self.fill():
+                if data:
+                    raise Damaged("the headers of a record are cut short")
+                return None
+
+    def take(self, n: int, keep: bool, step: int) -> bytes:
+        """The next ``n`` bytes; without ``keep`` they are passed over."""
+        parts = []
+        while True:
+            part, self.buffer = self.buffer[:n], self.buffer[n:]
+            n -= len(part)
+            if keep:
+                parts.append(part)
+            if not n:
+                return b"".join(parts)
+            if not keep and not self.zipped and self.stream.at + n <= self.end:
+                self.stream.at += n
+                return b""
+            if not self.fill(step):
+                raise Damaged("the block of a record is cut short")
+
 
 def _headers(head: bytes) -> dict[str, str]:
     out, last = {}, None
@@ -185,66 +269,90 @@ def _columns(h: dict[str, str]) -> dict:
             "payload_bytes": number["x-payload-length"]}
 
 
+CHUNK = re.compile(rb"([0-9A-Fa-f]{1,8})[^\r\n]*\r\n")
+
+
+def _joined_chunks(body: bytes) -> bytes:
+    """A body sent in chunks put together; as it is if it isn't made of whole chunks."""
+    parts, at = [], 0
+    while m := CHUNK.match(body, at):
+        n = int(m[1], 16)
+        if not n:
+            return b"".join(parts)
+        at = m.end() + n
+        if body[at:at + 2] != b"\r\n":
+            break
+        parts.append(body[m.end():at])
+        at += 2
+    return body
+
+
 def _payload(h: dict[str, str], block: bytes) -> bytes | None:
     if h.get("warc-type") == "revisit":
         return None
-    if h.get("content-type", "").startswith("application/http"):
-        return block.partition(b"\r\n\r\n")[2]
-    return block
+    if not h.get("content-type", "").startswith("application/http"):
+        return block
+    head, _, body = block.partition(b"\r\n\r\n")
+    return _joined_chunks(body) if _headers(head).get("transfer-encoding", "").lower() == "chunked" else body
 
 
-def records(fs: pafs.FileSystem, path: str, wanted, payload: bool) -> Iterator[dict]:
-    """Records of one archive whose header columns pass ``wanted``."""
-    s = _Stream(fs, path)
+def _one(body: _Body, wanted, payload: bool, step: int) -> dict | None:
+    """The next record, ``{}`` if it isn't wanted, None behind the last one."""
+    head = body.head()
+    if head is None:
+        return None
+    h = _headers(head)
+    if not h.get("content-length", "").isdigit():
+        raise Damaged("a record without a length")
+    cols, n = _columns(h), int(h["content-length"])
+    keep = wanted(cols)
+    if body.zipped and step > READ and not (keep and payload):
+        return cols | {"payload": None} if keep else {}     # a member of known length is jumped over
+    block = body.take(n, keep and payload, step)
+    return cols | {"payload": _payload(h, block) if payload else None} if keep else {}
+
+
+def _records(s: _Stream, wanted, payload: bool) -> Iterator[dict]:
     while s.at < s.size:
-        begin = s.at
-        first = s.read(4)
-        if first[:2] != b"\x1f\x8b":            # plain record: header lines, then a counted block
-            s.at = begin
-            head = b""
-            while b"\r\n\r\n" not in head:
-                more = s.read(READ if len(head) else 1024)
-                if not more:
-                    return
-                head += more
-            head = head.partition(b"\r\n\r\n")[0]
-            h = _headers(head)
-            s.at, n = begin + len(head) + 4, int(h.get("content-length", 0))
-            cols = _columns(h)
-            if wanted(cols):
-                yield cols | {"payload": _payload(h, s.read(n)) if payload else None}
-            s.at = begin + len(head) + 4 + n + 4
+        s.begin, lead = s.at, s.peek(MEMBER.size)
+        length = None
+        if lead[:2] == b"\x1f\x8b" and len(lead) == MEMBER.size:
+            sign, _, _, _, extra, name, size, n, _ = MEMBER.unpack(lead)
+            length = n if sign[3] == 4 and extra == 12 and name == b"sl" and size == 8 else None
+        if length:       # one record, whose member says how long it is
+            if s.begin + length > s.size:
+                raise Damaged("a gzip member is cut short")
+            body = _Body(s, True, s.begin + length)
+            r = _one(body, wanted, payload, WIDE)
+            if r and payload:
+                while body.fill(WIDE):    # to the member's CRC
+                    pass
+            s.at = s.begin + length
+            if r:
+                yield r
             continue
-        s.at = begin
-        lead, length = s.read(MEMBER.size), None
-        if len(lead) == MEMBER.size:
-            sign, _, _, _, extra, name, _, n = MEMBER.unpack(lead)
-            length = n if sign[3] == 4 and extra == 12 and name == b"sl" else None
-        s.at = begin
-        inflate, data = zlib.decompressobj(31), b""
-        while b"\r\n\r\n" not in data and not inflate.eof:
-            chunk = s.read(READ if length is None else min(READ, begin + length - s.at))
-            if not chunk:
-                break
-            data += inflate.decompress(inflate.unconsumed_tail + chunk, READ)
-        head, _, rest = data.partition(b"\r\n\r\n")
-        h = _headers(head)
-        cols = _columns(h)
-        keep = wanted(cols)
-        if length is None or (keep and payload):
-            parts = [rest]
-            while not inflate.eof:
-                chunk = inflate.unconsumed_tail or s.read(READ if length is None else begin + length - s.at)
-                if not chunk:
-                    break
-                parts.append(inflate.decompress(chunk, 0 if keep and payload else READ))
-                if not (keep and payload):
-                    parts = []
-            rest = b"".join(parts)
-        s.at = begin + length if length else s.at - len(inflate.unused_data)
-        if keep:
-            block = rest[:int(h.get("content-length", 0))]
-            yield cols | {"payload": _payload(h, block) if payload else None}
+        body = _Body(s, lead[:2] == b"\x1f\x8b", s.size)
+        while (r := _one(body, wanted, payload, READ)) is not None:
+            s.begin = s.at
+            if r:
+                yield r
+
+
+def records(fs: pafs.FileSystem, path: str, wanted, payload: bool, report: bool = False) -> Iterator[dict]:
+    """Records of one archive whose header columns pass ``wanted``.
+
+    An archive that is cut short, fails a CRC or holds something else is an error that
+    names the file; with ``report`` it gives a record of type ``damaged`` instead, whose id
+    is the file and a place at or before the damage, and the file is left there."""
+    s = _Stream(fs, path)
+    try:
+        yield from _records(s, wanted, payload)
+    except (Damaged, zlib.error) as e:
+        if not report:
+            raise ValueError(f"{path}: damaged after byte {s.begin}: {e}") from e
+        cols = _columns({}) | {"record_type": "damaged", "record_id": f"{path}@{s.begin}"}
+        if wanted(cols):
+            yield cols | {"payload": None}
 
 
 class _Files(InputPartition):
@@ -256,6 +364,7 @@ class _Reader(DataSourceReader):
     def __init__(self, options):
         self.path = options["path"].rstrip("/")
         self.payload = options.get("payload", "decode") != "skip"
+        self.report = options.get("damaged", "fail") == "report"
         self.plan_bytes = int(options.get("plan_bytes", PLAN_BYTES))
         self.filters: list[Filter] = []
 
@@ -303,7 +412,7 @@ class _Reader(DataSourceReader):
         fs, _ = _open(self.path)
         rows, size = [], 0
         for path in partition.value if partition else ():
-            for r in records(fs, path, self._wanted, self.payload):
+            for r in records(fs, path, self._wanted, self.payload, self.report):
                 rows.append(r)
                 size += len(r["payload"] or b"")
                 if len(rows) >= ROWS or size >= BATCH_BYTES:
@@ -340,7 +449,10 @@ def plan_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
 
     Among equal payloads of at least ``SMALLEST_SHARED`` bytes the smallest page
     id is the response (all rows that share that id are); null ids come last and
-    are responses where no id is known.  A null page is an empty payload."""
+    are responses where no id is known.  A null page is an empty payload.  Ids that
+    aren't whole numbers are an error, since records carry them as such."""
+    if not isinstance(pages.schema[id_col].dataType, IntegralType):
+        raise TypeError(f"{id_col} must be a whole number, not {pages.schema[id_col].dataType.simpleString()}")
     payload = F.coalesce(F.col(html_col), F.lit("")).cast("binary")
     p = pages.select(
         F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("target_uri"), payload.alias("payload"),
@@ -348,6 +460,8 @@ def plan_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     shared = p.where(F.col("payload_bytes") >= SMALLEST_SHARED).groupBy("payload_digest") \
         .agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1") \
         .select("payload_digest", "first")
+    # written first, so that its size is known before a payload has to move for the join
+    shared = cut(shared, "warc-digests")
     q = p.join(shared, "payload_digest", "left")
     revisit = F.coalesce(F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")), F.lit(False))
     return q.select(
@@ -380,8 +494,6 @@ def archive_round_trip(pages: DataFrame, **names: str) -> DataFrame:
         "record_type", "refers_to")
 
 
-
-
 ROUND_TRIP_SQL = """
 WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes,
                   sha256(coalesce(html, '')) AS payload_digest FROM pages),
