@@ -94,3 +94,115 @@ def test_wrappers_named_like_other_parts():
     longer = "".join(f"<li><p>{words(30, 50 + j)}</p></li>" for j in range(20))
     for name in ("comment-list", "comments", "replies"):
         assert M.main_text(f'<body><div>{inner}</div><ol class="{name}">{longer}</ol></body>') == text
+
+
+def test_parts_named_by_their_last_word():
+    inner = "".join(f"<p>{words(25, j)}</p>" for j in range(8))
+    text = " ".join(words(25, j) for j in range(8))
+    for name in ("reader-comments", "user-comments", "post-comments", "fb-comments", "discussion", "cc-window", "ad-slot",
+                 "adbox", "top-nav", "main-menu", "skip-link", "author-box", "commentList", "siteFooter", "cookie_consent-banner"):
+        part = f'<div class="{name}">{words(70, 99)}</div>'
+        for page in (f"<body><article>{inner}</article>{part}</body>", f"<body>{part}<div>{inner}</div></body>",
+                     f'<body><main>{inner}</main><div class="x {name}" id=y>{words(60, 98)}</div></body>'):
+            assert M.main_text(page) == text, name
+    # a part of a paper, and names that tell of the article itself
+    assert words(40, 9) in M.main_text(f"<article>{inner}<section id=discussion><p>{words(40, 9)}</p></section></article>")
+    for name in ("entry-header", "with-sidebar-content", "no-comments", "layout-has-menu", "author"):
+        assert words(40, 9) in M.main_text(f'<article><div class="{name}"><p>{words(40, 9)}</p></div>{inner}</article>'), name
+
+
+def test_headers_of_articles_stay():
+    inner = "".join(f"<p>{words(25, j)}</p>" for j in range(4))
+    text = " ".join(words(25, j) for j in range(4))
+    for outer in ("article", "main"):
+        page = (f"<body><header><h1>Site</h1><p>of many pages</p></header><{outer}><header><h1>TITLE</h1><p>The lead.</p></header>"
+                f'{inner}<header><a href="x">one topic</a> <a href="y">other topics</a> in</header></{outer}></body>')
+        assert M.main_text(page) == f"TITLE The lead. {text}"
+    assert M.main_text(f"<body><header><h1>Site</h1></header><div>{inner}</div></body>") == text
+
+
+def test_markup_as_browsers_read_it():
+    for page, want in (
+            ("a < b <3 c<1", "a < b <3 c<1"), ("<p>one<!-- x > <p>no --><p>two", "one two"), ("<!DOCTYPE html><p>x<?php y ?>z", "xz"),
+            ("<P CLASS='a>b' title=\"</p>\">x</P>y", "x y"), ("<p>x<br/>y<hr />z", "x y z"), ("<div/>x", "x"), ("<p a=/>x", "x"),
+            ("<p>x</p><p class=\"unended>y", "x"), ("<p>x</p><p clas", "x"), ("<p>x<!-- y", "x"), ("<p>x<script>y</scripts>z", "x"),
+            ("<p>x<title>t<p>y", "x"), ("<title>t<b></title><p>x", "x"), ("<textarea><p>no</textarea>x</>y</ 1>z", "xyz"),
+            ("<p>&lt;b&gt; &amp;amp; &#233;</p>", "<b> &amp; é"), ("<a =x ==y / >x", "x"), ("x</p >y</div z=1>w", "xyw"),
+            ("<li>a<li>b<td>c", "a b c"), ("<p class=menu id=x/y>no</p><p>xyz", "xyz")):
+        assert M.main_text(page) == want, page
+
+
+def test_odd_pages_of_a_megabyte():
+    import time
+    many = ["<a ", "<!--", "<", '<a href="', "<div>", "<b><hr>", "&amp", "</b>", "<script>", "<title>", "<!x", "<a x=y ", "<a/", "<li>"]
+    pages = [m * (1_000_000 // len(m)) for m in many]
+    pages += ["<p><td>" + "<b>" * 100_000 + "<hr>" * 100_000, "<div>" * 100_000 + "</b>" * 100_000,
+              '<div class="' + "advert_" * 140_000 + 'zz">x</div>']
+    for page in pages:
+        start = time.process_time()
+        M.main_text(page)
+        assert time.process_time() - start < 15, page[:20]     # quadratic ones take minutes
+
+
+def plain_densities(html):
+    """The composite density of every element, in page order, by recursion over a well-formed page."""
+    import math
+    import xml.etree.ElementTree as ET
+    body = ET.fromstring(html)
+
+    def measure(e, linked):
+        linked = linked or e.tag == "a"
+        texts = [t for t in (e.text, *(c.tail for c in e)) if t and t.strip()]
+        c = sum(len(" ".join(t.split())) for t in texts)
+        out = [c, 0, c if linked else 0, 0]
+        for child in e:
+            for k, v in enumerate(measure(child, linked)):
+                out[k] += v
+            out[1] += 1
+            out[3] += child.tag == "a"
+        return out
+
+    whole = measure(body, False)
+    share = whole[2] / max(1, whole[0])
+
+    def density(e, linked):
+        c, t, lc, lt = measure(e, linked)
+        if not c:
+            return 0.0
+        base = math.log(max(1, lc) / max(1, c - lc) * c + share * c + math.e)
+        t, lc, lt = max(1, t), max(1, lc), max(1, lt)
+        return c / t * math.log(max(1, c / lc * t / lt) + 1e-6) / math.log(base + 1e-6)
+
+    out = []
+
+    def walk(e, linked):
+        linked = linked or e.tag == "a"
+        out.append((e.tag, density(e, linked), sum(density(x, linked or x.tag == "a") for x in e)))
+        for child in e:
+            walk(child, linked)
+
+    walk(body, False)
+    return out
+
+
+def test_densities_equal_a_plain_version():
+    import random
+    rnd = random.Random(3)
+
+    def page(depth):
+        inner = "".join(f"<{t}>{words(rnd.randint(0, 9))}{page(depth - 1) if depth else ''}</{t}>{words(rnd.randint(0, 3))}"
+                        for t in rnd.choices(["div", "section", "a", "b", "i", "div"], k=rnd.randint(0, 4)))
+        return words(rnd.randint(0, 5)) + inner
+
+    for _ in range(60):
+        html = f"<body>{page(3)}</body>"
+        tree = M._Tree()
+        tree.feed(html)
+        density, total = M.densities(tree)
+        want = plain_densities(html)
+        assert tree.tag[1:] == [t for t, _, _ in want]
+        for i, (_, d, s) in enumerate(want, 1):
+            assert abs(density[i] - d) < 1e-6 * max(1, d) and abs(total[i] - s) < 1e-6 * max(1, s), html
+        if any(s for _, _, s in want):
+            top = max(range(1, len(want) + 1), key=lambda i: total[i])
+            assert abs(total[top] - max(s for _, _, s in want)) < 1e-6 * max(1, total[top])
