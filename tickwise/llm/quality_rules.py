@@ -20,11 +20,16 @@ WORD = r"[^\x20\x09-\x0D]+"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
-#: Frequent function words of English, German, French and Spanish.
+#: Frequent function words of English, German, French, Spanish, Italian, Portuguese and Dutch.
 STOP_WORDS = """a an and are as at be by for from had has have he in is it not of on or she that the they this to
     was were which with als auch auf aus bei das dem den der des die ein eine einen er es für im ist mit nicht
     sich sie und von zu zum au aux avec ce dans de du elle en est et il la le les ne par pas pour qui que se sur un
-    une al como con del el las lo los más no para por su una y""".split()
+    une al como con del el las lo los más no para por su una y
+    che della di gli non per sono un da dos em não os uma het een niet van dat te""".split()
+#: Words are compared in small letters and without marks around them, by tables, so that no
+#: engine's own case folding matters.
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZÁÃÉÜ", "abcdefghijklmnopqrstuvwxyzáãéü"
+MARKS = """.,;:!?"'()[]{}<>*_-…“”„‘’«»¿¡"""
 
 
 @dataclass(frozen=True)
@@ -90,7 +95,8 @@ def measured(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ()
     per_word = F.greatest(n, F.lit(1))
     # doubled marks at the end of a word
     marks = F.size(F.filter("words", lambda w: w.rlike(r"[!?]{2,}$"))).cast("long")
-    stops = F.size(F.filter("words", lambda w: w.isin(STOP_WORDS))).cast("long")
+    stops = F.size(F.filter("words", lambda w: F.btrim(F.translate(w, UPPER, LOWER), F.lit(MARKS)).isin(STOP_WORDS)))
+    stops = stops.cast("long")
     dup = (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long")
     second = first.select(
         "keep", n.alias("n_words"),
@@ -161,7 +167,7 @@ m AS (SELECT doc_id, len(words)::BIGINT AS n_words, length(array_to_string(words
              (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
              coalesce(n, 0)::BIGINT AS n_repeat_words, len(lines) AS n_lines,
              len(list_filter(words, lambda x: regexp_matches(x, '[!?]{{2,}}$'))) AS marks,
-             len(list_filter(words, lambda x: x IN ({stops}))) AS stops
+             len(list_filter(words, lambda x: trim(translate(x, '{upper}', '{lower}'), '{trimmed}') IN ({stops}))) AS stops
       FROM w LEFT JOIN rep USING (rid)),
 b AS (SELECT *, (n_words < {min_words} OR 100 * n_repeat_words > {max_rep} * n_words) AS base_failed,
              greatest(n_words, 1) AS per FROM m)
@@ -169,4 +175,5 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        (NOT base_failed AND word_chars / per BETWEEN 2.0 AND 12.0 AND n_symbols / per <= 0.1 AND marks / per <= 0.1
         AND stops / per >= 0.05 AND n_dup_lines / greatest(n_lines, 1) <= 0.5) AS kept
 FROM b
-""".format(stops=", ".join(f"'{w}'" for w in STOP_WORDS), min_words=MIN_WORDS, max_rep=MAX_REPEAT_PERCENT)
+""".format(stops=", ".join(f"'{w}'" for w in STOP_WORDS), min_words=MIN_WORDS, max_rep=MAX_REPEAT_PERCENT,
+           upper=UPPER, lower=LOWER, trimmed=MARKS.replace("'", "''"))
