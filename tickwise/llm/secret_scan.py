@@ -144,9 +144,10 @@ def _of_kind(kind: int) -> Column:
     return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
 
 
-def secret_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Counts of the base kinds, their digest, and all spans as text."""
-    found = find_spans(docs, text_col, (id_col,))
+def secret_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope: int = SCOPE) -> DataFrame:
+    """Counts of the base kinds, their digest, and all spans as text; weak parts complete
+    each other within ``scope`` code points."""
+    found = find_spans(docs, text_col, (id_col,), scope)
     base = F.filter("spans", lambda s: s["kind"] < len(BASE))
     counts = [_of_kind(i).alias(f"n_{k}") for i, k in enumerate(BASE)]
     return found.select(F.col("keep")[id_col].alias(id_col), *counts,
@@ -186,47 +187,70 @@ def _either_case(words: str) -> str:
 
 
 def report_sql() -> str:
-    """The same report in DuckDB SQL; its patterns have no look-around, so the random
-    strings are maximal runs, tested on their first 20 characters."""
+    """The same report in DuckDB SQL, whose patterns have no look-around: random strings
+    are taken from runs with all "=" behind them, and what follows a run is told by the gap
+    before the next one."""
     value = r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
     account = _either_case("(?:user(?:name)?|login|account|client_?id|access_?key_?id)")
-    run = "[A-Za-z0-9+/_=-]+"
     patterns = {
         "assign": ("(" + _either_case("password|passwd|secret|token|api_?key") + ")" + value, 2, "length(g) >= 6"),
         "access": (KINDS["access"][0], 0, "true"),
         "hex": (KINDS["hex"][0], 0, "true"),
         "account": (account + value.replace("_.=", "_.@="), 1, "length(g) >= 3"),
-        "random": (run, 0, "length(m) >= 20 AND " + " AND ".join(
-            f"regexp_matches(left(m, 20), '{c}')" for c in ("[0-9]", "[A-Z]", "[a-z]"))),
         "endpoint": ("(?:" + "|".join(map(_either_case, ("https?", "ftp", "ssh"))) + "|" + _either_case("jdbc") + ":"
                      + "[a-zA-Z]+|" + "|".join(map(_either_case, ("postgres", "mysql", "mongodb", "redis", "amqp")))
                      + r""")://[^\x20\x09-\x0D"'<>]+""", 0, "length(m) >= 10"),
     }
-    hits = []
-    for i, kind in enumerate(KINDS):
-        pattern, group, good = patterns[kind]
+
+    def matches(pattern: str, group: int = 0) -> str:
         p = "'" + pattern.replace("'", "''") + "'"
-        hits.append(f"""SELECT rid, {i} AS kind, k, length(piece) AS gap, length(m) AS len, ({good}) AS good FROM (
-  SELECT rid, unnest(regexp_extract_all(t, {p}, 0)) AS m, unnest(regexp_extract_all(t, {p}, {group})) AS g,
+        return f"""(SELECT * FROM (SELECT rid, unnest(regexp_extract_all(t, {p}, 0)) AS m, unnest(regexp_extract_all(t, {p}, {group})) AS g,
          unnest(string_split_regex(t, {p})) AS piece, generate_subscripts(string_split_regex(t, {p}), 1) AS k FROM d)
-  WHERE m IS NOT NULL""")
+   WHERE m IS NOT NULL)"""
+
+    placed = "CAST(sum(length(piece) + length(m)) OVER (PARTITION BY rid ORDER BY k) AS BIGINT) AS e, length(m) AS len"
+    hits = [f"""SELECT rid, {list(KINDS).index(kind)} AS kind, {good} AS good, e - len AS s, e, NULL AS path,
+       CASE WHEN {kind == "endpoint"} THEN m END AS url FROM (SELECT *, {placed} FROM {matches(pattern, group)})"""
+            for kind, (pattern, group, good) in patterns.items()]
+
+    def random(x: str) -> str:
+        return f"regexp_matches({x}, '^([^=]{{20,}}=*|[^=]{{18}}==|[^=]{{19}}=)$') AND " + " AND ".join(
+            f"regexp_matches({x}, '{c}')" for c in ("[0-9]", "[A-Z]", "[a-z]"))
+
+    hits.append(f"""SELECT rid, {list(KINDS).index("random")}, true, s, s + length(x), CASE WHEN named THEN 0
+       WHEN len(list_filter(string_split_regex(x, '[-/_]'), lambda y: {random("y")})) > 0 THEN 1 ELSE 2 END, NULL
+  FROM (SELECT rid, s, named, run || CASE WHEN pad <= 2 AND next > 0 THEN repeat('=', pad) ELSE '' END AS x
+        FROM (SELECT rid, rtrim(m, '=') AS run, len - length(rtrim(m, '=')) AS pad, e - len AS s,
+                     right(piece, 1) = '=' OR (piece = '' AND coalesce(right(lag(m) OVER r, 1) = '=', false)) AS named,
+                     coalesce(lead(length(piece)) OVER r, 1) AS next
+              FROM (SELECT *, {placed} FROM {matches("[A-Za-z0-9+/_-]+=*")}) WINDOW r AS (PARTITION BY rid ORDER BY k)))
+  WHERE {random("x")}""")
+    port = "'^[^/]*//[^/?#@:]*:[0-9]{1,5}/'"
+    host = "'^[^/]*//(?:[^/?#@]*@)?[^/?#]*'"
+    full = "'^[^/]*//(?:[^/?#@:]*:[^?#@]*@|[^/?#@]*@)?[^/?#]*'"
     roles = " ".join(f"WHEN {i} THEN '{r}'" for i, (_, _, _, r) in enumerate(KINDS.values()))
     names = " ".join(f"WHEN {i} THEN '{k}'" for i, k in enumerate(KINDS))
     near = ",\n".join(
-        f"max(e) FILTER (WHERE role = '{r}') OVER (b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before_{r},\n"
-        f"min(s) FILTER (WHERE role = '{r}') OVER (b ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS after_{r}"
-        for r in COMPLETES)
+        f"max(edge) FILTER (WHERE role = '{r}' AND opens = 0) OVER (b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before_{r},\n"
+        f"min(edge) FILTER (WHERE role = '{r}' AND opens = 1) OVER (b ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS after_{r}"
+        for r in LINKS)
     linked = " OR ".join(
-        f"(role = '{r}' AND (coalesce(s - before_{o} <= {SCOPE}, false) OR coalesce(after_{o} - e <= {SCOPE}, false)))"
-        for r, others in COMPLETES.items() for o in others)
+        f"(role = '{r}' AND coalesce(CASE opens WHEN 1 THEN edge - before_{o} ELSE after_{o} - edge END <= {SCOPE}, false))"
+        for r, others in LINKS.items() for o in others)
     counts = ", ".join(f"count(*) FILTER (WHERE kind = {i}) AS n_{k}" for i, k in enumerate(BASE))
     return f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
 h AS ({" UNION ALL ".join(hits)}),
-p AS (SELECT *, CAST(sum(gap + len) OVER (PARTITION BY rid, kind ORDER BY k) AS BIGINT) AS e FROM h),
-r AS (SELECT rid, kind, good, e, e - len AS s, CASE WHEN good THEN CASE kind {roles} END END AS role FROM p),
-n AS (SELECT *, {near} FROM r WINDOW b AS (PARTITION BY rid ORDER BY s, kind)),
-f AS (SELECT rid, kind, s, (CASE kind {names} END) || ':' || s || ':' || e AS span FROM n
+u AS (SELECT *, last_value(CASE WHEN url IS NOT NULL AND good THEN struct_pack(
+               p := s + length(regexp_extract(url, CASE WHEN regexp_matches(url, {port}) THEN {host} ELSE {full} END)),
+               q := s + length(regexp_extract(url, '^[^?#]*')), f := s + length(regexp_extract(url, '^[^#]*')), e := e) END IGNORE NULLS)
+             OVER (PARTITION BY rid ORDER BY s, kind ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS l FROM h),
+r AS (SELECT rid, kind, good, s, e, CASE WHEN NOT good THEN NULL
+               WHEN coalesce(path > 0 AND ((s < l.q AND e > l.p) OR (s < l.e AND e > l.f)), false)
+               THEN CASE path WHEN 1 THEN 'path' END ELSE CASE kind {roles} END END AS role FROM u),
+g AS (SELECT *, e AS edge, 0 AS opens FROM r UNION ALL SELECT *, s, 1 FROM r),
+n AS (SELECT *, {near} FROM g WINDOW b AS (PARTITION BY rid ORDER BY edge, opens)),
+f AS (SELECT DISTINCT rid, kind, s, (CASE kind {names} END) || ':' || s || ':' || e AS span FROM n
       WHERE good AND (kind < {len(BASE)} OR {linked})),
 a AS (SELECT rid, {counts}, string_agg(span, ',' ORDER BY s, kind) FILTER (WHERE kind < {len(BASE)}) AS base,
              string_agg(span, ',' ORDER BY s, kind) AS spans FROM f GROUP BY rid)
