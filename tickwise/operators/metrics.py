@@ -18,8 +18,9 @@ def queue_depth_alerts(metrics: DataFrame, threshold: int = 1000) -> DataFrame:
 
 def queue_depth_recent(metrics: DataFrame, n: int = 100, threshold: int = 1000,
                        order=("timestamp", "seq")) -> DataFrame:
-    """Newest ``n`` queue-depth points with the threshold breach flag."""
-    recent = metrics.orderBy(*[F.col(c).desc() for c in order if c in metrics.columns]).limit(n)
+    """Newest ``n`` queue-depth points, oldest first, with the threshold breach flag."""
+    by = [F.col(c) for c in order if c in metrics.columns]
+    recent = metrics.orderBy(*[c.desc() for c in by]).limit(n).orderBy(*by)
     return recent.select("timestamp", "worker_id", "queue_depth",
                          (F.col("queue_depth") > threshold).alias("above_threshold"))
 

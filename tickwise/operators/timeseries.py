@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tickwise.session import written
+
 
 def growth_per_minute(df: DataFrame, ts: str = "event_time") -> DataFrame:
     """Rows per minute, empty minutes included as 0, with a running total.
@@ -55,15 +57,16 @@ def elapsed_seconds(df: DataFrame, ts: str = "event_time") -> DataFrame:
               .drop("_t0"))
 
 
-def symbol_ordinal(df: DataFrame, key: str = "symbol", prefix: int = 4) -> DataFrame:
+def symbol_ordinal(df: DataFrame, key: str = "symbol") -> DataFrame:
     """0-based code of each distinct symbol in sorted order.
 
-    Symbols are ranked within their first ``prefix`` characters, and the
-    number of symbols under earlier prefixes is added; only the table of
-    prefixes is ordered as a whole.
+    The symbols are dealt by range and written with the number of their
+    range, so that a range stays what it is when a task runs again; they are
+    ranked inside their range, and the symbols of earlier ranges are added.
+    Ranges are even whatever the symbols have in common.
     """
-    d = (df.where(F.col(key).isNotNull()).select(key).distinct()
-           .withColumn("_p", F.substring(key, 1, prefix)))
+    d = df.where(F.col(key).isNotNull()).select(key).distinct()
+    d = written(d.repartitionByRange(key).select(key, F.spark_partition_id().alias("_p")), "symbols")
     sizes = d.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_p", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_s"))
