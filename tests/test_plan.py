@@ -50,14 +50,24 @@ def test_recent_read_pushes_time_predicate(spark):
 
 
 def test_hot_symbols_are_not_gathered_before_they_are_split(spark):
-    p = formatted(QUERIES["enrich_split"](spark, SF_SMALL))
+    from tickwise.operators.split_enrich import blocks
+    from tickwise.plans.catalog import feed
+    p = formatted(blocks(feed(spark, SF_SMALL), 40, 20, open_from_close=True))
     tree = p[:p.index("(1)")]
-    # the only windows by symbol alone run over the small tables of minutes and blocks
+    # the only window by symbol alone runs over the small table of minutes
     keys = re.findall(r"Arguments: hashpartitioning\(symbol, (\S+?),", p)
     assert "_g" in keys and "_m" in keys
     assert "persist" not in tree and "InMemoryRelation" not in p
 
 
+def test_split_rows_are_worked_out_once(spark):
+    """The plan left reads the written blocks, twice besides the ends' second table, and not the input."""
+    p = formatted(QUERIES["enrich_split"](spark, SF_SMALL))
+    assert "events.parquet" not in p and "/blocks-" in p
+    # windows are left only over the ends of blocks and sub-blocks
+    assert p[:p.index("(1)")].count("Window") <= 2
+
+
 def test_views_without_indicators_plan_no_window(spark):
     for name in ("rows_per_symbol", "data_type_breakdown", "distinct_symbols", "recent_rows"):
         p = plan(QUERIES[name](spark, SF_SMALL))

@@ -17,8 +17,10 @@ Plan
    * RSI: weights restart every ``rsi_block`` rows, and a sub-block starts
      with the decayed totals of those before it (``rsi_carry``), kept per
      block as an array that is read by position.
-   They join back on (symbol, block), the rows' own partitioning; nothing
-   is hinted, so their size decides between broadcast and shuffle.
+   They join back on (symbol, block); nothing is hinted, so their size
+   decides between broadcast and shuffle.
+   The rows of the blocks are written once before, so windows and sorts of
+   the whole series run once, not once for the rows and once for the ends.
 
 The result equals :func:`tickwise.operators.enrich.enrich`, bit by bit
 where prices have a scale.
@@ -31,6 +33,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tickwise.functions import indicators as ind
 from tickwise.functions.numeric import np_round, safe_div
 from tickwise.operators.enrich import rsi_carry, usable, with_defaults, with_flags, with_open
+from tickwise.session import written
 
 ORDER = ("event_time", "seq")
 HALO = 19                      # rows of history the widest frame (20 rows) needs
@@ -49,12 +52,10 @@ def global_row_number(ticks: DataFrame, key: str = "symbol") -> DataFrame:
              .drop("_m", "_start"))
 
 
-def split_enrich(ticks: DataFrame, block_rows: int = 1_000_000, rsi_block: int | None = None,
-                 price_scale: int | None = 2, crash: ind.CrashRule = ind.CrashRule(),
-                 periods: int = 14, key: str = "symbol", open_from_close: bool = False) -> DataFrame:
-    rsi_block = rsi_block or ind.rsi_block_rows(periods)
-    block_rows = -(-max(block_rows, HALO + 1) // rsi_block) * rsi_block
-    per_block = block_rows // rsi_block
+def blocks(ticks: DataFrame, block_rows: int, rsi_block: int, price_scale: int | None = 2,
+           periods: int = 14, key: str = "symbol", open_from_close: bool = False) -> DataFrame:
+    """The rows with their block and sub-block, what needs nothing from other
+    blocks, and the running sums inside their own."""
     x = global_row_number(with_defaults(usable(ticks, key)), key)
     blk = F.floor((F.col("_rn") - 1) / block_rows).cast("long")
     in_halo = ((F.col("_rn") - 1) % block_rows) >= block_rows - HALO
@@ -87,9 +88,18 @@ def split_enrich(ticks: DataFrame, block_rows: int = 1_000_000, rsi_block: int |
           .withColumn("_wt", F.pow(F.lit(ind.rsi_growth(periods)),
                                    ((F.col("_rn") - 1) % rsi_block).cast("double"))))
     wr = ind.running(Window.partitionBy(key, "_g", "_r").orderBy(*ORDER))
-    x = x.select("*", F.sum(F.col("_gain") * F.col("_wt")).over(wr).alias("_gi"),
-                 F.sum(F.col("_loss") * F.col("_wt")).over(wr).alias("_li"))
+    return x.select("*", F.sum(F.col("_gain") * F.col("_wt")).over(wr).alias("_gi"),
+                    F.sum(F.col("_loss") * F.col("_wt")).over(wr).alias("_li"))
+
 
+def split_enrich(ticks: DataFrame, block_rows: int = 1_000_000, rsi_block: int | None = None,
+                 price_scale: int | None = 2, crash: ind.CrashRule = ind.CrashRule(),
+                 periods: int = 14, key: str = "symbol", open_from_close: bool = False) -> DataFrame:
+    rsi_block = rsi_block or ind.rsi_block_rows(periods)
+    block_rows = -(-max(block_rows, HALO + 1) // rsi_block) * rsi_block
+    per_block = block_rows // rsi_block
+    # written once: the carries below are read off the last rows, and the rows are read again to take them
+    x = written(blocks(ticks, block_rows, rsi_block, price_scale, periods, key, open_from_close), "blocks")
     # one row per full sub-block: its totals, and the decayed ones of those up to it
     lags = ind.rsi_carry_lags(periods, rsi_block)
     ends = x.where(F.col("_rn") % rsi_block == 0).select(
