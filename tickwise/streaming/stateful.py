@@ -1,9 +1,11 @@
-"""Stateful streaming enrichment (keyed by symbol).
+"""Stateful streaming enrichment (keyed by buckets of symbols).
 
-``enrich_stream`` groups a streaming tick frame by symbol and runs
-``applyInPandasWithState``.  Per symbol the state holds O(1) numbers
-(running sums, the last 19 closes and 4 volumes, the decayed RSI sums)
-and a buffer of rows whose event time is still above the watermark.
+``enrich_stream`` groups a streaming tick frame by a hash of the symbol into
+``BUCKETS`` buckets and runs ``applyInPandasWithState``: Spark's cost of a
+key in every batch is far above that of a symbol's few rows.  Per symbol
+the state holds O(1) numbers (running sums, the last 19 closes and 4
+volumes, the decayed RSI sums), and per bucket a buffer of rows whose
+event time is still above the watermark.
 
 Two event-time bounds:
 * ``watermark`` (merge delay, default 5 minutes): a row is emitted, in
@@ -22,13 +24,13 @@ Two event-time bounds:
 from __future__ import annotations
 
 import json
+import pickle
 import re
 import time
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -40,7 +42,8 @@ from tickwise.streaming.kernel import SymbolState, advance
 
 OUT_FIELDS = [f for f in ENRICHED_TICK.fields]
 OUTPUT_SCHEMA = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in OUT_FIELDS) + ", late boolean"
-STATE_SCHEMA = ("num string, last_t long, last_seq long, buffer binary")
+STATE_SCHEMA = "series string, buffer binary"
+BUCKETS = 1024     # state keys; Spark's cost of a key and batch is that of hundreds of rows
 
 # Wider than ``sources.ticks.MAX_AGE`` plus its tolerance.
 LATE_HORIZON = "7300 days"
@@ -49,34 +52,35 @@ _PASS = ["symbol", "sector", "open", "high", "low", "close", "volume", "event_ti
          "kafka_produce_time", "data_type", "timestamp", "seq", "spark_process_time", "date"]
 _IND = ["moving_avg_5", "moving_avg_20", "volatility", "rsi_14", "vwap", "volume_trend",
         "price_change_pct"]
+_OUT = [f.name for f in OUT_FIELDS] + ["late"]
 
 
-def _us(ts: pd.Series) -> np.ndarray:
-    return ts.values.astype("datetime64[us]").astype(np.int64)
+def _us(t: np.ndarray) -> np.ndarray:
+    return t.astype("datetime64[us]").astype(np.int64)
+
+
+def _joined(parts: list[dict]) -> dict:
+    """Column by column; one part stays as it is."""
+    return parts[0] if len(parts) == 1 else {c: np.concatenate([p[c] for p in parts]) for c in parts[0]}
+
+
+def _floats(a: np.ndarray) -> np.ndarray:
+    return pd.Series(a).astype(float).to_numpy() if a.dtype == object else a.astype(np.float64)
 
 
 def _load(state: GroupState):
+    """({symbol: (SymbolState, last event time, last seq)}, rows that wait) of a bucket."""
     if not state.exists:
-        return SymbolState(), None, None, None
-    num, last_t, last_seq, buf = state.get
-    st = SymbolState(**json.loads(num))
-    b = None
-    if buf is not None and len(buf):
-        # Arrow IPC keeps the buffered rows bit-exact (types and doubles)
-        with pa.ipc.open_stream(pa.BufferReader(bytes(buf))) as r:
-            b = r.read_all().to_pandas()
-    return st, last_t, last_seq, b
-
-
-def _save(state: GroupState, st: SymbolState, last_t, last_seq, buf: pd.DataFrame | None):
-    enc = None
-    if buf is not None and len(buf):
-        t = pa.Table.from_pandas(buf.reset_index(drop=True), preserve_index=False)
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, t.schema) as w:
-            w.write_table(t)
-        enc = sink.getvalue().to_pybytes()
-    state.update((json.dumps(st.__dict__), last_t, last_seq, enc))
+        return {}, None
+    series, buf = state.get
+    series = {k: (SymbolState(**st), t, seq) for k, (st, t, seq) in json.loads(series).items()}
+    # pickled arrays keep the buffered rows bit-exact (types and doubles); only ``_save`` writes them
+    return series, pickle.loads(bytes(buf)) if buf else None
+
+
+def _save(state: GroupState, series: dict, buf: dict | None):
+    enc = pickle.dumps(buf, protocol=pickle.HIGHEST_PROTOCOL) if buf is not None else None
+    state.update((json.dumps({k: (st.__dict__, t, seq) for k, (st, t, seq) in series.items()}), enc))
 
 
 _UNITS_MS = {"millisecond": 1, "second": 1000, "minute": 60_000, "hour": 3_600_000,
@@ -99,65 +103,75 @@ def make_state_fn(periods: int = 14, crash: CrashRule = CrashRule(), slack_ms: i
             for _ in pdfs:
                 pass
             return
-        st, last_t, last_seq, buf = _load(state)
-        new = [p for p in pdfs if len(p)]
-        parts = ([buf] if buf is not None and len(buf) else []) + new
+        series, buf = _load(state)
+        # columns stay arrays, and one frame is made of all that a bucket emits
+        parts = [buf] if buf is not None else []
+        parts += [{c: p[c].to_numpy() for c in _PASS} for p in pdfs if len(p)]
         if not parts:
             if state.hasTimedOut:
                 state.remove()
             return
-        rows = pd.concat(parts, ignore_index=True).drop(columns=["_wm"], errors="ignore")
-        if "spark_process_time" not in rows.columns or rows["spark_process_time"].isna().all():
-            rows["spark_process_time"] = int(time.time() * 1000)
-        t = _us(rows["event_time"])
-        seq = rows["seq"].astype(np.int64).values
-        late = np.zeros(len(rows), dtype=bool)
-        if last_t is not None:
-            late = (t < last_t) | ((t == last_t) & (seq <= last_seq))
+        rows = _joined(parts)
+        if pd.isna(rows["spark_process_time"]).all():
+            rows["spark_process_time"] = np.full(len(rows["seq"]), int(time.time() * 1000))
+        t, seq = _us(rows["event_time"]), rows["seq"].astype(np.int64)
+        symbols, of = np.unique(rows["symbol"], return_inverse=True)
+        before = [series.get(k, (None, None, None))[1:] for k in symbols]
+        known = np.array([x is not None for x, _ in before])[of]
+        last_t = np.array([x or 0 for x, _ in before], dtype=np.int64)[of]
+        last_seq = np.array([x or 0 for _, x in before], dtype=np.int64)[of]
+        late = known & ((t < last_t) | ((t == last_t) & (seq <= last_seq)))
         wm_ms = state.getCurrentWatermarkMs()
         ready = (~late) & (t <= (wm_ms + slack_ms) * 1000)
         out = []
         if late.any():
-            lr = rows[late].copy()
-            for c in _IND:
-                lr[c] = np.nan
-            lr["crash_score"] = False
-            lr["late"] = True
-            out.append(lr)
-        emit = rows[ready].copy()
-        if len(emit):
-            emit["_t"] = t[ready]
-            emit = emit.sort_values(["_t", "seq"], kind="mergesort").drop(columns=["_t"])
-            ind = advance(st, emit["open"].astype(float).values, emit["close"].astype(float).values,
-                          emit["volume"].fillna(0).astype(np.int64).values, periods,
-                          emit["volume"].notna().values)
-            for c, v in ind.items():
-                emit[c] = v
-            pct, vt, vo = emit["price_change_pct"], emit["volume_trend"], emit["volatility"].fillna(0.0)
-            emit["crash_score"] = ((pct < crash.pct_below) & (vt > crash.volume_trend_above)
-                                   & (vo > crash.volatility_above)).fillna(False).astype(bool)
-            emit["late"] = False
-            last_t = int(_us(emit["event_time"]).max())
-            last_seq = int(emit["seq"].values[-1])
+            lr = {c: a[late] for c, a in rows.items()}
+            n = len(lr["seq"])
+            lr.update({c: np.full(n, np.nan) for c in _IND})
+            out.append({**lr, "crash_score": np.zeros(n, dtype=bool), "late": np.ones(n, dtype=bool)})
+        if ready.any():
+            at = np.flatnonzero(ready)
+            at = at[np.lexsort((seq[at], t[at], of[at]))]
+            emit = {c: a[at] for c, a in rows.items()}
+            has_volume = ~pd.isna(emit["volume"])
+            volume = np.where(has_volume, emit["volume"], 0).astype(np.int64)
+            open_, close = _floats(emit["open"]), _floats(emit["close"])
+            ends = np.append(np.flatnonzero(np.diff(of[at])) + 1, len(at))
+            found, start = [], 0
+            for end in ends.tolist():
+                k, last, one = symbols[of[at[start]]], at[end - 1], slice(start, end)
+                st = series[k][0] if k in series else SymbolState()
+                found.append(advance(st, open_[one], close[one], volume[one], periods, has_volume[one]))
+                series[k] = (st, int(t[last]), int(seq[last]))
+                start = end
+            emit.update({c: np.concatenate([f[c] for f in found]) for c in _IND})
+            vo = emit["volatility"]
+            emit["crash_score"] = ((emit["price_change_pct"] < crash.pct_below)
+                                   & (emit["volume_trend"] > crash.volume_trend_above)
+                                   & (np.where(np.isnan(vo), 0.0, vo) > crash.volatility_above))
+            emit["late"] = np.zeros(len(at), dtype=bool)
             out.append(emit)
-        rest = rows[(~late) & (~ready)]
-        _save(state, st, last_t, last_seq, rest if len(rest) else None)
-        if len(rest):
-            nxt = int(_us(rest["event_time"]).min() // 1000) - slack_ms
+        wait = ~(late | ready)
+        rest = None
+        if wait.any():
+            rest = rows if wait.all() else {c: a[wait] for c, a in rows.items()}
+        _save(state, series, rest)
+        if rest is not None:
+            nxt = int(t[wait].min() // 1000) - slack_ms
             state.setTimeoutTimestamp(max(nxt, wm_ms + 1))
         for o in out:
-            o["latency_ms"] = (o["spark_process_time"]
-                               - o["kafka_produce_time"].fillna(o["spark_process_time"])).astype("int64")
-            yield o[[f.name for f in OUT_FIELDS] + ["late"]]
+            done, made = pd.Series(o["spark_process_time"]), pd.Series(o["kafka_produce_time"])
+            o["latency_ms"] = (done - made.fillna(done)).astype("int64").to_numpy()
+            yield pd.DataFrame({c: o[c] for c in _OUT}, copy=False)
     return fn
 
 
 def enrich_stream(ticks: DataFrame, watermark: str = "5 minutes", periods: int = 14,
-                  crash: CrashRule = CrashRule(), late_horizon: str = LATE_HORIZON) -> DataFrame:
+                  crash: CrashRule = CrashRule(), late_horizon: str = LATE_HORIZON, buckets: int = BUCKETS) -> DataFrame:
     """Streaming ``enrich``: typed ticks in, enriched (+ late) rows out.
 
     ``ticks`` needs the tick columns plus ``seq``; rows are hash-
-    partitioned by symbol into the state store (RocksDB or HDFS-backed,
+    partitioned by bucket of symbols into the state store (RocksDB or HDFS-backed,
     checkpointed), so executor loss replays from the checkpoint.
     """
     ship_package(ticks.sparkSession)          # the state function runs in Python workers
@@ -172,6 +186,7 @@ def enrich_stream(ticks: DataFrame, watermark: str = "5 minutes", periods: int =
     for c in _PASS:
         if c not in s.columns:
             s = s.withColumn(c, F.lit(None).cast(dict((f.name, f.dataType) for f in OUT_FIELDS)[c]))
-    return s.groupBy("symbol").applyInPandasWithState(
+    bucket = F.when(F.col("symbol").isNotNull(), F.pmod(F.xxhash64("symbol"), F.lit(buckets)))
+    return s.withColumn("_bucket", bucket).groupBy("_bucket").applyInPandasWithState(
         make_state_fn(periods, crash, slack), OUTPUT_SCHEMA, STATE_SCHEMA, "append",
         GroupStateTimeout.EventTimeTimeout)
