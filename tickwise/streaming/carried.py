@@ -57,16 +57,19 @@ def _no_carry():
 
 
 def advance(frame: DataFrame, block_rows: int = BLOCK_ROWS, rsi_block: int | None = None, periods: int = 14,
-            price_scale: int = 2, crash: ind.CrashRule = ind.CrashRule(), work: str | None = None) -> DataFrame:
+            price_scale: int = 2, crash: ind.CrashRule = ind.CrashRule(), work: str | None = None,
+            longest: int | None = None) -> DataFrame:
     """Indicators and carries of the rows of ``frame`` that aren't ``tail`` rows.
 
     ``frame`` has the tick columns, ``tail`` (rows already emitted, which only fill frames) and the
     ``CARRY`` columns, set on the newest tail row of a symbol.  Symbols of more than ``block_rows`` new
     rows are cut into blocks; these need ``work``, a folder for the blocks' rows.
+    ``longest``, the most new rows of a symbol, is counted if it isn't given.
     """
     block = rsi_block or ind.rsi_block_rows(periods)
     real = frame.where(~F.col("tail"))
-    longest = real.groupBy("symbol").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    if longest is None:
+        longest = real.groupBy("symbol").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
     hot = longest > block_rows
     if hot:
         # blocks of rows, each with the rows before it that its frames reach
@@ -252,13 +255,17 @@ class CarriedEnrichment:
                   .withColumn("late", F.coalesce(place <= F.col("end"), F.lit(False))).drop("end"))
         marked.write.parquet(attempt.scratch("due"))
         marked = spark.read.schema(marked.schema).parquet(attempt.scratch("due"))
-        counts = marked.agg(F.count(F.lit(1)).alias("n"), F.count_if("late").alias("late")).first()
+        counts = (marked.groupBy("symbol").agg(F.count(F.lit(1)).alias("n"), F.count_if("late").alias("late"))
+                  .agg(F.sum("n").alias("n"), F.sum("late").alias("late"), F.max("n").alias("longest")).first())
 
         if counts.n:
             frame = self._frame(marked, state, commits, bool(counts.late))
-            frame.write.parquet(attempt.scratch("frame"))
-            frame = spark.read.schema(frame.schema).parquet(attempt.scratch("frame"))
-            done = advance(frame, work=attempt.scratch("blocks"), **self.options)
+            longest = counts.longest
+            if counts.late or longest > self.options["block_rows"]:
+                # read more than once, or made from the whole series
+                frame.write.parquet(attempt.scratch("frame"))
+                frame, longest = spark.read.schema(frame.schema).parquet(attempt.scratch("frame")), None
+            done = advance(frame, work=attempt.scratch("blocks"), longest=longest, **self.options)
             done = done.select(*[f.name for f in ENRICHED_TICK.fields], *CARRY, "kind")
             done.write.parquet(attempt.scratch("done"))
             done = spark.read.schema(done.schema).parquet(attempt.scratch("done"))
