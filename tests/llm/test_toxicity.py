@@ -121,3 +121,35 @@ def test_blocks_and_groups_change_nothing(spark, monkeypatch):
     assert np.array_equal(M.Hashes().of(text), whole) and len(M.Hashes().of(None)) == 0
     got = {r.doc_id: r.score for r in M.score(docs.repartition(5), model).collect()}
     assert got == want
+
+
+def test_pairs_below_the_share_are_joined(spark, monkeypatch):
+    docs, labels, rows = labelled_rows(spark)
+    want = {r.doc_id: r for r in M.score(docs, M.train(docs, labels)).collect()}
+    plain = brute(rows)
+    monkeypatch.setattr(M, "RARE", 1e-3)      # most pairs are no longer broadcast
+    model = M.train(docs, labels)
+    assert model.more.count() > len(model.pair_keys) > 0
+    got = M.score(docs, model, extra=("text",)).collect()
+    assert len(got) == len(want)
+    for r in got:
+        x = plain(r.text)
+        assert r.ratio == pytest.approx(np.mean(x) if x else 0.0, abs=1e-9)
+        assert r.score == pytest.approx(want[r.doc_id].score, abs=1e-6) and r.predicted == want[r.doc_id].predicted
+
+
+def test_no_pair_broadcast_and_a_full_bit_map(spark, edge, monkeypatch):
+    marks = spark.createDataFrame([(1, 1), (5, 0), (6, 0)], "doc_id long, toxic int")
+
+    def scores():
+        rows = M.score(edge, M.train(edge, marks), extra=("lang", "text")).collect()
+        return sorted((str(r.text), str(r.doc_id), r.score) for r in rows)
+
+    want = scores()
+    monkeypatch.setattr(M, "LEAST", 1)
+    low = scores()
+    monkeypatch.setattr(M, "RARE", 2.0)
+    monkeypatch.setattr(M, "MARKS", 6)
+    got = scores()
+    assert [r[:2] for r in got] == [r[:2] for r in low] == [r[:2] for r in want]
+    assert [r[2] for r in got] == pytest.approx([r[2] for r in low], abs=1e-6)

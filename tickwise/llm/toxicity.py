@@ -10,11 +10,13 @@ words, and the part of that difference that comes from strongly one-sided words
 go through a logistic curve, fitted on a bounded sample of the labelled rows.
 
 An expression is rare if toxic documents have it fewer than ``LEAST`` times and
-fewer would be expected of them, or if it makes up less than ``RARE`` of the
-words of either class.  Rare words are one word to the models, and rare pairs
-back off in both.  So at most 2 / ``RARE`` words and as many pairs have numbers
-of their own, however large the corpus is: this bounds the model, which is
-broadcast.  The counts behind it take in every labelled row.
+fewer would be expected of them.  Rare words are one word to the models, and rare
+pairs back off in both; all others have numbers of their own, however large the
+corpus is.  Words are broadcast.  So are the pairs that make up ``RARE`` of
+either class, at most 2 / ``RARE``; all further ones stay a table, which is
+joined to the pairs of the texts, so that scores don't depend on ``RARE``.  A
+bit map of fixed size tells which pairs of a text may be in that table.  The
+counts behind the models take in every labelled row.
 
 Words are runs of letters, digits and non-ASCII characters in lower case, known
 by 64 bits of XXH64; two words of one hash would count as one.  A document
@@ -26,19 +28,22 @@ the smoothed share of toxic labels.  Texts of any length are read whole.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from .common import remove, stored
+from .common import cut, remove, stored
 
 LEAST = 3
-RARE = 1e-6
+RARE = 1e-6             # share of a class's pairs below which a pair is joined, not broadcast
+MARKS = 27              # places of the bit map, as a power of two
 DISCOUNT = 0.75
 SAMPLE = 20_000         # labelled rows the curve is fitted on
 ASIDE = 4               # one text of so many is set aside for the curve
@@ -127,20 +132,33 @@ class Model:
     of_pair: np.ndarray
     curve: np.ndarray | None = None      # weights and constant
     share: float = 0.0                   # of toxic labels
+    more: DataFrame | None = None        # what further pairs add: (key, adds, excess)
+    marks: np.ndarray | None = None      # bit map of their keys
 
-    def features(self, h: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """Per text, over its distinct pairs: the mean log ratio, and the mean excess of strong ones."""
+    def alone(self) -> Model:
+        """What tasks get."""
+        return replace(self, more=None)
+
+    def sums(self, h: np.ndarray, lengths: np.ndarray):
+        """Per text, over its distinct pairs: their number, the sum of log ratios and the excess of strong ones
+        by the broadcast pairs; then text and key of the pairs that ``more`` may have."""
         before, w = self.words.pairs(h, lengths)
         row, keys, at = once(before * self.words.width + w, lengths)
         before, w = np.divmod(keys, self.words.width)
         r = self.of_context[before] + self.of_word[w]
         if len(self.pair_keys):
             place = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
-            r += np.where(self.pair_keys[place] == keys, self.of_pair[place], 0.0)
-        r = r[at]
+            known = self.pair_keys[place] == keys
+            r += np.where(known, self.of_pair[place], 0.0)
+        else:
+            known = np.zeros(len(keys), bool)
+        open_ = at[:0]
+        if self.marks is not None:
+            cell, bit = _places(keys, len(self.marks))
+            open_ = np.flatnonzero((~known & (self.marks[cell] & bit != 0))[at])
         n = np.maximum(np.bincount(row, minlength=len(lengths)), 1)
-        mean, strong = (np.bincount(row, v, len(lengths)) / n for v in (r, np.maximum(r - STRONG, 0)))
-        return np.stack([mean, np.minimum(strong, MOST)], axis=1)
+        total, excess = (np.bincount(row, v[at], len(lengths)).astype(float) for v in (r, np.maximum(r - STRONG, 0)))
+        return n, total, excess, row[open_], keys[at[open_]]
 
     def scores(self, features: np.ndarray) -> np.ndarray:
         if self.curve is None:
@@ -148,6 +166,17 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(features @ self.curve[:-1] + self.curve[-1], -500, 500)))
 
 
+def _features_of(n: np.ndarray, total: np.ndarray, excess: np.ndarray) -> np.ndarray:
+    """Per text, over its distinct pairs: the mean log ratio, and the mean excess of strong ones."""
+    return np.stack([total / n, np.minimum(excess / n, MOST)], axis=1)
+
+
+def _places(keys: np.ndarray, cells: int) -> tuple[np.ndarray, np.ndarray]:
+    """Cell and bit of keys in a bit map of so many cells, a power of two."""
+    at = (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(59 - cells.bit_length())
+    return (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63))
+
+
 def _class_counts(batches, key_of):
     """Batches of (key columns, toxic count, ordinary count) of what ``key_of`` finds in each group."""
     for b, h, lengths in groups(batches, 2):
@@ -161,9 +190,32 @@ def _class_counts(batches, key_of):
 
 def _frequent(n_toxic: int, n_all: int):
     """Whether toxic count t and ordinary count o are those of an expression that isn't rare."""
-    share = n_toxic / n_all
-    return (F.col("t") >= max(LEAST, RARE * n_toxic)) | (
-        F.col("t") + F.col("o") >= max(LEAST / share, RARE * n_all))
+    return (F.col("t") >= LEAST) | (F.col("t") + F.col("o") >= LEAST / (n_toxic / n_all))
+
+
+def _common(n_toxic: int, n_all: int):
+    """Whether they are those of a pair that is broadcast."""
+    return (F.col("t") >= RARE * n_toxic) | (F.col("t") + F.col("o") >= RARE * n_all)
+
+
+def _marks(more: DataFrame) -> np.ndarray:
+    """The bit map of the keys, of one size however many they are."""
+    cells = 1 << MARKS >> 6
+
+    def run(batches):
+        for b in batches:
+            cell, bit = _places(np.asarray(b.column(0)), cells)
+            order = np.argsort(cell, kind="stable")
+            cell, first = np.unique(cell[order], return_index=True)
+            if len(cell):
+                bits = np.bitwise_or.reduceat(bit[order], first)
+                yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(bits.view(np.int64))], names=["cell", "bits"])
+
+    got = (more.select("key").mapInArrow(run, "cell long, bits long").groupBy("cell")
+           .agg(F.bit_or("bits").alias("bits")).toArrow())
+    marks = np.zeros(cells, np.uint64)
+    marks[np.asarray(got.column("cell"))] = np.asarray(got.column("bits")).view(np.uint64)
+    return marks
 
 
 def _log_ratio(t: np.ndarray, o: np.ndarray) -> np.ndarray:
@@ -204,9 +256,6 @@ def language_models(labelled: DataFrame) -> Model | None:
     contexts = found.groupBy("b").agg(F.sum("t").alias("t"), F.sum("o").alias("o"), off("t"), off("o")).toArrow()
     places = found.groupBy("w").agg(F.count_if(F.col("t") > 0).alias("t"), F.count_if(F.col("o") > 0).alias("o"),
                                     F.count("*").alias("both")).toArrow()
-    kept = found.where("kept").select("b", "w", "t", "o").toArrow()
-    remove(spark, found_at)
-
     def column(table, key, name):
         out = np.zeros(width)
         out[np.asarray(table.column(key))] = np.asarray(table.column(name))
@@ -221,17 +270,81 @@ def language_models(labelled: DataFrame) -> Model | None:
         word[c] = (kept_mass + (seen.sum() - kept_mass.sum()) * both) / seen.sum()
         total = column(contexts, "b", c)
         weight[c] = np.where(total > 0, (total - column(contexts, "b", f"off_{c}")) / np.maximum(total, 1), 1.0)
-    b, w = np.asarray(kept.column("b")), np.asarray(kept.column("w"))
-    p = {}
-    for c in ("t", "o"):
-        total = column(contexts, "b", c)[b]
-        own = np.maximum(np.asarray(kept.column(c)) - DISCOUNT, 0) / np.maximum(total, 1)
-        p[c] = own + weight[c][b] * word[c][w]
     of_context, of_word = _log_ratio(weight["t"], weight["o"]), _log_ratio(word["t"], word["o"])
-    key = b * width + w
+    totals = {c: column(contexts, "b", c) for c in ("t", "o")}
+    shared = spark.sparkContext.broadcast((totals, weight, word, of_context, of_word))
+
+    def rate(batches):
+        totals, weight, word, of_context, of_word = shared.value
+        for batch in batches:
+            b, w = np.asarray(batch.column(0)), np.asarray(batch.column(1))
+            p = {}
+            for i, c in enumerate(("t", "o"), 2):
+                own = np.maximum(np.asarray(batch.column(i)) - DISCOUNT, 0) / np.maximum(totals[c][b], 1)
+                p[c] = own + weight[c][b] * word[c][w]
+            base = of_context[b] + of_word[w]
+            adds = _log_ratio(p["t"], p["o"]) - of_context[b] - of_word[w]
+            excess = np.maximum(base + adds - STRONG, 0) - np.maximum(base - STRONG, 0)
+            yield pa.RecordBatch.from_arrays([pa.array(b * width + w), pa.array(adds), pa.array(excess), batch.column(4)],
+                                             names=["key", "adds", "excess", "common"])
+
+    rated, rated_at = stored(found.where("kept").select("b", "w", "t", "o", _common(n.t, n.t + n.o).alias("common"))
+                             .mapInArrow(rate, "key long, adds double, excess double, common boolean"), "rated")
+    remove(spark, found_at)
+    common = rated.where("common").select("key", "adds").toArrow()
+    key = np.asarray(common.column("key"))
     order = np.argsort(key)
-    return Model(vocabulary, of_context, of_word, key[order],
-                 (_log_ratio(p["t"], p["o"]) - of_context[b] - of_word[w])[order])
+    model = Model(vocabulary, of_context, of_word, key[order], np.asarray(common.column("adds"))[order])
+    more = rated.where("NOT common").drop("common")
+    if more.isEmpty():
+        remove(spark, rated_at)
+    else:
+        model.more, model.marks = more, _marks(more)
+    return model
+
+
+def _rated(docs: DataFrame, model: Model, kept: str, finish, schema: str) -> DataFrame:
+    """The columns before the text, which is the last one, and what ``finish`` makes of the features."""
+    spark, width = docs.sparkSession, len(docs.columns)
+    shared, names = spark.sparkContext.broadcast(model.alone()), docs.columns[:-1]
+    added = [c.split()[0] for c in schema.split(", ")]
+
+    def batch(columns, *sums):
+        return pa.RecordBatch.from_arrays([*columns, *map(pa.array, finish(shared.value, _features_of(*sums)))],
+                                          names=[*names, *added])
+
+    if model.more is None:
+        def run(batches):
+            for b, h, lengths in groups(batches, width):
+                yield batch(b.columns[:-1], *shared.value.sums(h, lengths)[:3])
+
+        return docs.mapInArrow(run, kept + schema)
+
+    own = ["_row", "_n", "_total", "_excess", "_keys"]
+
+    def open_pairs(batches):
+        number = count(TaskContext.get().partitionId() << 33)
+        for b, h, lengths in groups(batches, width):
+            n, total, excess, row, keys = shared.value.sums(h, lengths)
+            ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(n)))]).astype(np.int32)
+            rows = np.fromiter((next(number) for _ in n), np.int64, len(n))
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns[:-1], pa.array(rows), pa.array(n), pa.array(total), pa.array(excess),
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(keys))], names=[*names, *own])
+
+    # written once, so that both readers see the same row numbers
+    rows = cut(docs.mapInArrow(open_pairs, kept + "_row long, _n long, _total double, _excess double, _keys array<long>"),
+               "texts")
+    found = (rows.select("_row", F.explode("_keys").alias("key")).join(model.more.hint("merge"), "key")
+             .groupBy("_row").agg(F.sum("adds").alias("_adds"), F.sum("excess").alias("_more")))
+    added_up = rows.drop("_keys").join(found.hint("merge"), "_row", "left").select(
+        *names, "_n", *((F.col(a) + F.coalesce(F.col(b), F.lit(0.0))).alias(a) for a, b in (("_total", "_adds"), ("_excess", "_more"))))
+
+    def end(batches):
+        for b in batches:
+            yield batch(b.columns[:-3], *map(np.asarray, b.columns[-3:]))
+
+    return added_up.mapInArrow(end, kept + schema)
 
 
 def _fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 50) -> np.ndarray:
@@ -251,15 +364,7 @@ def _fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int =
 
 def _features(sample: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
     """Features and labels of at most ``SAMPLE`` rows."""
-    shared = sample.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches):
-        for b, h, lengths in groups(batches, 2):
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), *map(pa.array, shared.value.features(h, lengths).T.copy())],
-                names=["toxic", "mean", "strong"])
-
-    got = sample.mapInArrow(run, "toxic int, mean double, strong double").toArrow()
+    got = _rated(sample, model, "toxic int, ", lambda _, f: f.T.copy(), "mean double, strong double").toArrow()
     return np.stack([np.asarray(got.column(c)) for c in ("mean", "strong")], axis=1), np.asarray(got.column("toxic")).astype(float)
 
 
@@ -298,20 +403,15 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
           extra: tuple[str, ...] = ()) -> DataFrame:
     """One row per input row: id, ``extra`` columns, score, predicted, and the length-normalised
     difference of the log-likelihoods."""
-    spark = docs.sparkSession
-    ship_package(spark)
-    shared, width = spark.sparkContext.broadcast(model), 2 + len(extra)
+    ship_package(docs.sparkSession)
 
-    def run(batches):
-        for b, h, lengths in groups(batches, width):
-            f = shared.value.features(h, lengths)
-            s = shared.value.scores(f)
-            yield pa.RecordBatch.from_arrays(
-                [*(b.column(i) for i in range(width - 1)), pa.array(s), pa.array((s >= THRESHOLD).astype(np.int32)),
-                 pa.array(f[:, 0].copy())], names=[id_col, *extra, "score", "predicted", "ratio"])
+    def finish(model, f):
+        s = model.scores(f)
+        return s, (s >= THRESHOLD).astype(np.int32), f[:, 0].copy()
 
     kinds = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in (id_col, *extra))
-    return docs.select(id_col, *extra, text_col).mapInArrow(run, f"{kinds}score double, predicted int, ratio double")
+    return _rated(docs.select(id_col, *extra, text_col), model, kinds, finish,
+                  "score double, predicted int, ratio double")
 
 
 def held_out(id_col: str = "doc_id"):
