@@ -111,3 +111,22 @@ def test_index_extends_both_ways():
     assert dict(zip(zip(d.tolist(), a[p][s].tolist(), b[p][s].tolist(), c[s].tolist()), m.tolist())) == want[2]
     s, e, *_, m = reverse.extend(rlo3l, lo3l, m3)
     assert dict(zip(zip(d2 := forward.extend(lo, rlo, n)[1][s].tolist(), a[q][s].tolist(), b[q][s].tolist(), e.tolist()), m.tolist())) == want[2] and d2
+
+
+def test_pairs_travel_as_arrays_in_buckets(spark, monkeypatch):
+    a = np.array([0, 5, 1 << 40, (1 << 33) + 7])
+    assert np.array_equal(M.unpack_long(M.pack_long(a)), a) and len(M.unpack_long(M.pack_long(a[:0]))) == 0
+    monkeypatch.setattr(M, "SHARD_WORDS", 50)
+    monkeypatch.setattr(M, "BUCKET", 100)
+    rows = made_rows()
+    assert run(spark, rows, least=2) == brute(rows, least=2)
+    # (shard, first word, second word, count): a row a shard and bucket, summed over shards, told once
+    counts = [(7, [1, 1, 9], [2, 3, 9], [2, 1, 1]), (3, [1, 9], [2, 9], [1, 1])]
+    made = [(s, at, *M.packed_row(g, n)) for s, *x in counts
+            for at, g, n in M.bucketed([np.array(x[0]), np.array(x[1])], np.array(x[2]), 2)]
+    table = spark.createDataFrame(made, "shard long, bucket long, g1 binary, g2 binary, n binary")
+    got = set()
+    for r in M.frequent_pairs(table, 2).collect():
+        g1, g2, f = (M.unpack_long(bytes(x)).tolist() for x in (r.g1, r.g2, r.f))
+        got |= {(r.shard, p, q, n) for p, q, n in zip(np.cumsum(g1).tolist(), g2, f)}
+    assert got == {(3, 1, 2, 3), (7, 1, 2, 0), (3, 9, 9, 2), (7, 9, 9, 0)}

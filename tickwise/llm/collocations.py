@@ -16,7 +16,10 @@ Triples are pairs extended to the right, quadruples are triples extended to the
 left, and both must consist of frequent pairs.
 
 Frequencies of parts are carried along with the pairs, so no join is keyed on
-a single word, and the shuffled rows hold numbers, not strings.
+a single word, and the shuffled rows hold numbers, not strings.  Counts are summed
+in buckets of phrases: a shard's phrases of one bucket travel as one row of
+compressed sorted arrays, and the number of buckets grows with the words, so that
+a bucket stays of one size.
 
 A null text is empty, a null language is ``und``.  Equal scores are ordered by
 count, then by the phrase's bytes.  Pieces longer than a shard are held whole
@@ -41,6 +44,7 @@ LEAST = 30          # occurrences of a candidate
 COVERED = 80        # percent of a candidate's occurrences that a longer one takes over
 TOP = 2000
 SCALE = 2_000_000
+BUCKET = 1 << 21    # words of the corpus to a bucket of phrases
 BLOCK = 1 << 23     # bytes of a text that are split at once
 
 #: Lower case, one blank, one separator.
@@ -186,8 +190,46 @@ def frequent_shards(shard_rows: DataFrame, words: DataFrame) -> DataFrame:
         run, "shard long, ids binary, words array<struct<id: long, f: long, lang: string>>"))
 
 
-def pair_counts(texts: DataFrame) -> DataFrame:
-    """(shard, g1, g2, n): the pairs of every shard, each the extension of a word to the right."""
+def pack_long(a: np.ndarray) -> bytes:
+    """``pack`` for 64-bit numbers: the low and the high halves."""
+    halves = np.ascontiguousarray(a, "<i8").view("<u4")
+    return pack(np.concatenate([halves[::2], halves[1::2]]))
+
+
+def unpack_long(b: bytes) -> np.ndarray:
+    low, high = np.split(unpack(b), 2)
+    return low | high << 32
+
+
+def bucketed(ids: list[np.ndarray], values: np.ndarray, buckets: int):
+    """The phrases of one shard by bucket, sorted: (bucket, ids, value) of each bucket that has some."""
+    mixed = np.zeros(len(values), np.uint64)
+    for a in ids:
+        mixed = (mixed + a.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(32)
+    bucket = (mixed % np.uint64(buckets)).astype(np.int64)
+    order = np.lexsort((*ids[::-1], bucket))
+    bucket, ids, values = bucket[order], [a[order] for a in ids], values[order]
+    ends = np.flatnonzero(np.concatenate([bucket[1:] != bucket[:-1], [True]])[: len(bucket)]) + 1
+    for lo, hi in zip(np.concatenate([[0], ends[:-1]]), ends, strict=False):
+        yield int(bucket[lo]), [a[lo:hi] for a in ids], values[lo:hi]
+
+
+def packed_row(ids: list[np.ndarray], values: np.ndarray) -> list[bytes]:
+    """Sorted phrases: the steps of the first words, the other words, the values."""
+    return [pack_long(np.diff(ids[0], prepend=0)), *map(pack_long, ids[1:]), pack_long(values)]
+
+
+def unpacked_rows(columns) -> tuple[list[np.ndarray], np.ndarray]:
+    """Columns of ``packed_row`` to arrays over all rows, and the length of each row."""
+    first, *others = ([unpack_long(b.as_py()) for b in c] for c in columns)
+    arrays = [np.concatenate([*parts, np.zeros(0, np.int64)]) for parts in ([np.cumsum(d) for d in first], *others)]
+    return arrays, np.array([len(d) for d in first], np.int64)
+
+
+def pair_counts(texts: DataFrame, buckets: int) -> DataFrame:
+    """(shard, bucket, g1, g2, n): the pairs of every shard, each the extension of a word to the right;
+    the last three are arrays (``packed_row``)."""
     def run(batches):
         for b in batches:
             for shard, packed, words in zip(b.column(0), b.column(1), b.column(2), strict=True):
@@ -195,29 +237,52 @@ def pair_counts(texts: DataFrame) -> DataFrame:
                 lo, n = reverse.words()
                 first, second, _, _, n = reverse.extend(lo[1:], lo[1:], n[1:])
                 ids = np.asarray(words.values)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(n), shard.as_py())), pa.array(ids[first]), pa.array(ids[second - 1]), pa.array(n)],
-                    names=["shard", "g1", "g2", "n"])
-
-    return texts.select("shard", "ids", "words.id").mapInArrow(run, "shard long, g1 long, g2 long, n long")
+                rows = [(shard.as_py(), at, *packed_row(g, m))
+                        for at, g, m in bucketed([ids[first], ids[second - 1]], n, buckets)]
+                if rows:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64()] * 2 + [pa.binary()] * 3, strict=True)],
+                        names=["shard", "bucket", "g1", "g2", "n"])
+
+    return texts.select("shard", "ids", "words.id").mapInArrow(run, "shard long, bucket long, g1 binary, g2 binary, n binary")
+
+
+def frequent_pairs(counts: DataFrame, least: int) -> DataFrame:
+    """(shard, g1, g2, f): the pairs of every shard with ``least`` occurrences in all of them, as arrays;
+    f is their number in the first shard that has them, 0 in the others."""
+    schema = pa.schema([("shard", pa.int64()), ("g1", pa.binary()), ("g2", pa.binary()), ("f", pa.binary())])
+
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        table = table.sort_by("shard")
+        (g1, g2, n), lengths = unpacked_rows([table[c] for c in ("g1", "g2", "n")])
+        order = np.lexsort((g2, g1))      # stable: the smallest shard comes first
+        a, b = g1[order], g2[order]
+        start = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+        total = np.add.reduceat(n[order], start)
+        f, keep = np.zeros(len(n), np.int64), np.zeros(len(n), bool)
+        f[order[start]] = total
+        keep[order] = np.repeat(total >= least, np.diff(np.append(start, len(n))))
+        rows, at = [], 0
+        for shard, size in zip(table["shard"].to_pylist(), lengths, strict=True):
+            own = at + np.flatnonzero(keep[at:at + size])
+            at += size
+            if len(own):
+                rows.append((shard, *packed_row([g1[own], g2[own]], f[own])))
+        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types, strict=True)],
+                                    schema=schema) if rows else schema.empty_table()
+
+    return counts.groupBy("bucket").applyInArrow(run, "shard long, g1 binary, g2 binary, f binary")
 
 
 GRAMS = "lang string, g1 long, g2 long, g3 long, g4 long, f1 long, f2 long, n long"
 
 
-def longer_phrases(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+def longer_phrases(texts: DataFrame, pairs: DataFrame, buckets: int) -> DataFrame:
     """Counts in each shard of the triples and quadruples of frequent pairs, and each frequent pair
-    once with its language and the frequencies of its words.
-    ``pairs``: (shard, g1, g2, f, first) of the frequent pairs of every shard."""
-    names = ["lang", "g1", "g2", "g3", "g4", "f1", "f2", "n"]
-    schema = pa.schema([(k, pa.string() if k == "lang" else pa.int64()) for k in names])
-
-    def table(g, lang, f1, f2, n):
-        zero = np.zeros(len(n), np.int64)
-        g = [*g, *[zero] * (LONGEST - len(g))]
-        return pa.Table.from_arrays([lang if lang is not None else pa.nulls(len(n), pa.string()), *map(pa.array, g),
-                                     pa.array(zero if f1 is None else f1), pa.array(zero if f2 is None else f2),
-                                     pa.array(n)], schema=schema)
+    once with its language and the frequencies of its words (in g3 and g4): (bucket, lang, g1..g4, n),
+    arrays (``packed_row``) by bucket and, for pairs only, language.
+    ``pairs``: the frequent pairs of every shard (``frequent_pairs``)."""
+    schema = pa.schema([("bucket", pa.int64()), ("lang", pa.string()), *((c, pa.binary()) for c in ("g1", "g2", "g3", "g4", "n"))])
 
     def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
@@ -226,10 +291,9 @@ def longer_phrases(texts: DataFrame, pairs: DataFrame) -> DataFrame:
         ids, f = np.asarray(words.field("id")), np.asarray(words.field("f"))
         by_id = np.argsort(ids)
 
-        def local(c):
-            return by_id[np.searchsorted(ids, np.asarray(right[c]), sorter=by_id)] + 1
-
-        g1, g2, once = local("g1"), local("g2"), np.asarray(right["first"])
+        (*g, total), _ = unpacked_rows([right[c] for c in ("g1", "g2", "f")])
+        g1, g2 = (by_id[np.searchsorted(ids, a, sorter=by_id)] + 1 for a in g)
+        once = total > 0
         width = len(ids) + 1
         frequent = np.sort(g1 * width + g2)
 
@@ -249,15 +313,47 @@ def longer_phrases(texts: DataFrame, pairs: DataFrame) -> DataFrame:
         above, d, _, _, m = forward.extend(lo, rlo, n)
         keep = is_pair(d, a[above])
         above, d, m = above[keep], d[keep], m[keep]
-        g1, g2 = g1[once], g2[once]
-        return pa.concat_tables([
-            table([ids[g1 - 1], ids[g2 - 1]], words.field("lang").take(pa.array(g1 - 1)), f[g1 - 1], f[g2 - 1],
-                  np.asarray(right["f"])[once]),
-            table([ids[x - 1] for x in (a, b, c)], None, None, None, n),
-            table([ids[d - 1], *(ids[x[above] - 1] for x in (a, b, c))], None, None, None, m)])
+        rows = []
+        g1, g2, total = g1[once], g2[once], total[once]
+        lang = words.field("lang").take(pa.array(g1 - 1)).dictionary_encode()
+        code = np.asarray(lang.indices)
+        for i, name in enumerate(lang.dictionary.to_pylist()):
+            x, y = g1[code == i] - 1, g2[code == i] - 1
+            rows += ((at, name, *packed_row(g, m))
+                     for at, g, m in bucketed([ids[x], ids[y], f[x], f[y]], total[code == i], buckets))
+        found = [np.concatenate(x) for x in zip([a, b, c], [d, a[above], b[above]], strict=True)]
+        found.append(np.concatenate([np.zeros(len(a), np.int64), c[above]]))
+        grams = [np.where(x > 0, ids[x - 1], 0) for x in found]
+        rows += ((at, None, *packed_row(g, k)) for at, g, k in bucketed(grams, np.concatenate([n, m]), buckets))
+        return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), schema.types, strict=True)],
+                                    schema=schema) if rows else schema.empty_table()
+
+    return (texts.groupBy("shard").cogroup(pairs.withColumnRenamed("shard", "owner").groupBy("owner")).applyInArrow(
+        run, "bucket long, lang string, g1 binary, g2 binary, g3 binary, g4 binary, n binary"))
+
+
+def summed(phrases: DataFrame, least: int) -> DataFrame:
+    """(lang, g1..g4, f1, f2, n): the pairs, and the other phrases with ``least`` occurrences in all shards."""
+    names = ["lang", "g1", "g2", "g3", "g4", "f1", "f2", "n"]
+    schema = pa.schema([(k, pa.string() if k == "lang" else pa.int64()) for k in names])
 
-    return (texts.groupBy("shard")
-            .cogroup(pairs.withColumnRenamed("shard", "owner").groupBy("owner")).applyInArrow(run, GRAMS))
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        (*g, n), _ = unpacked_rows([table[c] for c in ("g1", "g2", "g3", "g4", "n")])
+        lang = key[1].as_py()
+        if lang is None:
+            order = np.lexsort(g[::-1])
+            g = [a[order] for a in g]
+            start = np.flatnonzero(np.concatenate([[True], np.any([a[1:] != a[:-1] for a in g], axis=0)]))
+            n = np.add.reduceat(n[order], start)
+            g = [a[start][n >= least] for a in g]
+            n = n[n >= least]
+            g += [np.zeros(len(n), np.int64)] * 2
+        else:
+            none = np.zeros(len(n), np.int64)
+            g = [*g[:2], none, none, *g[2:]]
+        return pa.Table.from_arrays([pa.array([lang] * len(n), pa.string()), *map(pa.array, [*g, n])], schema=schema)
+
+    return phrases.groupBy("bucket", "lang").applyInArrow(run, GRAMS)
 
 
 def _score(a, l, r):
@@ -293,14 +389,12 @@ def phrase_statistics(docs: DataFrame, lang_col: str = "lang", text_col: str = "
     texts, texts_at = stored(frequent_shards(shard_rows, known.drop("word")), "texts")
     remove(spark, shards_at)
 
-    w = Window.partitionBy("g1", "g2")
-    pairs, pairs_at = stored(
-        pair_counts(texts).withColumn("f", F.sum("n").over(w))
-        .withColumn("first", F.col("shard") == F.min("shard").over(w)).where(F.col("f") >= least).drop("n"), "pairs")
+    total = totals.agg(F.sum("n")).first()[0] or 0
+    buckets = total // BUCKET + 1
+    pairs, pairs_at = stored(frequent_pairs(pair_counts(texts, buckets), least), "pairs")
     release(spark)
-    grams = (longer_phrases(texts, pairs).groupBy("lang", "g1", "g2", "g3", "g4", "f1", "f2")
-             .agg(F.sum("n").alias("a")).where(F.col("a") >= least))
-    grams = cut(grams, "grams")
+    # triples and quadruples together are up to two a word
+    grams = cut(summed(longer_phrases(texts, pairs, 2 * buckets), least).withColumnRenamed("n", "a"), "grams")
     remove(spark, texts_at)
     remove(spark, pairs_at)
     return totals, known.where("word IS NOT NULL").select("id", "word"), grams
