@@ -130,3 +130,59 @@ def test_pairs_travel_as_arrays_in_buckets(spark, monkeypatch):
         g1, g2, f = (M.unpack_long(bytes(x)).tolist() for x in (r.g1, r.g2, r.f))
         got |= {(r.shard, p, q, n) for p, q, n in zip(np.cumsum(g1).tolist(), g2, f)}
     assert got == {(3, 1, 2, 3), (7, 1, 2, 0), (3, 9, 9, 2), (7, 9, 9, 0)}
+
+
+def test_words_travel_as_arrays_in_buckets(spark, monkeypatch):
+    words = [b"a", "é\x01".encode(), b"w" * 300]
+    assert M.unpack_words(M.pack_words(words)).to_pylist() == [w + b" " for w in words]
+    assert M.unpack_words(M.pack_words([])).to_pylist() == []
+    assert M.coded(["de", "en", "xx"], np.array([2, 0, 2]))[0] == ["de", "xx"]
+    monkeypatch.setattr(M, "SHARD_WORDS", 50)
+    rows = made_rows()
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    shards = M.cut(M.shards(docs, "lang", "text"), "shards")
+    held, want, names = {}, Counter(), {}
+    for r in shards.collect():
+        t = M.unpack(bytes(r.ids))
+        words = [w[:-1].decode() for w in M.unpack_words(bytes(r.words)).to_pylist()]
+        lang = [r.langs[i].lang for i in M.unpack(bytes(r.code))]
+        held[r.shard] = {i: (lang[i - 1], words[i - 1]) for i in set(t.tolist()) - {0}}
+        names[r.shard] = {x.lang for x in r.langs}
+        for i, n in Counter(t[t > 0].tolist()).items():
+            want[lang[i - 1], words[i - 1]] += n
+        for x in r.langs:
+            assert x.n == sum(lang[i - 1] == x.lang for i in t[t > 0])
+    assert len(held) > 9
+    assert want == Counter(("und" if k is None else k, w) for k, x in rows for p in re.split("[.,;:!?\n-\r]", (x or "").translate(LOWER))
+                           for w in re.findall("[^ \t]+", p))
+    counts = M.cut(M.word_counts(shards, 4), "counts")
+    # one row a shard and bucket, whatever the number of words, with the languages of its own words
+    assert counts.count() == counts.select("shard", "bucket").distinct().count() <= 4 * len(held)
+    assert all(set(r.langs) <= names[r.shard] for r in counts.collect())
+    known = M.cut(M.frequent_words(counts, 3, 4), "known")
+    spelt = {r.id: r.word for r in M.spelt_words(known).collect()}
+    assert len(spelt) == sum(n >= 3 for n in want.values()) and min(spelt) > 0
+    got = Counter()
+    for r in known.where("shard IS NOT NULL").collect():
+        id_, f = np.cumsum(M.unpack_long(bytes(r.id))).tolist(), M.unpack_long(bytes(r.f)).tolist()
+        assert f == sorted(f, reverse=True) and id_ == sorted(set(id_))
+        for i, n, at, c in zip(id_, f, M.unpack(bytes(r.number)).tolist(), M.unpack(bytes(r.code)).tolist(), strict=True):
+            assert held[r.shard][at] == (r.langs[c], spelt[i]) and n == want[r.langs[c], spelt[i]]
+            got[r.shard] += 1
+    assert got == Counter({s: k for s, own in held.items() if (k := sum(want[x] >= 3 for x in own.values()))})
+
+
+def test_shuffled_words_take_few_bytes(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    shards = M.cut(M.shards(docs, "lang", "text"), "shards")
+    words, size = 0, 0
+    for r in M.word_counts(shards, 4).collect():
+        words += len(M.unpack(bytes(r.number)))
+        size += sum(len(bytes(r[c])) for c in ("code", "words", "number", "n"))
+    assert words > 10_000 and size < 10 * words
+
+
+def test_many_languages(spark, monkeypatch):
+    monkeypatch.setattr(M, "SHARD_WORDS", 50)
+    rows = [(f"l {i % 90}", "a b c. a b c d") for i in range(300)] + made_rows(6, docs=20)
+    assert run(spark, rows, least=2) == brute(rows, least=2)

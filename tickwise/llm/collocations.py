@@ -17,9 +17,10 @@ left, and both must consist of frequent pairs.
 
 Frequencies of parts are carried along with the pairs, so no join is keyed on
 a single word, and the shuffled rows hold numbers, not strings.  Counts are summed
-in buckets of phrases: a shard's phrases of one bucket travel as one row of
-compressed sorted arrays, and the number of buckets grows with the words, so that
-a bucket stays of one size.
+in buckets of words and phrases: a shard's words or phrases of one bucket travel as
+one row of compressed sorted arrays, and the number of buckets grows with the words, so
+that a bucket stays of one size.  Ids of words follow their frequency, frequent words
+come first, which keeps the arrays of ids small.
 
 A null text is empty, a null language is ``und``.  Equal scores are ordered by
 count, then by the phrase's bytes.  Pieces longer than a shard are held whole
@@ -29,9 +30,11 @@ by one task; all other texts are cut at piece ends.
 from __future__ import annotations
 
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -116,22 +119,59 @@ class Index:
         return tuple(a[word > 0] for a in found)
 
 
+def pack_words(words: list[bytes]) -> bytes:
+    """Words compressed; none holds a blank."""
+    text = b" ".join([*words, b""])
+    return len(text).to_bytes(8, "little") + pa.Codec("zstd").compress(text, asbytes=True)
+
+
+def unpack_words(b: bytes) -> pa.Array:
+    """The words of ``pack_words``, each with a blank at its end."""
+    n = int.from_bytes(b[:8], "little")
+    text = pa.Codec("zstd").decompress(b[8:], n) if n else pa.py_buffer(b"")
+    ends = np.flatnonzero(np.frombuffer(text, np.uint8) == 32) + 1
+    return pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(np.append(0, ends)), text])
+
+
+def coded(langs: list[str], code: np.ndarray) -> tuple[list[str], bytes]:
+    """The languages that occur in ``code``, and the places among these."""
+    present, code = np.unique(code, return_inverse=True)
+    return [langs[i] for i in present], pack(code)
+
+
+def decoded(table: pa.Table) -> tuple[list[str], list[np.ndarray]]:
+    """All languages of the rows (``coded``), and each row's places among these."""
+    rows = table["langs"].to_pylist()
+    langs = sorted({k for row in rows for k in row})
+    place = {k: i for i, k in enumerate(langs)}
+    return langs, [np.array([place[k] for k in row], np.int64)[unpack(c)]
+                   for row, c in zip(rows, table["code"].to_pylist(), strict=True)]
+
+
 def shards(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
-    """One row a shard: its words by number and the text as numbers, 0 between pieces."""
+    """One row a shard: the text as numbers, 0 between pieces, its languages with their words' occurrences, and
+    its words by number, frequent ones first, with the places of their languages (arrays)."""
     ship_package(docs.sparkSession)
 
     def row(name, numbers, parts):
         t = np.concatenate(parts)
         pairs = numbers.pairs()
         n = np.bincount(t, minlength=len(pairs) + 1)
-        vocabulary = pa.StructArray.from_arrays(
-            [pa.array([k for k, _ in pairs], pa.string()), pa.array([w for _, w in pairs], pa.string()),
-             pa.array(np.arange(1, len(pairs) + 1, dtype=np.int32)), pa.array(n[1:])],
-            names=["lang", "word", "number", "n"])
+        order = np.argsort(-n[1:], kind="stable")
+        place = np.zeros(len(n), np.int64)
+        place[order + 1] = np.arange(1, len(n))
+        langs = {k: i for i, k in enumerate(sorted({k for k, _ in pairs}))}
+        code = np.fromiter((langs[k] for k, _ in pairs), np.int64, len(pairs))
+        total = np.zeros(len(langs), np.int64)
+        np.add.at(total, code, n[1:])
         return pa.RecordBatch.from_arrays(
-            [pa.array([name], pa.int64()), pa.array([pack(t)], pa.binary()),
-             pa.ListArray.from_arrays(pa.array([0, len(pairs)], pa.int32()), vocabulary)],
-            names=["shard", "ids", "vocabulary"])
+            [pa.array([name], pa.int64()), pa.array([pack(place[t])], pa.binary()),
+             pa.array([[{"lang": k, "n": int(total[i])} for k, i in langs.items()]], lang_type),
+             pa.array([pack(code[order])], pa.binary()),
+             pa.array([pack_words([pairs[i][1] for i in order])], pa.binary())],
+            names=["shard", "ids", "langs", "code", "words"])
+
+    lang_type = pa.list_(pa.struct([("lang", pa.string()), ("n", pa.int64())]))
 
     def run(batches):
         names, numbers, parts, size = shard_names(), Numbering(), [], 0
@@ -150,7 +190,86 @@ def shards(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
 
     return docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
                        F.col(text_col).alias("text")).mapInArrow(
-        run, "shard long, ids binary, vocabulary array<struct<lang: string, word: string, number: int, n: long>>")
+        run, "shard long, ids binary, langs array<struct<lang: string, n: long>>, code binary, words binary")
+
+
+def word_counts(shard_rows: DataFrame, buckets: int) -> DataFrame:
+    """(shard, bucket, langs, code, words, number, n): the words of every shard by bucket, in order of their language
+    and bytes, with their numbers and occurrences in the shard; the last four are arrays."""
+    names = ["shard", "bucket", "langs", "code", "words", "number", "n"]
+    types = [pa.int64(), pa.int64(), pa.list_(pa.string()), *[pa.binary()] * 4]
+
+    def run(batches):
+        for b in batches:
+            for shard, ids, langs, code, words in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                code, words = unpack(code), unpack_words(words)
+                n = np.bincount(unpack(ids), minlength=len(words) + 1)[1:]
+                bucket = np.fromiter(map(zlib.crc32, words.to_pylist()), np.int64, len(words)) % buckets
+                order = np.asarray(pc.sort_indices(words)).astype(np.int64)
+                order = order[n[order] > 0]
+                order = order[np.lexsort((code[order], bucket[order]))]
+                ends = np.flatnonzero(np.diff(bucket[order], append=-1)) + 1
+                rows = []
+                for lo, hi in zip(np.append(0, ends[:-1]), ends, strict=False):
+                    own = order[lo:hi]
+                    rows.append((shard, int(bucket[own[0]]), *coded(langs, code[own]),
+                                 pack_words([w[:-1] for w in words.take(own).to_pylist()]), pack(own + 1), pack_long(n[own])))
+                if rows:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, t) for c, t in zip(zip(*rows), types, strict=True)], names=names)
+
+    return shard_rows.select("shard", "ids", "langs.lang", "code", "words").mapInArrow(
+        run, "shard long, bucket long, langs array<string>, code binary, words binary, number binary, n binary")
+
+
+def frequent_words(counts: DataFrame, least: int, buckets: int) -> DataFrame:
+    """(shard, langs, code, number, id, f, words): the words of every shard with ``least`` occurrences in all of them,
+    by rising id: their languages, numbers in the shard, ids (steps) and occurrences in all; and, with no shard,
+    the ids and the words themselves once.  All but the first two are arrays."""
+    names = ["shard", "langs", "code", "number", "id", "f", "words"]
+    schema = pa.schema([*zip(names, [pa.int64(), pa.list_(pa.string()), *[pa.binary()] * 5], strict=True)])
+
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        table = table.sort_by("shard")
+        langs, code = decoded(table)
+        number = np.concatenate([unpack(b) for b in table["number"].to_pylist()])
+        n = np.concatenate([unpack_long(b) for b in table["n"].to_pylist()])
+        words = pa.concat_arrays([unpack_words(b) for b in table["words"].to_pylist()]).dictionary_encode()
+        lengths = [len(c) for c in code]
+        code = np.concatenate(code)
+        found, which = np.unique(np.asarray(words.indices).astype(np.int64) * len(langs) + code, return_inverse=True)
+        f = np.zeros(len(found), np.int64)
+        np.add.at(f, which, n)
+        order = np.argsort(-f, kind="stable")[:np.count_nonzero(f >= least)]
+        ids = np.zeros(len(found), np.int64)
+        ids[order] = np.arange(len(order)) * buckets + key[0].as_py() + 1
+        if not len(order):
+            return schema.empty_table()
+        spelt = words.dictionary.take(found[order] // len(langs)).to_pylist()
+        rows, at = [(None, [], None, None, pack_long(np.diff(ids[order], prepend=0)), None,
+                     pack_words([w[:-1] for w in spelt]))], 0
+        for shard, size in zip(table["shard"].to_pylist(), lengths, strict=True):
+            own = at + np.flatnonzero(ids[which[at:at + size]])
+            at += size
+            own = own[np.argsort(ids[which[own]])]
+            if len(own):
+                rows.append((shard, *coded(langs, code[own]), pack(number[own]),
+                             pack_long(np.diff(ids[which[own]], prepend=0)), pack_long(f[which[own]]), None))
+        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types, strict=True)], schema=schema)
+
+    return counts.groupBy("bucket").applyInArrow(
+        run, "shard long, langs array<string>, code binary, number binary, id binary, f binary, words binary")
+
+
+def spelt_words(known: DataFrame) -> DataFrame:
+    """(id, word) of all words of ``frequent_words``."""
+    def run(batches):
+        for b in batches:
+            for ids, words in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                word = pc.utf8_rtrim(unpack_words(words).cast(pa.large_string()), " ").cast(pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array(np.cumsum(unpack_long(ids))), word], names=["id", "word"])
+
+    return known.where("shard IS NULL").select("id", "words").mapInArrow(run, "id long, word string")
 
 
 def _frequent_text(t: np.ndarray, numbers: np.ndarray) -> np.ndarray:
@@ -171,23 +290,28 @@ def _pairs(forward: Index, reverse: Index):
 
 
 def frequent_shards(shard_rows: DataFrame, words: DataFrame) -> DataFrame:
-    """One row a shard: its text over the frequent words, numbered from 1, and these words.
-    ``words``: (shard, number, id, f, lang) of the frequent words of every shard."""
+    """One row a shard: its text over the frequent words, numbered from 1 by rising id, and for these words the
+    places of their languages, their ids (steps) and their occurrences in all shards (arrays).
+    ``words``: the frequent words of every shard (``frequent_words``)."""
     def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        right = right.sort_by("number")
         if not left.num_rows or not right.num_rows:
-            return arrow.empty_table()
-        t = _frequent_text(unpack(left["ids"][0].as_py()), np.asarray(right["number"]))
-        words = pa.StructArray.from_arrays([right[c].combine_chunks() for c in ("id", "f", "lang")], names=["id", "f", "lang"])
-        return pa.Table.from_arrays(
-            [pa.array([key[0].as_py()], pa.int64()), pa.array([pack(t)], pa.binary()),
-             pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)], schema=arrow)
-
-    word = pa.struct([("id", pa.int64()), ("f", pa.int64()), ("lang", pa.string())])
-    arrow = pa.schema([("shard", pa.int64()), ("ids", pa.binary()), ("words", pa.list_(word))])
+            return schema.empty_table()
+        langs, code = decoded(right)
+        code = np.concatenate(code)
+        number = np.concatenate([unpack(b) for b in right["number"].to_pylist()])
+        ids = np.concatenate([np.cumsum(unpack_long(b)) for b in right["id"].to_pylist()])
+        f = np.concatenate([unpack_long(b) for b in right["f"].to_pylist()])
+        order = np.argsort(ids)
+        row = (key[0].as_py(), pack(_frequent_text(unpack(left["ids"][0].as_py()), number[order])), langs,
+               pack(code[order]), pack_long(np.diff(ids[order], prepend=0)), pack_long(f[order]))
+        return pa.Table.from_arrays([pa.array([x], t) for x, t in zip(row, schema.types, strict=True)], schema=schema)
+
+    schema = pa.schema([("shard", pa.int64()), ("ids", pa.binary()), ("langs", pa.list_(pa.string())),
+                        ("code", pa.binary()), ("id", pa.binary()), ("f", pa.binary())])
     return (shard_rows.select("shard", "ids").groupBy("shard").cogroup(
-        words.withColumnRenamed("shard", "owner").groupBy("owner")).applyInArrow(
-        run, "shard long, ids binary, words array<struct<id: long, f: long, lang: string>>"))
+        words.where("shard IS NOT NULL").select(F.col("shard").alias("owner"), "langs", "code", "number", "id", "f")
+        .groupBy("owner")).applyInArrow(
+        run, "shard long, ids binary, langs array<string>, code binary, id binary, f binary"))
 
 
 def pack_long(a: np.ndarray) -> bytes:
@@ -236,7 +360,7 @@ def pair_counts(texts: DataFrame, buckets: int) -> DataFrame:
                 reverse = Index.of(unpack(packed.as_py())[::-1])
                 lo, n = reverse.words()
                 first, second, _, _, n = reverse.extend(lo[1:], lo[1:], n[1:])
-                ids = np.asarray(words.values)
+                ids = np.cumsum(unpack_long(words.as_py()))
                 rows = [(shard.as_py(), at, *packed_row(g, m))
                         for at, g, m in bucketed([ids[first], ids[second - 1]], n, buckets)]
                 if rows:
@@ -244,7 +368,7 @@ def pair_counts(texts: DataFrame, buckets: int) -> DataFrame:
                         [pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64()] * 2 + [pa.binary()] * 3, strict=True)],
                         names=["shard", "bucket", "g1", "g2", "n"])
 
-    return texts.select("shard", "ids", "words.id").mapInArrow(run, "shard long, bucket long, g1 binary, g2 binary, n binary")
+    return texts.select("shard", "ids", "id").mapInArrow(run, "shard long, bucket long, g1 binary, g2 binary, n binary")
 
 
 def frequent_pairs(counts: DataFrame, least: int) -> DataFrame:
@@ -287,12 +411,11 @@ def longer_phrases(texts: DataFrame, pairs: DataFrame, buckets: int) -> DataFram
     def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return schema.empty_table()
-        words = left["words"].combine_chunks().flatten()
-        ids, f = np.asarray(words.field("id")), np.asarray(words.field("f"))
-        by_id = np.argsort(ids)
+        code, f = unpack(left["code"][0].as_py()), unpack_long(left["f"][0].as_py())
+        ids = np.cumsum(unpack_long(left["id"][0].as_py()))
 
         (*g, total), _ = unpacked_rows([right[c] for c in ("g1", "g2", "f")])
-        g1, g2 = (by_id[np.searchsorted(ids, a, sorter=by_id)] + 1 for a in g)
+        g1, g2 = (np.searchsorted(ids, a) + 1 for a in g)
         once = total > 0
         width = len(ids) + 1
         frequent = np.sort(g1 * width + g2)
@@ -315,11 +438,11 @@ def longer_phrases(texts: DataFrame, pairs: DataFrame, buckets: int) -> DataFram
         above, d, m = above[keep], d[keep], m[keep]
         rows = []
         g1, g2, total = g1[once], g2[once], total[once]
-        lang = words.field("lang").take(pa.array(g1 - 1)).dictionary_encode()
-        code = np.asarray(lang.indices)
-        for i, name in enumerate(lang.dictionary.to_pylist()):
+        code = code[g1 - 1]
+        langs = left["langs"][0].as_py()
+        for i in np.unique(code):
             x, y = g1[code == i] - 1, g2[code == i] - 1
-            rows += ((at, name, *packed_row(g, m))
+            rows += ((at, langs[i], *packed_row(g, m))
                      for at, g, m in bucketed([ids[x], ids[y], f[x], f[y]], total[code == i], buckets))
         found = [np.concatenate(x) for x in zip([a, b, c], [d, a[above], b[above]], strict=True)]
         found.append(np.concatenate([np.zeros(len(a), np.int64), c[above]]))
@@ -376,28 +499,24 @@ def phrase_statistics(docs: DataFrame, lang_col: str = "lang", text_col: str = "
     occurrences, ids of words, 0 past the end; lang, f1 and f2 for pairs only."""
     spark = docs.sparkSession
     shard_rows, shards_at = stored(shards(docs, lang_col, text_col), "shards")
-    v = F.explode("vocabulary").alias("v")
-    words = shard_rows.select("shard", v).select("shard", "v.lang", "v.word", "v.number", "v.n").where("n > 0")
-    totals = cut(words.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
-    # one shuffle of the shards' words brings each its frequency, and an id that any of its rows would give
-    w = Window.partitionBy("lang", "word")
-    known = (words.withColumn("row", F.monotonically_increasing_id() + 1)
-             .withColumn("f", F.sum("n").over(w)).withColumn("id", F.min("row").over(w)).where(F.col("f") >= least)
-             .select("shard", "number", "id", "f", "lang", F.when(F.col("row") == F.col("id"), F.col("word")).alias("word")))
-    known = cut(known, "words")
+    totals = cut(shard_rows.select(F.explode("langs").alias("v")).where("v.n > 0")
+                 .groupBy("v.lang").agg(F.sum("v.n").alias("n")), "totals")
+    total = totals.agg(F.sum("n")).first()[0] or 0
+    buckets = total // BUCKET + 1
+    # a word stands in a shard once, however often it occurs
+    word_buckets = total // (4 * BUCKET) + 1
+    known = cut(frequent_words(word_counts(shard_rows, word_buckets), least, word_buckets), "words")
     release(spark)
-    texts, texts_at = stored(frequent_shards(shard_rows, known.drop("word")), "texts")
+    texts, texts_at = stored(frequent_shards(shard_rows, known), "texts")
     remove(spark, shards_at)
 
-    total = totals.agg(F.sum("n")).first()[0] or 0
-    buckets = total // BUCKET + 1
     pairs, pairs_at = stored(frequent_pairs(pair_counts(texts, buckets), least), "pairs")
     release(spark)
     # triples and quadruples together are up to two a word
     grams = cut(summed(longer_phrases(texts, pairs, 2 * buckets), least).withColumnRenamed("n", "a"), "grams")
     remove(spark, texts_at)
     remove(spark, pairs_at)
-    return totals, known.where("word IS NOT NULL").select("id", "word"), grams
+    return totals, spelt_words(known), grams
 
 
 def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", least: int = LEAST,
